@@ -7,6 +7,7 @@ import importlib
 
 _MODULES = [
     "fieldbook.plans.catalog_queries",
+    "fieldbook.plans.ingest_queries",
 ]
 
 
