@@ -8,6 +8,7 @@ import importlib
 _MODULES = [
     "fieldbook.plans.catalog_queries",
     "fieldbook.plans.ingest_queries",
+    "fieldbook.plans.etl_queries",
 ]
 
 
