@@ -15,8 +15,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from functools import reduce
+
 from fieldbook.functions.columns import list_items
 from fieldbook.operators.ids import dense_ids
+from fieldbook.session import materialize
 from fieldbook.schemas import BRIDGES, DOCUMENT_LISTS
 
 
@@ -32,24 +35,48 @@ def explode_list(raw: DataFrame, list_col: str, row_key: str, name_col: str = "n
     )
 
 
-def dimension(raw: DataFrame, list_col: str, row_key: str, name_col: str, id_col: str,
-              keep_null: bool = True, drop_empty: bool = False,
-              buckets: int | None = None) -> DataFrame:
-    """Distinct stripped names of a list column, ids 1..n in first-seen order."""
-    items = explode_list(raw, list_col, row_key, name_col)
+def explode_lists(raw: DataFrame, row_key: str, list_cols: list[str]) -> DataFrame:
+    """All list columns exploded into one long table (list, row_key, pos, name).
+
+    One pass over ``raw``, written once to the checkpoint folder: dimensions
+    and id lists of every list column read it instead of re-reading raw.
+    """
+    parts = [
+        explode_list(raw, c, row_key, "name").select(F.lit(c).alias("list"), row_key, "pos", "name")
+        for c in list_cols
+    ]
+    return materialize(reduce(DataFrame.unionByName, parts))
+
+
+def dimension_from_items(items: DataFrame, row_key: str, name_col: str, id_col: str,
+                         keep_null: bool = True, drop_empty: bool = False,
+                         buckets: int | None = None) -> DataFrame:
+    """Distinct names of exploded items (row_key, pos, name), ids in first-seen order."""
     if not keep_null:
-        items = items.where(F.col(name_col).isNotNull())
+        items = items.where(F.col("name").isNotNull())
     if drop_empty:
-        items = items.where((F.col(name_col) != "") | F.col(name_col).isNull())
+        items = items.where((F.col("name") != "") | F.col("name").isNull())
     # partial (map-side) aggregation per name before the shuffle: a hot name
     # costs one row per map task, not one per occurrence
-    first = items.groupBy(name_col).agg(
+    first = items.groupBy("name").agg(
         F.min(F.struct(F.col(row_key).alias("k"), F.col("pos").alias("p"))).alias("_first")
     )
-    first = first.select(name_col, F.col("_first.k").alias("_k"), F.col("_first.p").alias("_p"))
+    first = first.select(F.col("name").alias(name_col), F.col("_first.k").alias("_k"), F.col("_first.p").alias("_p"))
     return dense_ids(first, ["_k", "_p"], id_col=id_col, buckets=buckets).select(name_col, id_col)
 
 
+def dimension(raw: DataFrame, list_col: str, row_key: str, name_col: str, id_col: str,
+              keep_null: bool = True, drop_empty: bool = False,
+              buckets: int | None = None) -> DataFrame:
+    """Distinct stripped names of a list column, ids 1..n in first-seen order.
+
+    NULL lists give a NULL member and '' a '' member (``keep_null`` /
+    ``drop_empty`` remove them).
+    """
+    items = explode_list(raw, list_col, row_key, "name")
+    return dimension_from_items(items, row_key, name_col, id_col, keep_null, drop_empty, buckets)
+
+
 def _name_join(left: DataFrame, dim: DataFrame, left_name: str, dim_name: str, how: str = "inner"):
     """Join on names with NULL = NULL (a NULL item links to the NULL member)."""
     return left.join(dim, left[left_name].eqNullSafe(dim[dim_name]), how)
@@ -80,51 +107,99 @@ def bridge(raw: DataFrame, list_a: str, list_b: str, dim_a: DataFrame, dim_b: Da
     return dense_ids(ordered, ["_k", "_pa", "_pb"], id_col=bridge_id, buckets=buckets).select(a_id, b_id, bridge_id)
 
 
-def id_list(raw: DataFrame, list_col: str, dim: DataFrame, row_key: str, name_col: str,
-            id_col: str, out_col: str | None = None, skip_empty: bool = True) -> DataFrame:
-    """Per row: the ids of the list's names, in list order, comma joined.
+def id_list_from_items(items: DataFrame, dim: DataFrame, row_key: str, name_col: str, id_col: str,
+                        out_col: str | None = None, skip_empty: bool = True) -> DataFrame:
+    """Per row: the ids of its list items in list order, comma joined (D4 + E8).
 
-    NULL list -> NULL; items that are empty after stripping are skipped, so a
-    list of only empties gives ''.  Returns (row_key, out_col).
+    ``items`` = (row_key, pos, name) with one NULL-pos row for a NULL list.
+    NULL list -> NULL; items empty after stripping are skipped, so a list of
+    only empties gives ''.  The dimension join is left to AQE (broadcast when
+    the dimension is small at run time, shuffle join otherwise).
     """
     out_col = out_col or id_col
-    items = explode_list(raw, list_col, row_key, "_n", "_pos").where(F.col("_n").isNotNull())
-    if skip_empty:
-        items = items.where(F.col("_n") != "")
     d = dim.select(F.col(name_col).alias("_dn"), F.col(id_col).alias("_id"))
-    looked = items.join(d, items["_n"] == d["_dn"], "inner")
+    looked = items.join(d, items["name"] == d["_dn"], "left")
+    keep = F.col("_id").isNotNull()
+    if skip_empty:
+        keep = keep & (F.col("name") != "")
     agg = looked.groupBy(row_key).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_pos").alias("p"), F.col("_id").alias("i")))).alias("_l")
+        F.array_sort(F.collect_list(F.when(keep, F.struct(F.col("pos").alias("p"), F.col("_id").alias("i")))))
+        .alias("_l"),
+        F.max(F.col("pos").isNull()).alias("_null"),
     )
-    agg = agg.select(row_key, F.array_join(F.transform("_l", lambda e: e["i"].cast("string")), ",").alias("_ids"))
-    keys = raw.select(row_key, F.col(list_col).isNull().alias("_null"))
-    return keys.join(agg, row_key, "left").select(
+    return agg.select(
         row_key,
-        F.when(F.col("_null"), F.lit(None).cast("string")).otherwise(F.coalesce("_ids", F.lit(""))).alias(out_col),
+        F.when(F.col("_null"), F.lit(None).cast("string"))
+        .otherwise(F.array_join(F.transform("_l", lambda e: e["i"].cast("string")), ",")).alias(out_col),
     )
 
 
+def id_list(raw: DataFrame, list_col: str, dim: DataFrame, row_key: str, name_col: str,
+            id_col: str, out_col: str | None = None, skip_empty: bool = True) -> DataFrame:
+    """Per raw row: ids of the list's names in list order, comma joined; (row_key, out_col)."""
+    items = explode_list(raw, list_col, row_key, "name")
+    return id_list_from_items(items, dim, row_key, name_col, id_col, out_col, skip_empty)
+
+
 def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges: list | None = None,
               keep_null: bool = True, drop_empty: bool = False,
               buckets: int | None = None) -> dict[str, DataFrame]:
     """Raw documents -> dict of 8 tables: 4 dimensions, 3 bridges, Document.
 
     ``row_key`` is the explicit first-seen order of the raw rows (the raw
-    table has no order of its own).  Each output is one lazy plan; a caller
-    writing all eight should persist or checkpoint ``raw`` first.
+    table has no order of its own).  All list columns are exploded in one
+    pass; the four dimensions are numbered in one ``dense_ids`` pass
+    (partitioned by list) and the three bridges in another, each written
+    once to the checkpoint folder; the document table stays a lazy plan.
     """
     lists = lists or DOCUMENT_LISTS
     bridges = bridges or BRIDGES
     out: dict[str, DataFrame] = {}
+    items = explode_lists(raw, row_key, list(lists))
+    kept = items
+    if not keep_null:
+        kept = kept.where(F.col("name").isNotNull())
+    if drop_empty:
+        kept = kept.where((F.col("name") != "") | F.col("name").isNull())
+    firsts = kept.groupBy("list", "name").agg(
+        F.min(F.struct(F.col(row_key).alias("k"), F.col("pos").alias("p"))).alias("_f")
+    ).select("list", "name", F.col("_f.k").alias("_k"), F.col("_f.p").alias("_p"))
+    dims = materialize(
+        dense_ids(firsts, ["_k", "_p"], id_col="_id", buckets=buckets, partition_by=["list"])
+        .select("list", "name", "_id"), "dims")
     for col, (dim_name, name_col, id_col) in lists.items():
-        out[dim_name] = dimension(raw, col, row_key, name_col, id_col, keep_null, drop_empty, buckets)
-    for bname, la, lb, bid in bridges:
-        da, dna, dia = lists[la]
-        db, dnb, dib = lists[lb]
-        out[bname] = bridge(raw, la, lb, out[da], out[db], row_key, dna, dia, dnb, dib, bid, buckets)
+        out[dim_name] = dims.where(F.col("list") == col).select(
+            F.col("name").alias(name_col), F.col("_id").alias(id_col))
+
+    linked_parts = []
+    for bname, la, lb, _bid in bridges:
+        pairs = raw.select(
+            F.col(row_key),
+            F.posexplode_outer(list_items(la)).alias("_pa", "_na"),
+            F.col(lb),
+        ).select(row_key, "_pa", "_na", F.posexplode_outer(list_items(lb)).alias("_pb", "_nb"))
+        first = pairs.groupBy("_na", "_nb").agg(
+            F.min(F.struct(F.col(row_key).alias("k"), F.col("_pa").alias("pa"), F.col("_pb").alias("pb"))).alias("_f")
+        )
+        da = dims.where(F.col("list") == la).select(F.col("name").alias("_da_name"), F.col("_id").alias("_a"))
+        db = dims.where(F.col("list") == lb).select(F.col("name").alias("_db_name"), F.col("_id").alias("_b"))
+        linked = _name_join(_name_join(first, da, "_na", "_da_name"), db, "_nb", "_db_name")
+        linked_parts.append(linked.select(
+            F.lit(bname).alias("bridge"), "_a", "_b",
+            F.col("_f.k").alias("_k"), F.col("_f.pa").alias("_pa"), F.col("_f.pb").alias("_pb")))
+    if linked_parts:
+        all_links = reduce(DataFrame.unionByName, linked_parts)
+        numbered = materialize(
+            dense_ids(all_links, ["_k", "_pa", "_pb"], id_col="_bid", buckets=buckets, partition_by=["bridge"])
+            .select("bridge", "_a", "_b", "_bid"), "bridges")
+        for bname, la, lb, bid in bridges:
+            out[bname] = numbered.where(F.col("bridge") == bname).select(
+                F.col("_a").alias(lists[la][2]), F.col("_b").alias(lists[lb][2]), F.col("_bid").alias(bid))
+
     doc = raw.drop(*lists.keys())
     for col, (dim_name, name_col, id_col) in lists.items():
-        doc = doc.join(id_list(raw, col, out[dim_name], row_key, name_col, id_col), row_key, "left")
+        mine = items.where(F.col("list") == col)
+        doc = doc.join(id_list_from_items(mine, out[dim_name], row_key, name_col, id_col), row_key, "left")
     out["Document"] = dense_ids(doc, [row_key], id_col="document_ID", buckets=buckets)
     return out
 
@@ -169,7 +244,10 @@ def product_details(product: DataFrame, productcrop: DataFrame, crop: DataFrame,
         return joined.select("Product_ID", "Product_Name", "crops", "diseases", "pests")
 
     def rep(arr: str, n1: str, n2: str):
-        return F.flatten(F.array_repeat(F.col(arr), (F.col(n1) * F.col(n2)).cast("int")))
+        # each name repeated n1*n2 times, next to each other: the small base
+        # array is sorted, never the multiplied one
+        n = (F.col(n1) * F.col(n2)).cast("int")
+        return F.flatten(F.transform(F.array_sort(F.col(arr)), lambda x: F.array_repeat(x, n)))
 
     # a product row repeated in the product table multiplies every array as well
     return joined.groupBy("Product_ID", "Product_Name").agg(

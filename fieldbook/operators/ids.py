@@ -30,46 +30,73 @@ def _buckets(df: DataFrame, buckets: int | None) -> int:
 
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "id",
               start: int | Column = 1, buckets: int | None = None,
-              accuracy: int = 10000) -> DataFrame:
+              accuracy: int = 10000, materialize: bool = True,
+              partition_by: list[str] | None = None) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... in ascending order of ``order_cols``.
 
-    ``order_cols`` must identify a row (ties get an arbitrary but valid
-    order).  The first order column must be numeric: its quantiles cut the
-    ranges.  NULLs sort first, as in Spark's ascending order.
+    With ``partition_by`` the numbering restarts at ``start`` in every group
+    (NULL is a group of its own), so several id sequences are drawn in one
+    pass.  ``order_cols`` must identify a row within its group (ties get an
+    arbitrary but valid order).  The first order column must be numeric: its
+    quantiles cut the ranges (per group).  NULLs sort first, as in Spark's
+    ascending order.
+
+    The input is read three times (cut points, range counts, numbering), so
+    by default it is first written once to the checkpoint folder.
     """
+    parts = list(partition_by or [])
+    if materialize:
+        from fieldbook.session import materialize as _mat
+        df = _mat(df, "ids")
     k = _buckets(df, buckets)
     lead = F.col(order_cols[0]).cast("double")
     if k > 1:
         probs = [i / k for i in range(1, k)]
-        cuts = df.agg(F.percentile_approx(lead, probs, accuracy).alias(_CUTS)).scalar()
-        tagged = (
-            df.withColumn(_CUTS, cuts)
-            .withColumn(
-                _B,
-                F.when(lead.isNull(), F.lit(-1)).otherwise(
-                    F.coalesce(F.size(F.filter(F.col(_CUTS), lambda b: b <= lead)), F.lit(0))
-                ),
-            )
-            .drop(_CUTS)
-        )
+        if parts:
+            # one row per group; AQE broadcasts it when it is small at run time
+            cuts = df.groupBy(*parts).agg(F.percentile_approx(lead, probs, accuracy).alias(_CUTS))
+            tagged = _join_on(df, cuts, parts)
+        else:
+            cuts = df.agg(F.percentile_approx(lead, probs, accuracy).alias(_CUTS)).scalar()
+            tagged = df.withColumn(_CUTS, cuts)
+        tagged = tagged.withColumn(
+            _B,
+            F.when(lead.isNull(), F.lit(-1)).otherwise(
+                F.coalesce(F.size(F.filter(F.col(_CUTS), lambda b: b <= lead)), F.lit(0))
+            ),
+        ).drop(_CUTS)
     else:
         tagged = df.withColumn(_B, F.lit(0))
 
-    counts = tagged.groupBy(_B).agg(F.count(F.lit(1)).alias("_fb_n"))
-    before = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_B, F.coalesce(F.sum("_fb_n").over(before), F.lit(0)).alias(_OFF))
+    counts = tagged.groupBy(*parts, _B).agg(F.count(F.lit(1)).alias("_fb_n"))
+    before = (Window.partitionBy(*parts) if parts else Window).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*parts, _B, F.coalesce(F.sum("_fb_n").over(before), F.lit(0)).alias(_OFF))
 
-    within = Window.partitionBy(_B).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
+    within = Window.partitionBy(*parts, _B).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
     start_col = start if isinstance(start, Column) else F.lit(start)
-    return (
-        tagged.withColumn(_RN, F.row_number().over(within))
+    numbered = tagged.withColumn(_RN, F.row_number().over(within))
+    if parts:
+        joined = _join_on(numbered, offsets, parts + [_B])
+    else:
         # offsets has one row per range (<= buckets + 1 rows): safe to broadcast
-        .join(F.broadcast(offsets), _B)
-        .withColumn(id_col, (F.col(_OFF) + F.col(_RN) - 1 + start_col.cast("long")).cast("long"))
+        joined = numbered.join(F.broadcast(offsets), _B)
+    return (
+        joined.withColumn(id_col, (F.col(_OFF) + F.col(_RN) - 1 + start_col.cast("long")).cast("long"))
         .drop(_B, _RN, _OFF)
     )
 
 
+def _join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` with NULL = NULL, keeping the left's key columns."""
+    r = right.select(*[F.col(k).alias("_j_" + k) for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r["_j_" + k])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, "inner").drop(*["_j_" + k for k in keys])
+
+
 def max_id(existing: DataFrame, id_col: str = "id") -> Column:
     """``coalesce(max(id), 0)`` of a table as a scalar subquery column."""
     return existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("_fb_max")).scalar()

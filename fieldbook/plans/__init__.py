@@ -9,6 +9,7 @@ _MODULES = [
     "fieldbook.plans.catalog_queries",
     "fieldbook.plans.ingest_queries",
     "fieldbook.plans.etl_queries",
+    "fieldbook.plans.stream_queries",
 ]
 
 

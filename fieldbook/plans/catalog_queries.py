@@ -18,12 +18,20 @@ from pyspark.sql import functions as F
 from fieldbook.functions.columns import canonical_array, list_items
 from fieldbook.operators import catalog
 from fieldbook.plans.tables import load
+from fieldbook.session import materialize
 
 DOC_KEY = "o_orderkey"
 DOC_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 
 
-def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
+def raw_documents(spark: SparkSession, sf: str, written: bool = False) -> DataFrame:
+    """The raw document table; ``written=True`` stores it once in the checkpoint
+    folder, as the warehouse table the normaliser reads would be."""
+    raw = _raw_documents(spark, sf)
+    return materialize(raw) if written else raw
+
+
+def _raw_documents(spark: SparkSession, sf: str) -> DataFrame:
     o = load(spark, sf, "orders", *DOC_COLUMNS)
     l = load(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_linestatus", "l_returnflag")
     p = load(spark, sf, "part", "p_partkey", "p_brand", "p_type")
@@ -236,12 +244,12 @@ SQL_DIM_CROP = _normalise_sql() + "\nSELECT Crop_Name, Crop_ID FROM dc"
 
 def q_bridge_product_crop(spark: SparkSession, sf: str) -> DataFrame:
     """Product-crop bridge: distinct id pairs of the cross explode, ids in first-seen order."""
-    tables = catalog.normalise(raw_documents(spark, sf), DOC_KEY)
+    tables = catalog.normalise(raw_documents(spark, sf, written=True), DOC_KEY)
     return tables["productcrop"]
 
 
 def q_bridge_product_pest(spark: SparkSession, sf: str) -> DataFrame:
-    tables = catalog.normalise(raw_documents(spark, sf), DOC_KEY)
+    tables = catalog.normalise(raw_documents(spark, sf, written=True), DOC_KEY)
     return tables["productpest"]
 
 
@@ -273,7 +281,7 @@ SQL_BRIDGE_PRODUCT_PEST = _bridge_sql("Product_names", "pest", "dp", "de", "Prod
 
 def q_document_id_lists(spark: SparkSession, sf: str) -> DataFrame:
     """Document table: list columns replaced by id lists in list order, plus document_ID."""
-    tables = catalog.normalise(raw_documents(spark, sf), DOC_KEY)
+    tables = catalog.normalise(raw_documents(spark, sf, written=True), DOC_KEY)
     return tables["Document"]
 
 
@@ -282,7 +290,7 @@ SQL_DOCUMENT_ID_LISTS = _normalise_sql() + "\nSELECT * FROM doc"
 
 def q_document_details(spark: SparkSession, sf: str) -> DataFrame:
     """Document details: id lists unnested, names looked up, grouped by product name + doc columns."""
-    t = catalog.normalise(raw_documents(spark, sf), DOC_KEY)
+    t = catalog.normalise(raw_documents(spark, sf, written=True), DOC_KEY)
     out = catalog.document_details(t["Document"], t["Product"], t["Crop"], t["Disease"], t["Pest"],
                                    detail_columns=DOC_COLUMNS)
     return out.select(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -79,3 +80,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str = "table"):
+    """Cut lineage: write ``df`` once as Parquet under the shared checkpoint
+    folder and read it back.
+
+    Used where one intermediate feeds several plans (exploded lists, inputs
+    of ``dense_ids``).  One computation (an RDD checkpoint would compute it
+    twice), files that survive executor loss, and a scan with real size
+    statistics for AQE's join choices.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"fieldbook-tables/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

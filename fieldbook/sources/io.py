@@ -155,7 +155,8 @@ def _next_version(spark: SparkSession, path: str) -> int:
     return int(os.path.basename(cur).split("=", 1)[1]) + 1
 
 
-def write_snapshot(df: DataFrame, path: str, version: int | None = None) -> str:
+def write_snapshot(df: DataFrame, path: str, version: int | None = None,
+                   extra_files: dict[str, str] | None = None) -> str:
     """Write ``df`` as a new version of the table at ``path`` and switch to it.
 
     The data lands in ``path/v=<n>/`` first; only then is the pointer
@@ -166,10 +167,35 @@ def write_snapshot(df: DataFrame, path: str, version: int | None = None) -> str:
     n = version if version is not None else _next_version(spark, path)
     target = f"{path.rstrip('/')}/v={n}"
     df.write.mode("overwrite").parquet(target)
+    for name, content in (extra_files or {}).items():
+        write_text_file(spark, f"{target}/{name}", content)
     _write_pointer(spark, path, f"v={n}")
     return target
 
 
+def write_text_file(spark: SparkSession, path: str, content: str) -> None:
+    """Small control file (pointer, marker) through the Hadoop file system."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(content.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text_file(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return reader.readLine()
+    finally:
+        stream.close()
+
+
 def _write_pointer(spark: SparkSession, path: str, value: str) -> None:
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm
