@@ -334,9 +334,11 @@ def loose_exists(batch: DataFrame, stored: DataFrame, row_id: str, columns: list
         m = cand.join(st, cand["_v0"].eqNullSafe(st[c0]) & cand["_v1"].eqNullSafe(st[c1]), "inner")
     rest = common[2:]
     if rest:
-        check = reduce(lambda a, b: a & b, [
-            F.exists("_vals", lambda x, c=c: x.eqNullSafe(F.col("_t_" + c))) for c in rest
-        ])
+        def among_values(c: str) -> Column:
+            col = F.col("_t_" + c)
+            return F.exists("_vals", lambda x: x.eqNullSafe(col))
+
+        check = reduce(lambda a, b: a & b, [among_values(c) for c in rest])
         m = m.where(check)
     hits = m.select(row_id).distinct().withColumn(flag, F.lit(True))
     return batch.join(hits, row_id, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
