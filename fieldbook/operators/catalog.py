@@ -204,17 +204,29 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
     return out
 
 
-def _per_product(bridge_df: DataFrame, dim: DataFrame, dim_id: str, dim_name: str, out: str,
-                 distinct: bool, keep_nulls: bool) -> DataFrame:
-    """Names linked to each product plus the link count (inner join to the dimension)."""
+def _expand(pairs: str, mult: F.Column | None = None, keep_nulls: bool = True) -> F.Column:
+    """Array of (name, n) structs -> array with each name repeated n (x mult) times, sorted."""
+    arr = F.array_sort(F.col(pairs))
+    if not keep_nulls:
+        arr = F.filter(arr, lambda e: e["name"].isNotNull())
+    rep = (lambda e: F.array_repeat(e["name"], (e["n"] * mult).cast("int"))) if mult is not None else \
+        (lambda e: F.array_repeat(e["name"], e["n"].cast("int")))
+    return F.flatten(F.transform(arr, rep))
+
+
+def _per_product(bridge_df: DataFrame, dim: DataFrame, dim_id: str, dim_name: str, out: str) -> DataFrame:
+    """(Product_ID, [(name, links)], total links) for one bridge, inner-joined to its dimension.
+
+    Links are counted per (product, name) first - a partially aggregated
+    groupBy that spreads a hot product over its names - so the list
+    collected per product holds distinct names, not links.
+    """
     linked = bridge_df.select("Product_ID", dim_id).join(dim.select(dim_id, dim_name), dim_id, "inner")
-    if distinct:
-        names = F.collect_set(dim_name)
-    elif keep_nulls:
-        names = F.transform(F.collect_list(F.struct(F.col(dim_name).alias("v"))), lambda e: e["v"])
-    else:
-        names = F.collect_list(dim_name)
-    return linked.groupBy("Product_ID").agg(names.alias(out), F.count(F.lit(1)).alias(f"_n_{out}"))
+    per_name = linked.groupBy("Product_ID", dim_name).agg(F.count(F.lit(1)).alias("n"))
+    return per_name.groupBy("Product_ID").agg(
+        F.collect_list(F.struct(F.col(dim_name).alias("name"), F.col("n"))).alias(out),
+        F.sum("n").alias(f"_n_{out}"),
+    )
 
 
 def product_details(product: DataFrame, productcrop: DataFrame, crop: DataFrame,
@@ -225,54 +237,41 @@ def product_details(product: DataFrame, productcrop: DataFrame, crop: DataFrame,
 
     Same result as the inner join chain product-bridge-dimension x3 grouped by
     product, without materialising the nc*nd*np fan-out: each bridge is
-    aggregated per product first and the multiset is rebuilt with
-    ``array_repeat`` (each crop name appears nd*np times, and so on).  A
-    product missing any of the three links drops out, as with inner joins.
-    ``distinct=True`` gives the set form.  Output columns:
+    counted per (product, name) and the multiset is rebuilt with
+    ``array_repeat`` (each crop name appears nd*np times per link, and so
+    on); arrays come out sorted.  A product missing any of the three links
+    drops out, as with inner joins; a product row listed r times multiplies
+    its arrays by r, as the join would.  ``distinct=True`` gives the set
+    form; NULL names are dropped unless ``keep_nulls``.  Output columns:
     Product_ID, Product_Name, crops, diseases, pests.
     """
-    c = _per_product(productcrop, crop, "Crop_ID", "Crop_Name", "crops", distinct, keep_nulls)
-    d = _per_product(productdisease, disease, "Disease_ID", "Disease_Name", "diseases", distinct, keep_nulls)
-    p = _per_product(productpest, pest, "Pest_ID", "Pest_Name", "pests", distinct, keep_nulls)
-    joined = (
-        product.select("Product_ID", "Product_Name")
-        .join(c, "Product_ID", "inner")
-        .join(d, "Product_ID", "inner")
-        .join(p, "Product_ID", "inner")
-    )
+    c = _per_product(productcrop, crop, "Crop_ID", "Crop_Name", "crops")
+    d = _per_product(productdisease, disease, "Disease_ID", "Disease_Name", "diseases")
+    p = _per_product(productpest, pest, "Pest_ID", "Pest_Name", "pests")
+    prod = product.groupBy("Product_ID", "Product_Name").agg(F.count(F.lit(1)).alias("_r"))
+    joined = prod.join(c, "Product_ID", "inner").join(d, "Product_ID", "inner").join(p, "Product_ID", "inner")
     if distinct:
-        return joined.select("Product_ID", "Product_Name", "crops", "diseases", "pests")
-
-    def rep(arr: str, n1: str, n2: str):
-        # each name repeated n1*n2 times, next to each other: the small base
-        # array is sorted, never the multiplied one
-        n = (F.col(n1) * F.col(n2)).cast("int")
-        return F.flatten(F.transform(F.array_sort(F.col(arr)), lambda x: F.array_repeat(x, n)))
-
-    # a product row repeated in the product table multiplies every array as well
-    return joined.groupBy("Product_ID", "Product_Name").agg(
-        F.flatten(F.collect_list(rep("crops", "_n_diseases", "_n_pests"))).alias("crops"),
-        F.flatten(F.collect_list(rep("diseases", "_n_crops", "_n_pests"))).alias("diseases"),
-        F.flatten(F.collect_list(rep("pests", "_n_crops", "_n_diseases"))).alias("pests"),
+        def names(arr):
+            vals = F.array_sort(F.transform(F.col(arr), lambda e: e["name"]))
+            return vals if keep_nulls else F.filter(vals, lambda x: x.isNotNull())
+        return joined.select("Product_ID", "Product_Name", *[names(a).alias(a) for a in ("crops", "diseases", "pests")])
+    return joined.select(
+        "Product_ID", "Product_Name",
+        _expand("crops", F.col("_r") * F.col("_n_diseases") * F.col("_n_pests"), keep_nulls).alias("crops"),
+        _expand("diseases", F.col("_r") * F.col("_n_crops") * F.col("_n_pests"), keep_nulls).alias("diseases"),
+        _expand("pests", F.col("_r") * F.col("_n_crops") * F.col("_n_diseases"), keep_nulls).alias("pests"),
     )
 
 
-def _doc_names(document: DataFrame, doc_key: str, id_list_col: str, dim: DataFrame,
-               dim_id: str, dim_name: str, out: str) -> DataFrame:
-    """Per document: names of an id list (LEFT JOIN UNNEST + LEFT JOIN dim) and their count.
+_KINDS = [("Disease_Names", "Disease_ID", "Disease_Name"), ("Crop_Names", "Crop_ID", "Crop_Name"),
+          ("Pest_Names", "Pest_ID", "Pest_Name")]
 
-    A NULL list is one NULL element; an id that is not a number or not in the
-    dimension gives a NULL name.
-    """
-    items = document.select(
+
+def _id_items(document: DataFrame, doc_key: str, id_list_col: str) -> DataFrame:
+    """LEFT JOIN UNNEST(SPLIT(ids, ',')): one row per element, one NULL row for a NULL list."""
+    return document.select(
         doc_key, F.explode_outer(F.split(F.col(id_list_col), ",")).alias("_e")
     ).withColumn("_eid", F.expr("try_cast(_e AS BIGINT)"))
-    d = dim.select(F.col(dim_id).alias("_did"), F.col(dim_name).alias("_dname"))
-    named = items.join(d, items["_eid"] == d["_did"], "left")
-    return named.groupBy(doc_key).agg(
-        F.transform(F.collect_list(F.struct(F.col("_dname").alias("v"))), lambda e: e["v"]).alias(out),
-        F.count(F.lit(1)).alias(f"_n_{out}"),
-    )
 
 
 def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, disease: DataFrame,
@@ -280,50 +279,60 @@ def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, d
                      keep_nulls: bool = True) -> DataFrame:
     """Per (product name, document columns): arrays of disease, crop and pest names.
 
-    Same result as four ``LEFT JOIN UNNEST(SPLIT(ids))`` + dimension left joins
-    grouped by Product_Name and the document columns, computed per document
-    first so the four-way fan-out is never materialised: each name array is
-    the document's list repeated by the other lists' sizes and the number of
-    product items with that name.  Output: detail columns, Product_Name,
-    Disease_Names, Crop_Names, Pest_Names.
+    Same result as four ``LEFT JOIN UNNEST(SPLIT(ids))`` + dimension left
+    joins grouped by Product_Name and the document columns, without the
+    four-way fan-out: names are counted per document and kind, each count
+    is multiplied by the product items with that name and the other two
+    lists' sizes, the multiplicities are summed per output group and name
+    (partial aggregation, so a group shared by many documents ships one row
+    per name and map task), and only then are the (name, count) lists
+    collected and expanded.  An id that is not a number or not in the
+    dimension gives a NULL name (kept unless ``keep_nulls=False``).
+    Output: detail columns, Product_Name, Disease_Names, Crop_Names, Pest_Names.
     """
-    dis = _doc_names(document, doc_key, "Disease_ID", disease, "Disease_ID", "Disease_Name", "Disease_Names")
-    cro = _doc_names(document, doc_key, "Crop_ID", crop, "Crop_ID", "Crop_Name", "Crop_Names")
-    pes = _doc_names(document, doc_key, "Pest_ID", pest, "Pest_ID", "Pest_Name", "Pest_Names")
-    # product items per document, counted per resulting name
-    prod_items = document.select(
-        doc_key, F.explode_outer(F.split(F.col("Product_ID"), ",")).alias("_e")
-    ).withColumn("_eid", F.expr("try_cast(_e AS BIGINT)"))
-    pd_ = product.select(F.col("Product_ID").alias("_pid"), F.col("Product_Name").alias("Product_Name"))
+    dims = {"Disease_ID": disease, "Crop_ID": crop, "Pest_ID": pest}
+    longs = []
+    for out, id_col, name_col in _KINDS:
+        d = dims[id_col].select(F.col(id_col).alias("_did"), F.col(name_col).alias("name"))
+        items = _id_items(document, doc_key, id_col)
+        named = items.join(d, items["_eid"] == d["_did"], "left")
+        longs.append(named.groupBy(doc_key, "name").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(out)))
+    long = reduce(DataFrame.unionByName, longs)
+    sizes = long.groupBy(doc_key).agg(*[
+        F.sum(F.when(F.col("kind") == out, F.col("n"))).alias(f"_n_{out}") for out, _, _ in _KINDS
+    ])
+    pitems = _id_items(document, doc_key, "Product_ID")
+    pd_ = product.select(F.col("Product_ID").alias("_pid"), F.col("Product_Name"))
     prod = (
-        prod_items.join(pd_, prod_items["_eid"] == pd_["_pid"], "left")
-        .groupBy(doc_key, "Product_Name")
-        .agg(F.count(F.lit(1)).alias("_k"))
+        pitems.join(pd_, pitems["_eid"] == pd_["_pid"], "left")
+        .groupBy(doc_key, "Product_Name").agg(F.count(F.lit(1)).alias("_k"))
     )
-    per_doc = (
-        document.select(doc_key, *detail_columns)
-        .join(prod, doc_key)
-        .join(dis, doc_key)
-        .join(cro, doc_key)
-        .join(pes, doc_key)
+    other = {
+        "Disease_Names": F.col("_n_Crop_Names") * F.col("_n_Pest_Names"),
+        "Crop_Names": F.col("_n_Disease_Names") * F.col("_n_Pest_Names"),
+        "Pest_Names": F.col("_n_Disease_Names") * F.col("_n_Crop_Names"),
+    }
+    mult = F.col("n") * F.col("_k")
+    for out, _, _ in _KINDS:
+        mult = F.when(F.col("kind") == out, mult * other[out]).otherwise(mult)
+    contrib = (
+        long.join(sizes, doc_key).join(prod, doc_key)
+        .join(document.select(doc_key, *detail_columns), doc_key)
+        .select(*detail_columns, "Product_Name", "kind", "name", mult.alias("n"))
     )
+    group = ["Product_Name", *detail_columns]
+    per_name = contrib.groupBy(*group, "kind", "name").agg(F.sum("n").alias("n"))
+    lists = per_name.groupBy(*group).agg(
+        F.collect_list(F.struct(F.col("kind"), F.col("name"), F.col("n"))).alias("_l"))
+    def of_kind(kind: str) -> F.Column:
+        return F.filter("_l", lambda e: e["kind"] == F.lit(kind))
 
-    def rep(arr: str, *ns: str):
-        n = F.col("_k")
-        for x in ns:
-            n = n * F.col(x)
-        return F.flatten(F.array_repeat(F.col(arr), n.cast("int")))
-
-    per_doc = per_doc.select(
-        *detail_columns, "Product_Name",
-        rep("Disease_Names", "_n_Crop_Names", "_n_Pest_Names").alias("Disease_Names"),
-        rep("Crop_Names", "_n_Disease_Names", "_n_Pest_Names").alias("Crop_Names"),
-        rep("Pest_Names", "_n_Disease_Names", "_n_Crop_Names").alias("Pest_Names"),
-    )
-    grouped = per_doc.groupBy("Product_Name", *detail_columns).agg(
-        *[F.flatten(F.collect_list(c)).alias(c) for c in ("Disease_Names", "Crop_Names", "Pest_Names")]
-    )
+    cols = [_expand_col(of_kind(out), keep_nulls).alias(out) for out, _, _ in _KINDS]
+    return lists.select(*group, *cols)
+
+
+def _expand_col(arr: F.Column, keep_nulls: bool) -> F.Column:
+    srt = F.array_sort(F.transform(arr, lambda e: F.struct(e["name"].alias("name"), e["n"].alias("n"))))
     if not keep_nulls:
-        for c in ("Disease_Names", "Crop_Names", "Pest_Names"):
-            grouped = grouped.withColumn(c, F.filter(c, lambda e: e.isNotNull()))
-    return grouped
+        srt = F.filter(srt, lambda e: e["name"].isNotNull())
+    return F.flatten(F.transform(srt, lambda e: F.array_repeat(e["name"], e["n"].cast("int"))))

@@ -163,17 +163,22 @@ def gate_all(batch: DataFrame, stored: DataFrame, keys: list[str], batch_col: st
     """All-or-nothing (D6): if any row of a batch exists, every row of it is rejected.
 
     ``batch_col`` names the batch of each row (one batch when None).  The
-    verdict is an aggregate per batch joined back on the batch column; no
-    decision is taken on the driver.
+    verdict is an aggregate, never a decision on the driver: for one batch a
+    scalar subquery (no join, so the batch is not funnelled through one
+    key), for several a per-batch aggregate joined back on the batch column
+    (AQE broadcasts it when small and splits a skewed batch otherwise).
     """
-    b = batch if batch_col else batch.withColumn("_batch", F.lit(0))
-    bc = batch_col or "_batch"
-    marked = mark_existing(b, stored, keys, null_safe)
-    verdict = marked.groupBy(bc).agg(F.max(F.col("_exists").cast("int")).alias("_dirty"))
-    out = marked.drop("_exists").join(verdict, bc, "inner").withColumn(
-        outcome, F.when(F.col("_dirty") == 1, F.lit(REJECTED)).otherwise(F.lit(INSERTED))
+    marked = mark_existing(batch, stored, keys, null_safe)
+    if batch_col is None:
+        dirty = marked.agg(F.max(F.col("_exists").cast("int")).alias("_d")).scalar()
+        out = marked.withColumn("_dirty", dirty)
+    else:
+        verdict = marked.groupBy(batch_col).agg(F.max(F.col("_exists").cast("int")).alias("_dirty"))
+        verdict = verdict.withColumnRenamed(batch_col, "_vb")
+        out = marked.join(verdict, marked[batch_col].eqNullSafe(verdict["_vb"]), "inner").drop("_vb")
+    return out.drop("_exists").withColumn(
+        outcome, F.when(F.coalesce(F.col("_dirty"), F.lit(0)) == 1, F.lit(REJECTED)).otherwise(F.lit(INSERTED))
     ).drop("_dirty")
-    return out if batch_col else out.drop("_batch")
 
 
 def insert_all_or_nothing(batch: DataFrame, stored: DataFrame, keys: list[str], seq: str, run_ts,

@@ -2,8 +2,8 @@
 
 A keyword list becomes one predicate (OR of keywords, OR of columns) on one
 scan.  A keyword *table* of unbounded size is joined instead: rows and
-keywords are both cut into trigram tokens so the match is an equi-join on a
-token followed by the exact ``LIKE``/``contains`` check, never a nested loop.
+keywords are both cut into n-gram tokens so the match is an equi-join on a
+token followed by the exact ``contains`` check, never a nested loop.
 """
 
 from __future__ import annotations
@@ -38,33 +38,51 @@ def search_one(df: DataFrame, keyword: str, columns: list[str] | None = None, li
 _GRAM = 3
 
 
+def _grams(text: F.Column, n: int) -> F.Column:
+    """Distinct substrings of length ``n`` of a text (empty for shorter texts)."""
+    idx = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
+    subs = F.transform(idx, lambda i: F.substring(text, i, n))
+    return F.array_distinct(F.filter(subs, lambda g: F.length(g) == n))
+
+
 def search_table(df: DataFrame, keywords: DataFrame, row_id: str, keyword_col: str = "keyword",
                  columns: list[str] | None = None, literal: bool = True) -> DataFrame:
-    """(row_id, keyword) for every row that contains a keyword of a keyword table.
-
-    Keywords of length >= 3 match through a trigram equi-join (each keyword
-    is indexed by its first trigram; each row's text by all its trigrams,
-    de-duplicated per row), then the exact substring test.  Shorter keywords
-    (a bounded set: at most all 2-character strings) are tested with a
-    broadcast join on the text.  ``literal=True`` only: LIKE wildcards do not
-    survive tokenising.
+    """(row_id, keyword) for every row whose text contains a keyword of a keyword table.
+
+    An inverted-index join, exact and without a nested loop or a broadcast
+    of the (unbounded) keyword table: every row is cut into its distinct
+    trigrams; each keyword of length >= 3 is keyed by its *rarest* trigram
+    (trigram row counts come from one partially aggregated groupBy), joined
+    to the rows holding that trigram, and confirmed with ``contains`` on the
+    row's text.  Keywords of 1-2 characters are keyed by themselves against
+    the rows' 1- and 2-grams, which is already the exact test.  The row text
+    is the columns cast to string, joined by U+0001.  ``literal=True`` only:
+    LIKE wildcards do not survive tokenising.
     """
     if not literal:
         raise ValueError("search_table supports literal keywords only")
     cols = columns or [c for c in df.columns if c != row_id]
     text = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in cols])
     rows = df.select(row_id, text.alias("_text"))
-    kw = keywords.select(F.col(keyword_col).alias("_kw")).where(F.col("_kw").isNotNull()).distinct()
-
-    long_kw = kw.where(F.length("_kw") >= _GRAM).withColumn("_g", F.substring("_kw", 1, _GRAM))
-    grams = rows.select(
-        row_id, "_text",
-        F.explode(F.array_distinct(F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length("_text") - _GRAM + 1, F.lit(1))),
-            lambda i: F.substring(F.col("_text"), i, _GRAM)))).alias("_g"),
-    )
-    hit_long = grams.join(long_kw, "_g").where(F.col("_text").contains(F.col("_kw"))).select(row_id, "_kw")
-
-    short_kw = kw.where(F.length("_kw") < _GRAM)  # at most |alphabet|^2 rows
-    hit_short = rows.join(F.broadcast(short_kw), F.col("_text").contains(F.col("_kw"))).select(row_id, "_kw")
-    return hit_long.unionByName(hit_short).distinct().withColumnRenamed("_kw", keyword_col)
+    kw = (keywords.select(F.col(keyword_col).alias("_kw"))
+          .where(F.col("_kw").isNotNull() & (F.length("_kw") > 0)).distinct())
+
+    tri = rows.select(row_id, F.explode(_grams(F.col("_text"), _GRAM)).alias("_g"))
+    freq = tri.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
+    kw_tri = kw.where(F.length("_kw") >= _GRAM).select(
+        "_kw", F.explode(_grams(F.col("_kw"), _GRAM)).alias("_g"))
+    # a keyword with a trigram no row has cannot match: the inner join drops it
+    key = kw_tri.join(freq, "_g").groupBy("_kw").agg(F.min_by("_g", "_f").alias("_g"))
+    cand = tri.join(key, "_g").select(row_id, "_kw")
+    hit_long = cand.join(rows, row_id).where(F.col("_text").contains(F.col("_kw"))).select(row_id, "_kw")
+
+    hits = [hit_long]
+    short = kw.where(F.length("_kw") < _GRAM)
+    if short.take(1):  # bounded probe: only build 1-/2-grams when short keywords exist
+        for n in (1, 2):
+            g = rows.select(row_id, F.explode(_grams(F.col("_text"), n)).alias("_kw"))
+            hits.append(g.join(short.where(F.length("_kw") == n), "_kw").select(row_id, "_kw"))
+    out = hits[0]
+    for h in hits[1:]:
+        out = out.unionByName(h)
+    return out.distinct().withColumnRenamed("_kw", keyword_col)
