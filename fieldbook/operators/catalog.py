@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from collections.abc import Mapping
 from functools import reduce
 
 from fieldbook.functions.columns import list_items
@@ -141,67 +142,117 @@ def id_list(raw: DataFrame, list_col: str, dim: DataFrame, row_key: str, name_co
     return id_list_from_items(items, dim, row_key, name_col, id_col, out_col, skip_empty)
 
 
+class NormalisedTables(Mapping):
+    """The 8 normalised tables, each built on first access.
+
+    Shared parts (the exploded lists, the numbered dimensions, the numbered
+    bridges) are computed once and reused by every table that needs them;
+    a caller reading only the dimensions never pays for bridges or the
+    document table.
+    """
+
+    def __init__(self, build: dict, names: list[str]):
+        self._build = build
+        self._names = names
+        self._done: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._done:
+            self._done[name] = self._build[name]()
+        return self._done[name]
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges: list | None = None,
               keep_null: bool = True, drop_empty: bool = False,
-              buckets: int | None = None) -> dict[str, DataFrame]:
-    """Raw documents -> dict of 8 tables: 4 dimensions, 3 bridges, Document.
+              buckets: int | None = None) -> NormalisedTables:
+    """Raw documents -> the 8 tables: 4 dimensions, 3 bridges, Document.
 
     ``row_key`` is the explicit first-seen order of the raw rows (the raw
     table has no order of its own).  All list columns are exploded in one
     pass; the four dimensions are numbered in one ``dense_ids`` pass
     (partitioned by list) and the three bridges in another, each written
-    once to the checkpoint folder; the document table stays a lazy plan.
+    once to the checkpoint folder; the document table is a lazy plan.
+    Tables are built on first access (see ``NormalisedTables``).
     """
     lists = lists or DOCUMENT_LISTS
     bridges = bridges or BRIDGES
-    out: dict[str, DataFrame] = {}
-    items = explode_lists(raw, row_key, list(lists))
-    kept = items
-    if not keep_null:
-        kept = kept.where(F.col("name").isNotNull())
-    if drop_empty:
-        kept = kept.where((F.col("name") != "") | F.col("name").isNull())
-    firsts = kept.groupBy("list", "name").agg(
-        F.min(F.struct(F.col(row_key).alias("k"), F.col("pos").alias("p"))).alias("_f")
-    ).select("list", "name", F.col("_f.k").alias("_k"), F.col("_f.p").alias("_p"))
-    dims = materialize(
-        dense_ids(firsts, ["_k", "_p"], id_col="_id", buckets=buckets, partition_by=["list"])
-        .select("list", "name", "_id"), "dims")
-    for col, (dim_name, name_col, id_col) in lists.items():
-        out[dim_name] = dims.where(F.col("list") == col).select(
+    memo: dict[str, DataFrame] = {}
+
+    def items() -> DataFrame:
+        if "items" not in memo:
+            memo["items"] = explode_lists(raw, row_key, list(lists))
+        return memo["items"]
+
+    def dims() -> DataFrame:
+        if "dims" not in memo:
+            kept = items()
+            if not keep_null:
+                kept = kept.where(F.col("name").isNotNull())
+            if drop_empty:
+                kept = kept.where((F.col("name") != "") | F.col("name").isNull())
+            firsts = kept.groupBy("list", "name").agg(
+                F.min(F.struct(F.col(row_key).alias("k"), F.col("pos").alias("p"))).alias("_f")
+            ).select("list", "name", F.col("_f.k").alias("_k"), F.col("_f.p").alias("_p"))
+            memo["dims"] = materialize(
+                dense_ids(firsts, ["_k", "_p"], id_col="_id", buckets=buckets, partition_by=["list"])
+                .select("list", "name", "_id"), "dims")
+        return memo["dims"]
+
+    def dim(col: str):
+        _, name_col, id_col = lists[col]
+        return lambda: dims().where(F.col("list") == col).select(
             F.col("name").alias(name_col), F.col("_id").alias(id_col))
 
-    linked_parts = []
-    for bname, la, lb, _bid in bridges:
-        pairs = raw.select(
-            F.col(row_key),
-            F.posexplode_outer(list_items(la)).alias("_pa", "_na"),
-            F.col(lb),
-        ).select(row_key, "_pa", "_na", F.posexplode_outer(list_items(lb)).alias("_pb", "_nb"))
-        first = pairs.groupBy("_na", "_nb").agg(
-            F.min(F.struct(F.col(row_key).alias("k"), F.col("_pa").alias("pa"), F.col("_pb").alias("pb"))).alias("_f")
-        )
-        da = dims.where(F.col("list") == la).select(F.col("name").alias("_da_name"), F.col("_id").alias("_a"))
-        db = dims.where(F.col("list") == lb).select(F.col("name").alias("_db_name"), F.col("_id").alias("_b"))
-        linked = _name_join(_name_join(first, da, "_na", "_da_name"), db, "_nb", "_db_name")
-        linked_parts.append(linked.select(
-            F.lit(bname).alias("bridge"), "_a", "_b",
-            F.col("_f.k").alias("_k"), F.col("_f.pa").alias("_pa"), F.col("_f.pb").alias("_pb")))
-    if linked_parts:
-        all_links = reduce(DataFrame.unionByName, linked_parts)
-        numbered = materialize(
-            dense_ids(all_links, ["_k", "_pa", "_pb"], id_col="_bid", buckets=buckets, partition_by=["bridge"])
-            .select("bridge", "_a", "_b", "_bid"), "bridges")
-        for bname, la, lb, bid in bridges:
-            out[bname] = numbered.where(F.col("bridge") == bname).select(
-                F.col("_a").alias(lists[la][2]), F.col("_b").alias(lists[lb][2]), F.col("_bid").alias(bid))
-
-    doc = raw.drop(*lists.keys())
-    for col, (dim_name, name_col, id_col) in lists.items():
-        mine = items.where(F.col("list") == col)
-        doc = doc.join(id_list_from_items(mine, out[dim_name], row_key, name_col, id_col), row_key, "left")
-    out["Document"] = dense_ids(doc, [row_key], id_col="document_ID", buckets=buckets)
-    return out
+    def all_bridges() -> DataFrame:
+        if "bridges" not in memo:
+            parts = []
+            for bname, la, lb, _bid in bridges:
+                pairs = raw.select(
+                    F.col(row_key),
+                    F.posexplode_outer(list_items(la)).alias("_pa", "_na"),
+                    F.col(lb),
+                ).select(row_key, "_pa", "_na", F.posexplode_outer(list_items(lb)).alias("_pb", "_nb"))
+                # distinct name pairs (partial aggregation), keeping the first-seen key
+                first = pairs.groupBy("_na", "_nb").agg(F.min(F.struct(
+                    F.col(row_key).alias("k"), F.col("_pa").alias("pa"), F.col("_pb").alias("pb"))).alias("_f"))
+                da = dims().where(F.col("list") == la).select(F.col("name").alias("_da_name"), F.col("_id").alias("_a"))
+                db = dims().where(F.col("list") == lb).select(F.col("name").alias("_db_name"), F.col("_id").alias("_b"))
+                linked = _name_join(_name_join(first, da, "_na", "_da_name"), db, "_nb", "_db_name")
+                parts.append(linked.select(
+                    F.lit(bname).alias("bridge"), "_a", "_b",
+                    F.col("_f.k").alias("_k"), F.col("_f.pa").alias("_pa"), F.col("_f.pb").alias("_pb")))
+            all_links = reduce(DataFrame.unionByName, parts)
+            memo["bridges"] = materialize(
+                dense_ids(all_links, ["_k", "_pa", "_pb"], id_col="_bid", buckets=buckets, partition_by=["bridge"])
+                .select("bridge", "_a", "_b", "_bid"), "bridges")
+        return memo["bridges"]
+
+    def one_bridge(bname: str, la: str, lb: str, bid: str):
+        return lambda: all_bridges().where(F.col("bridge") == bname).select(
+            F.col("_a").alias(lists[la][2]), F.col("_b").alias(lists[lb][2]), F.col("_bid").alias(bid))
+
+    def document() -> DataFrame:
+        doc = raw.drop(*lists.keys())
+        for col, (_dim_name, name_col, id_col) in lists.items():
+            mine = items().where(F.col("list") == col)
+            doc = doc.join(id_list_from_items(mine, dim(col)(), row_key, name_col, id_col), row_key, "left")
+        return dense_ids(doc, [row_key], id_col="document_ID", buckets=buckets)
+
+    build: dict = {}
+    for col, (dim_name, _n, _i) in lists.items():
+        build[dim_name] = dim(col)
+    for bname, la, lb, bid in bridges:
+        build[bname] = one_bridge(bname, la, lb, bid)
+    build["Document"] = document
+    return NormalisedTables(build, list(build))
 
 
 def _expand(pairs: str, mult: F.Column | None = None, keep_nulls: bool = True) -> F.Column:
@@ -317,7 +368,7 @@ def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, d
         mult = F.when(F.col("kind") == out, mult * other[out]).otherwise(mult)
     contrib = (
         long.join(sizes, doc_key).join(prod, doc_key)
-        .join(document.select(doc_key, *detail_columns), doc_key)
+        .join(document.select(doc_key, *[c for c in detail_columns if c != doc_key]), doc_key)
         .select(*detail_columns, "Product_Name", "kind", "name", mult.alias("n"))
     )
     group = ["Product_Name", *detail_columns]

@@ -108,3 +108,27 @@ def continue_ids(df: DataFrame, order_cols: list[str], existing: DataFrame,
     """Ids max(existing.id)+1, +2, ... over ``order_cols`` (empty table -> 1..n)."""
     return dense_ids(df, order_cols, id_col=id_col,
                      start=max_id(existing, existing_id_col) + F.lit(1), buckets=buckets)
+
+
+def read_order(df: DataFrame, seq: str = "seq", file_col: str = "_file", start_col: str = "_start",
+               max_files: int | None = None) -> DataFrame:
+    """Number rows 1..n in the order they were read: (file, split start, row in split).
+
+    ``file_col`` / ``start_col`` come from ``_metadata.file_path`` and
+    ``_metadata.file_block_start``.  Inside one task rows of a split arrive in
+    file order, which ``monotonically_increasing_id`` keeps; ``dense_ids``
+    writes the rows once, so the numbering is fixed before any later join
+    and a retried task cannot reshuffle it.  Files are ranked with a plain
+    window when ``max_files`` bounds their number (micro-batches), else with
+    one ordered pass over the distinct file names - one row per file, i.e.
+    file-listing metadata, not data rows.
+    """
+    tagged = df.withColumn("_mid", F.monotonically_increasing_id())
+    files = tagged.select(file_col).distinct()
+    if max_files is not None:
+        ranked = files.withColumn("_frank", F.row_number().over(Window.orderBy(file_col)))
+        tagged = tagged.join(F.broadcast(ranked), file_col)
+    else:
+        ranked = dense_ids(files.withColumn("_fh", F.lit(0)), ["_fh", file_col], id_col="_frank", buckets=1)
+        tagged = tagged.join(ranked.drop("_fh"), file_col)
+    return dense_ids(tagged, ["_frank", start_col, "_mid"], id_col=seq).drop("_frank", start_col, "_mid", file_col)

@@ -292,7 +292,7 @@ def q_document_details(spark: SparkSession, sf: str) -> DataFrame:
     """Document details: id lists unnested, names looked up, grouped by product name + doc columns."""
     t = catalog.normalise(raw_documents(spark, sf, written=True), DOC_KEY)
     out = catalog.document_details(t["Document"], t["Product"], t["Crop"], t["Disease"], t["Pest"],
-                                   detail_columns=DOC_COLUMNS)
+                                   detail_columns=DOC_COLUMNS, doc_key=DOC_KEY)
     return out.select(
         *DOC_COLUMNS, "Product_Name",
         canonical_array("Disease_Names").alias("Disease_Names"),

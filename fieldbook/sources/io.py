@@ -46,14 +46,16 @@ def read_json_batch(spark: SparkSession, path: str, schema: T.StructType,
     """Read a JSON batch with a fixed schema (no inference).
 
     JSON lines by default (splittable); ``multiline=True`` for a file holding
-    one JSON array.  With ``seq_col`` each row gets its position in the file
-    (file name + offset within the file) so batch order can decide ids and
+    one JSON array.  With ``seq_col`` each row gets its position in the batch
+    (file name, then position in the file) so batch order can decide ids and
     which duplicate wins.
     """
     if not multiline:
         df = spark.read.schema(schema).json(path)
         if seq_col:
-            df = df.withColumn(seq_col, F.monotonically_increasing_id())
+            from fieldbook.operators.ids import read_order
+            df = read_order(df.withColumn("_file", F.col("_metadata.file_path"))
+                            .withColumn("_start", F.col("_metadata.file_block_start")), seq_col)
         return df
     return read_json_array(spark, path, schema, seq_col or "_seq")
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbook.operators import ingest
-from fieldbook.operators.ids import dense_ids
+from fieldbook.operators.ids import read_order
 from fieldbook.sources import io
 
 MARKER = "_applied"
@@ -45,19 +45,9 @@ def _read_marker(spark: SparkSession, data: str) -> dict:
     return json.loads(txt) if txt else {}
 
 
-def with_batch_order(batch: DataFrame, seq: str = "seq") -> DataFrame:
-    """Number a micro-batch 1..n in read order: (file, split start, row in split).
-
-    Rows of a split come in file order; ``monotonically_increasing_id``
-    keeps that order inside a task, and ``dense_ids`` writes the batch once
-    so the numbering is fixed before any later join.
-    """
-    tagged = batch.withColumn("_mid", F.monotonically_increasing_id())
-    files = tagged.select("_file").distinct()
-    # at most maxFilesPerTrigger file names: a bounded window and broadcast
-    ranked = files.withColumn("_frank", F.row_number().over(Window.orderBy("_file")))
-    tagged = tagged.join(F.broadcast(ranked), "_file")
-    return dense_ids(tagged, ["_frank", "_start", "_mid"], id_col=seq).drop("_frank", "_start", "_mid", "_file")
+def with_batch_order(batch: DataFrame, seq: str = "seq", max_files: int = 100) -> DataFrame:
+    """Number a micro-batch 1..n in read order (file, split start, row in split)."""
+    return read_order(batch, seq, max_files=max_files)
 
 
 def read_drops(spark: SparkSession, src_dir: str, schema: T.StructType, max_files: int = 100) -> DataFrame:
@@ -109,7 +99,7 @@ def start_ingest(spark: SparkSession, src_dir: str, table: str, checkpoint: str,
             # recomputes the same rows and overwrites them
             stored = io.read_table(s, data)
             stored = stored.where(F.col("batch") != tag).drop("batch")
-            rows = with_batch_order(batch_df)
+            rows = with_batch_order(batch_df, max_files=max_files)
             new, outcomes = ingest.insert_new(rows, stored, keys, "seq", now, with_ids=True, id_col=id_col)
             new = new.select(*schema.fieldNames())
             new.write.mode("overwrite").parquet(f"{data}/batch={tag}")
@@ -121,7 +111,7 @@ def start_ingest(spark: SparkSession, src_dir: str, table: str, checkpoint: str,
                 return  # replay of an applied batch
             stored = read_ingested(s, table)
             fields = [f.name for f in payload.fields]
-            maps = with_batch_order(batch_df).select(
+            maps = with_batch_order(batch_df, max_files=max_files).select(
                 "seq", F.map_filter(F.create_map(*[x for c in fields for x in (F.lit(c), F.col(c))]),
                                     lambda k, v: v.isNotNull()).alias("fields"))
             tbl, outcomes = ingest.upsert(stored, maps, keys, now, id_col=id_col, min_age=min_age)

@@ -191,3 +191,20 @@ def test_stamp_keeps_given_values(spark):
     df = spark.createDataFrame([("2020-02-02",), (None,)], "created_date string")
     out = ingest.stamp(df, "2024-03-04 05:06:07", keep_given=True).collect()
     assert [r.created_date.isoformat() for r in out] == ["2020-02-02", "2024-03-04"]
+
+
+def test_single_batch_gate_without_batch_column(spark):
+    stored = stored_df(spark, [strain("s1")])
+    clean = batch_df(spark, [strain("a"), strain("b")])
+    dirty = batch_df(spark, [strain("a"), strain("s1")])
+    assert outcomes(ingest.gate_all(clean, stored, KEYS)) == ["inserted", "inserted"]
+    assert outcomes(ingest.gate_all(dirty, stored, KEYS)) == ["rejected", "rejected"]
+
+
+def test_add_rows_replace_restamps_all(spark):
+    table = spark.createDataFrame([("x", "y", None, None)],
+                                  "a string, b string, created_date date, last_updated_timestamp timestamp_ntz")
+    batch = spark.createDataFrame([(1, "y", "x", "junk"), (2, "q", "r", "junk")], "rid long, a string, b string, extra string")
+    out = ingest.add_rows_replace(table, batch, "rid", "2024-02-02 00:00:00")
+    got = sorted((r.a, r.b, str(r.created_date)) for r in out.collect())
+    assert got == [("q", "r", "2024-02-02"), ("x", "y", "2024-02-02")]

@@ -74,3 +74,19 @@ def test_json_array_batch_keeps_order_and_key_presence(spark, tmp_dir):
     assert got[1] == (1, {"id": "2"})
     arr = io.read_json_array(spark, tmp_dir, T.StructType([T.StructField("bcs_code", T.StringType())]))
     assert [r.bcs_code for r in arr.orderBy("seq").collect()] == [None, None, "x"]
+
+
+def test_json_lines_batch_order_follows_files(spark, tmp_dir):
+    for name, vals in (("b.json", ["3", "4"]), ("a.json", ["1", "2"])):
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write("\n".join('{"bcs_code": "%s"}' % v for v in vals) + "\n")
+    df = io.read_json_batch(spark, tmp_dir, T.StructType([T.StructField("bcs_code", T.StringType())]), seq_col="seq")
+    assert [(r.seq, r.bcs_code) for r in df.orderBy("seq").collect()] == [(1, "1"), (2, "2"), (3, "3"), (4, "4")]
+
+
+def test_read_folder_adds_file_path(spark, tmp_dir):
+    for name in ("f1.csv", "f2.csv"):
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write("productid,feeding\n1,2.5\n")
+    df = io.read_folder(spark, tmp_dir, "csv")
+    assert sorted(r.file_path.rsplit("/", 1)[-1] for r in df.collect()) == ["f1.csv", "f2.csv"]
