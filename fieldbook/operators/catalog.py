@@ -51,8 +51,13 @@ def explode_lists(raw: DataFrame, row_key: str, list_cols: list[str]) -> DataFra
 
 def dimension_from_items(items: DataFrame, row_key: str, name_col: str, id_col: str,
                          keep_null: bool = True, drop_empty: bool = False,
-                         buckets: int | None = None) -> DataFrame:
-    """Distinct names of exploded items (row_key, pos, name), ids in first-seen order."""
+                         buckets: int | None = None, existing: DataFrame | None = None) -> DataFrame:
+    """Distinct names of exploded items (row_key, pos, name), ids in first-seen order.
+
+    With ``existing`` (a dimension written earlier) known names keep their
+    ids and new names continue from its max id, so ids stay stable across
+    runs; the result is the existing rows plus the new ones.
+    """
     if not keep_null:
         items = items.where(F.col("name").isNotNull())
     if drop_empty:
@@ -63,19 +68,25 @@ def dimension_from_items(items: DataFrame, row_key: str, name_col: str, id_col:
         F.min(F.struct(F.col(row_key).alias("k"), F.col("pos").alias("p"))).alias("_first")
     )
     first = first.select(F.col("name").alias(name_col), F.col("_first.k").alias("_k"), F.col("_first.p").alias("_p"))
-    return dense_ids(first, ["_k", "_p"], id_col=id_col, buckets=buckets).select(name_col, id_col)
+    if existing is None:
+        return dense_ids(first, ["_k", "_p"], id_col=id_col, buckets=buckets).select(name_col, id_col)
+    known = existing.select(F.col(name_col).alias("_known"))
+    new = first.join(known, first[name_col].eqNullSafe(known["_known"]), "left_anti")
+    start = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long")).scalar() + F.lit(1)
+    numbered = dense_ids(new, ["_k", "_p"], id_col=id_col, start=start, buckets=buckets).select(name_col, id_col)
+    return existing.select(name_col, id_col).unionByName(numbered)
 
 
 def dimension(raw: DataFrame, list_col: str, row_key: str, name_col: str, id_col: str,
               keep_null: bool = True, drop_empty: bool = False,
-              buckets: int | None = None) -> DataFrame:
+              buckets: int | None = None, existing: DataFrame | None = None) -> DataFrame:
     """Distinct stripped names of a list column, ids 1..n in first-seen order.
 
     NULL lists give a NULL member and '' a '' member (``keep_null`` /
     ``drop_empty`` remove them).
     """
     items = explode_list(raw, list_col, row_key, "name")
-    return dimension_from_items(items, row_key, name_col, id_col, keep_null, drop_empty, buckets)
+    return dimension_from_items(items, row_key, name_col, id_col, keep_null, drop_empty, buckets, existing)
 
 
 def _name_join(left: DataFrame, dim: DataFrame, left_name: str, dim_name: str, how: str = "inner"):

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from fieldbook.operators import ingest
 from fieldbook.operators.ids import dense_ids
 from fieldbook.plans.tables import load
+from fieldbook.session import materialize
 
 KEYS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 PAYLOAD = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -33,9 +34,10 @@ INSERT_SEQ_BASE = 10 ** 12
 
 
 def lines(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
-    """Line items with ``seq`` = 1..n, their position in the batch."""
+    """Line items with ``seq`` = 1..n, their position in the batch (written once,
+    as a batch file would be)."""
     li = load(spark, sf, "lineitem", *sorted(set(LINE_ORDER) | set(cols)))
-    return dense_ids(li, LINE_ORDER, id_col="seq").select("seq", *cols)
+    return materialize(dense_ids(li, LINE_ORDER, id_col="seq").select("seq", *cols), "batch")
 
 
 def _stored(spark: SparkSession, sf: str, where: F.Column | None = None, with_key: bool = True) -> DataFrame:

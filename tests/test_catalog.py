@@ -132,3 +132,10 @@ def test_rewrite_when_contains_hits_longer_names(spark):
     df = spark.createDataFrame([("Product 6",), ("Product 60",), ("Product 5",), (None,)], "n string")
     out = [r.m for r in df.select(replace_when_contains("n", "Product 6", "p1, p2").alias("m")).collect()]
     assert out == ["p1, p2", "p1, p2", "Product 5", None]
+
+
+def test_dimension_keeps_existing_ids(spark):
+    existing = spark.createDataFrame([("b", 7), ("q", 3)], "n string, id long")
+    d = catalog.dimension(raw(spark), "Product_names", "k", "n", "id", existing=existing)
+    assert rows(d, "n", "id") == sorted([("b", 7), ("q", 3), ("a", 8), ("", 9), (None, 10)],
+                                        key=lambda x: ((x[0] is None), str(x[0])))
