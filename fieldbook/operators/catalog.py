@@ -12,7 +12,7 @@ an explicit row key of the raw table plus the item position in the list.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from collections.abc import Mapping
@@ -327,13 +327,7 @@ def product_details(product: DataFrame, productcrop: DataFrame, crop: DataFrame,
 
 _KINDS = [("Disease_Names", "Disease_ID", "Disease_Name"), ("Crop_Names", "Crop_ID", "Crop_Name"),
           ("Pest_Names", "Pest_ID", "Pest_Name")]
-
-
-def _id_items(document: DataFrame, doc_key: str, id_list_col: str) -> DataFrame:
-    """LEFT JOIN UNNEST(SPLIT(ids, ',')): one row per element, one NULL row for a NULL list."""
-    return document.select(
-        doc_key, F.explode_outer(F.split(F.col(id_list_col), ",")).alias("_e")
-    ).withColumn("_eid", F.expr("try_cast(_e AS BIGINT)"))
+_PRODUCT = "Product"
 
 
 def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, disease: DataFrame,
@@ -343,32 +337,42 @@ def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, d
 
     Same result as four ``LEFT JOIN UNNEST(SPLIT(ids))`` + dimension left
     joins grouped by Product_Name and the document columns, without the
-    four-way fan-out: names are counted per document and kind, each count
-    is multiplied by the product items with that name and the other two
-    lists' sizes, the multiplicities are summed per output group and name
-    (partial aggregation, so a group shared by many documents ships one row
-    per name and map task), and only then are the (name, count) lists
-    collected and expanded.  An id that is not a number or not in the
-    dimension gives a NULL name (kept unless ``keep_nulls=False``).
-    Output: detail columns, Product_Name, Disease_Names, Crop_Names, Pest_Names.
+    four-way fan-out.  The four id lists are unnested in one pass and looked
+    up in one join against the four dimensions (labelled by list); names are
+    counted per document and list; each count is multiplied by the product
+    items with that name and the other two lists' sizes; the multiplicities
+    are summed per output group and name (partial aggregation, so a group
+    shared by many documents ships one row per name and map task); only then
+    are the (name, count) lists collected and expanded.  An id that is not a
+    number or not in the dimension gives a NULL name (kept unless
+    ``keep_nulls=False``); a NULL id list counts as one NULL element.
+    Output: Product_Name, detail columns, Disease_Names, Crop_Names, Pest_Names.
     """
-    dims = {"Disease_ID": disease, "Crop_ID": crop, "Pest_ID": pest}
-    longs = []
-    for out, id_col, name_col in _KINDS:
-        d = dims[id_col].select(F.col(id_col).alias("_did"), F.col(name_col).alias("name"))
-        items = _id_items(document, doc_key, id_col)
-        named = items.join(d, items["_eid"] == d["_did"], "left")
-        longs.append(named.groupBy(doc_key, "name").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(out)))
-    long = reduce(DataFrame.unionByName, longs)
-    sizes = long.groupBy(doc_key).agg(*[
-        F.sum(F.when(F.col("kind") == out, F.col("n"))).alias(f"_n_{out}") for out, _, _ in _KINDS
+    lists = [(_PRODUCT, "Product_ID")] + [(out, id_col) for out, id_col, _ in _KINDS]
+    dims = [product.select(F.lit(_PRODUCT).alias("kind"), F.col("Product_ID").alias("_did"),
+                           F.col("Product_Name").alias("name"))]
+    for (out, id_col, name_col), d in zip(_KINDS, (disease, crop, pest)):
+        dims.append(d.select(F.lit(out).alias("kind"), F.col(id_col).alias("_did"), F.col(name_col).alias("name")))
+    dim_all = reduce(DataFrame.unionByName, dims)
+
+    per_list = document.select(doc_key, F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.col(c).alias("ids")) for k, c in lists])).alias("_l"))
+    items = per_list.select(
+        doc_key, F.col("_l.kind").alias("kind"),
+        F.explode_outer(F.split(F.col("_l.ids"), ",")).alias("_e"),
+    ).withColumn("_eid", F.expr("try_cast(_e AS BIGINT)"))
+    named = items.join(dim_all.withColumnRenamed("kind", "_dk"),
+                       (items["kind"] == F.col("_dk")) & (items["_eid"] == F.col("_did")), "left")
+    counts = named.groupBy(doc_key, "kind", "name").agg(F.count(F.lit(1)).alias("n"))
+    # list sizes per document as window sums: one exchange on the document
+    # key, which the product / name self-join below then reuses
+    per_doc = Window.partitionBy(doc_key)
+    counts = counts.select("*", *[
+        F.sum(F.when(F.col("kind") == out, F.col("n"))).over(per_doc).alias(f"_n_{out}") for out, _, _ in _KINDS
     ])
-    pitems = _id_items(document, doc_key, "Product_ID")
-    pd_ = product.select(F.col("Product_ID").alias("_pid"), F.col("Product_Name"))
-    prod = (
-        pitems.join(pd_, pitems["_eid"] == pd_["_pid"], "left")
-        .groupBy(doc_key, "Product_Name").agg(F.count(F.lit(1)).alias("_k"))
-    )
+    prod = counts.where(F.col("kind") == _PRODUCT).select(
+        doc_key, F.col("name").alias("Product_Name"), F.col("n").alias("_k"))
+    long = counts.where(F.col("kind") != _PRODUCT)
     other = {
         "Disease_Names": F.col("_n_Crop_Names") * F.col("_n_Pest_Names"),
         "Crop_Names": F.col("_n_Disease_Names") * F.col("_n_Pest_Names"),
@@ -378,19 +382,20 @@ def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, d
     for out, _, _ in _KINDS:
         mult = F.when(F.col("kind") == out, mult * other[out]).otherwise(mult)
     contrib = (
-        long.join(sizes, doc_key).join(prod, doc_key)
+        long.join(prod, doc_key)
         .join(document.select(doc_key, *[c for c in detail_columns if c != doc_key]), doc_key)
         .select(*detail_columns, "Product_Name", "kind", "name", mult.alias("n"))
     )
     group = ["Product_Name", *detail_columns]
     per_name = contrib.groupBy(*group, "kind", "name").agg(F.sum("n").alias("n"))
-    lists = per_name.groupBy(*group).agg(
+    grouped = per_name.groupBy(*group).agg(
         F.collect_list(F.struct(F.col("kind"), F.col("name"), F.col("n"))).alias("_l"))
+
     def of_kind(kind: str) -> F.Column:
         return F.filter("_l", lambda e: e["kind"] == F.lit(kind))
 
     cols = [_expand_col(of_kind(out), keep_nulls).alias(out) for out, _, _ in _KINDS]
-    return lists.select(*group, *cols)
+    return grouped.select(*group, *cols)
 
 
 def _expand_col(arr: F.Column, keep_nulls: bool) -> F.Column:
