@@ -245,6 +245,31 @@ SELECT row_id, EXISTS (SELECT 1 FROM s WHERE s.nk IN (b.a, b.c) AND s.rk IN (b.a
 """
 
 
+def q_add_rows_replace(spark: SparkSession, sf: str) -> DataFrame:
+    """Add batch rows that are not loosely present, restamp every row (G6: D7 + F3 + B8)."""
+    li = lines(spark, sf, "l_linenumber", "l_quantity")
+    batch = li.select(
+        F.col("seq").alias("row_id"),
+        F.col("l_linenumber").cast("string").alias("n_nationkey"),
+        F.col("l_quantity").cast("int").cast("string").alias("n_regionkey"),
+    )
+    nation = load(spark, sf, "nation", "n_nationkey", "n_regionkey").select(
+        F.col("n_nationkey").cast("string").alias("n_nationkey"),
+        F.col("n_regionkey").cast("string").alias("n_regionkey"))
+    return ingest.add_rows_replace(nation, batch, "row_id", RUN_TS)
+
+
+SQL_ADD_ROWS_REPLACE = "WITH " + LINE_SEQ_SQL + """,
+b AS (SELECT seq AS row_id, l_linenumber::VARCHAR AS a, trunc(l_quantity)::INT::VARCHAR AS c FROM li),
+s AS (SELECT DISTINCT n_nationkey::VARCHAR AS nk, n_regionkey::VARCHAR AS rk FROM nation)
+SELECT n_nationkey::VARCHAR AS n_nationkey, n_regionkey::VARCHAR AS n_regionkey, DATE '2024-01-01' AS created_date,
+       TIMESTAMP '2024-01-01 00:00:00' AS last_updated_timestamp FROM nation
+UNION ALL
+SELECT a, c, DATE '2024-01-01', TIMESTAMP '2024-01-01 00:00:00' FROM b
+WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.nk IN (b.a, b.c) AND s.rk IN (b.a, b.c))
+"""
+
+
 def q_row_difference(spark: SparkSession, sf: str) -> DataFrame:
     """Whole-row difference (D8): customers not in the table of customers with an urgent order."""
     c = load(spark, sf, "customer")
@@ -268,4 +293,5 @@ QUERIES = {
     "flatten_formulation": (q_flatten_formulation, SQL_FLATTEN_FORMULATION),
     "loose_exists": (q_loose_exists, SQL_LOOSE_EXISTS),
     "row_difference": (q_row_difference, SQL_ROW_DIFFERENCE),
+    "add_rows_replace": (q_add_rows_replace, SQL_ADD_ROWS_REPLACE),
 }
