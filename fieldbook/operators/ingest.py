@@ -310,41 +310,48 @@ def upsert(stored: DataFrame, batch: DataFrame, keys: list[str], now, id_col: st
 
 # ---------------------------------------------------------------- loose checks
 def loose_exists(batch: DataFrame, stored: DataFrame, row_id: str, columns: list[str] | None = None,
-                 flag: str = "present") -> DataFrame:
+                 flag: str = "present", join_columns: list[str] | None = None) -> DataFrame:
     """A batch row is present when some stored row has *every* common
     column's value somewhere among the batch row's values (any column).
 
     Values compare as text; NULL matches NULL.  Instead of a nested loop the
-    batch row's values are exploded into ordered pairs and equi-joined with
-    the distinct stored tuples on two columns; the remaining columns are
-    checked with ``forall(... exists ...)``.  Output: batch + boolean flag.
+    batch row's values are exploded into ordered pairs (bounded by the
+    schema width squared) and equi-joined with the distinct stored tuples on
+    two columns; the remaining columns are checked with
+    ``forall(... exists ...)``.  The two join columns are the stored table's
+    most selective ones (one ``approx_count_distinct`` pass) unless given, so
+    a near-constant column never becomes the join key.  Output: batch +
+    boolean flag.
     """
     common = [c for c in (columns or batch.columns) if c in stored.columns and c != row_id]
     if not common:
         return batch.withColumn(flag, F.lit(False))
+    if join_columns is None and len(common) > 2:
+        nd = stored.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in common]).collect()[0]
+        join_columns = sorted(common, key=lambda c: -nd[c])[:2]
+    lead = [c for c in (join_columns or common[:2]) if c in common][:2] or common[:2]
+    rest = [c for c in common if c not in lead]
     vals = F.array(*[F.col(c).cast("string") for c in common])
     bv = batch.select(row_id, vals.alias("_vals"))
     st = stored.select(*[F.col(c).cast("string").alias("_t_" + c) for c in common]).dropDuplicates()
-    c0 = "_t_" + common[0]
-    if len(common) == 1:
+    c0 = "_t_" + lead[0]
+    if len(lead) == 1:
         cand = bv.select(row_id, "_vals", F.explode("_vals").alias("_v0")).dropDuplicates([row_id, "_v0"])
         m = cand.join(st, cand["_v0"].eqNullSafe(st[c0]), "inner")
     else:
-        c1 = "_t_" + common[1]
+        c1 = "_t_" + lead[1]
         cand = (
             bv.select(row_id, "_vals", F.explode("_vals").alias("_v0"))
             .select(row_id, "_vals", "_v0", F.explode("_vals").alias("_v1"))
             .dropDuplicates([row_id, "_v0", "_v1"])
         )
         m = cand.join(st, cand["_v0"].eqNullSafe(st[c0]) & cand["_v1"].eqNullSafe(st[c1]), "inner")
-    rest = common[2:]
     if rest:
         def among_values(c: str) -> Column:
             col = F.col("_t_" + c)
             return F.exists("_vals", lambda x: x.eqNullSafe(col))
 
-        check = reduce(lambda a, b: a & b, [among_values(c) for c in rest])
-        m = m.where(check)
+        m = m.where(reduce(lambda a, b: a & b, [among_values(c) for c in rest]))
     hits = m.select(row_id).distinct().withColumn(flag, F.lit(True))
     return batch.join(hits, row_id, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 

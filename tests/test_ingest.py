@@ -208,3 +208,11 @@ def test_add_rows_replace_restamps_all(spark):
     out = ingest.add_rows_replace(table, batch, "rid", "2024-02-02 00:00:00")
     got = sorted((r.a, r.b, str(r.created_date)) for r in out.collect())
     assert got == [("q", "r", "2024-02-02"), ("x", "y", "2024-02-02")]
+
+
+def test_loose_exists_with_constant_column_picks_selective_keys(spark):
+    stored = spark.createDataFrame([(str(i), "1", f"n{i}") for i in range(50)], "a string, sp string, c string")
+    batch = spark.createDataFrame([(1, "7", "1", "n7"), (2, "n7", "7", "1"), (3, "7", "1", "n8")],
+                                  "rid long, a string, sp string, c string")
+    got = {r.rid: r.present for r in ingest.loose_exists(batch, stored, "rid").collect()}
+    assert got == {1: True, 2: True, 3: False}
