@@ -36,3 +36,8 @@ def test_continue_ids_from_max_and_empty(spark):
     empty = spark.createDataFrame([], "id long")
     got = continue_ids(batch, ["seq"], empty).orderBy("seq").collect()
     assert [r.id for r in got] == [1, 2, 3]
+
+
+def test_dense_ids_empty_input(spark):
+    df = spark.createDataFrame([], "k long")
+    assert dense_ids(df, ["k"], "id").count() == 0

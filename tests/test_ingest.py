@@ -216,3 +216,18 @@ def test_loose_exists_with_constant_column_picks_selective_keys(spark):
                                   "rid long, a string, sp string, c string")
     got = {r.rid: r.present for r in ingest.loose_exists(batch, stored, "rid").collect()}
     assert got == {1: True, 2: True, 3: False}
+
+
+def test_nested_json_batch_missing_field_is_null(spark, tmp_dir):
+    import json as _json
+    recs = [
+        {"bcs_code": "b1", "sp_code": None, "formulation": [{"formulation_type": "wp", "product_type": "t"}]},
+        {"bcs_code": "b2", "formulation": []},
+    ]
+    with open(f"{tmp_dir}/n.json", "w") as f:
+        f.write(_json.dumps(recs))
+    from fieldbook.sources import io
+    nested = io.read_json_array(spark, tmp_dir, STRAIN_NESTED)
+    flat = ingest.flatten(nested.drop("seq"))
+    got = flat.collect()
+    assert len(got) == 1 and got[0].bcs_code == "b1" and got[0].physical_state is None
