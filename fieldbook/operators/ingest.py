@@ -88,6 +88,15 @@ def now_in_zone(zone: str = DEFAULT_ZONE) -> Column:
 
 
 # ---------------------------------------------------------------- key matching
+def key_bucket(keys: list[str], buckets: int) -> Column:
+    """Hash bucket 0..buckets-1 of the key columns (stable across runs and engines' restarts).
+
+    Stored tables partitioned by it let an existence check read only the
+    buckets a batch touches (partition pruning at the scan).
+    """
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
 def _key_cond(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> Column:
     conds = [left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k] for k in keys]
     return reduce(lambda a, b: a & b, conds)
@@ -145,16 +154,19 @@ def classify_new(batch: DataFrame, stored: DataFrame, keys: list[str], seq: str,
 
 
 def insert_new(batch: DataFrame, stored: DataFrame, keys: list[str], seq: str, run_ts,
-               null_safe: bool = False, with_ids: bool = False, id_col: str = "id"):
+               null_safe: bool = False, with_ids: bool = False, id_col: str = "id",
+               id_source: DataFrame | None = None):
     """Returns (rows to append, outcome per batch row).
 
     Rows to append are the ``inserted`` ones, stamped; with ``with_ids`` they
-    get ids continuing from the stored table's max id in ``seq`` order.
+    get ids continuing from the max id of ``id_source`` (default: the
+    stored table) in ``seq`` order.  ``stored`` may be a pruned part of the
+    table (the key buckets a batch touches) while ``id_source`` is all of it.
     """
     labelled = classify_new(batch, stored, keys, seq, null_safe)
     new = labelled.where(F.col("outcome") == INSERTED).drop("outcome")
     if with_ids:
-        new = continue_ids(new, [seq], stored, id_col=id_col)
+        new = continue_ids(new, [seq], stored if id_source is None else id_source, id_col=id_col)
     return stamp(new, run_ts), labelled
 
 

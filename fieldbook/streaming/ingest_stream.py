@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from fieldbook.operators import ingest
 from fieldbook.operators.ids import read_order
+from fieldbook.session import materialize
 from fieldbook.sources import io
 
 MARKER = "_applied"
@@ -63,12 +64,19 @@ def read_drops(spark: SparkSession, src_dir: str, schema: T.StructType, max_file
 def start_ingest(spark: SparkSession, src_dir: str, table: str, checkpoint: str, keys: list[str],
                  schema: T.StructType, mode: str = "insert", id_col: str = "id",
                  run_ts=None, min_age: str | None = ingest.DEFAULT_MIN_AGE,
-                 available_now: bool = True, max_files: int = 100):
+                 available_now: bool = True, max_files: int = 100, key_buckets: int = 16):
     """Start the stream; returns the ``StreamingQuery``.
 
     ``schema`` is the stored table's schema (id, payload, audit columns).
     insert mode: dropped rows (payload fields) get G3 treatment plus ids.
-    upsert mode: dropped maps get G4 treatment (updates by id, inserts).
+    The table is partitioned by (batch, kb) with kb a hash bucket of the
+    key columns: a micro-batch reads only the buckets its rows fall in (the
+    touched bucket numbers, at most ``key_buckets``, are the one thing
+    collected).  Each micro-batch also writes its highest id to a one-row
+    ``ids/`` partition, so the next batch reads one row per batch for the
+    max id instead of scanning the id column of the table.
+    upsert mode: dropped maps get G4 treatment (updates by id, inserts) and
+    each micro-batch writes a new snapshot of the whole table.
     """
     if mode not in ("insert", "upsert"):
         raise ValueError("mode must be 'insert' or 'upsert'")
@@ -76,7 +84,7 @@ def start_ingest(spark: SparkSession, src_dir: str, table: str, checkpoint: str,
     if not io._exists(spark, data):
         empty = spark.createDataFrame([], schema)
         if mode == "insert":
-            empty.write.mode("overwrite").parquet(f"{data}/batch=init")
+            empty.write.mode("overwrite").parquet(f"{data}/batch=init/kb=0")
         else:
             io.write_snapshot(empty, data)
     payload = T.StructType([f for f in schema.fields
@@ -97,12 +105,23 @@ def start_ingest(spark: SparkSession, src_dir: str, table: str, checkpoint: str,
         if mode == "insert":
             # the batch's own folder is left out, so a replay after a crash
             # recomputes the same rows and overwrites them
-            stored = io.read_table(s, data)
-            stored = stored.where(F.col("batch") != tag).drop("batch")
-            rows = with_batch_order(batch_df, max_files=max_files)
-            new, outcomes = ingest.insert_new(rows, stored, keys, "seq", now, with_ids=True, id_col=id_col)
-            new = new.select(*schema.fieldNames())
-            new.write.mode("overwrite").parquet(f"{data}/batch={tag}")
+            table_all = io.read_table(s, data).where(F.col("batch") != tag)
+            rows = with_batch_order(batch_df, max_files=max_files).withColumn(
+                "kb", ingest.key_bucket(keys, key_buckets))
+            touched = [r.kb for r in rows.select("kb").distinct().collect()]  # <= key_buckets values
+            stored = table_all.where(F.col("kb").isin(touched)).drop("batch", "kb")
+            ids_dir = f"{table.rstrip('/')}/ids"
+            if io._exists(s, ids_dir):
+                id_source = io.read_table(s, ids_dir).where(F.col("batch") != tag).select(id_col)
+            else:
+                id_source = s.createDataFrame([], f"{id_col} long")
+            new, outcomes = ingest.insert_new(rows.drop("kb"), stored, keys, "seq", now, with_ids=True,
+                                              id_col=id_col, id_source=id_source)
+            new = materialize(new.select(*schema.fieldNames()), "stream-new")
+            new.withColumn("kb", ingest.key_bucket(keys, key_buckets)).repartition("kb").write.mode("overwrite") \
+                .partitionBy("kb").parquet(f"{data}/batch={tag}")
+            new.agg(F.max(id_col).alias(id_col)).where(F.col(id_col).isNotNull()).write.mode("overwrite") \
+                .parquet(f"{ids_dir}/batch={tag}")
             outcomes.select("seq", "outcome", *keys).write.mode("overwrite") \
                 .parquet(f"{table.rstrip('/')}/outcomes/batch={tag}")
         else:
@@ -131,4 +150,4 @@ def read_ingested(spark: SparkSession, table: str) -> DataFrame:
     """The stream's target table (current snapshot or all appended batches)."""
     path = f"{table.rstrip('/')}/data"
     df = io.read_table(spark, path)
-    return df.drop("batch") if "batch" in df.columns else df
+    return df.drop(*[c for c in ("batch", "kb") if c in df.columns])
