@@ -97,11 +97,6 @@ def key_bucket(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
-def _key_cond(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> Column:
-    conds = [left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k] for k in keys]
-    return reduce(lambda a, b: a & b, conds)
-
-
 def _stored_keys(stored: DataFrame, keys: list[str], prefix: str = "_s_") -> DataFrame:
     # distinct first: duplicate stored rows are folded map-side before the shuffle
     return stored.select(*[F.col(k).alias(prefix + k) for k in keys]).dropDuplicates()

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.functions.columns import canonical_array, list_items
+from fieldbook.functions.columns import canonical_array
 from fieldbook.operators import catalog
 from fieldbook.plans.tables import load
 from fieldbook.session import materialize

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldbook.functions.columns import fill_null_text, replace_when_contains, strip_ws
+from fieldbook.functions.columns import fill_null_text, replace_when_contains
 from fieldbook.operators import access, load as loadop, observations, search
 from fieldbook.operators.catalog import explode_list
 from fieldbook.plans.catalog_queries import DOC_KEY, _RAW_SQL, raw_documents
