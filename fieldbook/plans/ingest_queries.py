@@ -269,6 +269,44 @@ WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.nk IN (b.a, b.c) AND s.rk IN (b.a, b.c
 """
 
 
+def q_json_batch_insert(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON-lines batch read with its read order (A4), then insert-new against the stored table.
+
+    Stand-in batch: all orders plus a second copy of the urgent ones, written
+    as JSON lines into a fresh folder under the checkpoint folder.
+    """
+    from pyspark.sql import types as T
+    import uuid
+    from fieldbook.session import scratch_path
+    from fieldbook.sources import io
+
+    o = load(spark, sf, "orders", *KEYS)
+    base = scratch_path(spark, f"json-batch-{uuid.uuid4().hex}")
+    o.write.mode("overwrite").json(f"{base}/part1")
+    o.where(F.col("o_orderpriority") == "1-URGENT").write.mode("overwrite").json(f"{base}/part2")
+    schema = T.StructType([o.schema[k] for k in KEYS])
+    batch = io.read_json_batch(spark, f"{base}/part*", schema, seq_col="seq")
+    stored = _stored(spark, sf, F.col("o_orderstatus") == "F")
+    _, out = ingest.insert_new(batch, stored, KEYS, "seq", RUN_TS)
+    return out.select("o_orderkey", "outcome")
+
+
+SQL_JSON_BATCH_INSERT = """
+WITH b AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, 0 AS copy FROM orders
+           UNION ALL
+           SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, 1 FROM orders
+           WHERE o_orderpriority = '1-URGENT'),
+s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus = 'F')
+SELECT o_orderkey,
+  CASE WHEN copy = 1 THEN 'duplicate'
+       WHEN EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = b.o_orderkey AND s.o_custkey = b.o_custkey
+                    AND s.o_orderstatus = b.o_orderstatus AND s.o_totalprice = b.o_totalprice
+                    AND s.o_orderpriority = b.o_orderpriority) THEN 'exists'
+       ELSE 'inserted' END AS outcome
+FROM b
+"""
+
+
 def q_row_difference(spark: SparkSession, sf: str) -> DataFrame:
     """Whole-row difference (D8): customers not in the table of customers with an urgent order."""
     c = load(spark, sf, "customer")
@@ -293,4 +331,5 @@ QUERIES = {
     "loose_exists": (q_loose_exists, SQL_LOOSE_EXISTS),
     "row_difference": (q_row_difference, SQL_ROW_DIFFERENCE),
     "add_rows_replace": (q_add_rows_replace, SQL_ADD_ROWS_REPLACE),
+    "json_batch_insert": (q_json_batch_insert, SQL_JSON_BATCH_INSERT),
 }
