@@ -1,14 +1,12 @@
 """Dense, ordered ids without funnelling rows through one task.
 
 ``row_number()`` over an unpartitioned window sends every row to a single
-partition.  ``dense_ids`` instead cuts the leading order key into ranges at
-approximate quantiles, numbers rows inside each range in parallel, and adds
-the running count of the ranges before it.  Any monotone cut is exact, so the
-approximation only affects balance, never the ids.
-
-Everything stays lazy: the cut points and the max of an existing id column
-are scalar subqueries, and the per-range offsets (one row per range, a
-structural size bound) are broadcast.
+partition.  ``dense_ids`` instead range-partitions the rows on the full order
+key, numbers rows inside each range in parallel, and adds the running count
+of the ranges before it.  Any range cut is exact, so the sampled bounds only
+affect balance, never the ids.  The max of an existing id column is a scalar
+subquery; the per-range offsets (one row per range, a structural size bound)
+are broadcast.
 """
 
 from __future__ import annotations
@@ -19,7 +17,6 @@ from pyspark.sql import functions as F
 _B = "_fb_bucket"
 _RN = "_fb_rn"
 _OFF = "_fb_off"
-_CUTS = "_fb_cuts"
 
 
 def _buckets(df: DataFrame, buckets: int | None) -> int:
@@ -30,59 +27,51 @@ def _buckets(df: DataFrame, buckets: int | None) -> int:
 
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "id",
               start: int | Column = 1, buckets: int | None = None,
-              accuracy: int = 10000, materialize: bool = True,
-              partition_by: list[str] | None = None) -> DataFrame:
+              materialize: bool = True, partition_by: list[str] | None = None) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... in ascending order of ``order_cols``.
 
     With ``partition_by`` the numbering restarts at ``start`` in every group
     (NULL is a group of its own), so several id sequences are drawn in one
     pass.  ``order_cols`` must identify a row within its group (ties get an
-    arbitrary but valid order).  The first order column must be numeric: its
-    quantiles cut the ranges (per group).  NULLs sort first, as in Spark's
-    ascending order.
-
-    The input is read three times (cut points, range counts, numbering), so
-    by default it is first written once to the checkpoint folder.
+    arbitrary but valid order).  NULLs sort first, as in Spark's ascending
+    order.
+
+    How: ``repartitionByRange`` over (groups, order columns) - range bounds
+    come from a sample of whole keys, so even a heavy leading value is split
+    by the later columns - then ``sortWithinPartitions``; each row's index in
+    its range is ``monotonically_increasing_id`` minus the range's first
+    one.  The tagged rows are written once (checkpoint folder) so the
+    numbering is fixed before it is read twice: for the per-range counts
+    (one row per range and group run, broadcast when ungrouped) and for the
+    ids themselves.  ``materialize=False`` skips the write for callers that
+    guarantee a deterministic input partitioning.
     """
     parts = list(partition_by or [])
+    k = _buckets(df, buckets)
+    keys = [F.col(c).asc_nulls_first() for c in parts + list(order_cols)]
+    tagged = (
+        df.repartitionByRange(k, *keys)
+        .sortWithinPartitions(*keys)
+        .withColumn(_B, F.spark_partition_id())
+        .withColumn(_RN, F.monotonically_increasing_id())
+    )
     if materialize:
         from fieldbook.session import materialize as _mat
-        df = _mat(df, "ids")
-    k = _buckets(df, buckets)
-    lead = F.col(order_cols[0]).cast("double")
-    if k > 1:
-        probs = [i / k for i in range(1, k)]
-        if parts:
-            # one row per group; AQE broadcasts it when it is small at run time
-            cuts = df.groupBy(*parts).agg(F.percentile_approx(lead, probs, accuracy).alias(_CUTS))
-            tagged = _join_on(df, cuts, parts)
-        else:
-            cuts = df.agg(F.percentile_approx(lead, probs, accuracy).alias(_CUTS)).scalar()
-            tagged = df.withColumn(_CUTS, cuts)
-        tagged = tagged.withColumn(
-            _B,
-            F.when(lead.isNull(), F.lit(-1)).otherwise(
-                F.coalesce(F.size(F.filter(F.col(_CUTS), lambda b: b <= lead)), F.lit(0))
-            ),
-        ).drop(_CUTS)
-    else:
-        tagged = df.withColumn(_B, F.lit(0))
-
-    counts = tagged.groupBy(*parts, _B).agg(F.count(F.lit(1)).alias("_fb_n"))
+        tagged = _mat(tagged, "ids")
+    # rows of one (range, group) are contiguous in the sorted range, so the
+    # smallest tag of the run is the run's first row
+    counts = tagged.groupBy(_B, *parts).agg(F.count(F.lit(1)).alias("_fb_n"), F.min(_RN).alias("_fb_m0"))
     before = (Window.partitionBy(*parts) if parts else Window).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*parts, _B, F.coalesce(F.sum("_fb_n").over(before), F.lit(0)).alias(_OFF))
-
-    within = Window.partitionBy(*parts, _B).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-    start_col = start if isinstance(start, Column) else F.lit(start)
-    numbered = tagged.withColumn(_RN, F.row_number().over(within))
+    offsets = counts.select(_B, *parts, "_fb_m0", F.coalesce(F.sum("_fb_n").over(before), F.lit(0)).alias(_OFF))
     if parts:
-        joined = _join_on(numbered, offsets, parts + [_B])
+        joined = _join_on(tagged, offsets, [_B] + parts)
     else:
-        # offsets has one row per range (<= buckets + 1 rows): safe to broadcast
-        joined = numbered.join(F.broadcast(offsets), _B)
+        # one row per range (<= buckets rows): safe to broadcast
+        joined = tagged.join(F.broadcast(offsets), _B)
+    start_col = start if isinstance(start, Column) else F.lit(start)
     return (
-        joined.withColumn(id_col, (F.col(_OFF) + F.col(_RN) - 1 + start_col.cast("long")).cast("long"))
-        .drop(_B, _RN, _OFF)
+        joined.withColumn(id_col, (F.col(_OFF) + (F.col(_RN) - F.col("_fb_m0")) + start_col.cast("long")).cast("long"))
+        .drop(_B, _RN, _OFF, "_fb_m0")
     )
 
 
@@ -120,8 +109,7 @@ def read_order(df: DataFrame, seq: str = "seq", file_col: str = "_file", start_c
     writes the rows once, so the numbering is fixed before any later join
     and a retried task cannot reshuffle it.  Files are ranked with a plain
     window when ``max_files`` bounds their number (micro-batches), else with
-    one ordered pass over the distinct file names - one row per file, i.e.
-    file-listing metadata, not data rows.
+    ``dense_ids`` over the distinct file names.
     """
     tagged = df.withColumn("_mid", F.monotonically_increasing_id())
     files = tagged.select(file_col).distinct()
@@ -129,6 +117,6 @@ def read_order(df: DataFrame, seq: str = "seq", file_col: str = "_file", start_c
         ranked = files.withColumn("_frank", F.row_number().over(Window.orderBy(file_col)))
         tagged = tagged.join(F.broadcast(ranked), file_col)
     else:
-        ranked = dense_ids(files.withColumn("_fh", F.lit(0)), ["_fh", file_col], id_col="_frank", buckets=1)
-        tagged = tagged.join(ranked.drop("_fh"), file_col)
+        ranked = dense_ids(files, [file_col], id_col="_frank")
+        tagged = tagged.join(ranked, file_col)
     return dense_ids(tagged, ["_frank", start_col, "_mid"], id_col=seq).drop("_frank", start_col, "_mid", file_col)

@@ -41,3 +41,13 @@ def test_continue_ids_from_max_and_empty(spark):
 def test_dense_ids_empty_input(spark):
     df = spark.createDataFrame([], "k long")
     assert dense_ids(df, ["k"], "id").count() == 0
+
+
+def test_dense_ids_heavy_leading_value_and_string_keys(spark):
+    data = [(1 if i < 300 else i, f"s{i:04d}") for i in range(600)]
+    df = spark.createDataFrame(data, "k long, t string")
+    got = dense_ids(df, ["k", "t"], "id", buckets=6)
+    ref = df.withColumn("rid", F.row_number().over(Window.orderBy("k", "t")))
+    assert got.join(ref, ["k", "t"]).where(F.col("id") != F.col("rid")).count() == 0
+    by_string = dense_ids(df, ["t"], "id", buckets=4).orderBy("t").collect()
+    assert [r.id for r in by_string] == list(range(1, 601))
