@@ -169,6 +169,18 @@ SQL_SEARCH_MANY = "SELECT * FROM customer WHERE " + _like_all(
     ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], _KWS)
 
 
+_DOC_KWS = ["license", "Apache", "@"]
+
+
+def q_search_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Keyword list over every column of the documents table, whole texts."""
+    return search.search(load(spark, sf, "documents"), _DOC_KWS).select("doc_id", "lang", "source", "n_chars")
+
+
+SQL_SEARCH_DOCUMENTS = "SELECT doc_id, lang, source, n_chars FROM documents WHERE " + _like_all(
+    ["doc_id", "text", "lang", "source", "n_chars"], _DOC_KWS)
+
+
 def _name_words(spark: SparkSession, sf: str) -> DataFrame:
     p = load(spark, sf, "part", "p_name", "p_brand")
     words = p.select(F.explode(F.split("p_name", " ")).alias("keyword"))
@@ -293,6 +305,7 @@ QUERIES = {
     "search_one": (q_search_one, SQL_SEARCH_ONE),
     "search_many": (q_search_many, SQL_SEARCH_MANY),
     "search_table": (q_search_table, SQL_SEARCH_TABLE),
+    "search_documents": (q_search_documents, SQL_SEARCH_DOCUMENTS),
     "conform_schema": (q_conform_schema, SQL_CONFORM_SCHEMA),
     "conform_text": (q_conform_text, SQL_CONFORM_SCHEMA),
     "clean_names": (q_clean_names, SQL_CLEAN_NAMES),
