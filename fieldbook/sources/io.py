@@ -95,12 +95,18 @@ def read_folder(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Stru
 
     Sheets are exported as CSV/JSON/Parquet (spreadsheet decoding is not a
     Spark job); ``file_col`` comes from the hidden ``_metadata`` column.
+    Files whose columns differ should be JSON (schema = union of the files'
+    fields) or Parquet (read with ``mergeSchema``): a column a file lacks is
+    NULL for its rows.  CSV takes one header for all files, so it fits only
+    folders of identically shaped sheets.
     """
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True)
+    if fmt == "parquet":
+        reader = reader.option("mergeSchema", True)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     df = reader.load(path)

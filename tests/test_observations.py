@@ -54,3 +54,28 @@ def test_load_files_per_file_outcomes(spark):
     assert len(got) == 4
     assert {(str(g[3]), str(g[4])) for g in got} == {("2024-01-05", "2024-03-20")}
     assert (2, "feeding", None, got[1][3], got[1][4]) in got  # NULL measure kept
+
+
+def test_folder_of_json_sheets_with_different_columns(spark, tmp_dir):
+    import json
+    import os
+    from fieldbook.sources import io
+    sheets = {
+        "f1.json": [{"productid": 1, "product": "p", "feeding": 2.0}],
+        "f2.json": [{"product": "q", "weight": 3.0}],          # no productid column
+    }
+    for name, recs in sheets.items():
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write("\n".join(json.dumps(r) for r in recs))
+    data_dir = tmp_dir + "-data"
+    os.makedirs(data_dir)
+    for name in sheets:
+        with open(os.path.join(data_dir, name), "w") as f:
+            f.write(json.dumps({"note": "on 02.03.2024"}))
+    sheet = io.read_folder(spark, tmp_dir, "json").withColumn(
+        "file_path", F.regexp_extract("file_path", r"([^/]+)$", 1))
+    data = io.read_folder(spark, data_dir, "json").withColumn(
+        "file_path", F.regexp_extract("file_path", r"([^/]+)$", 1))
+    rows_out, log = obs.load_files(sheet, data, "2024-04-01 00:00:00")
+    lg = {r.file_path: (r.rows_loaded, r.error_message) for r in log.collect()}
+    assert lg == {"f1.json": (2, None), "f2.json": (0, obs.MSG_NO_ID)}
