@@ -322,20 +322,27 @@ def loose_exists(batch: DataFrame, stored: DataFrame, row_id: str, columns: list
     column's value somewhere among the batch row's values (any column).
 
     Values compare as text; NULL matches NULL.  Instead of a nested loop the
-    batch row's values are exploded into ordered pairs (bounded by the
-    schema width squared) and equi-joined with the distinct stored tuples on
-    two columns; the remaining columns are checked with
-    ``forall(... exists ...)``.  The two join columns are the stored table's
-    most selective ones (one ``approx_count_distinct`` pass) unless given, so
-    a near-constant column never becomes the join key.  Output: batch +
+    batch row's values are exploded and equi-joined with the distinct stored
+    tuples on the stored table's most selective column (one
+    ``approx_count_distinct`` pass picks it), or - when no column has at most
+    ~10 stored rows per value - on ordered value pairs against its two most
+    selective columns (schema width squared rows per batch row); the
+    remaining columns are checked with ``exists`` on the row's values.  A
+    near-constant column never becomes the join key.  Output: batch +
     boolean flag.
     """
     common = [c for c in (columns or batch.columns) if c in stored.columns and c != row_id]
     if not common:
         return batch.withColumn(flag, F.lit(False))
-    if join_columns is None and len(common) > 2:
-        nd = stored.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in common]).collect()[0]
-        join_columns = sorted(common, key=lambda c: -nd[c])[:2]
+    if join_columns is None and len(common) > 1:
+        # one small aggregate: approximate distinct values per column and the row count
+        stats = stored.agg(F.count(F.lit(1)).alias("_rows"),
+                           *[F.approx_count_distinct(F.col(c)).alias(c) for c in common]).collect()[0]
+        ranked = sorted(common, key=lambda c: -stats[c])
+        # a column with at most ~10 stored rows per value is selective enough
+        # alone: each batch row then meets at most (values x 10) candidates
+        single = stats["_rows"] == 0 or stats[ranked[0]] * 10 >= stats["_rows"]
+        join_columns = ranked[:1] if single else ranked[:2]
     lead = [c for c in (join_columns or common[:2]) if c in common][:2] or common[:2]
     rest = [c for c in common if c not in lead]
     vals = F.array(*[F.col(c).cast("string") for c in common])
