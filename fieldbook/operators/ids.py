@@ -43,8 +43,10 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "id",
     one.  The tagged rows are written once (checkpoint folder) so the
     numbering is fixed before it is read twice: for the per-range counts
     (one row per range and group run, broadcast when ungrouped) and for the
-    ids themselves.  ``materialize=False`` skips the write for callers that
-    guarantee a deterministic input partitioning.
+    ids themselves.  With ``materialize=False`` the input is computed twice
+    instead (counts and ids): still exact when the order key is unique,
+    since each range is re-sorted by it; cheaper when the input is a plain
+    scan or a small aggregate of a written table.
     """
     parts = list(partition_by or [])
     k = _buckets(df, buckets)
@@ -117,6 +119,6 @@ def read_order(df: DataFrame, seq: str = "seq", file_col: str = "_file", start_c
         ranked = files.withColumn("_frank", F.row_number().over(Window.orderBy(file_col)))
         tagged = tagged.join(F.broadcast(ranked), file_col)
     else:
-        ranked = dense_ids(files, [file_col], id_col="_frank")
+        ranked = dense_ids(files, [file_col], id_col="_frank", materialize=False)
         tagged = tagged.join(ranked, file_col)
     return dense_ids(tagged, ["_frank", start_col, "_mid"], id_col=seq).drop("_frank", start_col, "_mid", file_col)

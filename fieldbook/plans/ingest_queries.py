@@ -36,7 +36,7 @@ def lines(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
     """Line items with ``seq`` = 1..n, their position in the batch (written once,
     as a batch file would be)."""
     li = load(spark, sf, "lineitem", *sorted(set(LINE_ORDER) | set(cols)))
-    return materialize(dense_ids(li, LINE_ORDER, id_col="seq").select("seq", *cols), "batch")
+    return materialize(dense_ids(li, LINE_ORDER, id_col="seq", materialize=False).select("seq", *cols), "batch")
 
 
 def _stored(spark: SparkSession, sf: str, where: F.Column | None = None, with_key: bool = True) -> DataFrame:
