@@ -17,18 +17,18 @@ from pyspark.sql import functions as F
 
 from fieldbook.functions.columns import canonical_array
 from fieldbook.operators import catalog
-from fieldbook.plans.tables import load
-from fieldbook.session import materialize
+from fieldbook.plans.tables import load, written_input
 
 DOC_KEY = "o_orderkey"
 DOC_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 
 
 def raw_documents(spark: SparkSession, sf: str, written: bool = False) -> DataFrame:
-    """The raw document table; ``written=True`` stores it once in the checkpoint
-    folder, as the warehouse table the normaliser reads would be."""
-    raw = _raw_documents(spark, sf)
-    return materialize(raw) if written else raw
+    """The raw document table; ``written=True`` stores it once per session in the
+    checkpoint folder, as the warehouse table the normaliser reads would be."""
+    if written:
+        return written_input(spark, sf, "raw_documents", lambda: _raw_documents(spark, sf))
+    return _raw_documents(spark, sf)
 
 
 def _raw_documents(spark: SparkSession, sf: str) -> DataFrame:

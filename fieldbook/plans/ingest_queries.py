@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from fieldbook.operators import ingest
 from fieldbook.operators.ids import dense_ids
-from fieldbook.plans.tables import load
-from fieldbook.session import materialize
+from fieldbook.plans.tables import load, written_input
 
 KEYS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 PAYLOAD = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -33,10 +32,12 @@ INSERT_SEQ_BASE = 10 ** 12
 
 
 def lines(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
-    """Line items with ``seq`` = 1..n, their position in the batch (written once,
-    as a batch file would be)."""
-    li = load(spark, sf, "lineitem", *sorted(set(LINE_ORDER) | set(cols)))
-    return materialize(dense_ids(li, LINE_ORDER, id_col="seq", materialize=False).select("seq", *cols), "batch")
+    """Line items with ``seq`` = 1..n, their position in the batch (written once
+    per session, as a batch file would be)."""
+    def build():
+        li = load(spark, sf, "lineitem")
+        return dense_ids(li, LINE_ORDER, id_col="seq", materialize=False)
+    return written_input(spark, sf, "line_batch", build).select("seq", *cols)
 
 
 def _stored(spark: SparkSession, sf: str, where: F.Column | None = None, with_key: bool = True) -> DataFrame:
