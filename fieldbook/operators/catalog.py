@@ -391,18 +391,10 @@ def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, d
     )
     group = ["Product_Name", *detail_columns]
     per_name = contrib.groupBy(*group, "kind", "name").agg(F.sum("n").alias("n"))
-    grouped = per_name.groupBy(*group).agg(
-        F.collect_list(F.struct(F.col("kind"), F.col("name"), F.col("n"))).alias("_l"))
-
-    def of_kind(kind: str) -> F.Column:
-        return F.filter("_l", lambda e: e["kind"] == F.lit(kind))
-
-    cols = [_expand_col(of_kind(out), keep_nulls).alias(out) for out, _, _ in _KINDS]
-    return grouped.select(*group, *cols)
-
-
-def _expand_col(arr: F.Column, keep_nulls: bool) -> F.Column:
-    srt = F.array_sort(F.transform(arr, lambda e: F.struct(e["name"].alias("name"), e["n"].alias("n"))))
-    if not keep_nulls:
-        srt = F.filter(srt, lambda e: e["name"].isNotNull())
-    return F.flatten(F.transform(srt, lambda e: F.array_repeat(e["name"], e["n"].cast("int"))))
+    # one (name, count) list per kind, collected directly (NULL structs from
+    # the other kinds are skipped by collect_list), then expanded once
+    grouped = per_name.groupBy(*group).agg(*[
+        F.collect_list(F.when(F.col("kind") == out, F.struct(F.col("name").alias("name"), F.col("n").alias("n"))))
+        .alias(out) for out, _, _ in _KINDS
+    ])
+    return grouped.select(*group, *[_expand(out, keep_nulls=keep_nulls).alias(out) for out, _, _ in _KINDS])
