@@ -12,16 +12,16 @@ an explicit row key of the raw table plus the item position in the list.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
-
 from collections.abc import Mapping
 from functools import reduce
 
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
 from fieldbook.functions.columns import list_items
 from fieldbook.operators.ids import dense_ids
-from fieldbook.session import materialize
 from fieldbook.schemas import BRIDGES, DOCUMENT_LISTS
+from fieldbook.session import materialize
 
 
 def explode_list(raw: DataFrame, list_col: str, row_key: str, name_col: str = "name",
@@ -94,29 +94,36 @@ def _name_join(left: DataFrame, dim: DataFrame, left_name: str, dim_name: str, h
     return left.join(dim, left[left_name].eqNullSafe(dim[dim_name]), how)
 
 
-def bridge(raw: DataFrame, list_a: str, list_b: str, dim_a: DataFrame, dim_b: DataFrame,
-           row_key: str, a_name: str, a_id: str, b_name: str, b_id: str, bridge_id: str,
-           buckets: int | None = None) -> DataFrame:
-    """Distinct (a_id, b_id) pairs of the two lists of each row, ids in first-seen order."""
+def _first_links(raw: DataFrame, row_key: str, list_a: str, list_b: str,
+                 dim_a: DataFrame, dim_b: DataFrame) -> DataFrame:
+    """Distinct (a id, b id) pairs stated by the rows, with their first-seen key.
+
+    Every row states each pair of its two lists (the bridge's own content);
+    the pairs are de-duplicated by name with partial aggregation before the
+    two dimension joins.  ``dim_a`` / ``dim_b`` are (name, id) frames.
+    Returns (_a, _b, _k, _pa, _pb).
+    """
     pairs = raw.select(
         F.col(row_key),
         F.posexplode_outer(list_items(list_a)).alias("_pa", "_na"),
         F.col(list_b),
-    ).select(
-        row_key, "_pa", "_na",
-        F.posexplode_outer(list_items(list_b)).alias("_pb", "_nb"),
-    )
-    # distinct name pairs (pre-aggregated map-side), keeping the first-seen key
-    first = pairs.groupBy("_na", "_nb").agg(
-        F.min(F.struct(F.col(row_key).alias("k"), F.col("_pa").alias("pa"), F.col("_pb").alias("pb"))).alias("_f")
-    )
-    da = dim_a.select(F.col(a_name).alias("_da_name"), F.col(a_id).alias(a_id))
-    db = dim_b.select(F.col(b_name).alias("_db_name"), F.col(b_id).alias(b_id))
+    ).select(row_key, "_pa", "_na", F.posexplode_outer(list_items(list_b)).alias("_pb", "_nb"))
+    first = pairs.groupBy("_na", "_nb").agg(F.min(F.struct(
+        F.col(row_key).alias("k"), F.col("_pa").alias("pa"), F.col("_pb").alias("pb"))).alias("_f"))
+    da = dim_a.toDF("_da_name", "_a")
+    db = dim_b.toDF("_db_name", "_b")
     linked = _name_join(_name_join(first, da, "_na", "_da_name"), db, "_nb", "_db_name")
-    ordered = linked.select(
-        a_id, b_id, F.col("_f.k").alias("_k"), F.col("_f.pa").alias("_pa"), F.col("_f.pb").alias("_pb")
-    )
-    return dense_ids(ordered, ["_k", "_pa", "_pb"], id_col=bridge_id, buckets=buckets).select(a_id, b_id, bridge_id)
+    return linked.select("_a", "_b", F.col("_f.k").alias("_k"), F.col("_f.pa").alias("_pa"),
+                         F.col("_f.pb").alias("_pb"))
+
+
+def bridge(raw: DataFrame, list_a: str, list_b: str, dim_a: DataFrame, dim_b: DataFrame,
+           row_key: str, a_name: str, a_id: str, b_name: str, b_id: str, bridge_id: str,
+           buckets: int | None = None) -> DataFrame:
+    """Distinct (a_id, b_id) pairs of the two lists of each row, ids in first-seen order."""
+    links = _first_links(raw, row_key, list_a, list_b, dim_a.select(a_name, a_id), dim_b.select(b_name, b_id))
+    return dense_ids(links, ["_k", "_pa", "_pb"], id_col=bridge_id, buckets=buckets).select(
+        F.col("_a").alias(a_id), F.col("_b").alias(b_id), bridge_id)
 
 
 def id_list_from_items(items: DataFrame, dim: DataFrame, row_key: str, name_col: str, id_col: str,
@@ -229,20 +236,9 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
         if "bridges" not in memo:
             parts = []
             for bname, la, lb, _bid in bridges:
-                pairs = raw.select(
-                    F.col(row_key),
-                    F.posexplode_outer(list_items(la)).alias("_pa", "_na"),
-                    F.col(lb),
-                ).select(row_key, "_pa", "_na", F.posexplode_outer(list_items(lb)).alias("_pb", "_nb"))
-                # distinct name pairs (partial aggregation), keeping the first-seen key
-                first = pairs.groupBy("_na", "_nb").agg(F.min(F.struct(
-                    F.col(row_key).alias("k"), F.col("_pa").alias("pa"), F.col("_pb").alias("pb"))).alias("_f"))
-                da = dims().where(F.col("list") == la).select(F.col("name").alias("_da_name"), F.col("_id").alias("_a"))
-                db = dims().where(F.col("list") == lb).select(F.col("name").alias("_db_name"), F.col("_id").alias("_b"))
-                linked = _name_join(_name_join(first, da, "_na", "_da_name"), db, "_nb", "_db_name")
-                parts.append(linked.select(
-                    F.lit(bname).alias("bridge"), "_a", "_b",
-                    F.col("_f.k").alias("_k"), F.col("_f.pa").alias("_pa"), F.col("_f.pb").alias("_pb")))
+                da = dims().where(F.col("list") == la).select("name", "_id")
+                db = dims().where(F.col("list") == lb).select("name", "_id")
+                parts.append(_first_links(raw, row_key, la, lb, da, db).select(F.lit(bname).alias("bridge"), "*"))
             all_links = reduce(DataFrame.unionByName, parts)
             memo["bridges"] = materialize(
                 dense_ids(all_links, ["_k", "_pa", "_pb"], id_col="_bid", buckets=buckets, partition_by=["bridge"])

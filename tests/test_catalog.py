@@ -139,3 +139,12 @@ def test_dimension_keeps_existing_ids(spark):
     d = catalog.dimension(raw(spark), "Product_names", "k", "n", "id", existing=existing)
     assert rows(d, "n", "id") == sorted([("b", 7), ("q", 3), ("a", 8), ("", 9), (None, 10)],
                                         key=lambda x: ((x[0] is None), str(x[0])))
+
+
+def test_standalone_bridge_matches_normalise(spark):
+    r = raw(spark)
+    t = catalog.normalise(r, "k")
+    b = catalog.bridge(r, "Product_names", "crop", t["Product"], t["Crop"], "k", "Product_Name", "Product_ID",
+                       "Crop_Name", "Crop_ID", "product_crop_ID")
+    assert rows(b, "Product_ID", "Crop_ID", "product_crop_ID") == rows(
+        t["productcrop"], "Product_ID", "Crop_ID", "product_crop_ID")
