@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbook.operators.ids import continue_ids
+from fieldbook.schemas import AUDIT_COLUMNS
 
 # Outcome labels.
 INSERTED = "inserted"
@@ -287,8 +288,10 @@ def upsert(stored: DataFrame, batch: DataFrame, keys: list[str], now, id_col: st
     A row whose map has ``id_col`` is a partial update (``apply_updates``);
     otherwise it is an insert: ``exists`` when the stored table has its
     ``keys``, else ``inserted`` with an id continuing from max(id) in ``seq``
-    order and stamped with ``now``.  No in-batch dedupe of inserts, as in
-    the reference; the new table is stored rows (updated) plus inserted ones.
+    order and stamped with ``now``.  An insert carries every stored column
+    its map names (cast to the column type; unknown fields are dropped).
+    No in-batch dedupe of inserts, as in the reference; the new table is
+    stored rows (updated) plus inserted ones.
     """
     has_id = F.map_contains_key(F.col(fields_col), F.lit(id_col))
     upd = batch.where(has_id).select(
@@ -297,7 +300,8 @@ def upsert(stored: DataFrame, batch: DataFrame, keys: list[str], now, id_col: st
     )
     ins_maps = batch.where(~has_id)
     types = {f.name: f.dataType for f in stored.schema.fields}
-    ins = ins_maps.select(seq, *[F.col(fields_col)[k].try_cast(types[k]).alias(k) for k in keys])
+    payload = [c for c in stored.columns if c != id_col and c not in AUDIT_COLUMNS]
+    ins = ins_maps.select(seq, *[F.col(fields_col)[c].try_cast(types[c]).alias(c) for c in payload])
 
     updated_tbl, upd_out = apply_updates(stored, upd, now, id_col, seq, fields_col, min_age,
                                          duplicate=duplicate)
