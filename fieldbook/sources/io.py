@@ -65,28 +65,39 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType, seq_co
     """Files that each hold one JSON array of objects; keeps element order.
 
     Each file is one row (``wholetext``), parsed with ``from_json`` and
-    ``posexplode``d, so ``seq_col`` is the element's position in its file.
+    ``posexplode``d; ``seq_col`` numbers the elements 1..n by (file name,
+    position in the file).
     """
     raw = spark.read.option("wholetext", True).text(path)
     raw = raw.withColumn("_file", F.col("_metadata.file_path"))
-    parsed = raw.select("_file", F.posexplode(F.from_json("value", T.ArrayType(schema))).alias(seq_col, "_r"))
+    parsed = raw.select("_file", F.posexplode(F.from_json("value", T.ArrayType(schema))).alias("_pos", "_r"))
     cols = [F.col("_r")[f.name].alias(f.name) for f in schema.fields]
-    out = parsed.select(*( [F.col("_file").alias(file_col)] if file_col else []), F.col(seq_col).cast("long").alias(seq_col), *cols)
-    return out
+    out = _number_by_file(parsed.select("_file", "_pos", *cols), seq_col)
+    if file_col:
+        out = out.withColumnRenamed("_file", file_col)
+    else:
+        out = out.drop("_file")
+    return out.select(*([file_col] if file_col else []), seq_col, *[f.name for f in schema.fields])
 
 
 def read_json_maps(spark: SparkSession, path: str, seq_col: str = "seq") -> DataFrame:
-    """JSON array files read as ``map<string,string>`` rows.
+    """JSON array files read as ``map<string,string>`` rows, numbered like ``read_json_array``.
 
     Key presence survives: a field given as JSON null is a present key with
     a NULL value, a missing field is an absent key.  Used for partial updates.
     """
     raw = spark.read.option("wholetext", True).text(path)
     mt = T.ArrayType(T.MapType(T.StringType(), T.StringType(), True))
-    return raw.select(
+    parsed = raw.select(
         F.col("_metadata.file_path").alias("_file"),
-        F.posexplode(F.from_json("value", mt)).alias(seq_col, "fields"),
-    ).withColumn(seq_col, F.col(seq_col).cast("long"))
+        F.posexplode(F.from_json("value", mt)).alias("_pos", "fields"),
+    )
+    return _number_by_file(parsed, seq_col).select(seq_col, "fields")
+
+
+def _number_by_file(df: DataFrame, seq_col: str) -> DataFrame:
+    from fieldbook.operators.ids import dense_ids
+    return dense_ids(df, ["_file", "_pos"], id_col=seq_col).drop("_pos")
 
 
 def read_folder(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None,

@@ -70,8 +70,8 @@ def test_json_array_batch_keeps_order_and_key_presence(spark, tmp_dir):
         f.write('[{"id": "1", "strain_name": null}, {"id": "2"}, {"bcs_code": "x"}]')
     maps = io.read_json_maps(spark, tmp_dir)
     got = sorted((r.seq, r.fields) for r in maps.collect())
-    assert got[0] == (0, {"id": "1", "strain_name": None})
-    assert got[1] == (1, {"id": "2"})
+    assert got[0] == (1, {"id": "1", "strain_name": None})
+    assert got[1] == (2, {"id": "2"})
     arr = io.read_json_array(spark, tmp_dir, T.StructType([T.StructField("bcs_code", T.StringType())]))
     assert [r.bcs_code for r in arr.orderBy("seq").collect()] == [None, None, "x"]
 
@@ -90,3 +90,11 @@ def test_read_folder_adds_file_path(spark, tmp_dir):
             f.write("productid,feeding\n1,2.5\n")
     df = io.read_folder(spark, tmp_dir, "csv")
     assert sorted(r.file_path.rsplit("/", 1)[-1] for r in df.collect()) == ["f1.csv", "f2.csv"]
+
+
+def test_json_array_files_numbered_across_files(spark, tmp_dir):
+    for name, vals in (("b.json", ["3", "4"]), ("a.json", ["1", "2"])):
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write("[" + ",".join('{"bcs_code": "%s"}' % v for v in vals) + "]")
+    arr = io.read_json_array(spark, tmp_dir, T.StructType([T.StructField("bcs_code", T.StringType())]))
+    assert [(r.seq, r.bcs_code) for r in arr.orderBy("seq").collect()] == [(1, "1"), (2, "2"), (3, "3"), (4, "4")]
