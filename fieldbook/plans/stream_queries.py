@@ -53,6 +53,58 @@ def q_stream_insert(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_STREAM_INSERT = "SELECT DISTINCT event_id, user_id, event_type, value FROM events"
 
+ORDER_TABLE = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_orderstatus", T.StringType()),
+    T.StructField("o_totalprice", T.DoubleType()),
+    T.StructField("o_orderpriority", T.StringType()),
+    T.StructField("created_date", T.DateType()),
+    T.StructField("last_updated_timestamp", T.TimestampNTZType()),
+])
+ORDER_KEYS = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+
+
+def q_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Drop-folder stream in upsert mode (S1 + G4/G5), two micro-batches.
+
+    Drop 1: finished orders as insert records.  Drop 2, derived by Spark from
+    the table after drop 1: a partial update (new priority) for every urgent
+    row by its id, plus open orders as insert records.  No age guard, since
+    both batches carry the same run time.  Output: the final table without
+    its generated ids and stamps.
+    """
+    base = scratch_path(spark, f"stream-upsert-{uuid.uuid4().hex}")
+    o = load(spark, sf, "orders", *ORDER_KEYS)
+
+    def run():
+        q = start_ingest(spark, f"{base}/src", f"{base}/table", f"{base}/checkpoint", ORDER_KEYS, ORDER_TABLE,
+                         mode="upsert", run_ts="2024-01-01 00:00:00", min_age=None)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+
+    as_text = [F.col(c).cast("string").alias(c) for c in ORDER_KEYS]
+    o.where(F.col("o_orderstatus") == "F").select(*as_text).write.mode("overwrite").json(f"{base}/src/drop1")
+    run()
+    after1 = read_ingested(spark, f"{base}/table")
+    updates = after1.where(F.col("o_orderpriority") == "1-URGENT").select(
+        F.col("id").cast("string").alias("id"), F.lit("1-URGENT-REVIEWED").alias("o_orderpriority"))
+    inserts = o.where(F.col("o_orderstatus") == "O").select(*as_text)
+    updates.unionByName(inserts, allowMissingColumns=True).write.mode("overwrite").json(f"{base}/src/drop2")
+    run()
+    return read_ingested(spark, f"{base}/table").select(*ORDER_KEYS)
+
+
+SQL_STREAM_UPSERT = """
+SELECT o_custkey, o_orderstatus, o_totalprice,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN '1-URGENT-REVIEWED' ELSE o_orderpriority END AS o_orderpriority
+FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus = 'O'
+"""
+
 QUERIES = {
     "stream_insert": (q_stream_insert, SQL_STREAM_INSERT),
+    "stream_upsert": (q_stream_upsert, SQL_STREAM_UPSERT),
 }
