@@ -127,26 +127,26 @@ doc AS (
 
 # ---------------------------------------------------------------- product details
 def _star(spark: SparkSession, sf: str):
+    """The seven catalogue tables the product-details query reads (stand-ins
+    built from part / supplier / lineitem, written once per session)."""
     part = load(spark, sf, "part", "p_partkey", "p_name")
     supp = load(spark, sf, "supplier", "s_suppkey", "s_name")
     li = load(spark, sf, "lineitem", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
-    product = part.select(F.col("p_partkey").alias("Product_ID"), F.col("p_name").alias("Product_Name"))
-    crop = supp.select(F.col("s_suppkey").alias("Crop_ID"), F.col("s_name").alias("Crop_Name"))
-    productcrop = li.select(F.col("l_partkey").alias("Product_ID"), F.col("l_suppkey").alias("Crop_ID")).distinct()
-    disease = li.select(
-        F.col("l_linenumber").cast("long").alias("Disease_ID"),
-        F.col("l_linenumber").cast("string").alias("Disease_Name"),
-    ).distinct()
-    productdisease = li.select(
-        F.col("l_partkey").alias("Product_ID"), F.col("l_linenumber").cast("long").alias("Disease_ID")
-    ).distinct()
-    pest = li.select(
-        F.ascii("l_returnflag").cast("long").alias("Pest_ID"), F.col("l_returnflag").alias("Pest_Name")
-    ).distinct()
-    productpest = li.select(
-        F.col("l_partkey").alias("Product_ID"), F.ascii("l_returnflag").cast("long").alias("Pest_ID")
-    ).distinct()
-    return product, productcrop, crop, productdisease, disease, productpest, pest
+    build = {
+        "Product": lambda: part.select(F.col("p_partkey").alias("Product_ID"), F.col("p_name").alias("Product_Name")),
+        "productcrop": lambda: li.select(F.col("l_partkey").alias("Product_ID"),
+                                         F.col("l_suppkey").alias("Crop_ID")).distinct(),
+        "Crop": lambda: supp.select(F.col("s_suppkey").alias("Crop_ID"), F.col("s_name").alias("Crop_Name")),
+        "productdisease": lambda: li.select(F.col("l_partkey").alias("Product_ID"),
+                                            F.col("l_linenumber").cast("long").alias("Disease_ID")).distinct(),
+        "Disease": lambda: li.select(F.col("l_linenumber").cast("long").alias("Disease_ID"),
+                                     F.col("l_linenumber").cast("string").alias("Disease_Name")).distinct(),
+        "productpest": lambda: li.select(F.col("l_partkey").alias("Product_ID"),
+                                         F.ascii("l_returnflag").cast("long").alias("Pest_ID")).distinct(),
+        "Pest": lambda: li.select(F.ascii("l_returnflag").cast("long").alias("Pest_ID"),
+                                  F.col("l_returnflag").alias("Pest_Name")).distinct(),
+    }
+    return tuple(written_input(spark, sf, f"star_{name}", fn) for name, fn in build.items())
 
 
 def _canon_product(df: DataFrame) -> DataFrame:
