@@ -169,10 +169,16 @@ class NormalisedTables(Mapping):
     document table.
     """
 
-    def __init__(self, build: dict, names: list[str]):
+    def __init__(self, build: dict, names: list[str], document_lists=None):
         self._build = build
         self._names = names
         self._done: dict[str, DataFrame] = {}
+        self._document_lists = document_lists
+
+    def document_lists(self) -> DataFrame:
+        """The document table before ``document_ID`` is drawn (raw columns + id
+        lists), for readers that do not need the document number."""
+        return self._document_lists()
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._names:
@@ -197,8 +203,9 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
     table has no order of its own).  All list columns are exploded in one
     pass; the four dimensions are numbered in one ``dense_ids`` pass
     (partitioned by list) and the three bridges in another, each written
-    once to the checkpoint folder; the document table is a lazy plan.
-    Tables are built on first access (see ``NormalisedTables``).
+    once to the checkpoint folder; the document table's id lists are written
+    once and numbered lazily.  Tables are built on first access (see
+    ``NormalisedTables``).
     """
     lists = lists or DOCUMENT_LISTS
     bridges = bridges or BRIDGES
@@ -249,12 +256,18 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
         return lambda: all_bridges().where(F.col("bridge") == bname).select(
             F.col("_a").alias(lists[la][2]), F.col("_b").alias(lists[lb][2]), F.col("_bid").alias(bid))
 
+    def document_lists() -> DataFrame:
+        if "doc" not in memo:
+            doc = raw.drop(*lists.keys())
+            for col, (_dim_name, name_col, id_col) in lists.items():
+                mine = items().where(F.col("list") == col)
+                doc = doc.join(id_list_from_items(mine, dim(col)(), row_key, name_col, id_col), row_key, "left")
+            # four id-list aggregations feed it: written once, read by every consumer
+            memo["doc"] = materialize(doc, "document")
+        return memo["doc"]
+
     def document() -> DataFrame:
-        doc = raw.drop(*lists.keys())
-        for col, (_dim_name, name_col, id_col) in lists.items():
-            mine = items().where(F.col("list") == col)
-            doc = doc.join(id_list_from_items(mine, dim(col)(), row_key, name_col, id_col), row_key, "left")
-        return dense_ids(doc, [row_key], id_col="document_ID", buckets=buckets)
+        return dense_ids(document_lists(), [row_key], id_col="document_ID", buckets=buckets, materialize=False)
 
     build: dict = {}
     for col, (dim_name, _n, _i) in lists.items():
@@ -262,7 +275,7 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
     for bname, la, lb, bid in bridges:
         build[bname] = one_bridge(bname, la, lb, bid)
     build["Document"] = document
-    return NormalisedTables(build, list(build))
+    return NormalisedTables(build, list(build), document_lists)
 
 
 def _expand(pairs: str, mult: F.Column | None = None, keep_nulls: bool = True) -> F.Column:
@@ -342,7 +355,8 @@ def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, d
     items with that name and the other two lists' sizes; the multiplicities
     are summed per output group and name (partial aggregation, so a group
     shared by many documents ships one row per name and map task); only then
-    are the (name, count) lists collected and expanded.  An id that is not a
+    is each name repeated by its count and the arrays gathered per group
+    (element order unspecified, as with ARRAY_AGG).  An id that is not a
     number or not in the dimension gives a NULL name (kept unless
     ``keep_nulls=False``); a NULL id list counts as one NULL element.
     Output: Product_Name, detail columns, Disease_Names, Crop_Names, Pest_Names.
@@ -387,10 +401,13 @@ def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, d
     )
     group = ["Product_Name", *detail_columns]
     per_name = contrib.groupBy(*group, "kind", "name").agg(F.sum("n").alias("n"))
-    # one (name, count) list per kind, collected directly (NULL structs from
-    # the other kinds are skipped by collect_list), then expanded once
+    if not keep_nulls:
+        per_name = per_name.where(F.col("name").isNotNull())
+    # each name expanded on its own row (codegen'd array_repeat), then one
+    # array per kind gathered per group; NULL arrays of the other kinds are
+    # skipped by collect_list
+    per_name = per_name.withColumn("_rep", F.array_repeat(F.col("name"), F.col("n").cast("int")))
     grouped = per_name.groupBy(*group).agg(*[
-        F.collect_list(F.when(F.col("kind") == out, F.struct(F.col("name").alias("name"), F.col("n").alias("n"))))
-        .alias(out) for out, _, _ in _KINDS
+        F.flatten(F.collect_list(F.when(F.col("kind") == out, F.col("_rep")))).alias(out) for out, _, _ in _KINDS
     ])
-    return grouped.select(*group, *[_expand(out, keep_nulls=keep_nulls).alias(out) for out, _, _ in _KINDS])
+    return grouped

@@ -291,7 +291,9 @@ SQL_DOCUMENT_ID_LISTS = _normalise_sql() + "\nSELECT * FROM doc"
 def q_document_details(spark: SparkSession, sf: str) -> DataFrame:
     """Document details: id lists unnested, names looked up, grouped by product name + doc columns."""
     t = catalog.normalise(raw_documents(spark, sf, written=True), DOC_KEY)
-    out = catalog.document_details(t["Document"], t["Product"], t["Crop"], t["Disease"], t["Pest"],
+    # the query groups by document columns, not by document_ID: read the
+    # document table before its numbering
+    out = catalog.document_details(t.document_lists(), t["Product"], t["Crop"], t["Disease"], t["Pest"],
                                    detail_columns=DOC_COLUMNS, doc_key=DOC_KEY)
     return out.select(
         *DOC_COLUMNS, "Product_Name",
