@@ -227,10 +227,7 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
                 F.min(F.struct(F.col(row_key).alias("k"), F.col("pos").alias("p"))).alias("_f")
             ).select("list", "name", F.col("_f.k").alias("_k"), F.col("_f.p").alias("_p"))
             memo["dims"] = materialize(
-                # input is an aggregate of the written items: recomputing it is
-                # cheaper than writing it, and the result is written below
-                dense_ids(firsts, ["_k", "_p"], id_col="_id", buckets=buckets, partition_by=["list"],
-                          materialize=False)
+                dense_ids(firsts, ["_k", "_p"], id_col="_id", buckets=buckets, partition_by=["list"])
                 .select("list", "name", "_id"), "dims")
         return memo["dims"]
 
@@ -267,7 +264,7 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
         return memo["doc"]
 
     def document() -> DataFrame:
-        return dense_ids(document_lists(), [row_key], id_col="document_ID", buckets=buckets, materialize=False)
+        return dense_ids(document_lists(), [row_key], id_col="document_ID", buckets=buckets)
 
     build: dict = {}
     for col, (dim_name, _n, _i) in lists.items():

@@ -27,7 +27,7 @@ def _buckets(df: DataFrame, buckets: int | None) -> int:
 
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "id",
               start: int | Column = 1, buckets: int | None = None,
-              materialize: bool = True, partition_by: list[str] | None = None) -> DataFrame:
+              partition_by: list[str] | None = None) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... in ascending order of ``order_cols``.
 
     With ``partition_by`` the numbering restarts at ``start`` in every group
@@ -40,13 +40,12 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "id",
     come from a sample of whole keys, so even a heavy leading value is split
     by the later columns - then ``sortWithinPartitions``; each row's index in
     its range is ``monotonically_increasing_id`` minus the range's first
-    one.  The tagged rows are written once (checkpoint folder) so the
-    numbering is fixed before it is read twice: for the per-range counts
-    (one row per range and group run, broadcast when ungrouped) and for the
-    ids themselves.  With ``materialize=False`` the input is computed twice
-    instead (counts and ids): still exact when the order key is unique,
-    since each range is re-sorted by it; cheaper when the input is a plain
-    scan or a small aggregate of a written table.
+    one.  The tagged rows are written once (checkpoint folder) before they
+    are read twice - for the per-range counts (one row per range and group
+    run, broadcast when ungrouped) and for the ids.  The write is required:
+    the range bounds come from a seeded sample whose seed differs between
+    two executions of the same plan, so recomputing the tagging for the
+    counts could cut different ranges than the numbering.
     """
     parts = list(partition_by or [])
     k = _buckets(df, buckets)
@@ -57,9 +56,8 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "id",
         .withColumn(_B, F.spark_partition_id())
         .withColumn(_RN, F.monotonically_increasing_id())
     )
-    if materialize:
-        from fieldbook.session import materialize as _mat
-        tagged = _mat(tagged, "ids")
+    from fieldbook.session import materialize as _mat
+    tagged = _mat(tagged, "ids")
     # rows of one (range, group) are contiguous in the sorted range, so the
     # smallest tag of the run is the run's first row
     counts = tagged.groupBy(_B, *parts).agg(F.count(F.lit(1)).alias("_fb_n"), F.min(_RN).alias("_fb_m0"))
@@ -119,6 +117,6 @@ def read_order(df: DataFrame, seq: str = "seq", file_col: str = "_file", start_c
         ranked = files.withColumn("_frank", F.row_number().over(Window.orderBy(file_col)))
         tagged = tagged.join(F.broadcast(ranked), file_col)
     else:
-        ranked = dense_ids(files, [file_col], id_col="_frank", materialize=False)
+        ranked = dense_ids(files, [file_col], id_col="_frank")
         tagged = tagged.join(ranked, file_col)
     return dense_ids(tagged, ["_frank", start_col, "_mid"], id_col=seq).drop("_frank", start_col, "_mid", file_col)

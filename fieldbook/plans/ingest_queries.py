@@ -36,7 +36,7 @@ def lines(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
     per session, as a batch file would be)."""
     def build():
         li = load(spark, sf, "lineitem")
-        return dense_ids(li, LINE_ORDER, id_col="seq", materialize=False)
+        return dense_ids(li, LINE_ORDER, id_col="seq")
     return written_input(spark, sf, "line_batch", build).select("seq", *cols)
 
 

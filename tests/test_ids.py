@@ -51,3 +51,12 @@ def test_dense_ids_heavy_leading_value_and_string_keys(spark):
     assert got.join(ref, ["k", "t"]).where(F.col("id") != F.col("rid")).count() == 0
     by_string = dense_ids(df, ["t"], "id", buckets=4).orderBy("t").collect()
     assert [r.id for r in by_string] == list(range(1, 601))
+
+
+def test_dense_ids_on_sampled_ranges(spark, tmp_dir):
+    # enough rows per input partition that range bounds come from a sample
+    src = spark.range(0, 40000, numPartitions=8).select(((F.col("id") * 7919) % 40000).alias("k"))
+    src.write.parquet(f"{tmp_dir}/src")
+    df = spark.read.parquet(f"{tmp_dir}/src")
+    got = dense_ids(df, ["k"], "id", buckets=8)
+    assert got.where(F.col("id") != F.col("k") + 1).count() == 0
