@@ -85,7 +85,8 @@ def _ts_lit(run_ts) -> Column:
 
 def now_in_zone(zone: str = DEFAULT_ZONE) -> Column:
     """Current wall-clock time in ``zone`` as a zone-less timestamp."""
-    return F.convert_timezone(F.lit(zone), F.current_timestamp()).cast("timestamp_ntz")
+    # session-zone wall clock (localtimestamp) converted to the target zone
+    return F.convert_timezone(None, F.lit(zone), F.localtimestamp())
 
 
 # ---------------------------------------------------------------- key matching

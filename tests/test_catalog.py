@@ -148,3 +148,10 @@ def test_standalone_bridge_matches_normalise(spark):
                        "Crop_Name", "Crop_ID", "product_crop_ID")
     assert rows(b, "Product_ID", "Crop_ID", "product_crop_ID") == rows(
         t["productcrop"], "Product_ID", "Crop_ID", "product_crop_ID")
+
+
+def test_id_list_from_raw(spark):
+    r = raw(spark)
+    d = catalog.dimension(r, "Product_names", "k", "Product_Name", "Product_ID")
+    got = {x.k: x.Product_ID for x in catalog.id_list(r, "Product_names", d, "k", "Product_Name", "Product_ID").collect()}
+    assert got == {1: "1,2", 2: "1,2", 3: "", 4: None, 5: "2,1,1"}

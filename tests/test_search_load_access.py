@@ -98,3 +98,25 @@ def test_json_array_files_numbered_across_files(spark, tmp_dir):
             f.write("[" + ",".join('{"bcs_code": "%s"}' % v for v in vals) + "]")
     arr = io.read_json_array(spark, tmp_dir, T.StructType([T.StructField("bcs_code", T.StringType())]))
     assert [(r.seq, r.bcs_code) for r in arr.orderBy("seq").collect()] == [(1, "1"), (2, "2"), (3, "3"), (4, "4")]
+
+
+def test_table_helpers(spark, tmp_dir):
+    from fieldbook.operators.ingest import now_in_zone
+    from fieldbook.schemas import RUN_LOG
+    path = f"{tmp_dir}/log"
+    io.ensure_table(spark, path, RUN_LOG)
+    io.ensure_table(spark, path, RUN_LOG)          # second call keeps the table
+    t = io.read_table(spark, path)
+    assert io.table_columns(t) == RUN_LOG.fieldNames() and t.count() == 0
+    out = io.write_tables({"A": spark.range(3), "B": spark.range(2)}, f"{tmp_dir}/tables")
+    assert io.read_table(spark, f"{tmp_dir}/tables/A").count() == 3 and sorted(out) == ["A", "B"]
+    ts = spark.range(1).select(now_in_zone("Asia/Kolkata").alias("t")).collect()[0].t
+    assert ts is not None
+
+
+def test_now_in_zone_is_the_zone_wall_clock(spark):
+    import datetime as dt
+    from fieldbook.operators.ingest import now_in_zone
+    got = spark.range(1).select(now_in_zone("Asia/Kolkata").alias("t")).collect()[0].t
+    utc_now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert abs((got - utc_now) - dt.timedelta(hours=5, minutes=30)) < dt.timedelta(minutes=2)
