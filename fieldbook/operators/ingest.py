@@ -76,6 +76,8 @@ def stamp(df: DataFrame, run_ts, created_col: str = "created_date",
 
 
 def _ts_lit(run_ts) -> Column:
+    if run_ts is None:
+        return now_in_zone()
     if isinstance(run_ts, Column):
         return run_ts.cast("timestamp_ntz")
     if isinstance(run_ts, (_dt.datetime, _dt.date)):
@@ -229,6 +231,9 @@ def apply_updates(stored: DataFrame, updates: DataFrame, now, id_col: str = "id"
                   protected: tuple[str, ...] = ("created_date",)):
     """Guarded partial updates by id.  Returns (new table, outcome per update).
 
+    ``now`` is the run's wall-clock time (text, datetime or Column); None
+    means the current time in Asia/Kolkata, as the reference stamps it.
+
     ``updates`` has (``seq``, ``id_col``, ``fields_col`` map<string,string>):
     only the fields present are set, cast to the column type, and
     ``updated_col`` becomes ``now``.  A row is changed only if its

@@ -230,3 +230,10 @@ def test_nested_json_batch_missing_field_is_null(spark, tmp_dir):
     flat = ingest.flatten(nested.drop("seq"))
     got = flat.collect()
     assert len(got) == 1 and got[0].bcs_code == "b1" and got[0].physical_state is None
+
+
+def test_default_now_is_current_wall_clock(spark):
+    stored = _upd_stored(spark)  # stamps from 2024: old enough for the 13-minute guard
+    ups = _updates(spark, [(1, 1, {"strain_name": "n"})])
+    _, out = ingest.apply_updates(stored, ups, None)
+    assert outcomes(out) == ["updated"]
