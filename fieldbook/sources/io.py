@@ -101,7 +101,8 @@ def _number_by_file(df: DataFrame, seq_col: str) -> DataFrame:
 
 
 def read_folder(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None,
-                options: dict | None = None, file_col: str = "file_path") -> DataFrame:
+                options: dict | None = None, file_col: str = "file_path",
+                skip_bad_files: bool = True) -> DataFrame:
     """All files of a folder as one DataFrame plus the source file of each row.
 
     Sheets are exported as CSV/JSON/Parquet (spreadsheet decoding is not a
@@ -109,7 +110,9 @@ def read_folder(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Stru
     Files whose columns differ should be JSON (schema = union of the files'
     fields) or Parquet (read with ``mergeSchema``): a column a file lacks is
     NULL for its rows.  CSV takes one header for all files, so it fits only
-    folders of identically shaped sheets.
+    folders of identically shaped sheets.  With ``skip_bad_files`` a file
+    that vanished or cannot be decoded yields no rows instead of failing the
+    job (``ignoreMissingFiles`` / ``ignoreCorruptFiles``).
     """
     reader = spark.read.format(fmt)
     if schema is not None:
@@ -118,6 +121,8 @@ def read_folder(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Stru
         reader = reader.option("header", True)
     if fmt == "parquet":
         reader = reader.option("mergeSchema", True)
+    if skip_bad_files:
+        reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     df = reader.load(path)

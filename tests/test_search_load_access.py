@@ -120,3 +120,19 @@ def test_now_in_zone_is_the_zone_wall_clock(spark):
     got = spark.range(1).select(now_in_zone("Asia/Kolkata").alias("t")).collect()[0].t
     utc_now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     assert abs((got - utc_now) - dt.timedelta(hours=5, minutes=30)) < dt.timedelta(minutes=2)
+
+
+def test_read_folder_skips_undecodable_file(spark, tmp_dir):
+    spark.createDataFrame([(1, 2.0)], "productid long, feeding double").write.parquet(f"{tmp_dir}/good")
+    import glob
+    import shutil
+    good = glob.glob(f"{tmp_dir}/good/*.parquet")[0]
+    folder = f"{tmp_dir}/sheets"
+    import os
+    os.makedirs(folder)
+    shutil.copy(good, f"{folder}/a.parquet")
+    with open(f"{folder}/b.parquet", "wb") as f:
+        f.write(b"not a parquet file")
+    df = io.read_folder(spark, folder, "parquet", schema=T.StructType([
+        T.StructField("productid", T.LongType()), T.StructField("feeding", T.DoubleType())]))
+    assert [r.productid for r in df.collect()] == [1]
