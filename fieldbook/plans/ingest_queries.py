@@ -205,6 +205,56 @@ SELECT id, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, DATE '1998-0
 """
 
 
+def q_json_updates(spark: SparkSession, sf: str) -> DataFrame:
+    """Partial updates read from JSON-array files with key presence (A4 + G5 + Q11).
+
+    Stand-in files: one JSON array per ship year of the returned line items,
+    elements in line order; each element sets ``o_totalprice`` and
+    ``o_orderpriority`` of its order, the priority given as an explicit
+    JSON null for open lines.  An explicit null is an ``error`` (row
+    unchanged), as in the reference where the UPDATE fails.
+    """
+    import uuid
+    from fieldbook.session import scratch_path
+    from fieldbook.sources import io
+
+    li = lines(spark, sf, "l_orderkey", "l_extendedprice", "l_linestatus", "l_returnflag", "l_shipdate")
+    el = F.to_json(F.struct(
+        F.col("l_orderkey").cast("string").alias("id"),
+        F.col("l_extendedprice").cast("string").alias("o_totalprice"),
+        F.when(F.col("l_linestatus") != "O", F.col("l_linestatus")).alias("o_orderpriority"),
+    ), {"ignoreNullFields": "false"})
+    files = (
+        li.where(F.col("l_returnflag") == "R")
+        .groupBy(F.year("l_shipdate").alias("y"))
+        .agg(F.array_sort(F.collect_list(F.struct(F.col("seq"), el.alias("j")))).alias("_a"))
+        .select("y", F.concat(F.lit("["), F.array_join(F.transform("_a", lambda e: e["j"]), ","),
+                              F.lit("]")).alias("value"))
+    )
+    base = scratch_path(spark, f"json-updates-{uuid.uuid4().hex}")
+    files.write.partitionBy("y").text(base)
+    batch = io.read_json_maps(spark, base)
+    updates = batch.select("seq", F.col("fields")["id"].try_cast("long").alias("id"),
+                           F.map_filter("fields", lambda k, v: k != F.lit("id")).alias("fields"))
+    stored = _stored(spark, sf, F.col("o_orderstatus") != "P", with_key=False)
+    _, out = ingest.apply_updates(stored, updates, NOW)
+    return out.select("seq", "id", "outcome")
+
+
+SQL_JSON_UPDATES = "WITH " + LINE_SEQ_SQL + """,
+u AS (SELECT seq AS lseq, year(l_shipdate) AS y, l_orderkey AS id, l_linestatus = 'O' AS has_null
+      FROM li WHERE l_returnflag = 'R'),
+b AS (SELECT row_number() OVER (ORDER BY y, lseq) AS seq, id, has_null FROM u),
+bw AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS rn FROM b),
+s AS (SELECT o_orderkey AS id, o_orderdate AS ts FROM orders WHERE o_orderstatus <> 'P')
+SELECT bw.seq, bw.id,
+  CASE WHEN rn > 1 THEN 'duplicate' WHEN s.id IS NULL THEN 'unknown_id' WHEN has_null THEN 'error'
+       WHEN NOT (s.ts < TIMESTAMP '1998-01-01 00:00:00' - INTERVAL 13 MINUTE) THEN 'guarded'
+       ELSE 'updated' END AS outcome
+FROM bw LEFT JOIN s ON s.id = bw.id
+"""
+
+
 def q_flatten_formulation(spark: SparkSession, sf: str) -> DataFrame:
     """Nested payload (order + array of line structs) flattened to one row per element."""
     o = load(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
@@ -333,4 +383,5 @@ QUERIES = {
     "row_difference": (q_row_difference, SQL_ROW_DIFFERENCE),
     "add_rows_replace": (q_add_rows_replace, SQL_ADD_ROWS_REPLACE),
     "json_batch_insert": (q_json_batch_insert, SQL_JSON_BATCH_INSERT),
+    "json_updates": (q_json_updates, SQL_JSON_UPDATES),
 }
