@@ -123,7 +123,7 @@ def test_now_in_zone_is_the_zone_wall_clock(spark):
 
 
 def test_read_folder_skips_undecodable_file(spark, tmp_dir):
-    spark.createDataFrame([(1, 2.0)], "productid long, feeding double").write.parquet(f"{tmp_dir}/good")
+    spark.createDataFrame([(1, 2.0)], "productid long, feeding double").coalesce(1).write.parquet(f"{tmp_dir}/good")
     import glob
     import shutil
     good = glob.glob(f"{tmp_dir}/good/*.parquet")[0]
