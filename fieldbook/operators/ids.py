@@ -19,12 +19,6 @@ _RN = "_fb_rn"
 _OFF = "_fb_off"
 
 
-def _buckets(df: DataFrame, buckets: int | None) -> int:
-    if buckets is not None:
-        return max(1, int(buckets))
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
-
-
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "id",
               start: int | Column = 1, buckets: int | None = None,
               partition_by: list[str] | None = None) -> DataFrame:
@@ -48,10 +42,11 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "id",
     counts could cut different ranges than the numbering.
     """
     parts = list(partition_by or [])
-    k = _buckets(df, buckets)
     keys = [F.col(c).asc_nulls_first() for c in parts + list(order_cols)]
+    # without a number, adaptive execution merges neighbouring small ranges
+    ranged = df.repartitionByRange(*keys) if buckets is None else df.repartitionByRange(max(1, int(buckets)), *keys)
     tagged = (
-        df.repartitionByRange(k, *keys)
+        ranged
         .sortWithinPartitions(*keys)
         .withColumn(_B, F.spark_partition_id())
         .withColumn(_RN, F.monotonically_increasing_id())
