@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldbook.llm.common import quoted
-from fieldbook.session import scratch_path
+from fieldbook.session import materialize, scratch_path
 
 CRLF = "\r\n"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # base32, RFC 4648 (fixed)
@@ -29,9 +29,8 @@ RECORD_DDL = ("record_id string, record_type string, page_id long, url string, p
               "refers_to_id string, payload string")
 
 
-def base32_sha1(text: Column) -> Column:
-    """Bare upper-case base32 SHA-1 of a text's UTF-8 bytes: eight 20-bit groups of four letters."""
-    digits = F.sha1(text)
+def base32(digits: Column) -> Column:
+    """Bare upper-case base32 of a SHA-1 given as 40 hex digits: eight 20-bit groups of four letters."""
     letters = []
     for g in range(8):
         group = F.conv(F.substring(digits, 5 * g + 1, 5), 16, 10).cast("int")
@@ -51,36 +50,35 @@ def resolve_revisits(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_i
     page_id is smaller than any other.
     """
     html = F.coalesce(quoted(html_col).cast("string"), F.lit(""))
-    page = quoted(id_col).cast("long").alias("page_id")
-    rows = pages.select(page, quoted(url_col).cast("string").alias("url"), html.alias("payload"),
-                        base32_sha1(html).alias("digest"), F.sha2(html, 256).alias("sha2"),
+    page = quoted(id_col).cast("long")
+    no_id = F.lit(-(1 << 63)).cast("long")  # stands for a null page_id in keys, so plain equality serves
+    rows = pages.select(F.coalesce(page, no_id).alias("pid"), page.isNull().alias("unnamed"),
+                        quoted(url_col).cast("string").alias("url"), html.alias("payload"),
+                        F.sha1(html).alias("sha1"), F.sha2(html, 256).alias("sha2"),
                         F.octet_length(html).cast("long").alias("bytes"))
-    key = ["digest", "sha2", "bytes"]
-    heads = rows.select("page_id", "url", *key)
-    first = heads.groupBy(*key).agg(F.max("page_id").alias("first_id"))
-    joined = heads.join(first, key)
-    keeps = F.col("page_id").eqNullSafe(F.col("first_id")) | (F.col("bytes") < min_bytes)
-    again = joined.filter(~keeps).withColumn("payload", F.lit(None).cast("string"))
-    one = first.select(*[F.col(k).alias("_" + k) for k in key], "first_id")
-    whole = rows.join(one, (rows["digest"] == one["_digest"]) & (rows["sha2"] == one["_sha2"])
-                      & (rows["bytes"] == one["_bytes"])
-                      & rows["page_id"].eqNullSafe(one["first_id"])).drop("_digest", "_sha2", "_bytes")
-    small = rows.filter(F.col("bytes") < min_bytes).withColumn("first_id", F.col("page_id"))
+    key = ["sha1", "sha2", "bytes"]
+    heads = materialize(rows.drop("payload"), "warc-heads")
+    first = heads.groupBy(*key).agg(F.max("pid").alias("first_id"))
+    again = heads.join(first, key).filter((F.col("pid") != F.col("first_id")) & (F.col("bytes") >= min_bytes))
+    whole = rows.join(first.withColumn("pid", F.col("first_id")), [*key, "pid"])
     if min_bytes > 0:
-        whole = whole.filter(F.col("bytes") >= min_bytes).unionByName(small)
-    nth = Window.partitionBy("digest", "sha2", "bytes", "page_id").orderBy("url")
+        whole = whole.filter(F.col("bytes") >= min_bytes).unionByName(
+            rows.filter(F.col("bytes") < min_bytes).withColumn("first_id", F.col("pid")))
+    # repeated rows: the keys are those of the join, so the payloads do not move again
+    nth = Window.partitionBy(*key, "pid").orderBy("url")
     whole = whole.withColumn("nth", F.row_number().over(nth))
-    again = again.withColumn("nth", F.row_number().over(nth))
+    again = again.withColumn("payload", F.lit(None).cast("string")).withColumn("nth", F.row_number().over(nth))
     out = whole.unionByName(again)
     revisit = F.col("payload").isNull() | ((F.col("nth") > 1) & (F.col("bytes") >= min_bytes))
 
     def ident(page_col: str, n: Column) -> Column:
-        h = F.md5(F.concat_ws("|", F.coalesce(F.col(page_col).cast("string"), F.lit("null")), "sha2", n.cast("string")))
+        h = F.md5(F.concat_ws("|", F.col(page_col).cast("string"), "sha2", n.cast("string")))
         return F.concat(F.lit("<urn:uuid:"), F.regexp_replace(h, "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-"), F.lit(">"))
 
     return out.select(
-        ident("page_id", F.col("nth")).alias("record_id"),
-        F.when(revisit, "revisit").otherwise("response").alias("record_type"), "page_id", "url", "digest",
+        ident("pid", F.col("nth")).alias("record_id"),
+        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
+        F.when(~F.col("unnamed"), F.col("pid")).alias("page_id"), "url", base32(F.col("sha1")).alias("digest"),
         F.when(revisit, ident("first_id", F.lit(1))).alias("refers_to_id"),
         F.when(~revisit, F.col("payload")).alias("payload"))
 
