@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from fieldbook.llm.common import quoted
 from fieldbook.llm.vocab import DEFAULT_MODEL, Vocab, load_vocab, pretokens
 
-BLOCK_BYTES = 16 << 20  # text bytes that share one dictionary of pre-tokens
-INDEX_BYTES = 1 << 20  # concatenated pre-tokens per suffix array
+BLOCK_BYTES = 4 << 20  # text bytes that share one dictionary of pre-tokens
+INDEX_BYTES = 1 << 18  # concatenated pre-tokens per suffix array
 SIDE_BY_SIDE = 64  # longer pre-tokens are relaxed one edge at a time
 _END = 0xFF  # ends a pre-token; never a byte of UTF-8
 
