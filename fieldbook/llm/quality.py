@@ -116,16 +116,16 @@ def _featuriser(bits: int):
     def run(batches):
         known = _Tokens()
         for batch in batches:
-            found = [features(t, known, bits) for t in batch.column(2).cast(pa.binary()).to_pylist()]
+            found = [features(t.as_py(), known, bits) for t in batch.column(2).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.list_(pa.int64())),
-                 pa.array([f[1] for f in found], pa.list_(pa.float64()))], names=["id", "label", "slots", "vals"])
+                [batch.column(0), batch.column(1), pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())),
+                 pa.array([f[1].astype(np.float32) for f in found], pa.list_(pa.float32()))], names=["id", "label", "slots", "vals"])
     return run
 
 
 def _epoch(state, bits: int, alpha: float, beta: float, l1: float, l2: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        z, n = (a.copy() for a in state.value)
+        z, n = (a.astype(np.float64) for a in state.value)
         pdf = pdf.sort_values(["draw", "id"])
         bias = 1 << bits
         for y, i, v in zip(pdf["label"], pdf["slots"], pdf["vals"]):
@@ -137,7 +137,8 @@ def _epoch(state, bits: int, alpha: float, beta: float, l1: float, l2: float):
             sigma = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha
             np.add.at(z, i, g - sigma * w)
             np.add.at(n, i, g * g)
-        return pd.DataFrame({"rows": [len(pdf)], "z": [z.tobytes()], "n": [n.tobytes()]})
+        return pd.DataFrame({"rows": [len(pdf)], "z": [z.astype(np.float32).tobytes()],
+                             "n": [n.astype(np.float32).tobytes()]})
     return run
 
 
@@ -159,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 12000, bits: in
     rows = docs.join(F.broadcast(picked), quoted(id_col) == F.col("_id"))  # at most sample_rows rows
     found = materialize(
         rows.select(F.col("_id").cast("long").alias("id"), "label", quoted(text_col).cast("string").alias("t"))
-        .mapInArrow(_featuriser(bits), "id long, label int, slots array<long>, vals array<double>")
+        .mapInArrow(_featuriser(bits), "id long, label int, slots array<int>, vals array<float>")
         .withColumn("draw", F.xxhash64(F.lit(1), "id")), "quality-features")
     found = found.withColumn("shard", F.pmod(F.xxhash64(F.lit(2), "id"), F.lit(shards)))
     z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
@@ -170,9 +171,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 12000, bits: in
         if not parts:
             break
         total = sum(r["rows"] for r in parts)
-        z = sum(np.frombuffer(r["z"]) * (r["rows"] / total) for r in parts)
-        n = sum(np.frombuffer(r["n"]) * (r["rows"] / total) for r in parts)
-        state.unpersist()
+        z = sum(np.frombuffer(r["z"], np.float32) * (r["rows"] / total) for r in parts)
+        n = sum(np.frombuffer(r["n"], np.float32) * (r["rows"] / total) for r in parts)
+        state.destroy()
     return _weights(z, n, alpha, beta, l1, l2)
 
 
@@ -182,8 +183,8 @@ def _scorer(weights, bits: int):
         w = weights.value
         for batch in batches:
             out = []
-            for t in batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist():
-                i, v = features(t, known, bits)
+            for t in batch.column(1).cast(pa.binary()):
+                i, v = features(t.as_py(), known, bits)
                 out.append(1.0 / (1.0 + np.exp(-np.clip(w[i] @ v + w[-1], -35, 35))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["id", "score"])
     return run
@@ -211,8 +212,8 @@ def _filter(weights, bits: int, text_at: int, least: float):
         w = weights.value
         for batch in batches:
             keep = []
-            for t in batch.column(text_at).cast(pa.binary()).to_pylist():
-                i, v = features(t, known, bits)
+            for t in batch.column(text_at).cast(pa.binary()):
+                i, v = features(t.as_py(), known, bits)
                 keep.append(bool(1.0 / (1.0 + np.exp(-np.clip(w[i] @ v + w[-1], -35, 35))) >= least))
             yield batch.filter(pa.array(keep, pa.bool_()))
     return run
