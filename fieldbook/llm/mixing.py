@@ -85,10 +85,16 @@ def _planner(max_repeat: int):
         size, target = int(pdf["source_size"].iloc[0]), float(pdf["target"].iloc[0])
         lengths, counts = pdf["len"].to_numpy(), pdf["docs"].to_numpy()
         base = min(max_repeat, int(target // size))
-        more = np.zeros(len(pdf), np.int64)
-        if base < max_repeat:
-            more = fit_budget(lengths, counts, int(round(target - base * size)))
-        return pd.DataFrame({"srank": pdf["srank"], "len": lengths, "base": base, "more": more})
+        rest, more = int(round(target - base * size)), []
+        for _ in range(max_repeat - base):  # a further time round only if the documents do not fill the budget
+            more.append(fit_budget(lengths, counts, rest))
+            rest -= int((more[-1] * lengths).sum())
+        if more and rest > 0:  # one more document if that comes nearer
+            near = np.flatnonzero((more[0] < counts) & (lengths > rest) & (lengths < 2 * rest))
+            if len(near):
+                more[0][near[0]] += 1
+        return pd.DataFrame({"srank": pdf["srank"], "len": lengths, "base": base,
+                             "more": list(np.array(more, np.int64).reshape(len(more), len(pdf)).T)})
     return plan
 
 
@@ -133,12 +139,12 @@ def mix_plan(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_repeat
     items = items.withColumn("len", F.col("size") * F.col("copies"))
     lengths = items.filter("len > 0").groupBy("srank", "len").agg(
         F.count(F.lit(1)).alias("docs"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
-    plan = lengths.groupBy("srank").applyInPandas(_planner(max_repeat), "srank long, len long, base long, more long")
+    plan = lengths.groupBy("srank").applyInPandas(_planner(max_repeat), "srank long, len long, base long, more array<long>")
     items = materialize(items.withColumn("draw", F.xxhash64(F.lit(seed), F.col("id"))), "mix-items")
     drawn = dense_ids(items, ["draw", "id", "size"], id_col="rank", partition_by=["srank", "len"])
     decided = drawn.join(materialize(plan, "mix-plan"), ["srank", "len"], "left").select(
         "source", "id", "size", "source_size", "target",
-        (F.coalesce("base", F.lit(0)) + F.when(F.col("rank") <= F.col("more"), 1).otherwise(0)).cast("long")
+        F.coalesce(F.col("base") + F.size(F.filter("more", lambda m: F.col("rank") <= m)), F.lit(0)).cast("long")
         .alias("repeats"))
     return rows, decided
 
