@@ -210,7 +210,7 @@ def judge(wrapper: list, stats: dict) -> list:
 
     ``stats``: path -> (pages, fixed, chars).  The article is what stands in
     article elements, else in main elements.  Where a host has neither, it is
-    the deepest element that holds seven tenths of the changing text outside
+    the deepest element with blocks of its own that holds seven tenths of the changing text outside
     furniture, and text that is the same on all of three or more pages is
     furniture too.
     """
@@ -267,7 +267,7 @@ def judge(wrapper: list, stats: dict) -> list:
     while True:
         inner = [c for n in here[2] for c in (n[2] if n[0] == "()" else [n]) if c[0] != "#"
                  and (not _furniture(c[0], False) or c[0].startswith(("html", "body")))]
-        step = next((c for c in inner if not c[1] & 2 and changing(c, path + "/" + c[0]) >= 0.7 * whole > 0), None)
+        step = next((c for c in inner if not c[1] & 2 and any(x[0] != "#" for x in c[2]) and changing(c, path + "/" + c[0]) >= 0.7 * whole > 0), None)
         if step is None:
             break
         here, path = step, path + "/" + step[0]
