@@ -15,20 +15,12 @@ def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return df.select(*columns) if columns else df
 
 
-_WRITTEN: dict[tuple, DataFrame] = {}
-
-
 def written_input(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A stand-in input table built from the test tables, written once per session.
+    """A stand-in input table built from the test tables and written under the checkpoint folder.
 
-    The driver queries' inputs (raw documents, numbered batches) stand for
-    tables that exist before the job runs; building them is not the job's
-    work.  ``build()`` returns the DataFrame; it is written under the
-    checkpoint folder the first time and read back afterwards.
+    Every call builds and writes it again, so a repeated query does the same
+    work and never reads rows of an earlier state of the tables.
     """
     from fieldbook.session import materialize
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    if key not in _WRITTEN:
-        _WRITTEN[key] = materialize(build(), f"input-{name}")
-    return _WRITTEN[key]
+    return materialize(build(), f"input-{name}")
