@@ -5,7 +5,7 @@ from __future__ import annotations
 import xxhash
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
@@ -13,6 +13,12 @@ _SLICE = 1 << 20
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table whose only readers have been written themselves."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def quoted(name: str) -> Column:
     """Column of that exact name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -38,7 +38,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
     seen = None
     for _ in range(max_rounds):
-        now = materialize(_star(_star(now, True), False), "cc")
+        now = materialize(_star(now, True), "cc")
+        now = materialize(_star(now, False), "cc")
         state = now.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))")).first()
         if tuple(state) == seen:
             break

@@ -20,6 +20,7 @@ without emitting all pairs of a group of copies.
 from __future__ import annotations
 
 import hashlib
+import uuid
 import zlib
 
 import numpy as np
@@ -28,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import quoted, shingle_set
+from fieldbook.llm.common import discard, quoted, shingle_set
 from fieldbook.llm.components import components
-from fieldbook.session import materialize
+from fieldbook.session import materialize, scratch_path
 
 _CHUNK = 1 << 16
 _ROWS = 2
+_PART_BITS = 20
 
 
 def _slots(tokens: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -48,13 +50,14 @@ def _sketcher(width: int, bits: int):
 
         def add():
             for row, slots in zip(table, _slots(np.concatenate(held), bits)):
-                row += np.bincount(slots.astype(np.int64), minlength=1 << bits).astype(np.uint32)
+                at, count = np.unique(slots.astype(np.uint32), return_counts=True)
+                row[at] += count.astype(np.uint32)
 
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                held.append(shingle_set(text, width))
+            for text in batch.column(0).cast(pa.binary()):
+                held.append(shingle_set(text.as_py(), width))
                 n += len(held[-1])
-                if n > 2_000_000:
+                if n > 500_000:
                     add()
                     held, n = [], 0
         if n:
@@ -98,15 +101,15 @@ def _need(n: int, num: int, den: int) -> int:
 
 
 def _prefixer(width: int, num: int, den: int, bits: int, levels):
-    schema = pa.schema([("id", pa.int64()), ("tkey", pa.string()), ("sig", pa.binary()), ("n", pa.int64()),
+    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("sig", pa.binary()), ("n", pa.int64()),
                         ("gkey", pa.int64()), ("typ", pa.float64()), ("prefix", pa.list_(pa.int64()))])
 
     def run(batches):
         table = levels.value
         for batch in batches:
             sig, size, gkey, typ, prefix = [], [], [], [], []
-            for text in batch.column(2).cast(pa.binary()).to_pylist():
-                s = shingle_set(text, width)
+            for text in batch.column(2).cast(pa.binary()):
+                s = shingle_set(text.as_py(), width)
                 n = len(s)
                 size.append(n)
                 if n == 0:
@@ -121,46 +124,89 @@ def _prefixer(width: int, num: int, den: int, bits: int, levels):
                 typ.append(float(np.mean(level[order])))
                 prefix.append(first)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(sig, pa.binary()),
+                [batch.column(0), batch.column(1), pa.array(sig, pa.binary()),
                  pa.array(size, pa.int64()), pa.array(gkey, pa.int64()), pa.array(typ, pa.float64()),
                  pa.array(prefix, pa.list_(pa.int64()))], schema=schema)
     return run
 
 
-def _tokeniser(width: int):
+def _probes(keys: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Two bit numbers per 64-bit key in a filter of 2^bits bits."""
+    keys = keys.astype(np.int64).view(np.uint64)
+    return [(keys & np.uint64((1 << bits) - 1)).astype(np.int64), (keys >> np.uint64(64 - bits)).astype(np.int64)]
+
+
+def _filter_part(bits: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        on = np.zeros(1 << _PART_BITS, np.uint8)
+        on[pdf["bit"].to_numpy() & ((1 << _PART_BITS) - 1)] = 1
+        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "data": [np.packbits(on).tobytes()]})
+    return run
+
+
+def _key_filter(keys: DataFrame, bits: int) -> np.ndarray:
+    """A Bloom filter of ``keys(h)``: 2^bits bits, whatever the input."""
+    numbers = keys.select(F.explode(F.array(
+        F.col("h").bitwiseAND(F.lit((1 << bits) - 1).cast("long")), F.shiftrightunsigned("h", 64 - bits))).alias("bit"))
+    parts = (numbers.distinct().withColumn("part", F.shiftright("bit", _PART_BITS))
+             .groupBy("part").applyInPandas(_filter_part(bits), "part long, data binary"))
+    table = np.zeros((1 << bits) // 8, np.uint8)
+    size = (1 << _PART_BITS) // 8
+    for r in parts.collect():
+        table[r["part"] * size:(r["part"] + 1) * size] = np.frombuffer(r["data"], np.uint8)
+    return table
+
+
+def _tokeniser(width: int, bits: int, wanted):
     def run(batches):
+        table = wanted.value
         for batch in batches:
-            sets = [shingle_set(t, width).view(np.int64) for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
+            hits = np.ones(batch.num_rows, bool)
+            for bit in _probes(batch.column(0).to_numpy(), bits):
+                hits &= (table[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+            texts = batch.filter(pa.array(hits)).column(1).cast(pa.binary())
+            sig, sets = [], []
+            for t in texts:
+                one = shingle_set(t.as_py(), width)
+                sig.append(hashlib.blake2b(one.tobytes(), digest_size=16).digest())
+                sets.append(one.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(sig, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
                                              names=["sig", "tokens"])
     return run
 
 
 def _text_rows(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
     text = quoted(text_col).cast("string")
-    return docs.select(quoted(id_col).cast("long").alias("id"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("tkey"),
-                       text.alias("t"))
+    ident = quoted(id_col).cast("long")
+    return docs.select(ident.alias("id"), F.xxhash64(ident, text).alias("h"), text.alias("t"))
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text_col: str, id_col: str, width: int,
-              num: int, den: int) -> DataFrame:
+              num: int, den: int, filter_bits: int) -> DataFrame:
     """The pairs (x, y) of class signatures whose sets reach the threshold.
 
-    Only texts of classes in a pair are fetched, one per class, and cut into
-    tokens again.  Many pairs of one pivot ship the pivot's set once.
+    Only texts of classes in a pair are cut into tokens again, one text per
+    class: a Bloom filter of their keys goes to the scan, so no text is
+    shuffled, and the join by signature drops what the filter lets through
+    by chance.
     """
-    wanted = pairs.select(F.col("x").alias("sig")).unionByName(pairs.select(F.col("y").alias("sig"))).distinct()
-    where = classes.join(wanted, "sig").select("sig", F.col("id").alias("_id"), F.col("tkey").alias("_tkey"))
-    rows = _text_rows(docs, text_col, id_col)
-    texts = rows.join(where, (rows["tkey"] == where["_tkey"]) & rows["id"].eqNullSafe(where["_id"]))
-    sets = materialize(texts.select("sig", "t").mapInArrow(_tokeniser(width), "sig binary, tokens array<long>")
-                       .dropDuplicates(["sig"]), "join-sets")
+    spark = docs.sparkSession
+    ends = pairs.select(F.col("x").alias("sig")).unionByName(pairs.select(F.col("y").alias("sig"))).distinct()
+    keys = classes.join(ends, "sig").select("h")
+    wanted = spark.sparkContext.broadcast(_key_filter(keys, filter_bits))
+    sets = (_text_rows(docs, text_col, id_col).select("h", "t")
+            .mapInArrow(_tokeniser(width, filter_bits, wanted), "sig binary, tokens array<long>"))
+    path = scratch_path(spark, f"fieldbook-tables/join-sets-{uuid.uuid4().hex}")
+    sets.write.parquet(path)
+    sets = spark.read.parquet(path).dropDuplicates(["sig"])
     left = pairs.join(sets.select(F.col("sig").alias("y"), F.col("tokens").alias("b")), "y")
     both = left.join(sets.select(F.col("sig").alias("x"), F.col("tokens").alias("a")), "x")
     common = F.size(F.array_intersect("a", "b"))
-    return both.select("x", "y", common.cast("long").alias("i"),
-                       (F.size("a") + F.size("b")).cast("long").alias("s")).filter(
-        F.col("i") * (num + den) >= F.col("s") * num).select("x", "y")
+    links = materialize(both.select("x", "y", common.cast("long").alias("i"),
+                                    (F.size("a") + F.size("b")).cast("long").alias("s")).filter(
+        F.col("i") * (num + den) >= F.col("s") * num).select("x", "y"), "join-links")
+    discard(spark, path)  # the links are written: nothing reads the sets again
+    return links
 
 
 def _fits(pair_n: str, pair_m: str, num: int, den: int):
@@ -168,25 +214,30 @@ def _fits(pair_n: str, pair_m: str, num: int, den: int):
     return (F.col(pair_n) * den >= F.col(pair_m) * num) & (F.col(pair_m) * den >= F.col(pair_n) * num)
 
 
+def _in_index(n: str, p: str, num: int, den: int):
+    """Place p (from 0) of a set of n tokens lies in the shorter prefix, of n - ceil(2t/(1+t) n) + 1 tokens,
+    that suffices for partners not smaller than the set."""
+    return (F.col(n) - F.col(p)) * (num + den) >= F.col(n) * (2 * num)
+
+
 def _reach(num: int, den: int):
     """Position filter of two postings (n, p) and (m, q) of one token.
 
     If it is the first token the sets share, the intersection is at most one
-    plus the shorter rest; needed is t/(1+t) of the sum of the sizes.  The
-    larger set needs the token in its prefix, the smaller one already in the
-    shorter prefix that suffices for partners not smaller than itself.
+    plus the shorter rest; needed is t/(1+t) of the sum of the sizes.
     """
-    rest = F.least(F.col("n") - F.col("p"), F.col("m") - F.col("q"))
-    enough = rest * (num + den) >= (F.col("n") + F.col("m")) * num
+    return F.least(F.col("n") - F.col("p"), F.col("m") - F.col("q")) * (num + den) >= (F.col("n") + F.col("m")) * num
+
 
-    def index(n, p):  # the token lies in the index prefix: n - ceil(2t/(1+t) n) + 1 tokens
-        return (F.col(n) - F.col(p)) * (num + den) >= F.col(n) * (2 * num)
-    return enough & F.when(F.col("n") < F.col("m"), index("n", "p")).when(
-        F.col("m") < F.col("n"), index("m", "q")).otherwise(index("n", "p") & index("m", "q"))
+def _size_class(num: int, den: int, wide: float = 1.0):
+    """Sizes that can link lie in one class or in two next to each other."""
+    if num == den:
+        return F.col("n")
+    return F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(num / den) * 1.000001 * wide))
 
 
 def similar_sets(docs: DataFrame, width: int = 5, threshold: float = 0.8, text_col: str = "text",
-                 id_col: str = "doc_id", sketch_bits: int = 21) -> DataFrame:
+                 id_col: str = "doc_id", sketch_bits: int = 21, filter_bits: int = 25) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id reachable by links).
 
     A document's set: distinct ``width``-word shingles of its whole text,
@@ -199,36 +250,52 @@ def similar_sets(docs: DataFrame, width: int = 5, threshold: float = 0.8, text_c
     empty table gives no rows; other columns are not looked at.
 
     Tokens are 64-bit hashes of the shingles.  ``sketch_bits`` sets the width
-    of the frequency sketch and so of the broadcast: 2^(sketch_bits+1) bytes.
+    of the frequency sketch and so of its broadcast, 2^(sketch_bits+1) bytes;
+    ``filter_bits`` that of the key filter, 2^filter_bits bits.  Raise both
+    for larger corpora: they steer the work, never the result.
     """
     spark = docs.sparkSession
     num, den = round(threshold * 100), 100
     levels = spark.sparkContext.broadcast(token_levels(docs, text_col, width, sketch_bits))
     sets = materialize(_text_rows(docs, text_col, id_col).mapInArrow(
         _prefixer(width, num, den, sketch_bits, levels),
-        "id long, tkey string, sig binary, n long, gkey long, typ double, prefix array<long>"), "join-docs")
+        "id long, h long, sig binary, n long, gkey long, typ double, prefix array<long>"), "join-docs")
 
-    # identical sets are one class; the class keeps the place of one of its texts
+    # identical sets are one class; the class keeps the key of one of its rows
     classes = materialize(
         sets.filter("n > 0").groupBy("sig").agg(
-            F.min(F.struct("id", "tkey")).alias("at"), F.min("id").alias("low"), F.first("n").alias("n"),
-            F.first("gkey").alias("g"), F.first("typ").alias("typ"), F.first("prefix").alias("prefix"))
-        .select("sig", F.col("at.id").alias("id"), F.col("at.tkey").alias("tkey"), "low", "n", "g", "typ", "prefix"),
+            F.min("h").alias("h"), F.min("id").alias("low"), F.min("n").alias("n"), F.min("gkey").alias("g"),
+            F.min("typ").alias("typ")),
         "join-classes")
     # classes with one prefix and size are one group; its pivot stands for it in the first step
     groups = materialize(
-        classes.groupBy("g").agg(F.min("sig").alias("pivot"), F.first("n").alias("n"), F.first("typ").alias("typ"),
-                                 F.first("prefix").alias("prefix")), "join-groups")
-    postings = groups.select("g", "pivot", "n", "typ", F.posexplode("prefix").alias("p", "token"))
-    shared = (groups.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("k"))
-              .filter("k > 1").select("token"))
-    postings = materialize(postings.join(shared, "token"), "join-postings")
+        classes.groupBy("g").agg(F.min("sig").alias("pivot"), F.min("n").alias("n"), F.min("typ").alias("typ")),
+        "join-groups")
+    # Postings that some posting of another group can reach: per token and size class, the bounds of sizes and
+    # of what follows the token.  Both are dealt by token; a token adds one posting per document at most, and
+    # only if it is among the document's rarest.
+    spread = (sets.filter("n > 0").select(F.col("gkey").alias("g"), "n", F.posexplode("prefix").alias("p", "t"))
+              # never null, and said so: no null filter comes between the two uses and their exchange
+              .select("g", "n", "p", F.coalesce("t", F.lit(0).cast("long")).alias("token"))
+              .repartition("token").withColumn("z", _size_class(num, den)))
+    bounds = spread.groupBy("token", "z").agg(
+        F.min("g").alias("a"), F.max("g").alias("b"), F.max(F.col("n") - F.col("p")).alias("r"),
+        F.min("n").alias("lo"), F.max("n").alias("hi"))
+    bounds = bounds.groupBy("token").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.collect_list(
+        F.struct("z", "a", "b", "r", "lo", "hi")).alias("cs")).filter("a != b").select("token", "cs")
+
+    def reachable(c):
+        return ((F.abs(c["z"] - F.col("z")) <= 1) & ((c["a"] != F.col("g")) | (c["b"] != F.col("g")))
+                & (c["hi"] * den >= F.col("n") * num) & (F.col("n") * den >= c["lo"] * num)
+                & (F.least(c["r"], F.col("n") - F.col("p")) * (num + den) >= (F.col("n") + c["lo"]) * num))
+
+    postings = spread.join(bounds, "token").filter(F.exists("cs", reachable)).select("token", "g", "p").distinct()
+    postings = materialize(postings.join(groups, "g"), "join-postings")
 
     # step 1: stars
     inside = classes.join(groups.select("g", "pivot"), "g").filter(F.col("sig") != F.col("pivot")).select(
         F.col("pivot").alias("x"), F.col("sig").alias("y"))
-    sized = postings.withColumn("z", F.floor(F.log(F.col("n").cast("double")) / F.lit(-2 * np.log(num / den)))
-                                if num < den else F.col("n"))
+    sized = postings.withColumn("z", _size_class(num, den, 2.0))
     best = sized.groupBy("token", "z").agg(
         F.max(F.struct("typ", "pivot", F.col("n").alias("m"), F.col("p").alias("q"))).alias("b"))
     stars = (sized.join(best, ["token", "z"])
@@ -236,7 +303,7 @@ def similar_sets(docs: DataFrame, width: int = 5, threshold: float = 0.8, text_c
              .filter((F.col("x") != F.col("pivot")) & _fits("n", "m", num, den) & _reach(num, den))
              .select("x", F.col("pivot").alias("y")))
     tried = materialize(inside.unionByName(stars).distinct(), "join-stars")
-    links = materialize(_verified(tried, classes, docs, text_col, id_col, width, num, den), "join-links")
+    links = _verified(tried, classes, docs, text_col, id_col, width, num, den, filter_bits)
     label = _labels(links)
 
     # step 2: all pairs of members that are still apart
@@ -244,18 +311,30 @@ def similar_sets(docs: DataFrame, width: int = 5, threshold: float = 0.8, text_c
         "g", "sig", F.coalesce("label", "sig").alias("c"))
     member = materialize(member, "join-members")
     parts = member.select("g", "c").distinct()
-    lists = postings.select("token", "g", "n", "p").join(parts, "g")
+    lists = postings.select("token", "g", "n", "p", _size_class(num, den).alias("z")).join(parts, "g")
     apart = (lists.groupBy("token").agg(F.min("c").alias("c1"), F.max("c").alias("c2"))
              .filter("c1 != c2").select("token"))
     lists = materialize(lists.join(apart, "token"), "join-lists")
-    sides = lists.select("token", "c").distinct()
-    c_pairs = sides.select("token", F.col("c").alias("c1")).join(
-        sides.select("token", F.col("c").alias("c2")), "token").filter("c1 < c2")
+    # The smaller (or equal) set of a pair has the token in its index prefix.  Components are paired first,
+    # per token and size class, then only postings of paired components.
+    small = lists.filter(_in_index("n", "p", num, den))
+    rest = F.max(F.col("n") - F.col("p"))
+    c_small = small.groupBy("token", "z", F.col("c").alias("c1")).agg(
+        rest.alias("r1"), F.min("n").alias("low1"), F.max("n").alias("high1"))
+    c_large = lists.groupBy("token", F.col("z").alias("z2"), F.col("c").alias("c2")).agg(
+        rest.alias("r2"), F.min("n").alias("low2"), F.max("n").alias("high2")).withColumn(
+        "z", F.explode(F.array(F.col("z2"), F.col("z2") - 1)))
+    # no pair of postings can pass if the components' best values do not
+    c_pairs = c_small.join(c_large, ["token", "z"]).filter(
+        (F.col("c1") != F.col("c2")) & (F.col("low1") <= F.col("high2")) & (F.col("high1") * den >= F.col("low2") * num)
+        & (F.least("r1", "r2") * (num + den) >= (F.col("low1") + F.col("low2")) * num)).select(
+        "token", "z", "c1", "z2", "c2")
     g_pairs = (c_pairs
-               .join(lists.select("token", F.col("c").alias("c1"), F.col("g").alias("g1"), "n", "p"), ["token", "c1"])
-               .join(lists.select("token", F.col("c").alias("c2"), F.col("g").alias("g2"), F.col("n").alias("m"),
-                                  F.col("p").alias("q")), ["token", "c2"])
-               .filter(_fits("n", "m", num, den) & _reach(num, den))
+               .join(small.select("token", "z", F.col("c").alias("c1"), F.col("g").alias("g1"), "n", "p"),
+                     ["token", "z", "c1"])
+               .join(lists.select("token", F.col("z").alias("z2"), F.col("c").alias("c2"), F.col("g").alias("g2"),
+                                  F.col("n").alias("m"), F.col("p").alias("q")), ["token", "z2", "c2"])
+               .filter((F.col("n") <= F.col("m")) & _fits("n", "m", num, den) & _reach(num, den))
                .select("g1", "c1", "g2", "c2").distinct())
     # two parts of one group share their whole prefix
     own = parts.select(F.col("g").alias("g1"), F.col("c").alias("c1")).join(
@@ -264,10 +343,10 @@ def similar_sets(docs: DataFrame, width: int = 5, threshold: float = 0.8, text_c
     pairs = (g_pairs.unionByName(own).distinct()
              .join(member.select(F.col("g").alias("g1"), F.col("c").alias("c1"), F.col("sig").alias("x")), ["g1", "c1"])
              .join(member.select(F.col("g").alias("g2"), F.col("c").alias("c2"), F.col("sig").alias("y")), ["g2", "c2"])
-             .select("x", "y").distinct())
+             .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
     done = tried.unionByName(tried.select(F.col("y").alias("x"), F.col("x").alias("y")))
     pairs = materialize(pairs.join(done, ["x", "y"], "left_anti"), "join-pairs")
-    more = _verified(pairs, classes, docs, text_col, id_col, width, num, den)
+    more = _verified(pairs, classes, docs, text_col, id_col, width, num, den, filter_bits)
     label = _labels(links.unionByName(more))
 
     named = classes.select("sig", "low").join(label, F.col("sig") == F.col("node"), "left").select(
@@ -284,12 +363,12 @@ def _labels(links: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, width: int = 5, threshold: float = 0.8, text_col: str = "text",
-                     id_col: str = "doc_id", sketch_bits: int = 21) -> DataFrame:
+                     id_col: str = "doc_id", sketch_bits: int = 21, filter_bits: int = 25) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component, all their columns unchanged.
 
     Rows with a null id have no name to be kept by and stay.
     """
-    keep = materialize(similar_sets(docs, width, threshold, text_col, id_col, sketch_bits).filter(
+    keep = materialize(similar_sets(docs, width, threshold, text_col, id_col, sketch_bits, filter_bits).filter(
         quoted(id_col) == F.col("component_id")).select(quoted(id_col).alias("_keep")).distinct(), "join-keep")
     ident = quoted(id_col).cast("long")
     return docs.join(keep, ident == F.col("_keep"), "left_semi").unionByName(docs.filter(ident.isNull()))
