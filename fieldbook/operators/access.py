@@ -10,25 +10,24 @@ VALID = "valid"
 NOT_VALID = "not valid"
 
 
-def dedupe_last(user_access: DataFrame, key: str = "CWID", order_col: str | None = None) -> DataFrame:
+def dedupe_last(user_access: DataFrame, order_col: str, key: str = "CWID") -> DataFrame:
     """One record per key; the last by ``order_col`` wins (a dict keeps the last seen).
 
-    ``max_by`` is a partially aggregated groupBy, so a key repeated across a
-    third of the table costs one row per map task in the shuffle.
+    A NULL order value comes before all others; ties go to the greatest
+    record.  ``max_by`` is a partially aggregated groupBy, so a key repeated
+    across a third of the table costs one row per map task in the shuffle.
     """
-    if order_col is None:
-        return user_access.dropDuplicates([key])
     others = [c for c in user_access.columns if c != key]
-    rec = F.max_by(F.struct(*[F.col(c) for c in others]), F.col(order_col))
-    return user_access.groupBy(key).agg(rec.alias("_r")).select(key, *[F.col("_r")[c].alias(c) for c in others])
+    rec = F.struct(*[F.col(c) for c in others])
+    order = F.col(order_col)
+    last = F.max_by(rec, F.struct(order.isNotNull(), order, rec))
+    return user_access.groupBy(key).agg(last.alias("_r")).select(key, *[F.col("_r")[c].alias(c) for c in others])
 
 
-def lookup(ids: DataFrame, user_access: DataFrame, id_col: str = "CWID", key: str = "CWID",
-           order_col: str | None = None, status_col: str = "status") -> DataFrame:
+def lookup(ids: DataFrame, user_access: DataFrame, order_col: str, id_col: str = "CWID", key: str = "CWID",
+           status_col: str = "status") -> DataFrame:
     """Every requested id with its user record (NULLs when unknown) and a status."""
-    users = dedupe_last(user_access, key, order_col)
-    if order_col and order_col in users.columns:
-        users = users.drop(order_col)
+    users = dedupe_last(user_access, order_col, key).drop(order_col)
     u = users.withColumnRenamed(key, "_key")
     out = ids.join(u, ids[id_col] == u["_key"], "left")
     return out.withColumn(status_col, F.when(F.col("_key").isNotNull(), F.lit(VALID)).otherwise(F.lit(NOT_VALID))).drop("_key")

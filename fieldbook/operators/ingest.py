@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from fieldbook.operators.ids import continue_ids
 from fieldbook.schemas import AUDIT_COLUMNS
+from fieldbook.sources.io import fields_fit
 
 # Outcome labels.
 INSERTED = "inserted"
@@ -92,15 +93,6 @@ def now_in_zone(zone: str = DEFAULT_ZONE) -> Column:
 
 
 # ---------------------------------------------------------------- key matching
-def key_bucket(keys: list[str], buckets: int) -> Column:
-    """Hash bucket 0..buckets-1 of the key columns (stable across runs and engines' restarts).
-
-    Stored tables partitioned by it let an existence check read only the
-    buckets a batch touches (partition pruning at the scan).
-    """
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-
-
 def _stored_keys(stored: DataFrame, keys: list[str], prefix: str = "_s_") -> DataFrame:
     # distinct first: duplicate stored rows are folded map-side before the shuffle
     return stored.select(*[F.col(k).alias(prefix + k) for k in keys]).dropDuplicates()
@@ -144,12 +136,26 @@ def classify_new(batch: DataFrame, stored: DataFrame, keys: list[str], seq: str,
     Later copies of a key inside the batch are ``duplicate``; the first copy
     is ``exists`` when the stored table has the key, else ``inserted``.
     """
-    b = first_in_batch(batch, keys, seq) if dedupe else batch.withColumn("_first", F.lit(True))
-    b = mark_existing(b, stored, keys, null_safe)
-    return b.withColumn(
+    def same(left: DataFrame, right: DataFrame, prefix: str, nulls: bool) -> Column:
+        return reduce(lambda x, y: x & y, [
+            left[k].eqNullSafe(right[prefix + k]) if nulls else left[k] == right[prefix + k] for k in keys])
+
+    firsts = batch.groupBy(*keys).agg(F.min(seq).alias("_first_seq"))
+    # stored rows meet one row per key of the batch, which AQE broadcasts when
+    # it is small: then the stored table is neither shuffled nor sorted
+    named = firsts.select(*[F.col(k).alias("_f_" + k) for k in keys])
+    known = stored.select(*keys)
+    known = known.join(named, same(known, named, "_f_", null_safe), "left_semi").select(
+        *[F.col(k).alias("_s_" + k) for k in keys]).dropDuplicates().withColumn("_exists", F.lit(True))
+    judged = firsts.join(known, same(firsts, known, "_s_", null_safe), "left").select(
+        *[F.col(k).alias("_f_" + k) for k in keys], "_first_seq",
+        F.coalesce("_exists", F.lit(False)).alias("_exists"))
+    out = batch.join(judged, same(batch, judged, "_f_", True), "inner")
+    later = (F.col(seq) != F.col("_first_seq")) if dedupe else F.lit(False)
+    return out.withColumn(
         outcome,
-        F.when(~F.col("_first"), F.lit(DUPLICATE)).when(F.col("_exists"), F.lit(EXISTS)).otherwise(F.lit(INSERTED)),
-    ).drop("_first", "_exists")
+        F.when(later, F.lit(DUPLICATE)).when(F.col("_exists"), F.lit(EXISTS)).otherwise(F.lit(INSERTED)),
+    ).drop("_first_seq", "_exists", *["_f_" + k for k in keys])
 
 
 def insert_new(batch: DataFrame, stored: DataFrame, keys: list[str], seq: str, run_ts,
@@ -159,8 +165,7 @@ def insert_new(batch: DataFrame, stored: DataFrame, keys: list[str], seq: str, r
 
     Rows to append are the ``inserted`` ones, stamped; with ``with_ids`` they
     get ids continuing from the max id of ``id_source`` (default: the
-    stored table) in ``seq`` order.  ``stored`` may be a pruned part of the
-    table (the key buckets a batch touches) while ``id_source`` is all of it.
+    stored table) in ``seq`` order.
     """
     labelled = classify_new(batch, stored, keys, seq, null_safe)
     new = labelled.where(F.col("outcome") == INSERTED).drop("outcome")
@@ -227,8 +232,7 @@ def _try_cast(v: Column, dt: T.DataType) -> Column:
 
 def apply_updates(stored: DataFrame, updates: DataFrame, now, id_col: str = "id", seq: str = "seq",
                   fields_col: str = "fields", min_age: str | None = DEFAULT_MIN_AGE,
-                  updated_col: str = "last_updated_timestamp", duplicate: str = "first",
-                  protected: tuple[str, ...] = ("created_date",)):
+                  updated_col: str = "last_updated_timestamp", duplicate: str = "first"):
     """Guarded partial updates by id.  Returns (new table, outcome per update).
 
     ``now`` is the run's wall-clock time (text, datetime or Column); None
@@ -236,17 +240,18 @@ def apply_updates(stored: DataFrame, updates: DataFrame, now, id_col: str = "id"
 
     ``updates`` has (``seq``, ``id_col``, ``fields_col`` map<string,string>):
     only the fields present are set, cast to the column type, and
-    ``updated_col`` becomes ``now``.  A row is changed only if its
+    ``updated_col`` becomes ``now``, whatever stamp the payload gives.  A row is changed only if its
     ``updated_col`` is older than ``now - min_age``.  Of several updates of
     one id the first (or last) by ``seq`` is applied, the others are
     ``duplicate``.  Unknown id -> ``unknown_id``; an unknown field, an
     explicit NULL or a value that does not cast -> ``error`` (row unchanged).
     """
     now_c = _ts_lit(now)
-    settable = [c for c in stored.columns if c not in (id_col, updated_col) + tuple(protected)]
+    settable = [c for c in stored.columns if c not in (id_col, updated_col)]
+    given = F.map_filter(fields_col, lambda k, v: k != F.lit(updated_col))
     pick = F.min_by if duplicate == "first" else F.max_by
     winners = updates.groupBy(id_col).agg(
-        pick(F.struct(F.col(seq).alias("s"), F.col(fields_col).alias("f")), F.col(seq)).alias("_w")
+        pick(F.struct(F.col(seq).alias("s"), given.alias("f")), F.col(seq)).alias("_w")
     ).select(F.col(id_col).alias("_wid"), F.col("_w.s").alias("_wseq"), F.col("_w.f").alias("_wf"))
 
     cur = stored.select(F.col(id_col).alias("_sid"), F.col(updated_col).alias("_sts"))
@@ -295,7 +300,8 @@ def upsert(stored: DataFrame, batch: DataFrame, keys: list[str], now, id_col: st
     otherwise it is an insert: ``exists`` when the stored table has its
     ``keys``, else ``inserted`` with an id continuing from max(id) in ``seq``
     order and stamped with ``now``.  An insert carries every stored column
-    its map names (cast to the column type; unknown fields are dropped).
+    its map names (cast to the column type; unknown fields are dropped); one
+    with a value that does not cast is an ``error`` and inserts nothing.
     No in-batch dedupe of inserts, as in the reference; the new table is
     stored rows (updated) plus inserted ones.
     """
@@ -307,13 +313,16 @@ def upsert(stored: DataFrame, batch: DataFrame, keys: list[str], now, id_col: st
     ins_maps = batch.where(~has_id)
     types = {f.name: f.dataType for f in stored.schema.fields}
     payload = [c for c in stored.columns if c != id_col and c not in AUDIT_COLUMNS]
-    ins = ins_maps.select(seq, *[F.col(fields_col)[c].try_cast(types[c]).alias(c) for c in payload])
+    fits = fields_fit(F.col(fields_col), T.StructType([f for f in stored.schema.fields if f.name in payload]))
+    ins = ins_maps.select(seq, fits.alias("_fits"),
+                          *[F.col(fields_col)[c].try_cast(types[c]).alias(c) for c in payload])
 
     updated_tbl, upd_out = apply_updates(stored, upd, now, id_col, seq, fields_col, min_age,
                                          duplicate=duplicate)
     labelled = mark_existing(ins, stored, keys, null_safe)
-    labelled = labelled.withColumn("outcome", F.when(F.col("_exists"), F.lit(EXISTS)).otherwise(F.lit(INSERTED)))
-    new = continue_ids(labelled.where(F.col("outcome") == INSERTED).drop("outcome", "_exists"), [seq], stored,
+    labelled = labelled.withColumn("outcome", F.when(~F.col("_fits"), F.lit(ERROR))
+                                   .when(F.col("_exists"), F.lit(EXISTS)).otherwise(F.lit(INSERTED)))
+    new = continue_ids(labelled.where(F.col("outcome") == INSERTED).drop("outcome", "_exists", "_fits"), [seq], stored,
                        id_col=id_col)
     new = stamp(new, now)
     new_rows = new.select(*[
@@ -327,57 +336,47 @@ def upsert(stored: DataFrame, batch: DataFrame, keys: list[str], now, id_col: st
 
 # ---------------------------------------------------------------- loose checks
 def loose_exists(batch: DataFrame, stored: DataFrame, row_id: str, columns: list[str] | None = None,
-                 flag: str = "present", join_columns: list[str] | None = None) -> DataFrame:
+                 flag: str = "present") -> DataFrame:
     """A batch row is present when some stored row has *every* common
     column's value somewhere among the batch row's values (any column).
 
-    Values compare as text; NULL matches NULL.  Instead of a nested loop the
-    batch row's values are exploded and equi-joined with the distinct stored
-    tuples on the stored table's most selective column (one
-    ``approx_count_distinct`` pass picks it), or - when no column has at most
-    ~10 stored rows per value - on ordered value pairs against its two most
-    selective columns (schema width squared rows per batch row); the
-    remaining columns are checked with ``exists`` on the row's values.  A
-    near-constant column never becomes the join key.  Output: batch +
-    boolean flag.
+    Values compare as text; NULL matches NULL.  Instead of a nested loop each
+    distinct stored tuple is keyed by its rarest pair of values (by the
+    stored table's own pair counts, one partially aggregated ``groupBy`` in
+    the plan), meets the batch rows that hold both values, and its other
+    values are checked with ``exists``.  Pairs are of two different columns,
+    so a column of few values is a key only beside a rarer one; with one
+    common column the value itself is the key.  Output: batch + flag.
     """
     common = [c for c in (columns or batch.columns) if c in stored.columns and c != row_id]
     if not common:
         return batch.withColumn(flag, F.lit(False))
-    if join_columns is None and len(common) > 1:
-        # one small aggregate: approximate distinct values per column and the row count
-        stats = stored.agg(F.count(F.lit(1)).alias("_rows"),
-                           *[F.approx_count_distinct(F.col(c)).alias(c) for c in common]).collect()[0]
-        ranked = sorted(common, key=lambda c: -stats[c])
-        # a column with at most ~10 stored rows per value is selective enough
-        # alone: each batch row then meets at most (values x 10) candidates
-        single = stats["_rows"] == 0 or stats[ranked[0]] * 10 >= stats["_rows"]
-        join_columns = ranked[:1] if single else ranked[:2]
-    lead = [c for c in (join_columns or common[:2]) if c in common][:2] or common[:2]
-    rest = [c for c in common if c not in lead]
-    vals = F.array(*[F.col(c).cast("string") for c in common])
-    bv = batch.select(row_id, vals.alias("_vals"))
-    st = stored.select(*[F.col(c).cast("string").alias("_t_" + c) for c in common]).dropDuplicates()
-    c0 = "_t_" + lead[0]
-    if len(lead) == 1:
-        cand = bv.select(row_id, "_vals", F.explode("_vals").alias("_v0")).dropDuplicates([row_id, "_v0"])
-        m = cand.join(st, cand["_v0"].eqNullSafe(st[c0]), "inner")
-    else:
-        c1 = "_t_" + lead[1]
-        cand = (
-            bv.select(row_id, "_vals", F.explode("_vals").alias("_v0"))
-            .select(row_id, "_vals", "_v0", F.explode("_vals").alias("_v1"))
-            .dropDuplicates([row_id, "_v0", "_v1"])
-        )
-        m = cand.join(st, cand["_v0"].eqNullSafe(st[c0]) & cand["_v1"].eqNullSafe(st[c1]), "inner")
-    if rest:
-        def among_values(c: str) -> Column:
-            col = F.col("_t_" + c)
-            return F.exists("_vals", lambda x: x.eqNullSafe(col))
-
-        m = m.where(reduce(lambda a, b: a & b, [among_values(c) for c in rest]))
-    hits = m.select(row_id).distinct().withColumn(flag, F.lit(True))
-    return batch.join(hits, row_id, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+    def pairs(values: Column) -> Column:
+        """Distinct unordered pairs (smaller first, NULL smallest) of an array's values."""
+        both = F.flatten(F.transform(values, lambda x: F.transform(values, lambda y: F.struct(
+            x.alias("a"), y.alias("b")))))
+        return F.array_distinct(F.filter(both, lambda p: p["a"].isNull() | (p["a"] <= p["b"])))
+
+    tuples = stored.select(F.array(*[F.col(c).cast("string") for c in common]).alias("_t")).distinct()
+    n = len(common)
+    columns_of = [(i, j) for i in range(n) for j in range(i + 1, n)] or [(0, 0)]
+
+    def ordered(x: Column, y: Column) -> Column:
+        swap = x.isNotNull() & (y.isNull() | (x > y))
+        return F.struct(F.when(swap, y).otherwise(x).alias("a"), F.when(swap, x).otherwise(y).alias("b"))
+
+    keyed = tuples.select("_t", F.explode(F.array(*[
+        ordered(F.col("_t")[i], F.col("_t")[j]) for i, j in columns_of])).alias("_p")).distinct()
+    counts = keyed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = keyed.join(counts.withColumnRenamed("_p", "_cp"), F.col("_p").eqNullSafe(F.col("_cp"))).groupBy("_t").agg(F.min_by("_p", F.struct("_n", "_p")).alias("_p"))
+    held = batch.select(row_id, F.array_distinct(F.array(*[F.col(c).cast("string") for c in common])).alias("_vals"))
+    cand = held.select(row_id, "_vals", F.explode(pairs(F.col("_vals"))).alias("_p"))
+    right = rarest.withColumnRenamed("_p", "_q")
+    among = F.forall("_t", lambda t: F.exists("_vals", lambda v: v.eqNullSafe(t)))
+    hits = cand.join(right, cand["_p"].eqNullSafe(right["_q"])).where(among).select(row_id).distinct()
+    return batch.join(hits.withColumn(flag, F.lit(True)), row_id, "left").withColumn(
+        flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
 def row_difference(batch: DataFrame, table: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -7,12 +7,14 @@ keyed by ``file_path`` joined back, never a loop over files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbook.functions.columns import unit_for
 from fieldbook.functions.dates import date_tokens, parse_dmy
+from fieldbook.schemas import OBSERVATION, RUN_LOG
+from fieldbook.sources import io
 
 # Sheet column renames and the id columns of the long table.
 RENAMES = {"productid": "product_id", "product": "product_name", "pest": "pest_name"}
@@ -23,6 +25,9 @@ MSG_NO_ID = "Missing 'productid' column"
 MSG_NO_DATES = "No dates found"
 MSG_BAD_DATE = "Invalid date"
 MSG_BAD_VALUE = "Non-numeric observation value"
+MSG_BAD_ID = "Non-integer product id"
+MSG_NO_PRODUCT = "Missing 'product' column"
+MSG_UNREADABLE = "Unreadable file"
 
 
 def rename_sheet(wide: DataFrame) -> DataFrame:
@@ -47,7 +52,7 @@ def unpivot_observations(wide: DataFrame, units: dict[str, str] | None = None,
     if "product_name" not in w.columns:
         w = w.withColumn("product_name", F.lit(None).cast("string"))
     measures = [c for c in w.columns if c not in ID_COLUMNS and c not in keep]
-    ids = [F.col("product_id").try_cast("long").alias("product_id"),
+    ids = [integer_id("product_id").alias("product_id"),
            F.col("product_name").cast("string").alias("product_name"),
            F.col("pest_name").cast("string").alias("pest_name")]
     if not measures:
@@ -90,41 +95,35 @@ def file_dates(data_sheet: DataFrame, file_col: str = "file_path") -> DataFrame:
     return per
 
 
-def load_files(sheet: DataFrame, data_sheet: DataFrame, run_ts, file_col: str = "file_path",
-               units: dict[str, str] | None = None, id_present: DataFrame | None = None):
-    """Whole ETL over all files.  Returns (observation rows to append, run log).
+def integer_id(c: str | Column) -> Column:
+    """A product id as a whole number; NULL for other text (``7.0``, as sheets write it, is 7)."""
+    col = F.col(c) if isinstance(c, str) else c
+    number = col.cast("string").try_cast("decimal(38,9)")
+    return F.when(number == F.floor(number), number.try_cast("long"))
 
-    A file is skipped with a log row when it has no product id column, no
-    date, a bad date or a non-numeric measure; otherwise its rows get the
-    file's min/max date (B10) and the log row carries the row count (E6).
-    ``id_present`` (file_col, has_id) says which files have a ``productid``
-    column; by default a file has it when some row carries a value there.
+
+def _is_bad_id(c: str | Column) -> Column:
+    col = F.col(c) if isinstance(c, str) else c
+    return col.isNotNull() & integer_id(col).isNull()
+
+
+def _judge(files: DataFrame, long: DataFrame, dates: DataFrame, file_col: str, ts: Column):
+    """(accepted files with their dates, run log) from per-file facts.
+
+    ``files`` brings ``early_reason`` (why its sheet cannot be loaded at all,
+    or NULL) and ``n_bad_ids``; every row of it gets a log row.
     """
-    ts = F.lit(str(run_ts)).cast("timestamp_ntz") if not hasattr(run_ts, "_jc") else run_ts
-    long = unpivot_observations(sheet, units, keep=[file_col])
-    files = sheet.select(file_col).distinct()
-    if id_present is None:
-        idc = "productid" if "productid" in sheet.columns else ("product_id" if "product_id" in sheet.columns else None)
-        if idc is None:
-            id_present = files.withColumn("has_id", F.lit(False))
-        else:
-            id_present = sheet.groupBy(file_col).agg(F.max(F.col(idc).isNotNull()).alias("has_id"))
     stats = long.groupBy(file_col).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.sum((F.col("observation_text").isNotNull() & F.col("observation_value").isNull()).cast("long"))
-        .alias("n_bad_values"),
+        F.count_if(F.col("observation_text").isNotNull() & F.col("observation_value").isNull()).alias("n_bad_values"),
     )
-    dates = file_dates(data_sheet, file_col)
-    per_file = (
-        files.join(id_present, file_col, "left")
-        .join(stats, file_col, "left")
-        .join(dates, file_col, "left")
-    )
-    reason = (
-        F.when(~F.coalesce(F.col("has_id"), F.lit(False)), F.lit(MSG_NO_ID))
-        .when(F.coalesce(F.col("n_bad_dates"), F.lit(0)) > 0, F.lit(MSG_BAD_DATE))
-        .when(F.coalesce(F.col("n_dates"), F.lit(0)) == 0, F.lit(MSG_NO_DATES))
-        .when(F.coalesce(F.col("n_bad_values"), F.lit(0)) > 0, F.lit(MSG_BAD_VALUE))
+    per_file = files.join(stats, file_col, "left").join(dates, file_col, "left")
+    reason = F.coalesce(
+        F.col("early_reason"),
+        F.when(F.coalesce("n_bad_dates", F.lit(0)) > 0, F.lit(MSG_BAD_DATE))
+        .when(F.coalesce("n_dates", F.lit(0)) == 0, F.lit(MSG_NO_DATES))
+        .when(F.coalesce("n_bad_ids", F.lit(0)) > 0, F.lit(MSG_BAD_ID))
+        .when(F.coalesce("n_bad_values", F.lit(0)) > 0, F.lit(MSG_BAD_VALUE)),
     )
     per_file = per_file.withColumn("error_message", reason)
     log = per_file.select(
@@ -133,9 +132,110 @@ def load_files(sheet: DataFrame, data_sheet: DataFrame, run_ts, file_col: str =
         .cast("long").alias("rows_loaded"),
         "error_message",
     )
-    good = per_file.where(F.col("error_message").isNull()).select(file_col, "date_created", "date_expired")
-    rows = long.join(good, file_col, "inner").select(
-        "product_id", "product_name", "pest_name", "observation_name", "observation_value",
-        "observation_unit", "date_created", "date_expired", file_col,
+    return per_file.where(F.col("error_message").isNull()).select(file_col, "date_created", "date_expired"), log
+
+
+def _accepted(long: DataFrame, good: DataFrame, file_col: str) -> DataFrame:
+    return long.join(good, file_col, "inner").select(*OBSERVATION.fieldNames(), file_col)
+
+
+def _run_ts(run_ts) -> Column:
+    return run_ts if isinstance(run_ts, Column) else F.lit(str(run_ts)).cast("timestamp_ntz")
+
+
+def load_files(sheet: DataFrame, data_sheet: DataFrame, run_ts, file_col: str = "file_path",
+               units: dict[str, str] | None = None, id_present: DataFrame | None = None):
+    """ETL of sheets of one shape.  Returns (observation rows to append, run log).
+
+    Every file is taken to have every column of ``sheet``; ``load_sheets``
+    takes files whose columns differ.  A file is skipped with a log row when
+    it has no product id column, no date, a bad date, a product id that is no
+    whole number or a non-numeric measure; otherwise its rows get the file's
+    min/max date (B10) and the log row carries the row count (E6).
+    ``id_present`` (file_col, has_id) says which files have a ``productid``
+    column; by default a file has it when some row carries a value there.
+    """
+    long = unpivot_observations(sheet, units, keep=[file_col])
+    idc = next((c for c in ("productid", "product_id") if c in sheet.columns), None)
+    ids = F.col(idc) if idc else F.lit(None).cast("long")
+    files = sheet.groupBy(file_col).agg(F.max(ids.isNotNull()).alias("has_id"),
+                                        F.count_if(_is_bad_id(ids)).alias("n_bad_ids"))
+    if id_present is not None:
+        files = files.drop("has_id").join(id_present, file_col, "left")
+    files = files.withColumn(
+        "early_reason", F.when(~F.coalesce(F.col("has_id"), F.lit(False)), F.lit(MSG_NO_ID)))
+    good, log = _judge(files, long, file_dates(data_sheet, file_col), file_col, _run_ts(run_ts))
+    return _accepted(long, good, file_col), log
+
+
+def unpivot_sheets(sheets: DataFrame, file_col: str = "file_path", units: dict[str, str] | None = None) -> DataFrame:
+    """C2 + C3 for rows of ``fields`` maps: each file yields its own columns and no other's.
+
+    A file's columns are the keys that any of its rows brings (at most one
+    entry per column and file); a row without one of them has NULL there.
+    """
+    own = sheets.select(file_col, F.explode(F.map_keys("fields")).alias("_c")).groupBy(file_col).agg(
+        F.collect_set("_c").alias("_own"))
+    measures = F.filter("_own", lambda c: ~c.isin(*RENAMES, *ID_COLUMNS))
+    f = F.col("fields")
+    either = {new: F.coalesce(f[old], f[new]) for old, new in RENAMES.items()}
+    return sheets.join(own, file_col).select(
+        file_col, "fields", integer_id(either["product_id"]).alias("product_id"),
+        either["product_name"].alias("product_name"), either["pest_name"].alias("pest_name"),
+        F.explode(measures).alias("observation_name"),
+    ).withColumn("observation_text", F.col("fields")[F.col("observation_name")]).select(
+        "product_id", "product_name", "pest_name", file_col, "observation_name",
+        F.col("observation_text").try_cast("double").alias("observation_value"), "observation_text",
+        unit_for("observation_name", units).alias("observation_unit"),
+    )
+
+
+def load_sheets(sheets: DataFrame, files: DataFrame, data_sheets: DataFrame, run_ts,
+                file_col: str = "file_path", units: dict[str, str] | None = None):
+    """ETL of sheets with columns of their own (``io.read_sheets``).  Returns (rows to append, run log).
+
+    ``files`` (file_col, n_bad) names every listed file and its unreadable
+    lines; each gets a log row: unreadable, empty (no columns, so no product
+    id), or as in ``load_files``.  ``data_sheets`` has rows of ``fields``
+    maps under the same file names.
+    """
+    long = unpivot_sheets(sheets, file_col, units)
+    f = F.col("fields")
+
+    def has(key: str) -> Column:
+        return F.max(F.map_contains_key(f, F.lit(key)))
+
+    facts = sheets.groupBy(file_col).agg(has("productid").alias("_has_id"), has("product").alias("_has_product"),
+                                         F.count_if(_is_bad_id(f["productid"])).alias("n_bad_ids"))
+    files = files.join(facts, file_col, "left").withColumn(
+        "early_reason",
+        F.when(F.col("n_bad") > 0, F.lit(MSG_UNREADABLE))
+        .when(~F.coalesce("_has_id", F.lit(False)), F.lit(MSG_NO_ID))
+        .when(~F.coalesce("_has_product", F.lit(False)), F.lit(MSG_NO_PRODUCT)),
     )
-    return rows, log
+    cells = data_sheets.select(file_col, F.array_join(F.map_values("fields"), "\u0001").alias("cells"))
+    good, log = _judge(files, long, file_dates(cells, file_col), file_col, _run_ts(run_ts))
+    return _accepted(long, good, file_col), log
+
+
+def load_folder(spark: SparkSession, sheet_dir: str, data_dir: str, run_ts, table: str, log_table: str,
+                sheet_name: str = r"([^/]+)$") -> None:
+    """A folder of sheets to the observation table and the run log.
+
+    ``sheet_name`` is a pattern whose first group names the sheet in a file
+    path (the file name by default), under which a sheet meets its data
+    sheet; several files may make up one sheet.  Both tables are created
+    when absent and appended to.
+    """
+    def named(df: DataFrame) -> DataFrame:
+        return df.withColumn("file_path", F.regexp_extract("file_path", sheet_name, 1))
+
+    sheets, files = io.read_sheets(spark, sheet_dir)
+    data, data_files = io.read_sheets(spark, data_dir)
+    bad = named(files.select("file_path", "n_bad").unionByName(data_files.where(F.col("n_bad") > 0)))
+    files = bad.groupBy("file_path").agg(F.sum("n_bad").alias("n_bad"))
+    rows, log = load_sheets(named(sheets), files, named(data), run_ts)
+    io.ensure_table(spark, table, OBSERVATION)
+    io.ensure_table(spark, log_table, RUN_LOG)
+    io.write_append(rows.select(*OBSERVATION.fieldNames()), table)
+    io.write_append(log.select(*RUN_LOG.fieldNames()), log_table)

@@ -8,7 +8,7 @@ token followed by the exact ``contains`` check, never a nested loop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions.columns import keyword_match
@@ -23,7 +23,7 @@ def search(df: DataFrame, keywords, columns: list[str] | None = None, literal: b
     are wildcards), as in ``LIKE '%kw%'``.
     """
     if isinstance(keywords, str) or not isinstance(keywords, (list, tuple)):
-        raise ValueError("Keywords must be provided as a list")
+        raise ValueError("give the keywords as a list")
     cols = columns or list(df.columns)
     return df.where(keyword_match(cols, keywords, literal))
 
@@ -38,10 +38,15 @@ def search_one(df: DataFrame, keyword: str, columns: list[str] | None = None, li
 _GRAM = 3
 
 
-def _grams(text: F.Column, n: int) -> F.Column:
-    """Distinct substrings of length ``n`` of a text (empty for shorter texts)."""
-    idx = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
-    subs = F.transform(idx, lambda i: F.substring(text, i, n))
+def _grams(text: Column, n: int) -> Column:
+    """Distinct substrings of length ``n`` of a text (empty for shorter texts).
+
+    The text is cut into characters once and neighbours are joined, so the
+    work is linear in its length.
+    """
+    chars = F.split(text, "")
+    idx = F.sequence(F.lit(0), F.greatest(F.size(chars) - n, F.lit(0)))
+    subs = F.transform(idx, lambda i: F.concat(*[F.coalesce(F.get(chars, i + k), F.lit("")) for k in range(n)]))
     return F.array_distinct(F.filter(subs, lambda g: F.length(g) == n))
 
 
@@ -67,22 +72,20 @@ def search_table(df: DataFrame, keywords: DataFrame, row_id: str, keyword_col: s
     kw = (keywords.select(F.col(keyword_col).alias("_kw"))
           .where(F.col("_kw").isNotNull() & (F.length("_kw") > 0)).distinct())
 
-    tri = rows.select(row_id, F.explode(_grams(F.col("_text"), _GRAM)).alias("_g"))
-    freq = tri.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
     kw_tri = kw.where(F.length("_kw") >= _GRAM).select(
         "_kw", F.explode(_grams(F.col("_kw"), _GRAM)).alias("_g"))
+    # only trigrams that some keyword holds are counted and shuffled
+    tri = rows.select(row_id, F.explode(_grams(F.col("_text"), _GRAM)).alias("_g")).join(
+        kw_tri.select("_g").distinct(), "_g", "left_semi")
+    freq = tri.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
     # a keyword with a trigram no row has cannot match: the inner join drops it
     key = kw_tri.join(freq, "_g").groupBy("_kw").agg(F.min_by("_g", "_f").alias("_g"))
     cand = tri.join(key, "_g").select(row_id, "_kw")
     hit_long = cand.join(rows, row_id).where(F.col("_text").contains(F.col("_kw"))).select(row_id, "_kw")
 
-    hits = [hit_long]
-    short = kw.where(F.length("_kw") < _GRAM)
-    if short.take(1):  # bounded probe: only build 1-/2-grams when short keywords exist
-        for n in (1, 2):
-            g = rows.select(row_id, F.explode(_grams(F.col("_text"), n)).alias("_kw"))
-            hits.append(g.join(short.where(F.length("_kw") == n), "_kw").select(row_id, "_kw"))
-    out = hits[0]
-    for h in hits[1:]:
-        out = out.unionByName(h)
+    out = hit_long
+    for n in range(1, _GRAM):
+        short = kw.where(F.length("_kw") == n)
+        g = rows.select(row_id, F.explode(_grams(F.col("_text"), n)).alias("_kw"))
+        out = out.unionByName(g.join(short, "_kw").select(row_id, "_kw"))
     return out.distinct().withColumnRenamed("_kw", keyword_col)

@@ -7,6 +7,8 @@ the user-access table derived from ``customer``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +18,8 @@ from fieldbook.operators import access, load as loadop, observations, search
 from fieldbook.operators.catalog import explode_list
 from fieldbook.plans.catalog_queries import DOC_KEY, _RAW_SQL, raw_documents
 from fieldbook.plans.tables import load
-from fieldbook.sources.io import read_limit
+from fieldbook.session import scratch_path
+from fieldbook.sources.io import read_limit, read_table
 
 RUN_TS = "2024-01-01 00:00:00"
 
@@ -142,6 +145,73 @@ FROM long l JOIN pf USING (file_path) WHERE pf.error_message IS NULL
 """
 
 
+def q_run_log_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder of sheet files to the observation table and run log: one log row per file.
+
+    Stand-in files: a sheet and a data sheet per nation, a row per order of
+    its customers.  Sheets of region 0 lack ``productid``, those of region 1
+    have text ids, of region 2 no ``weight`` column, of region 3 torn lines
+    (pending orders); for each region there is an empty sheet as well.
+    """
+    base = scratch_path(spark, f"sheets-{uuid.uuid4().hex}")
+    o = load(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+             "o_orderpriority")
+    c = load(spark, sf, "customer", "c_custkey", "c_nationkey")
+    n = load(spark, sf, "nation", "n_nationkey", "n_regionkey")
+    oc = o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, F.col("c_nationkey") == n["n_nationkey"])
+    key, region = F.col("o_orderkey").cast("string"), F.col("n_regionkey")
+    line = F.to_json(F.struct(
+        F.when(region == 1, F.concat(F.lit("P-"), key)).when(region != 0, key).alias("productid"),
+        F.col("o_orderpriority").alias("product"), F.col("o_totalprice").alias("feeding"),
+        F.when(region != 2, F.col("o_custkey")).alias("weight")))
+    torn = (region == 3) & (F.col("o_orderstatus") == "P")
+    line = F.when(torn, F.substring(line, 1, 20)).otherwise(line)
+    sheet = F.concat(F.lit("nation-"), F.col("n_nationkey"))
+    empty = load(spark, sf, "region", "r_regionkey").select(
+        F.concat(F.lit("empty-"), F.col("r_regionkey")).alias("sheet"), F.lit("").alias("value"))
+    oc.select(sheet.alias("sheet"), line.alias("value")).unionByName(empty).write.partitionBy("sheet").text(
+        f"{base}/sheets")
+    note = F.to_json(F.struct(F.concat(F.lit("placed "), F.date_format("o_orderdate", "dd.MM.yyyy")).alias("note")))
+    oc.select(sheet.alias("sheet"), note.alias("value")).write.partitionBy("sheet").text(f"{base}/data")
+    observations.load_folder(spark, f"{base}/sheets", f"{base}/data", RUN_TS, f"{base}/table", f"{base}/log",
+                             sheet_name="sheet=([^/]+)/")
+    loaded = read_table(spark, f"{base}/table").groupBy(
+        "observation_name", "observation_unit", "date_created", "date_expired").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("product_id").alias("n_ids"))
+    return read_table(spark, f"{base}/log").unionByName(loaded, allowMissingColumns=True)
+
+
+SQL_RUN_LOG_FILES = """
+WITH oc AS (SELECT o.*, n_nationkey, n_regionkey FROM orders o JOIN customer ON o_custkey = c_custkey
+            JOIN nation ON c_nationkey = n_nationkey),
+f AS (SELECT n_nationkey, n_regionkey, count(*) AS n, bool_or(n_regionkey = 3 AND o_orderstatus = 'P') AS torn,
+             min(o_orderdate)::DATE AS date_created, max(o_orderdate)::DATE AS date_expired FROM oc GROUP BY ALL),
+j AS (SELECT *, CASE WHEN torn THEN 'Unreadable file' WHEN n_regionkey = 0 THEN 'Missing ''productid'' column'
+                     WHEN n_regionkey = 1 THEN 'Non-integer product id' END AS error_message FROM f),
+obs AS (SELECT m.observation_name, m.observation_unit, date_created, date_expired, o_orderkey
+        FROM oc JOIN j USING (n_nationkey, n_regionkey),
+             (VALUES ('feeding', 'percentage'), ('weight', 'grams')) m(observation_name, observation_unit)
+        WHERE error_message IS NULL AND (m.observation_name = 'feeding' OR n_regionkey <> 2))
+SELECT TIMESTAMP '2024-01-01 00:00:00' AS timestamp, 'nation-' || n_nationkey AS file_path,
+       (CASE WHEN error_message IS NOT NULL THEN 0 WHEN n_regionkey = 2 THEN n ELSE 2 * n END)::BIGINT AS rows_loaded,
+       error_message, NULL::VARCHAR AS observation_name, NULL::VARCHAR AS observation_unit, NULL::DATE AS date_created,
+       NULL::DATE AS date_expired, NULL::BIGINT AS n_rows, NULL::BIGINT AS n_ids FROM j
+UNION ALL SELECT TIMESTAMP '2024-01-01 00:00:00', 'empty-' || r_regionkey, 0, 'Missing ''productid'' column',
+       NULL, NULL, NULL, NULL, NULL, NULL FROM region
+UNION ALL SELECT NULL, NULL, NULL, NULL, observation_name, observation_unit, date_created, date_expired, count(*),
+       count(DISTINCT o_orderkey) FROM obs GROUP BY observation_name, observation_unit, date_created, date_expired
+"""
+
+
+def q_truncate_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Truncate-and-load twice: the table holds the second load only, in the master schema."""
+    path = scratch_path(spark, f"master-{uuid.uuid4().hex}")
+    loadop.truncate_load(load(spark, sf, "supplier").withColumnRenamed("s_suppkey", "c_custkey"), path,
+                         CUSTOMER_MASTER)
+    loadop.truncate_load(load(spark, sf, "customer"), path, CUSTOMER_MASTER)
+    return read_table(spark, path)
+
+
 # ---------------------------------------------------------------- search
 def q_search_one(spark: SparkSession, sf: str) -> DataFrame:
     """One keyword, LIKE '%kw%' over every column cast to string."""
@@ -226,17 +296,19 @@ def q_conform_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- name cleaning
-# The name rewrite of the reference (needle and replacement list);
-# the needle used on the test tables is a brand that also prefixes longer brands.
-REWRITE_NEEDLE = "Product 6"
+# The replacement list of the reference's name rewrite; the needle
+# used on the test tables is a brand that also prefixes longer brands.
 REWRITE_TO = "product 1, product 2, product 3, product 4"
 TEST_NEEDLE = "Brand#2"
 
 
 def q_clean_names(spark: SparkSession, sf: str) -> DataFrame:
-    """List rewrite when it contains a name (B18), split, drop empties (B16), NULL -> 'null' (B17)."""
+    """List rewrite when it contains a name (B18), split, drop empties (B16), NULL -> 'null' (B17).
+
+    Each list gets two empty items at its end.
+    """
     raw = raw_documents(spark, sf).withColumn(
-        "Product_names", replace_when_contains("Product_names", TEST_NEEDLE, REWRITE_TO))
+        "Product_names", F.concat(replace_when_contains("Product_names", TEST_NEEDLE, REWRITE_TO), F.lit(", ,")))
     items = explode_list(raw, "Product_names", DOC_KEY, "Product_Name")
     items = items.where((F.col("Product_Name") != "") | F.col("Product_Name").isNull())
     return items.select(DOC_KEY, F.col("pos").cast("long").alias("pos"),
@@ -245,7 +317,7 @@ def q_clean_names(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_CLEAN_NAMES = "WITH " + _RAW_SQL + r""",
 r2 AS (SELECT o_orderkey, CASE WHEN contains(Product_names, 'Brand#2')
-              THEN 'product 1, product 2, product 3, product 4' ELSE Product_names END AS pn FROM raw),
+              THEN 'product 1, product 2, product 3, product 4' ELSE Product_names END || ', ,' AS pn FROM raw),
 it AS (SELECT o_orderkey, (i - 1)::BIGINT AS pos,
               regexp_replace(string_split(pn, ',')[i], '^\s+|\s+$', '', 'g') AS n
        FROM r2, range(1, len(string_split(pn, ',')) + 1) t(i) WHERE pn IS NOT NULL
@@ -301,6 +373,8 @@ QUERIES = {
     "observations_long": (q_observations_long, SQL_OBSERVATIONS_LONG),
     "file_date_range": (q_file_date_range, SQL_FILE_DATE_RANGE),
     "run_log": (q_run_log, SQL_RUN_LOG),
+    "run_log_files": (q_run_log_files, SQL_RUN_LOG_FILES),
+    "truncate_load": (q_truncate_load, SQL_CONFORM_SCHEMA),
     "observations_loaded": (q_observations_loaded, SQL_OBSERVATIONS_LOADED),
     "search_one": (q_search_one, SQL_SEARCH_ONE),
     "search_many": (q_search_many, SQL_SEARCH_MANY),

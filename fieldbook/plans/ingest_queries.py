@@ -9,12 +9,17 @@ year), never by id arithmetic; every row of the source tables flows through.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldbook.operators import ingest
 from fieldbook.operators.ids import dense_ids
 from fieldbook.plans.tables import load, written_input
+from fieldbook.session import scratch_path
+from fieldbook.sources import io
 
 KEYS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 PAYLOAD = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -32,8 +37,8 @@ INSERT_SEQ_BASE = 10 ** 12
 
 
 def lines(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
-    """Line items with ``seq`` = 1..n, their position in the batch (written once
-    per session, as a batch file would be)."""
+    """Line items with ``seq`` = 1..n, their position in the batch (written, as a
+    batch file would be)."""
     def build():
         li = load(spark, sf, "lineitem")
         return dense_ids(li, LINE_ORDER, id_col="seq")
@@ -134,7 +139,7 @@ FROM g
 def _upsert_inputs(spark: SparkSession, sf: str):
     stored = _stored(spark, sf, F.col("o_orderstatus") != "P", with_key=False)
     li = lines(spark, sf, "l_orderkey", "l_extendedprice", "l_linestatus", "l_returnflag")
-    updates = li.where(F.col("l_returnflag") == "R").select(
+    updates = li.select(
         "seq",
         F.create_map(
             F.lit("id"), F.col("l_orderkey").cast("string"),
@@ -171,7 +176,7 @@ s AS (SELECT o_orderkey AS id, o_custkey, o_orderstatus, o_totalprice, o_orderpr
                   o_orderdate::DATE AS created_date, o_orderdate AS last_updated_timestamp
            FROM orders WHERE o_orderstatus <> 'P'),
 u AS (SELECT seq, l_orderkey AS id, l_extendedprice AS o_totalprice,
-             l_linestatus AS o_orderpriority FROM li WHERE l_returnflag = 'R'),
+             l_linestatus AS o_orderpriority FROM li),
 uw AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS rn FROM u),
 uo AS (SELECT uw.seq, uw.id,
          CASE WHEN rn > 1 THEN 'duplicate' WHEN s.id IS NULL THEN 'unknown_id'
@@ -206,45 +211,35 @@ SELECT id, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, DATE '1998-0
 
 
 def q_json_updates(spark: SparkSession, sf: str) -> DataFrame:
-    """Partial updates read from JSON-array files with key presence (A4 + G5 + Q11).
-
-    Stand-in files: one JSON array per ship year of the returned line items,
-    elements in line order; each element sets ``o_totalprice`` and
-    ``o_orderpriority`` of its order, the priority given as an explicit
-    JSON null for open lines.  An explicit null is an ``error`` (row
-    unchanged), as in the reference where the UPDATE fails.
+    """Partial updates read from JSON-lines files with key presence (A4 + G5 + Q11).
+
+    Stand-in files: one folder of lines per return flag, an object per line
+    item that sets ``o_totalprice`` and ``o_orderpriority`` of its order, the
+    priority given as an explicit JSON null for open lines.  An explicit null
+    is an ``error`` (row unchanged), as in the reference where the UPDATE
+    fails.  The batch position rides along as ``seq``, since which file a
+    line lands in is Spark's choice.
     """
-    import uuid
-    from fieldbook.session import scratch_path
-    from fieldbook.sources import io
-
-    li = lines(spark, sf, "l_orderkey", "l_extendedprice", "l_linestatus", "l_returnflag", "l_shipdate")
-    el = F.to_json(F.struct(
+    li = lines(spark, sf, "l_orderkey", "l_extendedprice", "l_linestatus", "l_returnflag")
+    text = F.to_json(F.struct(
         F.col("l_orderkey").cast("string").alias("id"),
         F.col("l_extendedprice").cast("string").alias("o_totalprice"),
         F.when(F.col("l_linestatus") != "O", F.col("l_linestatus")).alias("o_orderpriority"),
+        F.col("seq"),
     ), {"ignoreNullFields": "false"})
-    files = (
-        li.where(F.col("l_returnflag") == "R")
-        .groupBy(F.year("l_shipdate").alias("y"))
-        .agg(F.array_sort(F.collect_list(F.struct(F.col("seq"), el.alias("j")))).alias("_a"))
-        .select("y", F.concat(F.lit("["), F.array_join(F.transform("_a", lambda e: e["j"]), ","),
-                              F.lit("]")).alias("value"))
-    )
     base = scratch_path(spark, f"json-updates-{uuid.uuid4().hex}")
-    files.write.partitionBy("y").text(base)
-    batch = io.read_json_maps(spark, base)
-    updates = batch.select("seq", F.col("fields")["id"].try_cast("long").alias("id"),
-                           F.map_filter("fields", lambda k, v: k != F.lit("id")).alias("fields"))
+    li.select(F.col("l_returnflag").alias("flag"), text.alias("value")).write.partitionBy("flag").text(base)
+    batch = io.read_json_maps(spark, base, seq_col="read_seq", multiline=False)
+    f = F.col("fields")
+    updates = batch.select(f["seq"].cast("long").alias("seq"), f["id"].try_cast("long").alias("id"),
+                           F.map_filter("fields", lambda k, v: ~k.isin("id", "seq")).alias("fields"))
     stored = _stored(spark, sf, F.col("o_orderstatus") != "P", with_key=False)
     _, out = ingest.apply_updates(stored, updates, NOW)
     return out.select("seq", "id", "outcome")
 
 
 SQL_JSON_UPDATES = "WITH " + LINE_SEQ_SQL + """,
-u AS (SELECT seq AS lseq, year(l_shipdate) AS y, l_orderkey AS id, l_linestatus = 'O' AS has_null
-      FROM li WHERE l_returnflag = 'R'),
-b AS (SELECT row_number() OVER (ORDER BY y, lseq) AS seq, id, has_null FROM u),
+b AS (SELECT seq, l_orderkey AS id, l_linestatus = 'O' AS has_null FROM li),
 bw AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS rn FROM b),
 s AS (SELECT o_orderkey AS id, o_orderdate AS ts FROM orders WHERE o_orderstatus <> 'P')
 SELECT bw.seq, bw.id,
@@ -255,6 +250,37 @@ FROM bw LEFT JOIN s ON s.id = bw.id
 """
 
 
+def q_json_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON lines, some torn, some with a value that does not fit: rows read and rejects, none lost (A4).
+
+    Stand-in file: one object per order; lines of 5-LOW orders end before
+    their closing brace, those of open 4-NOT SPECIFIED ones give text for the key.
+    """
+    o = load(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    key = F.when((F.col("o_orderpriority") == "4-NOT SPECIFIED") & (F.col("o_orderstatus") == "O"),
+                 F.concat(F.lit('"K'), F.col("o_orderkey"), F.lit('"'))).otherwise(F.col("o_orderkey").cast("string"))
+    end = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(F.lit('"}'))
+    text = F.concat(F.lit('{"o_orderkey": '), key, F.lit(', "o_orderstatus": "'), F.col("o_orderstatus"), end)
+    base = scratch_path(spark, f"json-rejects-{uuid.uuid4().hex}")
+    o.select(text.alias("value")).write.text(base)
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderstatus", T.StringType())])
+    good = io.read_json_batch(spark, base, schema, on_bad="skip").withColumn("record", F.lit(None).cast("string"))
+    bad = io.json_rejects(spark, base, schema).select("record")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+SQL_JSON_REJECTS = """
+WITH l AS (SELECT o_orderkey, o_orderstatus, o_orderpriority = '5-LOW' AS torn,
+                  o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'O' AS unfit FROM orders)
+SELECT CASE WHEN NOT (torn OR unfit) THEN o_orderkey END AS o_orderkey,
+       CASE WHEN NOT (torn OR unfit) THEN o_orderstatus END AS o_orderstatus,
+       CASE WHEN torn OR unfit THEN '{"o_orderkey": ' || CASE WHEN unfit THEN '"K' || o_orderkey || '"'
+            ELSE o_orderkey::VARCHAR END || ', "o_orderstatus": "' || o_orderstatus
+            || CASE WHEN torn THEN '' ELSE '"}' END END AS record
+FROM l
+"""
+
+
 def q_flatten_formulation(spark: SparkSession, sf: str) -> DataFrame:
     """Nested payload (order + array of line structs) flattened to one row per element."""
     o = load(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
@@ -383,5 +409,6 @@ QUERIES = {
     "row_difference": (q_row_difference, SQL_ROW_DIFFERENCE),
     "add_rows_replace": (q_add_rows_replace, SQL_ADD_ROWS_REPLACE),
     "json_batch_insert": (q_json_batch_insert, SQL_JSON_BATCH_INSERT),
+    "json_rejects": (q_json_rejects, SQL_JSON_REJECTS),
     "json_updates": (q_json_updates, SQL_JSON_UPDATES),
 }

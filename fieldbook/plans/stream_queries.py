@@ -48,10 +48,18 @@ def run_stream_insert(spark: SparkSession, sf: str) -> str:
 def q_stream_insert(spark: SparkSession, sf: str) -> DataFrame:
     """Drop-folder stream with in-batch dedupe, existence check and ids per micro-batch (S1 + G3)."""
     table = run_stream_insert(spark, sf)
-    return read_ingested(spark, table).select(*EVENT_KEYS)
+    got = read_ingested(spark, table)
+    # with these the ids are seen to be 1..n without gap or repeat
+    facts = {"first_id": F.min("id"), "last_id": F.max("id"), "n_ids": F.count_distinct("id")}
+    return got.select(*[c for c in got.columns if c != "id"],
+                      *[got.agg(f.alias(name)).scalar().alias(name) for name, f in facts.items()])
 
 
-SQL_STREAM_INSERT = "SELECT DISTINCT event_id, user_id, event_type, value FROM events"
+SQL_STREAM_INSERT = """
+WITH e AS (SELECT DISTINCT event_id, user_id, event_type, value FROM events)
+SELECT e.*, DATE '2024-01-01' AS created_date, TIMESTAMP '2024-01-01 00:00:00' AS last_updated_timestamp,
+       1::BIGINT AS first_id, n AS last_id, n AS n_ids FROM e, (SELECT count(*) AS n FROM e)
+"""
 
 ORDER_TABLE = T.StructType([
     T.StructField("id", T.LongType()),
@@ -70,7 +78,7 @@ def q_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
     Drop 1: finished orders as insert records.  Drop 2, derived by Spark from
     the table after drop 1: a partial update (new priority) for every urgent
-    row by its id, plus open orders as insert records.  No age guard, since
+    row by its id, plus all other orders as insert records.  No age guard, since
     both batches carry the same run time.  Output: the final table without
     its generated ids and stamps.
     """
@@ -90,7 +98,7 @@ def q_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     after1 = read_ingested(spark, f"{base}/table")
     updates = after1.where(F.col("o_orderpriority") == "1-URGENT").select(
         F.col("id").cast("string").alias("id"), F.lit("1-URGENT-REVIEWED").alias("o_orderpriority"))
-    inserts = o.where(F.col("o_orderstatus") == "O").select(*as_text)
+    inserts = o.where(F.col("o_orderstatus") != "F").select(*as_text)
     updates.unionByName(inserts, allowMissingColumns=True).write.mode("overwrite").json(f"{base}/src/drop2")
     run()
     return read_ingested(spark, f"{base}/table").select(*ORDER_KEYS)
@@ -101,7 +109,7 @@ SELECT o_custkey, o_orderstatus, o_totalprice,
        CASE WHEN o_orderpriority = '1-URGENT' THEN '1-URGENT-REVIEWED' ELSE o_orderpriority END AS o_orderpriority
 FROM orders WHERE o_orderstatus = 'F'
 UNION ALL
-SELECT o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus = 'O'
+SELECT o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus <> 'F'
 """
 
 QUERIES = {

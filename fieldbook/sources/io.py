@@ -1,22 +1,22 @@
 """Scans and sinks: Parquet tables, JSON batches, file folders, snapshots.
 
 Snapshots stand in for a transactional table format (none is on the
-classpath here): a table is a folder of ``v=<n>/`` versions plus a one-line
-``_current`` pointer written last.  Readers resolve the pointer, so a job
-never overwrites the folder it is reading, and a failed write leaves the old
-version current.
+classpath here): a table is a folder of ``v=<n>/`` versions, each committed
+by an empty ``_committed`` file written last.  Readers take the highest
+committed version, so a job never overwrites the folder it is reading, and a
+failed write leaves the old version current.
 """
 
 from __future__ import annotations
 
-import os
+import re
 from typing import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-POINTER = "_current"
+COMMITTED = "_committed"
 
 
 # ---------------------------------------------------------------- reads
@@ -41,78 +41,179 @@ def table_columns(df: DataFrame) -> list[str]:
     return list(df.columns)
 
 
+FIELDS = T.MapType(T.StringType(), T.StringType(), True)
+
+
+def parse_object(text: Column) -> Column:
+    """A JSON object's fields as ``map<string,string>``; NULL for anything else.
+
+    Exactly one whole object: a torn line, an array, a bare value or text
+    after the closing brace is NULL.  A field given as JSON null is a present
+    key with a NULL value, a missing field an absent key; nested values stay
+    JSON text.
+    """
+    whole = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(T.StringType()))
+    is_object = (F.size(whole) == 1) & F.ltrim(text).startswith("{")
+    return F.when(is_object, F.from_json(text, FIELDS))
+
+
+def typed_field(fields: Column, name: str, dtype: T.DataType) -> Column:
+    """One field of a map in its column type; NULL when absent, null or not of that type."""
+    v = fields[name]
+    return F.from_json(v, dtype) if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)) else v.try_cast(dtype)
+
+
+def fields_fit(fields: Column, schema: T.StructType) -> Column:
+    """True when every field of ``schema`` that has a value fits its column type.
+
+    One test on an array, so that the optimizer does not derive a filter per
+    column and combination of columns from it.
+    """
+    misfits = [fields[f.name].isNotNull() & typed_field(fields, f.name, f.dataType).isNull() for f in schema.fields]
+    return ~F.array_contains(F.array(*misfits), True) if misfits else F.lit(True)
+
+
+def _json_records(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
+    """(_file, _start, record, fields): every JSON record, ``fields`` NULL where it is malformed.
+
+    Lines are read as splittable text, blank ones skipped; an array file is
+    one row (``wholetext``), and one that does not parse is a single record.
+    """
+    reader = spark.read.option("recursiveFileLookup", True).option("wholetext", multiline)
+    raw = reader.text(path).select(F.col("_metadata.file_path").alias("_file"),
+                                   F.col("_metadata.file_block_start").alias("_start"), "value")
+    if not multiline:
+        return raw.where(F.trim("value") != "").select(
+            "_file", "_start", F.col("value").alias("record"), parse_object(F.col("value")).alias("fields"))
+    text = F.when(F.ltrim("value").startswith("{"), F.concat(F.lit("["), F.col("value"), F.lit("]"))).otherwise(
+        F.col("value"))
+    whole = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(T.StringType()))
+    items = F.when((F.size(whole) == 1) & F.ltrim(text).startswith("["), F.from_json(text, T.ArrayType(T.StringType())))
+    objects = F.forall("_items", lambda e: F.coalesce(F.ltrim(e).startswith("{"), F.lit(False)))
+    maps = F.when(objects, F.from_json(text, T.ArrayType(FIELDS))).otherwise(F.transform("_items", parse_object))
+    one = F.struct(F.col("value").alias("record"), F.lit(None).cast(FIELDS).alias("fields"))
+    pairs = F.zip_with("_items", "_maps", lambda r, m: F.struct(r.alias("record"), m.alias("fields")))
+    return (
+        raw.withColumn("_items", items).withColumn("_maps", maps)
+        .select("_file", F.posexplode(F.when(F.col("_items").isNull(), F.array(one)).otherwise(pairs))
+                .alias("_start", "_e"))
+        .select("_file", F.col("_start").cast("long").alias("_start"), "_e.record", "_e.fields")
+    )
+
+
+def _keep_good(records: DataFrame, good: Column, on_bad: str) -> DataFrame:
+    if on_bad == "skip":
+        return records.where(good)
+    if on_bad != "fail":
+        raise ValueError("on_bad must be 'fail' or 'skip'")
+    message = F.concat(F.lit("malformed JSON record in "), F.col("_file"))
+    return records.where(F.when(good, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+
+
+def _good(schema: T.StructType | None) -> Column:
+    ok = F.col("fields").isNotNull()
+    return ok if schema is None else ok & F.coalesce(fields_fit(F.col("fields"), schema), F.lit(False))
+
+
+def json_rejects(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                 multiline: bool = False) -> DataFrame:
+    """(file_path, record): the records that the JSON readers of this module do not return.
+
+    A torn line, an element that is no object, an array file that does not
+    parse (its whole text), and with ``schema`` a value that does not fit its
+    column.
+    """
+    return _json_records(spark, path, multiline).where(~_good(schema)).select(
+        F.col("_file").alias("file_path"), "record")
+
+
 def read_json_batch(spark: SparkSession, path: str, schema: T.StructType,
-                    multiline: bool = False, seq_col: str | None = None) -> DataFrame:
+                    multiline: bool = False, seq_col: str | None = None, on_bad: str = "fail") -> DataFrame:
     """Read a JSON batch with a fixed schema (no inference).
 
-    JSON lines by default (splittable); ``multiline=True`` for a file holding
+    JSON lines by default (splittable); ``multiline=True`` for files holding
     one JSON array.  With ``seq_col`` each row gets its position in the batch
     (file name, then position in the file) so batch order can decide ids and
-    which duplicate wins.
+    which duplicate wins.  A malformed record fails the job, or with
+    ``on_bad="skip"`` is left to ``json_rejects``.
     """
-    if not multiline:
-        df = spark.read.schema(schema).json(path)
-        if seq_col:
-            from fieldbook.operators.ids import read_order
-            df = read_order(df.withColumn("_file", F.col("_metadata.file_path"))
-                            .withColumn("_start", F.col("_metadata.file_block_start")), seq_col)
-        return df
-    return read_json_array(spark, path, schema, seq_col or "_seq")
+    if multiline:
+        return read_json_array(spark, path, schema, seq_col or "_seq", on_bad=on_bad)
+    df = _keep_good(_json_records(spark, path, False), _good(schema), on_bad)
+    cols = [typed_field(F.col("fields"), f.name, f.dataType).alias(f.name) for f in schema.fields]
+    if not seq_col:
+        return df.select(*cols)
+    from fieldbook.operators.ids import read_order
+    return read_order(df.select("_file", "_start", *cols), seq_col)
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType, seq_col: str = "seq",
-                    file_col: str | None = None) -> DataFrame:
+                    file_col: str | None = None, on_bad: str = "fail") -> DataFrame:
     """Files that each hold one JSON array of objects; keeps element order.
 
-    Each file is one row (``wholetext``), parsed with ``from_json`` and
-    ``posexplode``d; ``seq_col`` numbers the elements 1..n by (file name,
-    position in the file).
+    ``seq_col`` numbers the elements 1..n by (file name, position in the
+    file).  Malformed elements and files as in ``read_json_batch``.
     """
-    raw = spark.read.option("wholetext", True).text(path)
-    raw = raw.withColumn("_file", F.col("_metadata.file_path"))
-    parsed = raw.select("_file", F.posexplode(F.from_json("value", T.ArrayType(schema))).alias("_pos", "_r"))
-    cols = [F.col("_r")[f.name].alias(f.name) for f in schema.fields]
-    out = _number_by_file(parsed.select("_file", "_pos", *cols), seq_col)
-    if file_col:
-        out = out.withColumnRenamed("_file", file_col)
-    else:
-        out = out.drop("_file")
-    return out.select(*([file_col] if file_col else []), seq_col, *[f.name for f in schema.fields])
-
-
-def read_json_maps(spark: SparkSession, path: str, seq_col: str = "seq") -> DataFrame:
-    """JSON array files read as ``map<string,string>`` rows, numbered like ``read_json_array``.
-
-    Key presence survives: a field given as JSON null is a present key with
-    a NULL value, a missing field is an absent key.  Used for partial updates.
+    good = _keep_good(_json_records(spark, path, True), _good(schema), on_bad)
+    out = _number_by_file(good, seq_col)
+    cols = [typed_field(F.col("fields"), f.name, f.dataType).alias(f.name) for f in schema.fields]
+    return out.select(*([F.col("_file").alias(file_col)] if file_col else []), seq_col, *cols)
+
+
+def read_json_maps(spark: SparkSession, path: str, seq_col: str = "seq", multiline: bool = True,
+                   on_bad: str = "fail") -> DataFrame:
+    """JSON objects read as ``map<string,string>`` rows, numbered in read order.
+
+    Array files, or with ``multiline=False`` JSON lines (splittable).  Key
+    presence survives: a field given as JSON null is a present key with a
+    NULL value, a missing field an absent key.  Used for partial updates.
     """
-    raw = spark.read.option("wholetext", True).text(path)
-    mt = T.ArrayType(T.MapType(T.StringType(), T.StringType(), True))
-    parsed = raw.select(
-        F.col("_metadata.file_path").alias("_file"),
-        F.posexplode(F.from_json("value", mt)).alias("_pos", "fields"),
-    )
-    return _number_by_file(parsed, seq_col).select(seq_col, "fields")
+    good = _keep_good(_json_records(spark, path, multiline), _good(None), on_bad)
+    if multiline:
+        return _number_by_file(good, seq_col).select(seq_col, "fields")
+    from fieldbook.operators.ids import read_order
+    return read_order(good.select("_file", "_start", "fields"), seq_col)
 
 
 def _number_by_file(df: DataFrame, seq_col: str) -> DataFrame:
     from fieldbook.operators.ids import dense_ids
-    return dense_ids(df, ["_file", "_pos"], id_col=seq_col).drop("_pos")
+    return dense_ids(df, ["_file", "_start"], id_col=seq_col)
+
+
+def list_files(spark: SparkSession, path: str, file_col: str = "file_path") -> DataFrame:
+    """One row per file below ``path``, empty ones included; no content is read.
+
+    The names come from Spark's own file index, which the driver holds for
+    every scan anyway.
+    """
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).inputFiles()
+    # as ``_metadata.file_path`` writes it
+    return spark.createDataFrame([(re.sub("^file:/+", "file:/", n),) for n in names], f"{file_col} string")
+
+
+def read_sheets(spark: SparkSession, path: str, file_col: str = "file_path") -> tuple[DataFrame, DataFrame]:
+    """A folder of JSON-lines sheet exports: (rows with a ``fields`` map, one row per listed file).
+
+    Rows keep their own keys, so a file has only the columns it brings.  The
+    file rows carry ``n_bad``, the number of lines that are no JSON object:
+    a torn file is known by it and loses nothing silently.
+    """
+    records = _json_records(spark, path, False).withColumnRenamed("_file", file_col)
+    bad = records.groupBy(file_col).agg(F.count_if(F.col("fields").isNull()).alias("n_bad"))
+    files = list_files(spark, path, file_col).join(bad, file_col, "left").fillna(0, ["n_bad"])
+    return records.where(F.col("fields").isNotNull()).select(file_col, "fields"), files
 
 
 def read_folder(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None,
                 options: dict | None = None, file_col: str = "file_path",
-                skip_bad_files: bool = True) -> DataFrame:
+                skip_bad_files: bool = False) -> DataFrame:
     """All files of a folder as one DataFrame plus the source file of each row.
 
-    Sheets are exported as CSV/JSON/Parquet (spreadsheet decoding is not a
-    Spark job); ``file_col`` comes from the hidden ``_metadata`` column.
-    Files whose columns differ should be JSON (schema = union of the files'
-    fields) or Parquet (read with ``mergeSchema``): a column a file lacks is
-    NULL for its rows.  CSV takes one header for all files, so it fits only
-    folders of identically shaped sheets.  With ``skip_bad_files`` a file
-    that vanished or cannot be decoded yields no rows instead of failing the
-    job (``ignoreMissingFiles`` / ``ignoreCorruptFiles``).
+    ``file_col`` comes from the hidden ``_metadata`` column.  Fits folders of
+    identically shaped sheets; ``read_sheets`` keeps each file's own columns.
+    A file that vanished or cannot be decoded fails the job; only
+    ``skip_bad_files=True`` drops its rows (``ignoreMissingFiles`` /
+    ``ignoreCorruptFiles``).
     """
     reader = spark.read.format(fmt)
     if schema is not None:
@@ -156,36 +257,43 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """Folder of the current snapshot of ``path`` or None when not a snapshot table."""
+def _versions(spark: SparkSession, path: str) -> dict[int, bool]:
+    """Version number -> committed, of the ``v=<n>`` folders under ``path``."""
     fs, p = _fs(spark, path)
-    ptr = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, POINTER)
-    if not fs.exists(ptr):
-        return None
-    stream = fs.open(ptr)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        name = reader.readLine().strip()
-    finally:
-        stream.close()
-    return f"{path.rstrip('/')}/{name}"
+    if not fs.exists(p):
+        return {}
+    found = {}
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
+            marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), COMMITTED)
+            found[int(name[2:])] = fs.exists(marker)
+    return found
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the highest committed snapshot of ``path``; None when it is no snapshot table.
+
+    Versions of which none is committed raise: their rows are unfinished.
+    """
+    found = _versions(spark, path)
+    done = [n for n, committed in found.items() if committed]
+    if found and not done:
+        raise ValueError(f"{path} holds no committed version")
+    return f"{path.rstrip('/')}/v={max(done)}" if done else None
 
 
 def _next_version(spark: SparkSession, path: str) -> int:
-    cur = current_version(spark, path)
-    if cur is None:
-        return 1
-    return int(os.path.basename(cur).split("=", 1)[1]) + 1
+    return max((n for n, committed in _versions(spark, path).items() if committed), default=0) + 1
 
 
 def write_snapshot(df: DataFrame, path: str, version: int | None = None,
                    extra_files: dict[str, str] | None = None) -> str:
     """Write ``df`` as a new version of the table at ``path`` and switch to it.
 
-    The data lands in ``path/v=<n>/`` first; only then is the pointer
-    replaced, so readers see the old or the new version, never a half one.
-    Reading the current version while writing the next is safe.
+    The data lands in ``path/v=<n>/`` first, ``extra_files`` next and the
+    commit marker last, so readers see the old or the new version, never a
+    half one.  Reading the current version while writing the next is safe.
     """
     spark = df.sparkSession
     n = version if version is not None else _next_version(spark, path)
@@ -193,12 +301,12 @@ def write_snapshot(df: DataFrame, path: str, version: int | None = None,
     df.write.mode("overwrite").parquet(target)
     for name, content in (extra_files or {}).items():
         write_text_file(spark, f"{target}/{name}", content)
-    _write_pointer(spark, path, f"v={n}")
+    write_text_file(spark, f"{target}/{COMMITTED}", "")
     return target
 
 
 def write_text_file(spark: SparkSession, path: str, content: str) -> None:
-    """Small control file (pointer, marker) through the Hadoop file system."""
+    """Small control file (marker) through the Hadoop file system."""
     fs, p = _fs(spark, path)
     out = fs.create(p, True)
     try:
@@ -220,21 +328,6 @@ def read_text_file(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def _write_pointer(spark: SparkSession, path: str, value: str) -> None:
-    fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(p, POINTER + ".tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray((value + "\n").encode("utf-8")))
-    finally:
-        out.close()
-    dst = jvm.org.apache.hadoop.fs.Path(p, POINTER)
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    fs.rename(tmp, dst)
-
-
 def write_tables(tables: dict[str, DataFrame], base: str, mode: str = "snapshot") -> dict[str, str]:
     """Write a dict of frames (e.g. the 8 normalised tables), one folder each."""
     out = {}

@@ -6,26 +6,29 @@ micro-batch goes through the batch operators (``ingest.insert_new`` or
 
 Exactly-once without a transactional table format:
 
-* insert mode appends the micro-batch's new rows into a folder named after
-  (query id, batch id), written with ``overwrite``; the existence check
-  leaves that folder out, so a replayed batch writes the same rows again
-  instead of adding them twice;
+* insert mode writes the micro-batch's new rows into a folder named after
+  (query id, batch id) with ``overwrite``; the existence check leaves that
+  folder out, so a replayed batch writes the same rows again instead of
+  adding them twice.  Its highest id is written before its rows, so a crash
+  between the two leaves a gap in the ids, never a second use of one;
 * upsert mode writes a new snapshot version holding a marker of the
-  (query id, batch id) it applied and then moves the pointer, so data and
-  marker commit together; a replay of an applied batch is skipped.
+  (query id, batch id) it applied, so data and marker commit together; a
+  replay of an applied batch is skipped.
 
 The query id survives restarts with the same checkpoint, while batch ids
 restart at 0 with a fresh checkpoint; keying on both keeps a fresh
 checkpoint from being mistaken for a replay.  Batch order inside a
 micro-batch is (file name, position in the file).  Dropped files are JSON
-lines (splittable); in upsert mode a JSON null and a missing field are
-the same (both absent), unlike the map reader of ``sources.io``.
+lines (splittable), read as field maps, so a JSON null and a missing field
+stay apart.  A line that is no JSON object, or in insert mode holds a value
+that does not fit its column, goes to ``rejects/`` with its file.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,96 +54,102 @@ def with_batch_order(batch: DataFrame, seq: str = "seq", max_files: int = 100) -
     return read_order(batch, seq, max_files=max_files)
 
 
-def read_drops(spark: SparkSession, src_dir: str, schema: T.StructType, max_files: int = 100) -> DataFrame:
-    """Stream of JSON-lines files dropped anywhere under ``src_dir`` (fixed schema)."""
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-        .option("recursiveFileLookup", "true").json(src_dir)
-        .withColumn("_file", F.col("_metadata.file_path"))
-        .withColumn("_start", F.col("_metadata.file_block_start"))
-    )
+def read_drops(spark: SparkSession, src_dir: str, max_files: int = 100) -> DataFrame:
+    """Stream of the lines of files dropped anywhere under ``src_dir``: (_file, _start, record, fields)."""
+    lines = spark.readStream.option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", "true").text(src_dir)
+    return lines.where(F.trim("value") != "").select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.col("value").alias("record"), io.parse_object(F.col("value")).alias("fields"))
+
+
+def _seed_ids(spark: SparkSession, data: str, ids: str, id_col: str) -> None:
+    """Record the highest id of rows whose folder has no entry in ``ids/`` (a table loaded by other means)."""
+    rows = io.read_table(spark, data)
+    if io._exists(spark, ids):
+        seen = io.read_table(spark, ids).select("batch").where(F.col("batch") != "seed").distinct()
+        rows = rows.join(seen, "batch", "left_anti")
+    rows = materialize(rows.agg(F.max(id_col).alias(id_col)), "stream-seed")
+    rows.write.mode("overwrite").parquet(f"{ids}/batch=seed")
 
 
 def start_ingest(spark: SparkSession, src_dir: str, table: str, checkpoint: str, keys: list[str],
                  schema: T.StructType, mode: str = "insert", id_col: str = "id",
                  run_ts=None, min_age: str | None = ingest.DEFAULT_MIN_AGE,
-                 available_now: bool = True, max_files: int = 100, key_buckets: int = 16):
+                 available_now: bool = True, max_files: int = 100):
     """Start the stream; returns the ``StreamingQuery``.
 
     ``schema`` is the stored table's schema (id, payload, audit columns).
     insert mode: dropped rows (payload fields) get G3 treatment plus ids.
-    The table is partitioned by (batch, kb) with kb a hash bucket of the
-    key columns: a micro-batch reads only the buckets its rows fall in (the
-    touched bucket numbers, at most ``key_buckets``, are the one thing
-    collected).  Each micro-batch also writes its highest id to a one-row
-    ``ids/`` partition, so the next batch reads one row per batch for the
-    max id instead of scanning the id column of the table.
+    The table is a folder of ``batch=<tag>`` folders.  A micro-batch reads
+    the stored key columns only, against its own keys (broadcast when small),
+    so the stored table is scanned but not shuffled.  Each micro-batch writes
+    its highest id to a one-row ``ids/`` folder, which is read instead of
+    the id column; rows that came by other means are seen once, at start.
     upsert mode: dropped maps get G4 treatment (updates by id, inserts) and
     each micro-batch writes a new snapshot of the whole table.
+    Rows are stamped with ``run_ts`` or the Asia/Kolkata wall clock of the
+    batch's first run, which a replay takes again.
     """
     if mode not in ("insert", "upsert"):
         raise ValueError("mode must be 'insert' or 'upsert'")
-    data = f"{table.rstrip('/')}/data"
+    root = table.rstrip("/")
+    data, ids_dir = f"{root}/data", f"{root}/ids"
     if not io._exists(spark, data):
         empty = spark.createDataFrame([], schema)
         if mode == "insert":
-            empty.write.mode("overwrite").parquet(f"{data}/batch=init/kb=0")
+            empty.write.mode("overwrite").parquet(f"{data}/batch=init")
         else:
             io.write_snapshot(empty, data)
+    if mode == "insert":
+        _seed_ids(spark, data, ids_dir, id_col)
     payload = T.StructType([f for f in schema.fields
                             if f.name not in (id_col, "created_date", "last_updated_timestamp")])
-    if mode == "upsert":
-        # updates are field maps: every payload field plus the id, as text
-        payload = T.StructType([T.StructField(id_col, T.StringType())]
-                               + [T.StructField(f.name, T.StringType()) for f in payload.fields])
 
-    def stamp_time():
-        return run_ts or _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+    def stamp_time(s: SparkSession, tag: str) -> str:
+        if run_ts:
+            return run_ts
+        path = f"{root}/stamps/{tag}"
+        if io.read_text_file(s, path) is None:
+            now = _dt.datetime.now(ZoneInfo(ingest.DEFAULT_ZONE)).strftime("%Y-%m-%d %H:%M:%S")
+            io.write_text_file(s, path, now)
+        return io.read_text_file(s, path)
 
     def apply(batch_df: DataFrame, batch_id: int) -> None:
         s = batch_df.sparkSession
-        qid = s.sparkContext.getLocalProperty("sql.streaming.queryId") or "query"
-        tag = f"q{qid.replace('-', '')[:12]}-b{batch_id}"
-        now = stamp_time()
+        qid = s.sparkContext.getLocalProperty("sql.streaming.queryId")
+        tag = f"q{qid}-b{batch_id}"
+        marker = _read_marker(s, data) if mode == "upsert" else {}
+        if marker.get("query") == qid and int(marker.get("batch", -1)) >= batch_id:
+            return  # replay of an applied batch
+        now = stamp_time(s, tag)
+        ok = F.col("fields").isNotNull()
+        if mode == "insert":
+            ok = ok & F.coalesce(io.fields_fit(F.col("fields"), payload), F.lit(False))
+        lines = with_batch_order(batch_df.withColumn("file_path", F.col("_file")), max_files=max_files)
+        lines.where(~ok).select("seq", "file_path", "record").write.mode("overwrite") \
+            .parquet(f"{root}/rejects/batch={tag}")
+        good = lines.where(ok).select("seq", "fields")
         if mode == "insert":
+            rows = good.select("seq", *[io.typed_field(F.col("fields"), f.name, f.dataType).alias(f.name)
+                                        for f in payload.fields])
             # the batch's own folder is left out, so a replay after a crash
             # recomputes the same rows and overwrites them
-            table_all = io.read_table(s, data).where(F.col("batch") != tag)
-            rows = with_batch_order(batch_df, max_files=max_files).withColumn(
-                "kb", ingest.key_bucket(keys, key_buckets))
-            touched = [r.kb for r in rows.select("kb").distinct().collect()]  # <= key_buckets values
-            stored = table_all.where(F.col("kb").isin(touched)).drop("batch", "kb")
-            ids_dir = f"{table.rstrip('/')}/ids"
-            if io._exists(s, ids_dir):
-                id_source = io.read_table(s, ids_dir).where(F.col("batch") != tag).select(id_col)
-            else:
-                id_source = s.createDataFrame([], f"{id_col} long")
-            new, outcomes = ingest.insert_new(rows.drop("kb"), stored, keys, "seq", now, with_ids=True,
+            stored = io.read_table(s, data).where(F.col("batch") != tag).drop("batch")
+            id_source = io.read_table(s, ids_dir).where(F.col("batch") != tag).select(id_col)
+            new, outcomes = ingest.insert_new(rows, stored, keys, "seq", now, with_ids=True,
                                               id_col=id_col, id_source=id_source)
             new = materialize(new.select(*schema.fieldNames()), "stream-new")
-            new.withColumn("kb", ingest.key_bucket(keys, key_buckets)).repartition("kb").write.mode("overwrite") \
-                .partitionBy("kb").parquet(f"{data}/batch={tag}")
-            new.agg(F.max(id_col).alias(id_col)).where(F.col(id_col).isNotNull()).write.mode("overwrite") \
-                .parquet(f"{ids_dir}/batch={tag}")
-            outcomes.select("seq", "outcome", *keys).write.mode("overwrite") \
-                .parquet(f"{table.rstrip('/')}/outcomes/batch={tag}")
+            outcomes.select("seq", "outcome", *keys).write.mode("overwrite").parquet(f"{root}/outcomes/batch={tag}")
+            new.agg(F.max(id_col).alias(id_col)).write.mode("overwrite").parquet(f"{ids_dir}/batch={tag}")
+            new.write.mode("overwrite").parquet(f"{data}/batch={tag}")
         else:
-            marker = _read_marker(s, data)
-            if marker.get("query") == qid and int(marker.get("batch", -1)) >= batch_id:
-                return  # replay of an applied batch
-            stored = read_ingested(s, table)
-            fields = [f.name for f in payload.fields]
-            maps = with_batch_order(batch_df, max_files=max_files).select(
-                "seq", F.map_filter(F.create_map(*[x for c in fields for x in (F.lit(c), F.col(c))]),
-                                    lambda k, v: v.isNotNull()).alias("fields"))
-            tbl, outcomes = ingest.upsert(stored, maps, keys, now, id_col=id_col, min_age=min_age)
-            outcomes.write.mode("overwrite").parquet(f"{table.rstrip('/')}/outcomes/batch={tag}")
-            # the marker lands inside the new version: data and marker commit
-            # together when the pointer moves
+            tbl, outcomes = ingest.upsert(read_ingested(s, table), good, keys, now, id_col=id_col, min_age=min_age)
+            outcomes.write.mode("overwrite").parquet(f"{root}/outcomes/batch={tag}")
+            # the marker lands inside the new version before it is committed
             io.write_snapshot(tbl.select(*schema.fieldNames()), data,
                               extra_files={MARKER: json.dumps({"query": qid, "batch": batch_id})})
 
-    writer = read_drops(spark, src_dir, payload, max_files).writeStream.foreachBatch(apply).option(
+    writer = read_drops(spark, src_dir, max_files).writeStream.foreachBatch(apply).option(
         "checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
@@ -150,4 +159,4 @@ def read_ingested(spark: SparkSession, table: str) -> DataFrame:
     """The stream's target table (current snapshot or all appended batches)."""
     path = f"{table.rstrip('/')}/data"
     df = io.read_table(spark, path)
-    return df.drop(*[c for c in ("batch", "kb") if c in df.columns])
+    return df.drop("batch")

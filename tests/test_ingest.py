@@ -237,3 +237,44 @@ def test_default_now_is_current_wall_clock(spark):
     ups = _updates(spark, [(1, 1, {"strain_name": "n"})])
     _, out = ingest.apply_updates(stored, ups, None)
     assert outcomes(out) == ["updated"]
+
+
+def test_update_ignores_a_given_stamp_and_sets_a_given_date(spark):
+    stored = spark.createDataFrame([(1, "a")], "id long, name string").selectExpr(
+        "*", "DATE'2024-01-01' AS created_date", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS last_updated_timestamp")
+    upd = spark.createDataFrame([(1, 1, {"name": "b", "created_date": "2023-05-06",
+                                         "last_updated_timestamp": "1999-01-01 00:00:00"})],
+                                "seq long, id long, fields map<string,string>")
+    tbl, out = ingest.apply_updates(stored, upd, "2024-02-01 00:00:00")
+    r = tbl.collect()[0]
+    assert (r.name, str(r.created_date), str(r.last_updated_timestamp)) == ("b", "2023-05-06", "2024-02-01 00:00:00")
+    assert [x.outcome for x in out.collect()] == ["updated"]
+
+
+def test_insert_of_a_value_that_does_not_cast_is_an_error(spark):
+    stored = spark.createDataFrame([(1, "a", 5)], "id long, name string, qty long").selectExpr(
+        "*", "DATE'2024-01-01' AS created_date", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS last_updated_timestamp")
+    batch = spark.createDataFrame([(1, {"name": "b", "qty": "abc"}), (2, {"name": "c", "qty": None}),
+                                   (3, {"name": "d", "qty": "7"})], "seq long, fields map<string,string>")
+    tbl, out = ingest.upsert(stored, batch, ["name", "qty"], "2024-02-01 00:00:00")
+    assert sorted((r.seq, r.id, r.outcome) for r in out.collect()) == [
+        (1, None, "error"), (2, 2, "inserted"), (3, 3, "inserted")]
+    assert sorted((r.id, r.name, r.qty) for r in tbl.collect() if r.id > 1) == [(2, "c", None), (3, "d", 7)]
+
+
+def test_loose_exists_of_repeated_and_missing_values_equals_brute_force(spark):
+    import itertools
+    vals = ["1", "2", None]
+    stored_rows = [("1", "1", "2"), (None, "2", "2"), ("1", None, None), ("2", "2", "2")]
+    stored = spark.createDataFrame(stored_rows, "a string, b string, c string")
+    batch_rows = [(i, *t) for i, t in enumerate(itertools.product(vals, repeat=3))]
+    batch = spark.createDataFrame(batch_rows, "rid long, a string, b string, c string")
+    got = {r.rid: r.present for r in ingest.loose_exists(batch, stored, "rid").collect()}
+    assert got == {r[0]: any(set(s) <= set(r[1:]) for s in stored_rows) for r in batch_rows}
+
+
+def test_insert_new_with_one_key_in_a_third_of_the_rows(spark):
+    batch = spark.range(9000).selectExpr("id AS seq", "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS k")
+    stored = spark.range(100).selectExpr("id", "CAST(id AS STRING) AS k")
+    out = ingest.classify_new(batch, stored, ["k"], "seq").groupBy("outcome").count().collect()
+    assert {r.outcome: r["count"] for r in out} == {"duplicate": 2999, "exists": 66, "inserted": 5935}

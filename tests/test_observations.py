@@ -56,26 +56,50 @@ def test_load_files_per_file_outcomes(spark):
     assert (2, "feeding", None, got[1][3], got[1][4]) in got  # NULL measure kept
 
 
-def test_folder_of_json_sheets_with_different_columns(spark, tmp_dir):
+def _write(folder, name, records):
     import json
     import os
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("\n".join(r if isinstance(r, str) else json.dumps(r) for r in records))
+
+
+def test_folder_of_sheets_has_a_log_row_per_file_and_own_columns(spark, tmp_dir):
     from fieldbook.sources import io
     sheets = {
         "f1.json": [{"productid": 1, "product": "p", "feeding": 2.0}],
-        "f2.json": [{"product": "q", "weight": 3.0}],          # no productid column
+        "f2.json": [{"product": "q", "weight": 3.0}],                       # no productid column
+        "f3.json": [{"productid": 3, "product": "r", "weight": 1}, '{"productid": 4, "prod'],
+        "f4.json": [],                                                       # empty file
+        "f5.json": [{"productid": "P-12", "product": "s", "weight": 1}],
+        "f6.json": [{"productid": 6.0, "product": "t", "weight": 1}, {"productid": 7, "product": "t", "other": "2"}],
+        "f7.json": [{"productid": 8, "feeding": 1}],
+        "f 8.json": [{"productid": 9, "product": "u", "feeding": "much"}],
     }
     for name, recs in sheets.items():
-        with open(os.path.join(tmp_dir, name), "w") as f:
-            f.write("\n".join(json.dumps(r) for r in recs))
-    data_dir = tmp_dir + "-data"
-    os.makedirs(data_dir)
-    for name in sheets:
-        with open(os.path.join(data_dir, name), "w") as f:
-            f.write(json.dumps({"note": "on 02.03.2024"}))
-    sheet = io.read_folder(spark, tmp_dir, "json").withColumn(
-        "file_path", F.regexp_extract("file_path", r"([^/]+)$", 1))
-    data = io.read_folder(spark, data_dir, "json").withColumn(
-        "file_path", F.regexp_extract("file_path", r"([^/]+)$", 1))
+        _write(f"{tmp_dir}/sheets", name, recs)
+        _write(f"{tmp_dir}/data", name, [{"note": "on 02.03.2024"}])
+    for _ in range(2):
+        obs.load_folder(spark, f"{tmp_dir}/sheets", f"{tmp_dir}/data", "2024-04-01 00:00:00",
+                        f"{tmp_dir}/table", f"{tmp_dir}/log")
+    log = io.read_table(spark, f"{tmp_dir}/log").collect()
+    assert len(log) == 2 * len(sheets)                                       # appended by the second run
+    by_name = {r.file_path.replace("%20", " "): (r.rows_loaded, r.error_message) for r in log}
+    assert by_name == {
+        "f1.json": (1, None), "f2.json": (0, obs.MSG_NO_ID), "f3.json": (0, obs.MSG_UNREADABLE),
+        "f4.json": (0, obs.MSG_NO_ID), "f5.json": (0, obs.MSG_BAD_ID), "f6.json": (4, None),
+        "f7.json": (0, obs.MSG_NO_PRODUCT), "f 8.json": (0, obs.MSG_BAD_VALUE)}
+    got = rows(io.read_table(spark, f"{tmp_dir}/table").distinct(), "product_id", "observation_name",
+               "observation_value", "observation_unit")
+    assert got == [(1, "feeding", 2.0, "percentage"), (6, "other", None, "unknown"), (6, "weight", 1.0, "grams"),
+                   (7, "other", 2.0, "unknown"), (7, "weight", None, "grams")]
+
+
+def test_text_product_id_rejects_the_file(spark):
+    sheet = spark.createDataFrame([("a", "P-12", 1.0), ("b", "12", 1.0)],
+                                  "file_path string, productid string, feeding double")
+    data = spark.createDataFrame([("a", "01.01.2024"), ("b", "01.01.2024")], "file_path string, note string")
     rows_out, log = obs.load_files(sheet, data, "2024-04-01 00:00:00")
-    lg = {r.file_path: (r.rows_loaded, r.error_message) for r in log.collect()}
-    assert lg == {"f1.json": (2, None), "f2.json": (0, obs.MSG_NO_ID)}
+    assert {r.file_path: (r.rows_loaded, r.error_message) for r in log.collect()} == {
+        "a": (0, obs.MSG_BAD_ID), "b": (1, None)}
+    assert [r.product_id for r in rows_out.collect()] == [12]

@@ -122,17 +122,76 @@ def test_now_in_zone_is_the_zone_wall_clock(spark):
     assert abs((got - utc_now) - dt.timedelta(hours=5, minutes=30)) < dt.timedelta(minutes=2)
 
 
-def test_read_folder_skips_undecodable_file(spark, tmp_dir):
-    spark.createDataFrame([(1, 2.0)], "productid long, feeding double").coalesce(1).write.parquet(f"{tmp_dir}/good")
+def test_read_folder_fails_on_an_undecodable_file_unless_told_to_skip(spark, tmp_dir):
     import glob
+    import os
     import shutil
-    good = glob.glob(f"{tmp_dir}/good/*.parquet")[0]
+    spark.createDataFrame([(1, 2.0)], "productid long, feeding double").coalesce(1).write.parquet(f"{tmp_dir}/good")
     folder = f"{tmp_dir}/sheets"
-    import os
     os.makedirs(folder)
-    shutil.copy(good, f"{folder}/a.parquet")
+    shutil.copy(glob.glob(f"{tmp_dir}/good/*.parquet")[0], f"{folder}/a.parquet")
     with open(f"{folder}/b.parquet", "wb") as f:
         f.write(b"not a parquet file")
-    df = io.read_folder(spark, folder, "parquet", schema=T.StructType([
-        T.StructField("productid", T.LongType()), T.StructField("feeding", T.DoubleType())]))
+    schema = T.StructType([T.StructField("productid", T.LongType()), T.StructField("feeding", T.DoubleType())])
+    with pytest.raises(Exception):
+        io.read_folder(spark, folder, "parquet", schema=schema).collect()
+    df = io.read_folder(spark, folder, "parquet", schema=schema, skip_bad_files=True)
     assert [r.productid for r in df.collect()] == [1]
+
+
+def test_torn_and_unfit_json_lines_are_rejects(spark, tmp_dir):
+    lines = ['{"k": "a", "n": 1}', '{"k": "b", "n"', "", "[1]", '{"k": "c", "n": "x"}', '{"k": "d"} {"k": "e"}',
+             '{"k": "f", "n": null}']
+    with open(f"{tmp_dir}/b.json", "w") as f:
+        f.write("\n".join(lines))
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType())])
+    with pytest.raises(Exception, match="malformed JSON"):
+        io.read_json_batch(spark, tmp_dir, schema).collect()
+    good = io.read_json_batch(spark, tmp_dir, schema, seq_col="seq", on_bad="skip")
+    assert [(r.seq, r.k, r.n) for r in good.orderBy("seq").collect()] == [(1, "a", 1), (2, "f", None)]
+    bad = io.json_rejects(spark, tmp_dir, schema)
+    assert sorted(r.record for r in bad.collect()) == sorted([lines[1], lines[3], lines[4], lines[5]])
+    maps = io.read_json_maps(spark, tmp_dir, multiline=False, on_bad="skip")
+    assert [r.fields for r in maps.orderBy("seq").collect()] == [
+        {"k": "a", "n": "1"}, {"k": "c", "n": "x"}, {"k": "f", "n": None}]
+
+
+def test_truncated_array_file_is_one_reject(spark, tmp_dir):
+    for name, text in (("a.json", '[{"k": "1"}, {"k": "2"}]'), ("b.json", '[{"k": "3"}, {"k": '),
+                       ("c.json", '{"k": "4"}'), ("d.json", '[{"k": "5"}, 6]')):
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write(text)
+    schema = T.StructType([T.StructField("k", T.StringType())])
+    with pytest.raises(Exception, match="malformed JSON"):
+        io.read_json_array(spark, tmp_dir, schema).collect()
+    good = io.read_json_array(spark, tmp_dir, schema, on_bad="skip")
+    assert [(r.seq, r.k) for r in good.orderBy("seq").collect()] == [(1, "1"), (2, "2"), (3, "4"), (4, "5")]
+    bad = io.json_rejects(spark, tmp_dir, schema, multiline=True)
+    assert sorted(r.record for r in bad.collect()) == ["6", '[{"k": "3"}, {"k": ']
+
+
+def test_uncommitted_version_is_never_read(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    spark.range(5).write.parquet(f"{path}/v=1")                   # a write stopped before its commit
+    with pytest.raises(ValueError):
+        io.read_table(spark, path)
+    io.write_snapshot(spark.range(3), path)
+    spark.range(7).write.parquet(f"{path}/v=2")
+    assert io.read_table(spark, path).count() == 3
+    io.write_snapshot(spark.range(4), path)                       # takes the place of the stopped one
+    assert io.read_table(spark, path).count() == 4
+
+
+def test_access_last_record_with_null_order(spark):
+    ua = spark.createDataFrame([("c1", "ann", None), ("c1", "bea", None), ("c2", "cy", None), ("c2", "dan", 1)],
+                               "CWID string, user_name string, o long")
+    ids = spark.createDataFrame([("c1",), ("c2",)], "CWID string")
+    got = {r.CWID: (r.user_name, r.status) for r in access.lookup(ids, ua, "o").collect()}
+    assert got == {"c1": ("bea", "valid"), "c2": ("dan", "valid")}
+
+
+def test_search_table_on_short_empty_and_wide_characters(spark):
+    df = spark.createDataFrame([(1, "a\U0001F600b"), (2, ""), (3, "xy"), (4, "abcabc" * 5000)], "id long, t string")
+    kws = spark.createDataFrame([("\U0001F600b",), ("xy",), ("y",), ("cab",), ("bcabca",), ("zzz",)], "keyword string")
+    got = rows(search.search_table(df, kws, "id"), "id", "keyword")
+    assert got == [(1, "\U0001F600b"), (3, "xy"), (3, "y"), (4, "bcabca"), (4, "cab")]

@@ -20,7 +20,7 @@ def drop(folder, name, records):
     os.makedirs(folder, exist_ok=True)
     with open(os.path.join(folder, name), "w") as f:
         for r in records:
-            f.write(json.dumps(r) + "\n")
+            f.write((r if isinstance(r, str) else json.dumps(r)) + "\n")
 
 
 def run(spark, base, ckpt, mode="insert", **kw):
@@ -55,5 +55,57 @@ def test_upsert_stream_updates_and_inserts(spark, tmp_dir):
     t = read_ingested(spark, f"{base}/table")
     got = sorted((r.id, r.name, r.kind) for r in t.collect())
     assert got == [(1, "a", "z"), (2, "b", "x"), (3, "c", "y")]
-    # the snapshot pointer moved once per micro-batch (+ the empty start)
+    # one committed version per micro-batch (+ the empty start)
     assert io.current_version(spark, f"{base}/table/data").endswith("v=3")
+
+
+def test_insert_stream_goes_on_from_a_loaded_table_and_rejects_torn_lines(spark, tmp_dir):
+    base = tmp_dir
+    spark.createDataFrame([(5, "a", "x")], "id long, name string, kind string").selectExpr(
+        "*", "DATE'2024-01-01' AS created_date", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS last_updated_timestamp",
+    ).write.parquet(f"{base}/table/data/batch=init")
+    drop(f"{base}/src/d1", "a.json", [{"name": "a", "kind": "x"}, '{"name": "to', {"name": "b", "kind": None}])
+    run(spark, base, f"{base}/ck1")
+    got = sorted((r.name, r.kind, r.id) for r in read_ingested(spark, f"{base}/table").collect())
+    assert got == [("a", "x", 5), ("b", None, 6)]
+    assert [r.record for r in spark.read.parquet(f"{base}/table/rejects").collect()] == ['{"name": "to']
+
+
+def test_insert_stream_after_a_crash_between_ids_and_rows(spark, tmp_dir):
+    base = tmp_dir
+    drop(f"{base}/src/d1", "a.json", [{"name": "a", "kind": "x"}, {"name": "b", "kind": "x"}])
+    run(spark, base, f"{base}/ck1")
+    # a batch of another query recorded its highest id, and its rows never came
+    spark.createDataFrame([(9,)], "id long").write.parquet(f"{base}/table/ids/batch=qlost-b0")
+    drop(f"{base}/src/d2", "b.json", [{"name": "c", "kind": "y"}])
+    run(spark, base, f"{base}/ck2")
+    got = sorted((r.name, r.id) for r in read_ingested(spark, f"{base}/table").collect())
+    assert got == [("a", 1), ("b", 2), ("c", 10)]
+
+
+def test_upsert_stream_reports_explicit_null_and_unknown_field(spark, tmp_dir):
+    base = tmp_dir
+    drop(f"{base}/src/d1", "a.json", [{"name": "a", "kind": "x"}, {"name": "b", "kind": "x"}])
+    run(spark, base, f"{base}/ck", mode="upsert", min_age=None)
+    drop(f"{base}/src/d2", "b.json", [{"id": "1", "kind": None}, {"id": "2", "colour": "red"},
+                                      {"id": 1, "kind": "late"}])
+    run(spark, base, f"{base}/ck", mode="upsert", min_age=None)
+    got = sorted((r.id, r.kind) for r in read_ingested(spark, f"{base}/table").collect())
+    assert got == [(1, "x"), (2, "x")]
+    out = spark.read.parquet(f"{base}/table/outcomes").where("batch LIKE '%-b1'")
+    assert sorted((r.id, r.outcome) for r in out.collect()) == [(1, "duplicate"), (1, "error"), (2, "error")]
+
+
+def test_stamps_are_fixed_per_batch_and_session_settings_stay(spark, tmp_dir):
+    from fieldbook.session import ensure_defaults
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    ensure_defaults(spark)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    base = tmp_dir
+    drop(f"{base}/src/d1", "a.json", [{"name": "a", "kind": "x"}])
+    q = start_ingest(spark, f"{base}/src", f"{base}/table", f"{base}/ck", KEYS, SCHEMA)
+    q.awaitTermination()
+    stamp = read_ingested(spark, f"{base}/table").collect()[0].last_updated_timestamp
+    files = [f for f in os.listdir(f"{base}/table/stamps") if not f.startswith(".")]
+    with open(f"{base}/table/stamps/{files[0]}") as f:
+        assert f.read() == str(stamp)
