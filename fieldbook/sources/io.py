@@ -57,19 +57,24 @@ def parse_object(text: Column) -> Column:
     return F.when(is_object, F.from_json(text, FIELDS))
 
 
+def _typed(v: Column, dtype: T.DataType) -> Column:
+    return F.from_json(v, dtype) if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)) else v.try_cast(dtype)
+
+
 def typed_field(fields: Column, name: str, dtype: T.DataType) -> Column:
     """One field of a map in its column type; NULL when absent, null or not of that type."""
-    v = fields[name]
-    return F.from_json(v, dtype) if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)) else v.try_cast(dtype)
+    return _typed(fields[name], dtype)
 
 
 def fields_fit(fields: Column, schema: T.StructType) -> Column:
     """True when every field of ``schema`` that has a value fits its column type.
 
-    One test on an array, so that the optimizer does not derive a filter per
-    column and combination of columns from it.
+    The values are taken by another expression than in ``typed_field``: where
+    a plan filters on this and also selects those columns, the optimizer
+    would else derive a constraint for every combination of them.
     """
-    misfits = [fields[f.name].isNotNull() & typed_field(fields, f.name, f.dataType).isNull() for f in schema.fields]
+    values = [(F.try_element_at(fields, F.lit(f.name)), f.dataType) for f in schema.fields]
+    misfits = [v.isNotNull() & _typed(v, dtype).isNull() for v, dtype in values]
     return ~F.array_contains(F.array(*misfits), True) if misfits else F.lit(True)
 
 
