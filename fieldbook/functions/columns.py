@@ -92,5 +92,5 @@ def unit_for(name_col: str | Column, units: dict[str, str] | None = None) -> Col
 def canonical_array(c: str | Column, sep: str = "|") -> Column:
     """Order-free text form of an array for comparisons: sorted, NULLs skipped,
     NULL when no non-NULL element is left (as SQL ``string_agg``)."""
-    vals = F.array_sort(F.filter(_c(c), lambda e: e.isNotNull()))
+    vals = F.sort_array(F.filter(_c(c), lambda e: e.isNotNull()))
     return F.when(F.size(vals) > 0, F.array_join(vals, sep))

@@ -39,14 +39,14 @@ def explode_list(raw: DataFrame, list_col: str, row_key: str, name_col: str = "n
 def explode_lists(raw: DataFrame, row_key: str, list_cols: list[str]) -> DataFrame:
     """All list columns exploded into one long table (list, row_key, pos, name).
 
-    One pass over ``raw``, written once to the checkpoint folder: dimensions
+    One scan of ``raw``, written once to the checkpoint folder: dimensions
     and id lists of every list column read it instead of re-reading raw.
     """
-    parts = [
-        explode_list(raw, c, row_key, "name").select(F.lit(c).alias("list"), row_key, "pos", "name")
-        for c in list_cols
-    ]
-    return materialize(reduce(DataFrame.unionByName, parts))
+    texts = F.array(*[F.struct(F.lit(c).alias("list"), F.col(c).alias("text")) for c in list_cols])
+    return materialize(
+        raw.select(row_key, F.explode(texts).alias("_l"))
+        .select(F.col("_l.list").alias("list"), row_key,
+                F.posexplode_outer(list_items(F.col("_l.text"))).alias("pos", "name")), "items")
 
 
 def dimension_from_items(items: DataFrame, row_key: str, name_col: str, id_col: str,
@@ -142,7 +142,7 @@ def id_list_from_items(items: DataFrame, dim: DataFrame, row_key: str, name_col:
     if skip_empty:
         keep = keep & (F.col("name") != "")
     agg = looked.groupBy(row_key).agg(
-        F.array_sort(F.collect_list(F.when(keep, F.struct(F.col("pos").alias("p"), F.col("_id").alias("i")))))
+        F.sort_array(F.collect_list(F.when(keep, F.struct(F.col("pos").alias("p"), F.col("_id").alias("i")))))
         .alias("_l"),
         F.max(F.col("pos").isNull()).alias("_null"),
     )
@@ -160,6 +160,27 @@ def id_list(raw: DataFrame, list_col: str, dim: DataFrame, row_key: str, name_co
     return id_list_from_items(items, dim, row_key, name_col, id_col, out_col, skip_empty)
 
 
+def all_id_lists(items: DataFrame, dims: DataFrame, row_key: str, out_cols: dict[str, str]) -> DataFrame:
+    """``id_list_from_items`` for every list at once: one lookup join, one ``groupBy`` of the row key.
+
+    ``items`` = (list, row_key, pos, name), ``dims`` = (list, name, _id),
+    ``out_cols`` maps a list to its output column.
+    """
+    d = dims.select(F.col("list").alias("_dl"), F.col("name").alias("_dn"), "_id")
+    looked = items.join(d, (items["list"] == d["_dl"]) & (items["name"] == d["_dn"]), "left")
+    keep = F.col("_id").isNotNull() & (F.col("name") != "")
+    aggs = []
+    for col in out_cols:
+        mine = F.col("list") == col
+        entry = F.struct(F.col("pos").alias("p"), F.col("_id").alias("i"))
+        aggs += [F.sort_array(F.collect_list(F.when(mine & keep, entry))).alias(f"_l_{col}"),
+                 F.max(mine & F.col("pos").isNull()).alias(f"_null_{col}")]
+    return looked.groupBy(row_key).agg(*aggs).select(row_key, *[
+        F.when(~F.col(f"_null_{col}"), F.array_join(
+            F.transform(f"_l_{col}", lambda e: e["i"].cast("string")), ",")).alias(out)
+        for col, out in out_cols.items()])
+
+
 class NormalisedTables(Mapping):
     """The 8 normalised tables, each built on first access.
 
@@ -201,10 +222,10 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
 
     ``row_key`` is the explicit first-seen order of the raw rows (the raw
     table has no order of its own).  All list columns are exploded in one
-    pass; the four dimensions are numbered in one ``dense_ids`` pass
-    (partitioned by list) and the three bridges in another, each written
-    once to the checkpoint folder; the document table's id lists are written
-    once and numbered lazily.  Tables are built on first access (see
+    scan and the pairs of all bridges in another; the four dimensions are
+    numbered in one ``dense_ids`` pass (partitioned by list) and the three
+    bridges in another; the document table's id lists come from one lookup
+    join and one aggregation, are written once and numbered lazily.  Tables are built on first access (see
     ``NormalisedTables``).
     """
     lists = lists or DOCUMENT_LISTS
@@ -228,7 +249,7 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
             ).select("list", "name", F.col("_f.k").alias("_k"), F.col("_f.p").alias("_p"))
             memo["dims"] = materialize(
                 dense_ids(firsts, ["_k", "_p"], id_col="_id", buckets=buckets, partition_by=["list"])
-                .select("list", "name", "_id"), "dims")
+                .select("list", "name", "_id"), "dims")  # small, and read by every other table
         return memo["dims"]
 
     def dim(col: str):
@@ -238,15 +259,21 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
 
     def all_bridges() -> DataFrame:
         if "bridges" not in memo:
-            parts = []
-            for bname, la, lb, _bid in bridges:
-                da = dims().where(F.col("list") == la).select("name", "_id")
-                db = dims().where(F.col("list") == lb).select("name", "_id")
-                parts.append(_first_links(raw, row_key, la, lb, da, db).select(F.lit(bname).alias("bridge"), "*"))
-            all_links = reduce(DataFrame.unionByName, parts)
-            memo["bridges"] = materialize(
-                dense_ids(all_links, ["_k", "_pa", "_pb"], id_col="_bid", buckets=buckets, partition_by=["bridge"])
-                .select("bridge", "_a", "_b", "_bid"), "bridges")
+            both = F.array(*[F.struct(F.lit(b).alias("bridge"), F.lit(la).alias("la"), F.lit(lb).alias("lb"),
+                                      F.col(la).alias("ta"), F.col(lb).alias("tb")) for b, la, lb, _ in bridges])
+            pairs = raw.select(F.col(row_key).alias("_k"), F.explode(both).alias("_b")).select(
+                "_k", "_b.*").select(
+                "_k", "bridge", "la", "lb", "tb", F.posexplode_outer(list_items("ta")).alias("_pa", "_na")).select(
+                "_k", "bridge", "la", "lb", "_pa", "_na", F.posexplode_outer(list_items("tb")).alias("_pb", "_nb"))
+            links = pairs.groupBy("bridge", "la", "lb", "_na", "_nb").agg(
+                F.min(F.struct("_k", "_pa", "_pb")).alias("_f"))
+            for side in ("a", "b"):
+                d = dims().select(F.col("list").alias("_dl"), F.col("name").alias("_dn"), F.col("_id").alias(f"_{side}"))
+                links = links.join(d, (links[f"l{side}"] == d["_dl"]) & links[f"_n{side}"].eqNullSafe(d["_dn"])).drop(
+                    "_dl", "_dn")
+            memo["bridges"] = dense_ids(
+                links.select("bridge", "_a", "_b", "_f.*"), ["_k", "_pa", "_pb"], id_col="_bid", buckets=buckets,
+                partition_by=["bridge"]).select("bridge", "_a", "_b", "_bid")
         return memo["bridges"]
 
     def one_bridge(bname: str, la: str, lb: str, bid: str):
@@ -255,11 +282,9 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
 
     def document_lists() -> DataFrame:
         if "doc" not in memo:
-            doc = raw.drop(*lists.keys())
-            for col, (_dim_name, name_col, id_col) in lists.items():
-                mine = items().where(F.col("list") == col)
-                doc = doc.join(id_list_from_items(mine, dim(col)(), row_key, name_col, id_col), row_key, "left")
-            # four id-list aggregations feed it: written once, read by every consumer
+            ids = all_id_lists(items(), dims(), row_key, {col: id_col for col, (_d, _n, id_col) in lists.items()})
+            doc = raw.drop(*lists.keys()).join(ids, row_key, "left")
+            # written once, read by every consumer
             memo["doc"] = materialize(doc, "document")
         return memo["doc"]
 
@@ -277,7 +302,7 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
 
 def _expand(pairs: str, mult: F.Column | None = None, keep_nulls: bool = True) -> F.Column:
     """Array of (name, n) structs -> array with each name repeated n (x mult) times, sorted."""
-    arr = F.array_sort(F.col(pairs))
+    arr = F.sort_array(F.col(pairs))
     if not keep_nulls:
         arr = F.filter(arr, lambda e: e["name"].isNotNull())
     rep = (lambda e: F.array_repeat(e["name"], (e["n"] * mult).cast("int"))) if mult is not None else \

@@ -12,19 +12,23 @@ plus their length, because ARRAY_AGG order is unspecified.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldbook.functions.columns import canonical_array
 from fieldbook.operators import catalog
 from fieldbook.plans.tables import load, written_input
+from fieldbook.session import scratch_path
+from fieldbook.sources.io import read_table, write_tables
 
 DOC_KEY = "o_orderkey"
 DOC_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 
 
 def raw_documents(spark: SparkSession, sf: str, written: bool = False) -> DataFrame:
-    """The raw document table; ``written=True`` stores it once per session in the
+    """The raw document table; ``written=True`` writes it to the
     checkpoint folder, as the warehouse table the normaliser reads would be."""
     if written:
         return written_input(spark, sf, "raw_documents", lambda: _raw_documents(spark, sf))
@@ -288,6 +292,37 @@ def q_document_id_lists(spark: SparkSession, sf: str) -> DataFrame:
 SQL_DOCUMENT_ID_LISTS = _normalise_sql() + "\nSELECT * FROM doc"
 
 
+def q_normalise_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """All 8 normalised tables written, read back and laid one below the other."""
+    tables = catalog.normalise(raw_documents(spark, sf, written=True), DOC_KEY)
+    paths = write_tables(tables, scratch_path(spark, f"normalised-{uuid.uuid4().hex}"))
+    out = None
+    for name, path in paths.items():
+        t = read_table(spark, path)
+        if name == "Document":
+            cols = ["Product_ID", "Crop_ID", "document_ID"]
+        else:
+            cols = t.columns if len(t.columns) == 3 else [t.columns[0], None, t.columns[1]]
+        part = t.select(F.lit(name).alias("tbl"), *[
+            (F.col(c) if c else F.lit(None)).cast("string").alias(out_col)
+            for c, out_col in zip(cols[:2], ("a", "b"))], F.col(cols[2]).alias("id"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+SQL_NORMALISE_TABLES = " UNION ALL ".join(
+    [f"SELECT '{name}' AS tbl, {a}::VARCHAR AS a, {b}::VARCHAR AS b, {i} AS id FROM ({sql}) x" for name, a, b, i, sql in [
+        ("productcrop", "Product_ID", "Crop_ID", "product_crop_ID", SQL_BRIDGE_PRODUCT_CROP),
+        ("productpest", "Product_ID", "Pest_ID", "product_pest_ID", SQL_BRIDGE_PRODUCT_PEST),
+        ("productdisease", "Product_ID", "Disease_ID", "product_disease_ID", _bridge_sql(
+            "Product_names", "Diseases", "dp", "dd", "Product_Name", "Disease_Name", "Product_ID", "Disease_ID",
+            "product_disease_ID")),
+        ("Document", "Product_ID", "Crop_ID", "document_ID", SQL_DOCUMENT_ID_LISTS),
+        *[(n, f"{n}_Name", "NULL", f"{n}_ID", _normalise_sql() + f"SELECT * FROM {d}")
+          for n, d in (("Product", "dp"), ("Crop", "dc"), ("Disease", "dd"), ("Pest", "de"))],
+    ]])
+
+
 def q_document_details(spark: SparkSession, sf: str) -> DataFrame:
     """Document details: id lists unnested, names looked up, grouped by product name + doc columns."""
     t = catalog.normalise(raw_documents(spark, sf, written=True), DOC_KEY)
@@ -332,5 +367,6 @@ QUERIES = {
     "bridge_product_crop": (q_bridge_product_crop, SQL_BRIDGE_PRODUCT_CROP),
     "bridge_product_pest": (q_bridge_product_pest, SQL_BRIDGE_PRODUCT_PEST),
     "document_id_lists": (q_document_id_lists, SQL_DOCUMENT_ID_LISTS),
+    "normalise_tables": (q_normalise_tables, SQL_NORMALISE_TABLES),
     "document_details": (q_document_details, SQL_DOCUMENT_DETAILS),
 }

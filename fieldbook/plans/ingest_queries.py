@@ -321,6 +321,26 @@ SELECT row_id, EXISTS (SELECT 1 FROM s WHERE s.nk IN (b.a, b.c) AND s.rk IN (b.a
 """
 
 
+def q_loose_exists_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Column-agnostic membership against a large table of few-valued columns (D7): lines against all orders."""
+    li = lines(spark, sf, "l_orderkey", "l_linestatus", "l_linenumber")
+    batch = li.select(F.col("seq").alias("row_id"), F.col("l_linenumber").cast("string").alias("k"),
+                      F.col("l_linestatus").alias("s"), F.col("l_orderkey").cast("string").alias("p"))
+    o = load(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    stored = o.select(F.col("o_orderkey").cast("string").alias("k"), F.col("o_orderstatus").alias("s"),
+                      F.substring("o_orderpriority", 1, 1).alias("p"))
+    return ingest.loose_exists(batch, stored, "row_id").select("row_id", "present")
+
+
+SQL_LOOSE_EXISTS_ORDERS = "WITH " + LINE_SEQ_SQL + """,
+b AS (SELECT seq AS row_id, l_linenumber::VARCHAR AS k, l_linestatus AS s, l_orderkey::VARCHAR AS p FROM li),
+o AS (SELECT o_orderkey::VARCHAR AS k, o_orderstatus AS s, o_orderpriority[1] AS p FROM orders),
+hits AS (SELECT row_id FROM b JOIN o ON o.k = b.k AND o.s = b.s AND o.p IN (b.k, b.p)
+         UNION SELECT row_id FROM b JOIN o ON o.k = b.p AND o.s = b.s AND o.p IN (b.k, b.p))
+SELECT row_id, row_id IN (SELECT row_id FROM hits) AS present FROM b
+"""
+
+
 def q_add_rows_replace(spark: SparkSession, sf: str) -> DataFrame:
     """Add batch rows that are not loosely present, restamp every row (G6: D7 + F3 + B8)."""
     li = lines(spark, sf, "l_linenumber", "l_quantity")
@@ -407,6 +427,7 @@ QUERIES = {
     "flatten_formulation": (q_flatten_formulation, SQL_FLATTEN_FORMULATION),
     "loose_exists": (q_loose_exists, SQL_LOOSE_EXISTS),
     "row_difference": (q_row_difference, SQL_ROW_DIFFERENCE),
+    "loose_exists_orders": (q_loose_exists_orders, SQL_LOOSE_EXISTS_ORDERS),
     "add_rows_replace": (q_add_rows_replace, SQL_ADD_ROWS_REPLACE),
     "json_batch_insert": (q_json_batch_insert, SQL_JSON_BATCH_INSERT),
     "json_rejects": (q_json_rejects, SQL_JSON_REJECTS),
