@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import discard, quoted, shingle_set
+from fieldbook.llm.common import discard, lean, quoted, shingle_set
 from fieldbook.llm.components import components
 from fieldbook.session import materialize, scratch_path
 
@@ -85,7 +85,7 @@ def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
 def token_levels(docs: DataFrame, text_col: str, width: int, bits: int) -> np.ndarray:
     """The sketch as a (2, 2^bits) table of logarithmic counts: 2^(bits+1) bytes, whatever the input."""
     parts = (docs.select(quoted(text_col).cast("string").alias("t"))
-             .mapInArrow(_sketcher(width, bits), "part long, counts binary")
+             .mapInArrow(lean(_sketcher(width, bits)), "part long, counts binary")
              .groupBy("part").applyInPandas(_summed, "part long, levels binary"))
     table = np.zeros(_ROWS << bits, np.uint8)
     for r in parts.collect():
@@ -195,7 +195,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text_col: s
     keys = classes.join(ends, "sig").select("h")
     wanted = spark.sparkContext.broadcast(_key_filter(keys, filter_bits))
     sets = (_text_rows(docs, text_col, id_col).select("h", "t")
-            .mapInArrow(_tokeniser(width, filter_bits, wanted), "sig binary, tokens array<long>"))
+            .mapInArrow(lean(_tokeniser(width, filter_bits, wanted)), "sig binary, tokens array<long>"))
     path = scratch_path(spark, f"fieldbook-tables/join-sets-{uuid.uuid4().hex}")
     sets.write.parquet(path)
     sets = spark.read.parquet(path).dropDuplicates(["sig"])
@@ -258,7 +258,7 @@ def similar_sets(docs: DataFrame, width: int = 5, threshold: float = 0.8, text_c
     num, den = round(threshold * 100), 100
     levels = spark.sparkContext.broadcast(token_levels(docs, text_col, width, sketch_bits))
     sets = materialize(_text_rows(docs, text_col, id_col).mapInArrow(
-        _prefixer(width, num, den, sketch_bits, levels),
+        lean(_prefixer(width, num, den, sketch_bits, levels)),
         "id long, h long, sig binary, n long, gkey long, typ double, prefix array<long>"), "join-docs")
 
     # identical sets are one class; the class keeps the key of one of its rows

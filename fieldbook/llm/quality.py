@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import quoted, splitmix
+from fieldbook.llm.common import lean, quoted, splitmix
 from fieldbook.session import materialize
 
 TOKEN = re.compile(rb"[0-9A-Za-z_\x80-\xff]+|[^0-9A-Za-z_\x80-\xff\s]+")
@@ -160,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 12000, bits: in
     rows = docs.join(F.broadcast(picked), quoted(id_col) == F.col("_id"))  # at most sample_rows rows
     found = materialize(
         rows.select(F.col("_id").cast("long").alias("id"), "label", quoted(text_col).cast("string").alias("t"))
-        .mapInArrow(_featuriser(bits), "id long, label int, slots array<int>, vals array<float>")
+        .mapInArrow(lean(_featuriser(bits)), "id long, label int, slots array<int>, vals array<float>")
         .withColumn("draw", F.xxhash64(F.lit(1), "id")), "quality-features")
     found = found.withColumn("shard", F.pmod(F.xxhash64(F.lit(2), "id"), F.lit(shards)))
     z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
@@ -203,7 +203,7 @@ def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", id_col:
     bits = int(len(weights) - 1).bit_length() - 1
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32).astype(np.float64))
     return docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("t")).mapInArrow(
-        _scorer(shared, bits), "id long, score double").withColumnRenamed("id", id_col)
+        lean(_scorer(shared, bits)), "id long, score double").withColumnRenamed("id", id_col)
 
 
 def _filter(weights, bits: int, text_at: int, least: float):
@@ -223,4 +223,4 @@ def keep_good(docs: DataFrame, weights: np.ndarray, least: float = 0.7, text_col
     """The rows of ``docs`` with a score of at least ``least``, all their columns unchanged, no shuffle."""
     bits = int(len(weights) - 1).bit_length() - 1
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32).astype(np.float64))
-    return docs.mapInArrow(_filter(shared, bits, docs.columns.index(text_col), least), docs.schema)
+    return docs.mapInArrow(lean(_filter(shared, bits, docs.columns.index(text_col), least)), docs.schema)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fieldbook.llm.common import quoted
+from fieldbook.llm.common import lean, quoted
 from fieldbook.llm.vocab import DEFAULT_MODEL, Vocab, load_vocab, pretokens
 
 BLOCK_BYTES = 4 << 20  # text bytes that share one dictionary of pre-tokens
@@ -235,7 +235,7 @@ def encode(docs: DataFrame, model: str = DEFAULT_MODEL, text_col: str = "text",
     docs = docs.select(*[quoted(c).alias(c) for c in docs.columns if c.lower() != name.lower()])
     inner = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     ddl = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields)) + ", ids array<int>"
-    return inner.mapInArrow(_encoder(shared, docs.columns.index(text_col)), ddl).toDF(*docs.columns, name)
+    return inner.mapInArrow(lean(_encoder(shared, docs.columns.index(text_col))), ddl).toDF(*docs.columns, name)
 
 
 def _round(shared):
@@ -266,7 +266,7 @@ def encode_and_check(docs: DataFrame, model: str = DEFAULT_MODEL, text_col: str
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(load_vocab(model)))
     return docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("t")).mapInArrow(
-        _round(shared), "id long, n_tokens long, ids array<int>, round_trip boolean").withColumnRenamed("id", id_col)
+        lean(_round(shared)), "id long, n_tokens long, ids array<int>, round_trip boolean").withColumnRenamed("id", id_col)
 
 
 def _decoder(shared):
