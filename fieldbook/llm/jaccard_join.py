@@ -307,8 +307,8 @@ def similar_sets(docs: DataFrame, width: int = 5, threshold: float = 0.8, text_c
     label = _labels(links)
 
     # step 2: all pairs of members that are still apart
-    member = classes.select("g", "sig").join(label, F.col("sig") == F.col("node"), "left").select(
-        "g", "sig", F.coalesce("label", "sig").alias("c"))
+    member = classes.select("g", "sig", "low").join(label, F.col("sig") == F.col("node"), "left").select(
+        "g", "sig", "low", F.coalesce("label", "sig").alias("c"))
     member = materialize(member, "join-members")
     parts = member.select("g", "c").distinct()
     lists = postings.select("token", "g", "n", "p", _size_class(num, den).alias("z")).join(parts, "g")
@@ -347,12 +347,15 @@ def similar_sets(docs: DataFrame, width: int = 5, threshold: float = 0.8, text_c
     done = tried.unionByName(tried.select(F.col("y").alias("x"), F.col("x").alias("y")))
     pairs = materialize(pairs.join(done, ["x", "y"], "left_anti"), "join-pairs")
     more = _verified(pairs, classes, docs, text_col, id_col, width, num, den, filter_bits)
-    label = _labels(links.unionByName(more))
-
-    named = classes.select("sig", "low").join(label, F.col("sig") == F.col("node"), "left").select(
-        "sig", "low", F.coalesce("label", "sig").alias("c"))
-    lowest = named.groupBy("c").agg(F.min("low").alias("component_id"))
-    final = named.join(lowest, "c").select("sig", "component_id")
+    # the new links join whole components of step 1
+    at = member.select("sig", "c")
+    joined = more.join(at.toDF("x", "u"), "x").join(at.toDF("y", "v"), "y")
+    label = _labels(joined.select(F.col("u").alias("x"), F.col("v").alias("y")))
+    parts = member.groupBy("c").agg(F.min("low").alias("low")).join(label, F.col("c") == F.col("node"), "left").select(
+        "c", "low", F.coalesce("label", "c").alias("top"))
+    lowest = parts.groupBy("top").agg(F.min("low").alias("component_id"))
+    final = member.select("sig", "c").join(parts.join(lowest, "top").select("c", "component_id"), "c").select(
+        "sig", "component_id")
     out = sets.filter("n > 0").select("id", "n", "sig").join(final, "sig").select("id", "n", "component_id")
     return out.unionByName(sets.filter("n = 0").select("id", "n", F.col("id").alias("component_id"))).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
