@@ -27,16 +27,24 @@ from fieldbook.session import materialize
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|object|select|textarea|button|title|canvas|math|audio|video)"
-    r"\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|textarea|title|iframe|noscript)(?=[\s/>])(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*|[^>]*)>"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<[!?/][^>]*>|(?P<text>[^<]+|<)", re.S | re.I)
+RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in "script style textarea title iframe noscript".split()}
+UNQUOTED = re.compile(r"=\s*[^\s\"'][^\s\"']*\Z")  # a last '/' belongs to such a value
 ATTR = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPACE = re.compile(r"\s+")
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data dfn del em font i img input ins kbd label mark meter nobr "
     "output picture progress q rp rt ruby s samp small source span strike strong sub sup time track tt u var wbr "
-    "td th link meta base embed param area col colgroup".split())
+    "td th link meta base embed param area col colgroup "
+    "object canvas audio video svg g defs symbol use path rect circle ellipse line polyline polygon text tspan textpath desc "
+    "lineargradient radialgradient stop clippath mask pattern image "
+    "math semantics annotation mrow mi mn mo ms mtext mspace msup msub msubsup mfrac msqrt mroot mover munder munderover "
+    "mmultiscripts mprescripts mtable mtr mtd mstyle mpadded mphantom menclose merror".split())
+SPACED = frozenset("br td th img input text mtd object canvas audio video".split())  # inline, but a word ends there
+#: form controls and inert markup: gone with all they hold once their end tag comes; without one they lose nothing
+DROPPED = frozenset(["button", "select", "datalist", "template"])
 VOID = frozenset(["hr"])
 #: what an opening tag closes, besides an open p
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "option": ("option",), "p": ()}
@@ -60,10 +68,16 @@ def _label(tag: str, attrs: str) -> str:
     return tag + "".join("." + w for w in dict.fromkeys(marks))
 
 
+def _self_closed(attrs: str) -> bool:
+    return attrs.endswith("/") and not UNQUOTED.search(attrs)
+
+
 def parse(html: str) -> list:
     """The page as nested [label, children] with ['#', text] for the text of a block."""
     root: list = ["", []]
     stack, flat, text = [root], [], []
+    dropped: list = []  # open elements of DROPPED: tag, and what stood before it
+    at = 0
 
     def flush():
         if text:
@@ -76,17 +90,45 @@ def parse(html: str) -> list:
         flush()
         del stack[depth:]
 
-    for m in TOKEN.finditer(html):
+    def block(nodes: list):
+        """The innermost open element that a block inside it does not close, and its depth."""
+        return next((d, n) for d, n in zip(range(len(nodes) - 1, -1, -1), reversed(nodes)) if d == 0 or n[2] != "p")
+
+    while at < len(html):
+        m = TOKEN.match(html, at)
+        at = m.end()
         if m["text"] is not None:
             text.append(m["text"])
             continue
+        if m["raw"] is not None:
+            if not _self_closed(m["rest"]):
+                end = RAW_END[m["raw"].lower()].search(html, at)
+                at = end.end() if end else len(html)
+            continue
         if m["tag"] is None:
             continue
         tag = m["tag"].lower()
         if tag in INLINE:
-            if tag in ("br", "td", "th", "img", "input"):
+            if tag in SPACED:
                 text.append(" ")
             continue
+        if tag in DROPPED:
+            text.append(" ")
+            same = next((k for k in range(len(dropped) - 1, -1, -1) if dropped[k][0] == tag), None)
+            if not m["close"]:
+                if same is not None and tag != "template":  # they do not nest: the first one has no end tag
+                    del dropped[same:]
+                if not _self_closed(m["attrs"]):
+                    dropped.append((tag, list(stack), [len(n[1]) for n in stack], list(text), list(flat)))
+            elif same is not None:
+                _, nodes, sizes, before, deep = dropped[same]
+                del dropped[same:]
+                d, home = block(nodes)
+                if d < len(stack) and stack[d] is home:  # what held the element is still open
+                    for n, size in zip(nodes, sizes):
+                        del n[1][size:]
+                    stack[:], text[:], flat[:] = nodes, before, deep
+            continue
         if m["close"]:
             flush()
             if flat and flat[-1] == tag:

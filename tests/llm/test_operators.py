@@ -294,6 +294,27 @@ def test_wrapper_is_a_union_free_expression():
     assert html_wrapper.to_wrapper(html_wrapper.parse("<div>" * 400 + "deep" + "</div>" * 400))
 
 
+def all_texts(html):
+    return [t for ts in html_wrapper.slot_texts(html_wrapper.parse(html)).values() for t in ts]
+
+
+@pytest.mark.parametrize("html,texts", [
+    ("<p>a <svg class='i'/> b</p><p>c</p>", ["a b", "c"]),
+    ("<object data='x'/><p>c</p>", ["c"]),
+    ("<div><button>Like</div><p>c</p>", ["Like", "c"]),
+    ("<div><video src='x'><p>c</p></div>", ["c"]),
+    ("<video-player></video-player><p>c</p><svg-icon></svg-icon><button-group><p>d</p></button-group>", ["c", "d"]),
+    ("<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>", ["So x=1 holds"]),
+    ("<object data='x'><p>fallback</p></object>", ["fallback"]),
+    ("<p>Press <button type='b'><div>OK</div></button> now</p><select><option>1<option>2</select><p>c</p>", ["Press now", "c"]),
+    ("<script src='x'/><p>c</p>", ["c"]),
+    ("<script src=http://x/>var t</script><p>c</p><iframe src='a'>", ["c"]),
+    ("<title>t</title><noscript><p>n</p></noscript><p>c</p><style>p{}", ["c"]),
+])
+def test_only_raw_text_elements_run_to_their_end_tag(html, texts):
+    assert sorted(all_texts(html)) == sorted(texts)
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------
 
 def test_quality(spark):
