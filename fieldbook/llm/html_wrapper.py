@@ -55,6 +55,13 @@ FURNITURE = re.compile(
     r"promos?|promotions?|sponsor\w*|related|recommend\w*|newsletter|subscribe|popup|modal|pager|pagination|login|"
     r"signup|search|disclaimer|copyright|complementary|contentinfo)(?:[^a-z]|$)")
 HEADER = re.compile(r"(?:^|[^a-z])(?:header|masthead|topbar|site-title)(?:[^a-z]|$)")
+TAGS = frozenset(
+    "html head body article section nav aside header footer main address hgroup h1 h2 h3 h4 h5 h6 p pre blockquote ol ul menu "
+    "li dl dt dd figure figcaption div table caption tbody thead tfoot tr form fieldset legend details summary dialog center "
+    "search optgroup option frameset frame noframes listing xmp plaintext dir marquee applet".split())
+OPEN = re.compile(r"<([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>")
+SHARE, LEAST = 0.05, 3  # a label is told from its plain form if this share of a host's pages, and so many, have it
+WIDE = 64  # siblings in a wrapper before their order is given up
 DEPTH = 150  # deeper elements lose their tags, not their text
 FAN = 48  # wrappers merged in one call
 PERIOD = 4  # longest repeated group of siblings that is looked for
@@ -63,17 +70,41 @@ PERIOD = 4  # longest repeated group of siblings that is looked for
 def _label(tag: str, attrs: str) -> str:
     marks = []
     for m in ATTR.finditer(attrs):
-        value = (m[2] or m[3] or m[4] or "").lower()
+        value = (m[2] or m[3] or m[4] or "").lower().replace("/", "-")  # '/' parts the labels of a path
         marks += sorted(re.sub(r"\d+", "0", w) for w in value.split())
     return tag + "".join("." + w for w in dict.fromkeys(marks))
 
 
+def _plain(label: str) -> str:
+    """The label with no more than what the tests for furniture and main elements see in it: one of a few hundred."""
+    tag, _, marks = label.partition(".")
+    words = marks.split(".")
+    return ((tag if tag in TAGS else "custom") + (".ads" if FURNITURE.search(marks) else "")
+            + (".header" if HEADER.search(marks) else "") + (".main" if "main" in words or "articlebody" in words else ""))
+
+
+def page_labels(html: str) -> set[str]:
+    """Labels of the page's block tags that say more than their plain form."""
+    found = set()
+    for m in OPEN.finditer(html):
+        tag = m[1].lower()
+        if tag not in INLINE and (tag not in TAGS or ATTR.search(m[2])):
+            label = _label(tag, m[2])
+            if label != _plain(label):
+                found.add(label)
+    return found
+
+
 def _self_closed(attrs: str) -> bool:
     return attrs.endswith("/") and not UNQUOTED.search(attrs)
 
 
-def parse(html: str) -> list:
-    """The page as nested [label, children] with ['#', text] for the text of a block."""
+def parse(html: str, known: frozenset | None = None) -> list:
+    """The page as nested [label, children] with ['#', text] for the text of a block.
+
+    Labels that are not among the ``known`` ones (None: all are) become plain.
+    """
+    short: dict[str, str] = {}
     root: list = ["", []]
     stack, flat, text = [root], [], []
     dropped: list = []  # open elements of DROPPED: tag, and what stood before it
@@ -154,7 +185,12 @@ def parse(html: str) -> list:
         if len(stack) > DEPTH:
             flat.append(tag)
             continue
-        node = [_label(tag, m["attrs"]), [], tag]
+        label = _label(tag, m["attrs"])
+        if known is not None and label not in known:
+            if label not in short:
+                short[label] = _plain(label)
+            label = short[label]
+        node = [label, [], tag]
         stack[-1][1].append(node)
         stack.append(node)
     flush()
@@ -163,14 +199,39 @@ def parse(html: str) -> list:
 
 # A wrapper node is [label, flags, children]: flags 1 optional, 2 repeated; the
 # label '#' is a text slot (flag 4: its text belongs to the article), and '()'
-# is a group of siblings.
+# is a group of siblings.  A repeated group with flag 8 has each of its names
+# once, in any order: (a? b? c?)* for siblings too many to keep in order.
 
 def _name(node: list) -> str:
     return node[0] if node[0] != "()" else "(" + " ".join(map(_name, node[2])) + ")"
 
 
+def _any_order(nodes: list) -> list:
+    """Siblings as one repeated group that has each of their names once."""
+    once: dict[str, list] = {}
+
+    def add(items: list):
+        for n in items:
+            if n[0] == "()":
+                add(n[2])
+            else:
+                once[n[0]] = merge(once[n[0]], n) if n[0] in once else n
+
+    add(nodes)
+    return [["()", 2 | 8, [[once[k][0], once[k][1] | 1, once[k][2]] for k in sorted(once)]]]
+
+
 def fold(nodes: list) -> list:
-    """Siblings with every run that follows itself (one to four nodes long) as a repeated group."""
+    """Siblings with every run that follows itself (one to four nodes long) as a repeated group.
+
+    More than ``WIDE`` siblings, or such among which some have no order already, become one group without order, so
+    siblings never are more than the host has labels.
+    """
+    nodes = _runs(nodes)
+    return _any_order(nodes) if len(nodes) > WIDE or any(n[1] & 8 for n in nodes if n[0] == "()") else nodes
+
+
+def _runs(nodes: list) -> list:
     for period in range(1, PERIOD + 1):
         names = [_name(n) for n in nodes]
         out, i = [], 0
@@ -317,43 +378,59 @@ def judge(wrapper: list, stats: dict) -> list:
     return wrapper
 
 
-def extract(nodes: list, wrapper: list) -> list[str]:
-    """Texts of the page's article slots, in page order, read through the wrapper.
-
-    Siblings move forward through the wrapper's siblings; a repeated group
-    may start again, an optional one may be passed over.
-    """
-    steps = []
+def marked_paths(wrapper: list, path: str = "") -> set[str]:
+    """Paths of the wrapper's slots that hold article text."""
+    out = set()
+    for n in wrapper:
+        if n[0] == "#":
+            if n[1] & 4:
+                out.add(path)
+        else:
+            out |= marked_paths(n[2], path if n[0] == "()" else path + "/" + n[0])
+    return out
 
-    def unroll(items: list):
-        for w in items:
-            if w[0] == "()":
-                unroll(w[2])
-            else:
-                steps.append(w)
 
-    unroll(wrapper)
-    out, at = [], 0
+def extract(nodes: list, paths: frozenset | set, path: str = "") -> list[str]:
+    """Texts of the page's article slots, in page order."""
+    out = []
     for n in nodes:
-        hit = next((i for i in range(at, len(steps)) if steps[i][0] == n[0]), None)
-        if hit is None:
-            hit = next((i for i in range(min(at, len(steps)) - 1, -1, -1) if steps[i][0] == n[0]), None)
-        if hit is None:
-            continue  # an element without any text
-        at = hit
-        if n[0] == "#":
-            if steps[hit][1] & 4:
-                out.append(n[1])
-        else:
-            out += extract(n[1], steps[hit][2])
+        if n[0] != "#":
+            out += extract(n[1], paths, path + "/" + n[0])
+        elif path in paths:
+            out.append(n[1])
     return out
 
 
+class _Known:
+    """Parsed JSON of a column whose values repeat from row to row."""
+
+    def __init__(self, read):
+        self.read, self.held = read, {}
+
+    def __call__(self, text: str | None):
+        if text not in self.held:
+            if len(self.held) > 2000:
+                self.held.clear()
+            self.held[text] = self.read(json.loads(text) if text else [])
+        return self.held[text]
+
+
+def _label_rows(batches):
+    for batch in batches:
+        host, label = [], []
+        for h, html in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for one in page_labels(html.as_py() or ""):
+                host.append(h)
+                label.append(one)
+        yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(label, pa.string())], names=["host", "label"])
+
+
 def _skeletons(batches):
+    known = _Known(frozenset)
     for batch in batches:
         host, skel, paths, hashes, chars = [], [], [], [], []
-        for h, html in zip(batch.column(0).to_pylist(), batch.column(1)):
-            tree = parse(html.as_py() or "")
+        for h, html, labels in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            tree = parse(html.as_py() or "", known(labels))
             found = slot_texts(tree)
             host.append(h)
             skel.append(json.dumps(to_wrapper(tree), separators=(",", ":"), ensure_ascii=False))
@@ -377,12 +454,12 @@ def _merged(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _judged(wrappers: pd.DataFrame, stats: pd.DataFrame) -> pd.DataFrame:
     if wrappers.empty:
-        return pd.DataFrame({"host": [], "wrapper": []})
+        return pd.DataFrame({"host": [], "paths": []})
     known = {p: (n, a == b, c) for p, n, a, b, c in zip(
         stats["path"], stats["pages"], stats["low"], stats["high"], stats["chars"])}
     out = judge(json.loads(wrappers["wrapper"].iloc[0]), known)
     return pd.DataFrame({"host": [wrappers["host"].iloc[0]],
-                         "wrapper": [json.dumps(out, separators=(",", ":"), ensure_ascii=False)]})
+                         "paths": [json.dumps(sorted(marked_paths(out)), separators=(",", ":"), ensure_ascii=False)]})
 
 
 def host_of(url: Column) -> Column:
@@ -390,16 +467,32 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))
 
 
+def common_labels(pages: DataFrame) -> DataFrame:
+    """(host, labels) of ``pages(host, html)``: the labels that are on ``SHARE`` of the host's pages, as JSON.
+
+    Whatever differs from page to page (ids of headings, slugs, hashed classes) stays out, so a host has at most
+    1 / ``SHARE`` times as many labels as one of its pages has on average.
+    """
+    counts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    seen = pages.mapInArrow(_label_rows, "host string, label string").groupBy("host", "label").agg(F.count(F.lit(1)).alias("k"))
+    return (seen.filter(F.col("k") >= LEAST).join(counts, "host").filter(F.col("k") >= F.col("pages") * SHARE)
+            .groupBy("host").agg(F.to_json(F.array_sort(F.collect_list("label"))).alias("labels")))
+
+
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, wrapper) inferred from all pages, the article slots marked.
+    """(host, labels, paths) inferred from all pages: the labels the host's pages are parsed with, the article's slots.
 
     Equal page wrappers are counted once; the distinct ones of a host are
     merged in groups of ``FAN``, and the results merged again until one is
     left, so no call ever gets more than about ``FAN`` wrappers, however
-    large the host.
+    large the host.  Few labels and siblings without order beyond ``WIDE``
+    keep the wrappers themselves, and the paths, from growing with the pages.
     """
+    htmls = pages.select(host_of(quoted(url_col).cast("string")).alias("host"),
+                         quoted(html_col).cast("string").alias("html"))
+    labels = materialize(common_labels(htmls), "html-labels")
     streams = materialize(
-        pages.select(host_of(quoted(url_col).cast("string")).alias("host"), quoted(html_col).cast("string").alias("html"))
+        htmls.join(labels, "host", "left").select("host", "html", "labels")
         .mapInArrow(_skeletons, "host string, wrapper string, paths array<string>, hashes array<long>, chars array<long>"),
         "html-streams")
     ddl = "host string, wrapper string"
@@ -416,19 +509,16 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
              .groupBy("host", F.col("s.paths").alias("path"))
              .agg(F.count(F.lit(1)).alias("pages"), F.min("s.hashes").alias("low"), F.max("s.hashes").alias("high"),
                   F.sum("s.chars").alias("chars")))
-    return materialize(level.groupBy("host").cogroup(stats.groupBy("host")).applyInPandas(_judged, ddl), "html-judged")
+    judged = level.groupBy("host").cogroup(stats.groupBy("host")).applyInPandas(_judged, "host string, paths string")
+    return materialize(judged.join(labels, "host", "left").select("host", "labels", "paths"), "html-judged")
 
 
 def _extractor(batches):
-    cached: dict[str, list] = {}
+    known, wanted = _Known(frozenset), _Known(frozenset)
     for batch in batches:
         texts = []
-        for html, wrapper in zip(batch.column(2), batch.column(3).to_pylist()):
-            if len(cached) > 2000:
-                cached.clear()
-            if wrapper not in cached:
-                cached[wrapper] = json.loads(wrapper) if wrapper else []
-            texts.append("\n".join(extract(parse(html.as_py() or ""), cached[wrapper])))
+        for html, labels, paths in zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+            texts.append("\n".join(extract(parse(html.as_py() or "", known(labels)), wanted(paths))))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
                                          names=["page_id", "url", "text"])
 
@@ -446,6 +536,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     wrappers = infer_wrappers(pages, url_col, html_col).withColumnRenamed("host", "_host")
     rows = pages.select(quoted(id_col).cast("long").alias("page_id"), quoted(url_col).cast("string").alias("url"),
                         quoted(html_col).cast("string").alias("html"))
-    joined = rows.join(wrappers, host_of(F.col("url")) == F.col("_host"), "left").select("page_id", "url", "html", "wrapper")
+    joined = rows.join(wrappers, host_of(F.col("url")) == F.col("_host"), "left").select(
+        "page_id", "url", "html", "labels", "paths")
     out = joined.mapInArrow(_extractor, "page_id long, url string, text string")
     return out.withColumn("n_chars", F.length("text").cast("long"))

@@ -315,6 +315,29 @@ def test_only_raw_text_elements_run_to_their_end_tag(html, texts):
     assert sorted(all_texts(html)) == sorted(texts)
 
 
+def test_wrappers_do_not_grow_with_the_pages(spark):
+    def one(i):
+        rng = np.random.default_rng(i)
+        name = chr(97 + i % 26) + chr(97 + i // 26)
+        body = "".join(f"<{t} id='s{t}{name}{k}x'>t{i}-{k}</{t}>"
+                       for k, t in enumerate(rng.choice(["h2", "p", "pre", "blockquote"], 90)))
+        return (i, "http://a.example/%d" % i, f"<body class='post-{name}'><div class='content'>{body}</div></body>")
+
+    def size(n):
+        df = spark.createDataFrame([one(i) for i in range(n)], "page_id long, url string, html string")
+        return max(len(r.paths) + len(r.labels or "") for r in html_wrapper.infer_wrappers(df).collect())
+
+    assert size(120) == size(60)
+    trees = [html_wrapper.to_wrapper(html_wrapper.parse(one(i)[2], frozenset())) for i in range(60)]
+    whole = trees[0]
+    for tree in trees[1:]:
+        whole = html_wrapper.align(whole, tree)
+    assert len(str(whole)) < 2 * len(str(trees[0])) + 10_000
+    df = spark.createDataFrame([one(i) for i in range(60)], "page_id long, url string, html string")
+    for r in html_wrapper.main_texts(df).collect():
+        assert r.text.split("\n") == [f"t{r.page_id}-{k}" for k in range(90)]
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------
 
 def test_quality(spark):
