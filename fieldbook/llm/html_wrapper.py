@@ -5,8 +5,9 @@ broken its markup is.  Streams of one host are aligned one after another into
 a union-free regular expression: tags that match stay, text becomes a slot,
 what only some pages have becomes an optional group, and what follows itself
 becomes a repeated group.  The wrapper's slots are then judged once per host
-(article or furniture, fixed or changing text), and every page is read
-through its host's wrapper.
+(article or furniture, fixed or changing text), apart for pages with an
+article element, with a main element and with neither, and every page is read
+through the slots of its host and kind.
 """
 
 from __future__ import annotations
@@ -308,33 +309,58 @@ def _is_main(label: str) -> bool:
     return tag in ("article", "main") or "main" in marks.split(".") or "articlebody" in marks.split(".")
 
 
-def judge(wrapper: list, stats: dict) -> list:
-    """Mark the slots of a host's wrapper that hold article text.
+def _is_article(label: str) -> bool:
+    return label.partition(".")[0] == "article"
 
-    ``stats``: path -> (pages, fixed, chars).  The article is what stands in
-    article elements, else in main elements.  Where a host has neither, it is
+
+#: what the article may stand in, best first
+KINDS = {"article": _is_article, "main": _is_main}
+
+
+def _inner(node: list) -> list:
+    """Children of a node of a page or of a wrapper."""
+    return [] if node[0] == "#" else node[1] if isinstance(node[1], list) else node[2]
+
+
+def _tops(nodes: list, test):
+    """Top-most elements that pass the test and do not stand in furniture, with their paths."""
+    def has_main(node: list) -> bool:
+        return test(node[0]) or any(map(has_main, _inner(node)))
+
+    stack = [(n, "") for n in reversed(nodes)]
+    while stack:
+        n, path = stack.pop()
+        if n[0] == "()":
+            stack += [(c, path) for c in reversed(n[2])]
+        elif n[0] != "#":
+            if test(n[0]) and not _furniture(n[0], True):
+                yield n, path + "/" + n[0]
+            elif (not _furniture(n[0], False) or n[0].startswith(("html", "body"))
+                  or n[0].startswith("div") and has_main(n)):
+                stack += [(c, path + "/" + n[0]) for c in reversed(_inner(n))]
+
+
+def _has_text(node: list) -> bool:
+    """Some text inside is not in furniture."""
+    return any(c[0] == "#" or not _furniture(c[0], True) and _has_text(c) for c in _inner(node))
+
+
+def kind_of(nodes: list) -> str:
+    """What a page's article stands in: the first of ``KINDS`` that gives text, '' where none does."""
+    return next((k for k, test in KINDS.items() if any(_has_text(n) for n, _ in _tops(nodes, test))), "")
+
+
+def judge(wrapper: list, stats: dict, kind: str) -> list:
+    """Mark the slots of a wrapper that hold article text.
+
+    The wrapper is that of the host's pages of one ``kind`` (see ``kind_of``);
+    ``stats``: path -> (pages, fixed, chars) are over these pages.  The
+    article is what stands in article elements, else in main elements.  For
+    pages that have neither, it is
     the deepest element with blocks of its own that holds seven tenths of the changing text outside
     furniture, and text that is the same on all of three or more pages is
     furniture too.
     """
-    def has_main(node: list, test) -> bool:
-        return test(node[0]) or any(has_main(c, test) for c in node[2])
-
-    def outside(nodes: list, test):
-        """Top-most elements that pass the test and do not stand in furniture, with their paths."""
-        stack = [(n, "") for n in reversed(nodes)]
-        while stack:
-            n, path = stack.pop()
-            if n[0] == "()":
-                stack += [(c, path) for c in reversed(n[2])]
-            elif n[0] != "#":
-                if test(n[0]) and not _furniture(n[0], True):
-                    yield n, path + "/" + n[0]
-                elif not _furniture(n[0], False) or n[0].startswith(("html", "body")):
-                    stack += [(c, path + "/" + n[0]) for c in reversed(n[2])]
-                elif n[0].startswith("div") and has_main(n, test):
-                    stack += [(c, path + "/" + n[0]) for c in reversed(n[2])]
-
     def mark(node: list, path: str, fixed_out: bool):
         for c in node[2]:
             if c[0] == "()":
@@ -346,12 +372,10 @@ def judge(wrapper: list, stats: dict) -> list:
             elif not _furniture(c[0], True):
                 mark(c, path + "/" + c[0], fixed_out)
 
-    for test in (lambda x: x.split(".")[0] == "article", _is_main):
-        tops = list(outside(wrapper, test))
-        if tops:
-            for n, path in tops:
-                mark(n, path, False)
-            return wrapper
+    if kind:
+        for n, path in _tops(wrapper, KINDS[kind]):
+            mark(n, path, False)
+        return wrapper
 
     def changing(node: list, path: str) -> int:
         total = 0
@@ -428,19 +452,20 @@ def _label_rows(batches):
 def _skeletons(batches):
     known = _Known(frozenset)
     for batch in batches:
-        host, skel, paths, hashes, chars = [], [], [], [], []
+        host, kind, skel, paths, hashes, chars = [], [], [], [], [], []
         for h, html, labels in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
             tree = parse(html.as_py() or "", known(labels))
             found = slot_texts(tree)
             host.append(h)
+            kind.append(kind_of(tree))
             skel.append(json.dumps(to_wrapper(tree), separators=(",", ":"), ensure_ascii=False))
             paths.append(list(found))
             hashes.append([xxhash.xxh3_64_intdigest("\n".join(t)) - (1 << 63) for t in found.values()])
             chars.append([sum(map(len, t)) for t in found.values()])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(host, pa.string()), pa.array(skel, pa.string()), pa.array(paths, pa.list_(pa.string())),
+            [pa.array(host, pa.string()), pa.array(kind, pa.string()), pa.array(skel, pa.string()), pa.array(paths, pa.list_(pa.string())),
              pa.array(hashes, pa.list_(pa.int64())), pa.array(chars, pa.list_(pa.int64()))],
-            names=["host", "wrapper", "paths", "hashes", "chars"])
+            names=["host", "kind", "wrapper", "paths", "hashes", "chars"])
 
 
 def _merged(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -448,17 +473,18 @@ def _merged(pdf: pd.DataFrame) -> pd.DataFrame:
     for text in sorted(pdf["wrapper"], key=lambda t: (len(t), t)):
         one = json.loads(text)
         out = one if out is None else align(out, one)
-    return pd.DataFrame({"host": [pdf["host"].iloc[0]],
+    return pd.DataFrame({"host": [pdf["host"].iloc[0]], "kind": [pdf["kind"].iloc[0]],
                          "wrapper": [json.dumps(out, separators=(",", ":"), ensure_ascii=False)]})
 
 
 def _judged(wrappers: pd.DataFrame, stats: pd.DataFrame) -> pd.DataFrame:
     if wrappers.empty:
-        return pd.DataFrame({"host": [], "paths": []})
+        return pd.DataFrame({"host": [], "kind": [], "paths": []})
     known = {p: (n, a == b, c) for p, n, a, b, c in zip(
         stats["path"], stats["pages"], stats["low"], stats["high"], stats["chars"])}
-    out = judge(json.loads(wrappers["wrapper"].iloc[0]), known)
-    return pd.DataFrame({"host": [wrappers["host"].iloc[0]],
+    kind = wrappers["kind"].iloc[0]
+    out = judge(json.loads(wrappers["wrapper"].iloc[0]), known, kind)
+    return pd.DataFrame({"host": [wrappers["host"].iloc[0]], "kind": [kind],
                          "paths": [json.dumps(sorted(marked_paths(out)), separators=(",", ":"), ensure_ascii=False)]})
 
 
@@ -482,6 +508,8 @@ def common_labels(pages: DataFrame) -> DataFrame:
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(host, labels, paths) inferred from all pages: the labels the host's pages are parsed with, the article's slots.
 
+    Pages of a host that differ in what their article stands in (``kind_of``) have a wrapper each.
+
     Equal page wrappers are counted once; the distinct ones of a host are
     merged in groups of ``FAN``, and the results merged again until one is
     left, so no call ever gets more than about ``FAN`` wrappers, however
@@ -493,32 +521,36 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
     labels = materialize(common_labels(htmls), "html-labels")
     streams = materialize(
         htmls.join(labels, "host", "left").select("host", "html", "labels")
-        .mapInArrow(_skeletons, "host string, wrapper string, paths array<string>, hashes array<long>, chars array<long>"),
+        .mapInArrow(_skeletons, "host string, kind string, wrapper string, paths array<string>, hashes array<long>, chars array<long>"),
         "html-streams")
-    ddl = "host string, wrapper string"
-    level = materialize(streams.select("host", "wrapper").distinct(), "html-wrappers")
+    ddl = "host string, kind string, wrapper string"
+    level = materialize(streams.select("host", "kind", "wrapper").distinct(), "html-wrappers")
     while True:
-        per_host = level.groupBy("host").agg(F.count(F.lit(1)).alias("k"))
+        per_host = level.groupBy("host", "kind").agg(F.count(F.lit(1)).alias("k"))
         if (per_host.agg(F.max("k")).first()[0] or 0) <= 1:
             break
-        parts = level.join(per_host, "host").withColumn(
+        parts = level.join(per_host, ["host", "kind"]).withColumn(
             "part", F.pmod(F.xxhash64("wrapper"), F.ceil(F.col("k") / F.lit(FAN))))
-        level = materialize(parts.select("host", "part", "wrapper").groupBy("host", "part").applyInPandas(_merged, ddl),
-                            "html-wrappers")
-    stats = (streams.select("host", F.explode(F.arrays_zip("paths", "hashes", "chars")).alias("s"))
-             .groupBy("host", F.col("s.paths").alias("path"))
+        level = materialize(parts.select("host", "kind", "part", "wrapper").groupBy("host", "kind", "part")
+                            .applyInPandas(_merged, ddl), "html-wrappers")
+    stats = (streams.select("host", "kind", F.explode(F.arrays_zip("paths", "hashes", "chars")).alias("s"))
+             .groupBy("host", "kind", F.col("s.paths").alias("path"))
              .agg(F.count(F.lit(1)).alias("pages"), F.min("s.hashes").alias("low"), F.max("s.hashes").alias("high"),
                   F.sum("s.chars").alias("chars")))
-    judged = level.groupBy("host").cogroup(stats.groupBy("host")).applyInPandas(_judged, "host string, paths string")
+    judged = (level.groupBy("host", "kind").cogroup(stats.groupBy("host", "kind"))
+              .applyInPandas(_judged, "host string, kind string, paths string").groupBy("host")
+              .agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "paths"))))).alias("paths")))
     return materialize(judged.join(labels, "host", "left").select("host", "labels", "paths"), "html-judged")
 
 
 def _extractor(batches):
-    known, wanted = _Known(frozenset), _Known(frozenset)
+    known = _Known(frozenset)
+    wanted = _Known(lambda kinds: {k: frozenset(json.loads(p)) for k, p in kinds.items()} if kinds else {})
     for batch in batches:
         texts = []
         for html, labels, paths in zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
-            texts.append("\n".join(extract(parse(html.as_py() or "", known(labels)), wanted(paths))))
+            tree = parse(html.as_py() or "", known(labels))
+            texts.append("\n".join(extract(tree, wanted(paths).get(kind_of(tree), frozenset()))))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
                                          names=["page_id", "url", "text"])
 

@@ -338,6 +338,22 @@ def test_wrappers_do_not_grow_with_the_pages(spark):
         assert r.text.split("\n") == [f"t{r.page_id}-{k}" for k in range(90)]
 
 
+def main_text_of(spark, pages):
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in html_wrapper.main_texts(df).orderBy("page_id").collect()]
+
+
+def test_main_text_of_mixed_templates(spark):
+    card = "<article><h2>card %d</h2></article>"
+    post = "<div class='content'><h1>Post %d</h1><p>words of post %d</p></div>"
+    pages = [("http://a.example/l", page(card % 1 + card % 2))]
+    pages += [("http://a.example/%d" % i, page(post % (i, i))) for i in range(4)]
+    pages += [("http://a.example/m", page("<main><p>in main</p></main><p>beside</p>")), (None, page(card % 3)),
+              (None, page(post % (8, 8)))]
+    assert main_text_of(spark, pages) == ["card 1\ncard 2", *(f"Post {i}\nwords of post {i}" for i in range(4)), "in main",
+                                          "card 3", "Post 8\nwords of post 8"]
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------
 
 def test_quality(spark):
