@@ -16,6 +16,7 @@ import html as entities
 import json
 import re
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -55,6 +56,12 @@ FURNITURE = re.compile(
     r"disqus|share|sharing|social|sidebars?|widgets?|menus?|nav|navbar|navigation|breadcrumbs?|footer|notices?|alerts?|"
     r"promos?|promotions?|sponsor\w*|related|recommend\w*|newsletter|subscribe|popup|modal|pager|pagination|login|"
     r"signup|search|disclaimer|copyright|complementary|contentinfo)(?:[^a-z]|$)")
+LAYOUT = re.compile(r"(?<![^.\s])(?:has|with|without|no)[-_][^.\s]*")  # says what else is on the page
+#: furniture that never is taken for the article, however much text it holds
+READERS = re.compile(r"(?:^|[^a-z])(?:comments?|commentlist|respond|replies|disqus)(?:[^a-z]|$)")
+NEVER = frozenset("nav footer aside menu dialog head".split())
+LIFT = 0.9  # share of a page's text outside furniture that lifts a furniture mark
+NESTED = 9  # weight of the furniture elements around an article element
 HEADER = re.compile(r"(?:^|[^a-z])(?:header|masthead|topbar|site-title)(?:[^a-z]|$)")
 TAGS = frozenset(
     "html head body article section nav aside header footer main address hgroup h1 h2 h3 h4 h5 h6 p pre blockquote ol ul menu "
@@ -80,7 +87,9 @@ def _plain(label: str) -> str:
     """The label with no more than what the tests for furniture and main elements see in it: one of a few hundred."""
     tag, _, marks = label.partition(".")
     words = marks.split(".")
-    return ((tag if tag in TAGS else "custom") + (".ads" if FURNITURE.search(marks) else "")
+    marks = LAYOUT.sub("", marks)
+    return ((tag if tag in TAGS else "custom")
+            + (".comments" if READERS.search(marks) else ".ads" if FURNITURE.search(marks) else "")
             + (".header" if HEADER.search(marks) else "") + (".main" if "main" in words or "articlebody" in words else ""))
 
 
@@ -297,8 +306,10 @@ def slot_texts(nodes: list, path: str = "", found: dict | None = None) -> dict:
     return found
 
 
+@lru_cache(1 << 14)
 def _furniture(label: str, inside: bool) -> bool:
     tag, _, marks = label.partition(".")
+    marks = LAYOUT.sub("", marks)
     if tag in FURNITURE_TAGS or FURNITURE.search(marks):
         return True
     return not inside and (tag == "header" or bool(HEADER.search(marks)))
@@ -322,32 +333,91 @@ def _inner(node: list) -> list:
     return [] if node[0] == "#" else node[1] if isinstance(node[1], list) else node[2]
 
 
-def _tops(nodes: list, test):
-    """Top-most elements that pass the test and do not stand in furniture, with their paths."""
-    def has_main(node: list) -> bool:
-        return test(node[0]) or any(map(has_main, _inner(node)))
+def _named_so(label: str) -> bool:
+    """Furniture by more than a word that may be said of the article's surroundings."""
+    tag, _, marks = label.partition(".")
+    return tag in NEVER or bool(READERS.search(LAYOUT.sub("", marks)))
+
+
+def _weight(label: str, inside: bool) -> int:
+    return 0 if not _furniture(label, inside) else 4 if _named_so(label) else 1
+
 
-    stack = [(n, "") for n in reversed(nodes)]
+def _tops(nodes: list, test, depth: int):
+    """Top-most elements that pass the test and stand in furniture elements (or are such) that weigh ``depth``, with
+    their paths.  A div around an element that passes is layout, whatever it is called."""
+    stack = [(n, "", 0) for n in reversed(nodes)]
     while stack:
-        n, path = stack.pop()
+        n, path, level = stack.pop()
         if n[0] == "()":
-            stack += [(c, path) for c in reversed(n[2])]
+            stack += [(c, path, level) for c in reversed(n[2])]
         elif n[0] != "#":
-            if test(n[0]) and not _furniture(n[0], True):
-                yield n, path + "/" + n[0]
-            elif (not _furniture(n[0], False) or n[0].startswith(("html", "body"))
-                  or n[0].startswith("div") and has_main(n)):
-                stack += [(c, path + "/" + n[0]) for c in reversed(_inner(n))]
+            path += "/" + n[0]
+            hit = test(n[0])
+            if hit:
+                level += _weight(n[0], True)
+            elif not n[0].startswith(("html", "body", "div")):
+                level += _weight(n[0], False)
+            if hit and level == depth:
+                yield n, path
+            elif level <= depth:
+                stack += [(c, path, level) for c in reversed(_inner(n))]
+
+
+def _skipped(label: str, path: str, lifted: str, inside: bool) -> bool:
+    """Furniture, but for html, body and what leads to the lifted path."""
+    return (_furniture(label, inside) and not label.startswith(("html", "body"))
+            and not (lifted + "/").startswith(path + "/"))
+
+
+def loose_texts(nodes: list, lifted: str = "", path: str = "", inside: bool = False) -> list[str]:
+    """Texts of a page, or of elements of a page, that do not stand in furniture."""
+    out = []
+    for n in nodes:
+        if n[0] == "#":
+            out.append(n[1])
+        elif not _skipped(n[0], path + "/" + n[0], lifted, inside):
+            out += loose_texts(n[1], lifted, path + "/" + n[0], inside)
+    return out
 
 
-def _has_text(node: list) -> bool:
-    """Some text inside is not in furniture."""
-    return any(c[0] == "#" or not _furniture(c[0], True) and _has_text(c) for c in _inner(node))
+def _size(nodes: list, inside: bool) -> int:
+    return sum(map(len, loose_texts(nodes, inside=inside)))
+
+
+def _furniture_texts(nodes: list, path: str = ""):
+    """(text outside further furniture, path) of a page's furniture elements that could be misnamed."""
+    for n in nodes:
+        if n[0] != "#" and not _named_so(n[0]):
+            here = path + "/" + n[0]
+            if _skipped(n[0], here, "", False):
+                yield _size(n[1], True), here
+            yield from _furniture_texts(n[1], here)
 
 
 def kind_of(nodes: list) -> str:
-    """What a page's article stands in: the first of ``KINDS`` that gives text, '' where none does."""
-    return next((k for k, test in KINDS.items() if any(_has_text(n) for n, _ in _tops(nodes, test))), "")
+    """What a page's article stands in.
+
+    The first of ``KINDS`` that gives text, with the weight of the furniture
+    elements around it; such are looked through only if there is more text
+    than outside all furniture.  Where none does, '' or, if nearly all text
+    stands in an element that is furniture by its name, the path of that.
+    """
+    def any_main(nodes: list) -> bool:
+        return any(n[0] != "#" and (_is_main(n[0]) or any_main(n[1])) for n in nodes)
+
+    loose = None
+    if any_main(nodes):
+        for depth in range(NESTED):
+            for kind, test in KINDS.items():
+                size = sum(_size(n[1], True) for n, _ in _tops(nodes, test, depth))
+                if size and depth:
+                    loose = _size(nodes, False) if loose is None else loose
+                if size and (not depth or size > loose):
+                    return f"{kind}{depth}"
+    loose = _size(nodes, False) if loose is None else loose
+    size, path = max(_furniture_texts(nodes), default=(0, ""), key=lambda x: x[0])
+    return path if size and size >= LIFT * (size + loose) else ""
 
 
 def judge(wrapper: list, stats: dict, kind: str) -> list:
@@ -356,7 +426,8 @@ def judge(wrapper: list, stats: dict, kind: str) -> list:
     The wrapper is that of the host's pages of one ``kind`` (see ``kind_of``);
     ``stats``: path -> (pages, fixed, chars) are over these pages.  The
     article is what stands in article elements, else in main elements.  For
-    pages that have neither, it is
+    pages that have neither (their kind is '' or the path of an element that
+    is no furniture despite its name), it is
     the deepest element with blocks of its own that holds seven tenths of the changing text outside
     furniture, and text that is the same on all of three or more pages is
     furniture too.
@@ -369,11 +440,12 @@ def judge(wrapper: list, stats: dict, kind: str) -> list:
                 pages, fixed, _ = stats.get(path, (0, False, 0))
                 if not (fixed_out and fixed and pages >= 3):
                     c[1] |= 4
-            elif not _furniture(c[0], True):
+            elif not _skipped(c[0], path + "/" + c[0], lifted, True):
                 mark(c, path + "/" + c[0], fixed_out)
 
-    if kind:
-        for n, path in _tops(wrapper, KINDS[kind]):
+    lifted = kind if kind.startswith("/") else ""
+    if kind and not lifted:
+        for n, path in _tops(wrapper, KINDS[kind[:-1]], int(kind[-1])):
             mark(n, path, False)
         return wrapper
 
@@ -385,7 +457,7 @@ def judge(wrapper: list, stats: dict, kind: str) -> list:
             elif c[0] == "#":
                 pages, fixed, chars = stats.get(path, (0, False, 0))
                 total += 0 if fixed and pages >= 3 else chars
-            elif not _furniture(c[0], False) or c[0].startswith(("html", "body")):
+            elif not _skipped(c[0], path + "/" + c[0], lifted, False):
                 total += changing(c, path + "/" + c[0])
         return total
 
@@ -393,7 +465,7 @@ def judge(wrapper: list, stats: dict, kind: str) -> list:
     whole = changing(here, path)
     while True:
         inner = [c for n in here[2] for c in (n[2] if n[0] == "()" else [n]) if c[0] != "#"
-                 and (not _furniture(c[0], False) or c[0].startswith(("html", "body")))]
+                 and not _skipped(c[0], path + "/" + c[0], lifted, False)]
         step = next((c for c in inner if not c[1] & 2 and any(x[0] != "#" for x in c[2]) and changing(c, path + "/" + c[0]) >= 0.7 * whole > 0), None)
         if step is None:
             break

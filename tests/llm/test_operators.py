@@ -354,6 +354,20 @@ def test_main_text_of_mixed_templates(spark):
                                           "card 3", "Post 8\nwords of post 8"]
 
 
+def test_main_text_in_elements_named_like_furniture(spark):
+    art = "<article><h1>T%d</h1><p>text %d</p></article>"
+    aside = "<aside><article>card</article></aside>"
+    div = "<div class='content'><h1>T%d</h1><p>text %d</p></div>"
+    wraps = ["<form action='x'><div>%s</div><div class='menu'>m</div></form>", "<main class='with-sidebar'>%s</main>",
+             "<section class='has-menu'>%s</section>", "<section class='sidebar right'>%s</section>",
+             "<form><fieldset class='widget'>%s</fieldset></form>"]
+    pages = [("http://a%d.example/%d" % (k, i), page(w % (inner % (i, i)), more))
+             for k, w in enumerate(wraps * 2) for i in range(4) for inner, more in [(art, aside) if k < 5 else (div, "")]]
+    assert main_text_of(spark, pages) == [f"T{i}\ntext {i}" for _ in range(10) for i in range(4)]
+    mixed = [("http://b.example/%d" % i, page((wraps[0] if i == 5 else "%s") % (div % (i, i)))) for i in range(6)]
+    assert main_text_of(spark, mixed) == [f"T{i}\ntext {i}" for i in range(6)]
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------
 
 def test_quality(spark):
