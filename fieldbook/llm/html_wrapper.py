@@ -427,10 +427,11 @@ def judge(wrapper: list, stats: dict, kind: str) -> list:
     ``stats``: path -> (pages, fixed, chars) are over these pages.  The
     article is what stands in article elements, else in main elements.  For
     pages that have neither (their kind is '' or the path of an element that
-    is no furniture despite its name), it is
-    the deepest element with blocks of its own that holds seven tenths of the changing text outside
-    furniture, and text that is the same on all of three or more pages is
-    furniture too.
+    is no furniture despite its name), text that is the same on all of three
+    or more pages is furniture too, and the article is the deepest element
+    with blocks of its own that holds all other text outside furniture.  A
+    header is furniture outside the article, which is told by its standing
+    in the body itself or by its name.
     """
     def mark(node: list, path: str, fixed_out: bool):
         for c in node[2]:
@@ -449,6 +450,10 @@ def judge(wrapper: list, stats: dict, kind: str) -> list:
             mark(n, path, False)
         return wrapper
 
+    def skipped(label: str, path: str) -> bool:
+        title = label.startswith("header") and path.count("/") > 1 and "/body" in path and not path.endswith("body/" + label)
+        return _skipped(label, path, lifted, title and not HEADER.search(label.partition(".")[2]))
+
     def changing(node: list, path: str) -> int:
         total = 0
         for c in node[2]:
@@ -457,16 +462,16 @@ def judge(wrapper: list, stats: dict, kind: str) -> list:
             elif c[0] == "#":
                 pages, fixed, chars = stats.get(path, (0, False, 0))
                 total += 0 if fixed and pages >= 3 else chars
-            elif not _skipped(c[0], path + "/" + c[0], lifted, False):
+            elif not skipped(c[0], path + "/" + c[0]):
                 total += changing(c, path + "/" + c[0])
         return total
 
     here, path = ["", 0, wrapper], ""
-    whole = changing(here, path)
     while True:
         inner = [c for n in here[2] for c in (n[2] if n[0] == "()" else [n]) if c[0] != "#"
-                 and not _skipped(c[0], path + "/" + c[0], lifted, False)]
-        step = next((c for c in inner if not c[1] & 2 and any(x[0] != "#" for x in c[2]) and changing(c, path + "/" + c[0]) >= 0.7 * whole > 0), None)
+                 and not skipped(c[0], path + "/" + c[0])]
+        step = next((c for c in inner if not c[1] & 2 and any(x[0] != "#" for x in c[2])
+                     and changing(c, path + "/" + c[0]) == changing(here, path) > 0), None)
         if step is None:
             break
         here, path = step, path + "/" + step[0]

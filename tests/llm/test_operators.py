@@ -368,6 +368,20 @@ def test_main_text_in_elements_named_like_furniture(spark):
     assert main_text_of(spark, mixed) == [f"T{i}\ntext {i}" for i in range(6)]
 
 
+def test_main_text_keeps_what_stands_beside_most_of_it(spark):
+    def long(i):
+        return " ".join(f"w{i}-{k}" for k in range(60))
+
+    pages, texts = [], []
+    for i in range(4):
+        pages += [("http://a.example/%d" % i, page(f"<div id=content><header><h1>T{i}</h1></header><div class=lead>lead {i}</div>"
+                                                   f"<div class=body><p>{long(i)}</p><p>end</p></div></div>")),
+                  ("http://b.example/%d" % i, page(f"<div id=content><p>before {i}</p><ul><li>{long(i)}<li>two</ul>"
+                                                   f"<p>after {i}</p></div>"))]
+        texts += [f"T{i}\nlead {i}\n{long(i)}\nend", f"before {i}\n{long(i)}\ntwo\nafter {i}"]
+    assert main_text_of(spark, pages) == texts
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------
 
 def test_quality(spark):
