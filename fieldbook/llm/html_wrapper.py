@@ -424,22 +424,26 @@ def judge(wrapper: list, stats: dict, kind: str) -> list:
     """Mark the slots of a wrapper that hold article text.
 
     The wrapper is that of the host's pages of one ``kind`` (see ``kind_of``);
-    ``stats``: path -> (pages, fixed, chars) are over these pages.  The
+    ``stats``: path -> (pages, fixed, chars) are over these pages, counting
+    pages with the same text outside furniture once.  The
     article is what stands in article elements, else in main elements.  For
     pages that have neither (their kind is '' or the path of an element that
     is no furniture despite its name), text that is the same on all of three
-    or more pages is furniture too, and the article is the deepest element
+    or more pages is furniture too as long as other text does change, and the article is the deepest element
     with blocks of its own that holds all other text outside furniture.  A
     header is furniture outside the article, which is told by its standing
     in the body itself or by its name.
     """
+    def is_fixed(path: str) -> bool:
+        pages, fixed, _ = stats.get(path, (0, False, 0))
+        return fixed and pages >= 3
+
     def mark(node: list, path: str, fixed_out: bool):
         for c in node[2]:
             if c[0] == "()":
                 mark(c, path, fixed_out)
             elif c[0] == "#":
-                pages, fixed, _ = stats.get(path, (0, False, 0))
-                if not (fixed_out and fixed and pages >= 3):
+                if not (fixed_out and is_fixed(path)):
                     c[1] |= 4
             elif not _skipped(c[0], path + "/" + c[0], lifted, True):
                 mark(c, path + "/" + c[0], fixed_out)
@@ -454,28 +458,28 @@ def judge(wrapper: list, stats: dict, kind: str) -> list:
         title = label.startswith("header") and path.count("/") > 1 and "/body" in path and not path.endswith("body/" + label)
         return _skipped(label, path, lifted, title and not HEADER.search(label.partition(".")[2]))
 
-    def changing(node: list, path: str) -> int:
+    def changing(node: list, path: str, fixed_out: bool) -> int:
         total = 0
         for c in node[2]:
             if c[0] == "()":
-                total += changing(c, path)
+                total += changing(c, path, fixed_out)
             elif c[0] == "#":
-                pages, fixed, chars = stats.get(path, (0, False, 0))
-                total += 0 if fixed and pages >= 3 else chars
+                total += 0 if fixed_out and is_fixed(path) else stats.get(path, (0, False, 0))[2]
             elif not skipped(c[0], path + "/" + c[0]):
-                total += changing(c, path + "/" + c[0])
+                total += changing(c, path + "/" + c[0], fixed_out)
         return total
 
     here, path = ["", 0, wrapper], ""
+    varied = changing(here, path, True) > 0
     while True:
         inner = [c for n in here[2] for c in (n[2] if n[0] == "()" else [n]) if c[0] != "#"
                  and not skipped(c[0], path + "/" + c[0])]
         step = next((c for c in inner if not c[1] & 2 and any(x[0] != "#" for x in c[2])
-                     and changing(c, path + "/" + c[0]) == changing(here, path) > 0), None)
+                     and changing(c, path + "/" + c[0], varied) == changing(here, path, varied) > 0), None)
         if step is None:
             break
         here, path = step, path + "/" + step[0]
-    mark(here, path, True)
+    mark(here, path, varied)
     return wrapper
 
 
@@ -529,20 +533,22 @@ def _label_rows(batches):
 def _skeletons(batches):
     known = _Known(frozenset)
     for batch in batches:
-        host, kind, skel, paths, hashes, chars = [], [], [], [], [], []
+        host, kind, page, skel, paths, hashes, chars = [], [], [], [], [], [], []
         for h, html, labels in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
             tree = parse(html.as_py() or "", known(labels))
             found = slot_texts(tree)
             host.append(h)
             kind.append(kind_of(tree))
+            page.append(xxhash.xxh3_128_digest("\n".join(loose_texts(tree, kind[-1]))))
             skel.append(json.dumps(to_wrapper(tree), separators=(",", ":"), ensure_ascii=False))
             paths.append(list(found))
             hashes.append([xxhash.xxh3_64_intdigest("\n".join(t)) - (1 << 63) for t in found.values()])
             chars.append([sum(map(len, t)) for t in found.values()])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(host, pa.string()), pa.array(kind, pa.string()), pa.array(skel, pa.string()), pa.array(paths, pa.list_(pa.string())),
+            [pa.array(host, pa.string()), pa.array(kind, pa.string()), pa.array(page, pa.binary()),
+             pa.array(skel, pa.string()), pa.array(paths, pa.list_(pa.string())),
              pa.array(hashes, pa.list_(pa.int64())), pa.array(chars, pa.list_(pa.int64()))],
-            names=["host", "kind", "wrapper", "paths", "hashes", "chars"])
+            names=["host", "kind", "page", "wrapper", "paths", "hashes", "chars"])
 
 
 def _merged(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -598,7 +604,8 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
     labels = materialize(common_labels(htmls), "html-labels")
     streams = materialize(
         htmls.join(labels, "host", "left").select("host", "html", "labels")
-        .mapInArrow(_skeletons, "host string, kind string, wrapper string, paths array<string>, hashes array<long>, chars array<long>"),
+        .mapInArrow(_skeletons, "host string, kind string, page binary, wrapper string, paths array<string>, "
+                                "hashes array<long>, chars array<long>"),
         "html-streams")
     ddl = "host string, kind string, wrapper string"
     level = materialize(streams.select("host", "kind", "wrapper").distinct(), "html-wrappers")
@@ -610,7 +617,9 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
             "part", F.pmod(F.xxhash64("wrapper"), F.ceil(F.col("k") / F.lit(FAN))))
         level = materialize(parts.select("host", "kind", "part", "wrapper").groupBy("host", "kind", "part")
                             .applyInPandas(_merged, ddl), "html-wrappers")
-    stats = (streams.select("host", "kind", F.explode(F.arrays_zip("paths", "hashes", "chars")).alias("s"))
+    # only pages without article and main elements need them
+    stats = (streams.filter((F.col("kind") == "") | F.col("kind").startswith("/")).dropDuplicates(["host", "kind", "page"])
+             .select("host", "kind", F.explode(F.arrays_zip("paths", "hashes", "chars")).alias("s"))
              .groupBy("host", "kind", F.col("s.paths").alias("path"))
              .agg(F.count(F.lit(1)).alias("pages"), F.min("s.hashes").alias("low"), F.max("s.hashes").alias("high"),
                   F.sum("s.chars").alias("chars")))
@@ -627,7 +636,9 @@ def _extractor(batches):
         texts = []
         for html, labels, paths in zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
             tree = parse(html.as_py() or "", known(labels))
-            texts.append("\n".join(extract(tree, wanted(paths).get(kind_of(tree), frozenset()))))
+            kind = kind_of(tree)
+            # a page of nothing but text that is fixed on others keeps it
+            texts.append("\n".join(extract(tree, wanted(paths).get(kind, frozenset())) or loose_texts(tree, kind)))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
                                          names=["page_id", "url", "text"])
 

@@ -382,6 +382,17 @@ def test_main_text_keeps_what_stands_beside_most_of_it(spark):
     assert main_text_of(spark, pages) == texts
 
 
+def test_main_text_of_copies(spark):
+    one = "<div class='content'><h1>Same</h1><p>text</p></div>"
+    pages = [("http://a.example/%d" % i, page(one, f"<div class='ads'>{i}</div>")) for i in range(4)]
+    pages += [("http://b.example/%d" % i, page(f"<div class='content'><h1>H{i}</h1></div><p class='tag'>tagline</p>"))
+              for i in range(40)]
+    pages += [("http://b.example/c%d" % i, page("<div class='content'><h1>H</h1><blockquote>said once</blockquote></div>"))
+              for i in range(4)]
+    pages += [("http://b.example/t", page("<p class='tag'>tagline</p>"))]
+    assert main_text_of(spark, pages) == (["Same\ntext"] * 4 + [f"H{i}" for i in range(40)] + ["H\nsaid once"] * 4 + ["tagline"])
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------
 
 def test_quality(spark):
