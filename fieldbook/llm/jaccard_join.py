@@ -254,6 +254,16 @@ def similar_sets(docs: DataFrame, width: int = 5, threshold: float = 0.8, text_c
     ``filter_bits`` that of the key filter, 2^filter_bits bits.  Raise both
     for larger corpora: they steer the work, never the result.
     """
+    sets, final = _linked(docs, width, threshold, text_col, id_col, sketch_bits, filter_bits)
+    out = sets.filter("n > 0").select("id", "n", "sig").join(final.select("sig", "component_id"), "sig").select(
+        "id", "n", "component_id")
+    return out.unionByName(sets.filter("n = 0").select("id", "n", F.col("id").alias("component_id"))).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def _linked(docs: DataFrame, width: int, threshold: float, text_col: str, id_col: str, sketch_bits: int,
+            filter_bits: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (id, h, sig, n, ...) and the classes (sig, top, component_id); ``top`` names a component, whatever its ids."""
     spark = docs.sparkSession
     num, den = round(threshold * 100), 100
     levels = spark.sparkContext.broadcast(token_levels(docs, text_col, width, sketch_bits))
@@ -354,11 +364,9 @@ def similar_sets(docs: DataFrame, width: int = 5, threshold: float = 0.8, text_c
     parts = member.groupBy("c").agg(F.min("low").alias("low")).join(label, F.col("c") == F.col("node"), "left").select(
         "c", "low", F.coalesce("label", "c").alias("top"))
     lowest = parts.groupBy("top").agg(F.min("low").alias("component_id"))
-    final = member.select("sig", "c").join(parts.join(lowest, "top").select("c", "component_id"), "c").select(
-        "sig", "component_id")
-    out = sets.filter("n > 0").select("id", "n", "sig").join(final, "sig").select("id", "n", "component_id")
-    return out.unionByName(sets.filter("n = 0").select("id", "n", F.col("id").alias("component_id"))).select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    final = member.select("sig", "c").join(parts.join(lowest, "top").select("c", "top", "component_id"), "c").select(
+        "sig", "top", "component_id")
+    return sets, final
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -367,11 +375,27 @@ def _labels(links: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, width: int = 5, threshold: float = 0.8, text_col: str = "text",
                      id_col: str = "doc_id", sketch_bits: int = 21, filter_bits: int = 25) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, all their columns unchanged.
+    """One row of each component of ``docs``, all its columns unchanged: that with the smallest id.
 
-    Rows with a null id have no name to be kept by and stay.
+    Null ids come last; of rows with one id that with the smallest hash of id
+    and text stays, of rows that are equal in both any one.  Rows without a
+    set link with nothing and all stay.
     """
-    keep = materialize(similar_sets(docs, width, threshold, text_col, id_col, sketch_bits, filter_bits).filter(
-        quoted(id_col) == F.col("component_id")).select(quoted(id_col).alias("_keep")).distinct(), "join-keep")
+    sets, final = _linked(docs, width, threshold, text_col, id_col, sketch_bits, filter_bits)
+    first = sets.filter("n > 0").groupBy("sig").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("k"))
+    first = materialize(first.join(final.select("sig", "top"), "sig").groupBy("top").agg(F.min("k").alias("k")).select(
+        F.col("k.id").alias("_near_id"), F.col("k.h").alias("_near_h")), "join-first")
+    rows = sets.filter("n > 0").select("id", "h").join(
+        first, (F.col("h") == F.col("_near_h")) & F.col("id").eqNullSafe(F.col("_near_id")))
+    keep = rows.groupBy("_near_id", "_near_h").agg((F.count(F.lit(1)) > 1).alias("_near_many"))
+    bare = sets.filter("n = 0").select(F.col("id").alias("_near_id"), F.col("h").alias("_near_h"),
+                                       F.lit(False).alias("_near_many")).distinct()
+    keep = materialize(keep.unionByName(bare), "join-keep")
     ident = quoted(id_col).cast("long")
-    return docs.join(keep, ident == F.col("_keep"), "left_semi").unionByName(docs.filter(ident.isNull()))
+    key = F.xxhash64(ident, quoted(text_col).cast("string"))
+    this = (key == F.col("_near_h")) & ident.eqNullSafe(F.col("_near_id"))
+    once = docs.join(keep.filter(~F.col("_near_many")), this, "left_semi")
+    many = docs.join(keep.filter("_near_many"), this, "left_semi").select(
+        F.struct(*[quoted(c) for c in docs.columns]).alias("row"), ident.alias("id"), key.alias("h"))
+    return once.unionByName(many.groupBy("id", "h").agg(F.first("row").alias("row")).select("row.*"))

@@ -481,6 +481,19 @@ def test_drop_near_copies(spark, texts):
     assert jaccard_join.similar_sets(frame(spark, []), sketch_bits=18, filter_bits=20).count() == 0
 
 
+def test_drop_near_copies_keeps_one_row_of_each_component(spark):
+    one, other, third = (" ".join(f"{c}{k}" for k in range(60)) for c in "abc")
+    near = one.replace("a59", "z")
+    rows = [(5, near, "s"), (4, one, "s"), (4, one, "s"), (4, other, "s"), (None, one, "s"), (7, other, "s"),
+            (None, third, "s"), (None, third, "s"), (None, third + " c60", "s"), (9, None, "s"), (9, None, "s"), (None, " ", "s")]
+    kept = jaccard_join.drop_near_copies(frame(spark, rows), 5, 0.8, sketch_bits=18, filter_bits=20)
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert sum(n for (i, x), n in got.items() if i is None and x in (third, third + " c60")) == 1
+    assert {k: n for k, n in got.items() if k[0] is not None or k[1] == " "} == {
+        (4, one): 1, (4, other): 1, (9, None): 2, (None, " "): 1}
+    assert sum(got.values()) == 6
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, k) for k in range(101, 160)] + [(200, 200), (300, 301), (301, 300)]
     got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
