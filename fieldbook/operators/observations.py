@@ -219,9 +219,13 @@ def load_sheets(sheets: DataFrame, files: DataFrame, data_sheets: DataFrame, run
 
 
 def load_folder(spark: SparkSession, sheet_dir: str, data_dir: str, run_ts, table: str, log_table: str,
-                sheet_name: str = r"([^/]+)$") -> None:
+                sheet_name: str = r"([^/]+)$", fmt: str = "json", expected: list[str] | None = None) -> None:
     """A folder of sheets to the observation table and the run log.
 
+    ``fmt``: ``json`` (lines) or ``csv`` (each file with its own header).  A
+    file that cannot be read to its end, or that ``expected`` names and the
+    folder lacks, gets a log row with 0 rows; the others load.
+
     ``sheet_name`` is a pattern whose first group names the sheet in a file
     path (the file name by default), under which a sheet meets its data
     sheet; several files may make up one sheet.  Both tables are created
@@ -230,8 +234,8 @@ def load_folder(spark: SparkSession, sheet_dir: str, data_dir: str, run_ts, tabl
     def named(df: DataFrame) -> DataFrame:
         return df.withColumn("file_path", F.regexp_extract("file_path", sheet_name, 1))
 
-    sheets, files = io.read_sheets(spark, sheet_dir)
-    data, data_files = io.read_sheets(spark, data_dir)
+    sheets, files = io.read_sheets(spark, sheet_dir, fmt=fmt, expected=expected)
+    data, data_files = io.read_sheets(spark, data_dir, fmt=fmt)
     bad = named(files.select("file_path", "n_bad").unionByName(data_files.where(F.col("n_bad") > 0)))
     files = bad.groupBy("file_path").agg(F.sum("n_bad").alias("n_bad"))
     rows, log = load_sheets(named(sheets), files, named(data), run_ts)

@@ -7,6 +7,7 @@ the user-access table derived from ``customer``.
 
 from __future__ import annotations
 
+import gzip
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from fieldbook.operators.catalog import explode_list
 from fieldbook.plans.catalog_queries import DOC_KEY, _RAW_SQL, raw_documents
 from fieldbook.plans.tables import load
 from fieldbook.session import scratch_path
-from fieldbook.sources.io import read_limit, read_table
+from fieldbook.sources.io import read_limit, read_table, write_bytes_file
 
 RUN_TS = "2024-01-01 00:00:00"
 
@@ -203,6 +204,64 @@ UNION ALL SELECT NULL, NULL, NULL, NULL, observation_name, observation_unit, dat
 """
 
 
+def q_run_log_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """CSV sheets, each file with its own header, beside files that cannot be read.
+
+    Stand-in files: a sheet per nation, a row per order of its customers.
+    Sheets of region 0 lack ``productid``, those of region 1 have their
+    columns in another order, of region 2 no ``weight``.  Each region has a
+    packed sheet that is cut off and one that the manifest names but is gone.
+    """
+    base = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    o = load(spark, sf, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    c = load(spark, sf, "customer", "c_custkey", "c_nationkey")
+    n = load(spark, sf, "nation", "n_nationkey", "n_regionkey")
+    oc = o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, F.col("c_nationkey") == n["n_nationkey"]).select(
+        F.concat(F.lit("nation-"), F.col("n_nationkey")).alias("sheet"), "n_regionkey",
+        F.col("o_orderkey").alias("productid"), F.concat(F.lit('the "'), "o_orderpriority", F.lit('", kind')).alias("product"),
+        F.col("o_totalprice").alias("feeding"), F.col("o_custkey").alias("weight"),
+        F.concat(F.lit("placed "), F.date_format("o_orderdate", "dd.MM.yyyy")).alias("note"))
+    shapes = {0: ["product", "feeding", "weight"], 1: ["weight", "product", "productid", "feeding"],
+              2: ["productid", "product", "feeding"], 3: ["productid", "product", "feeding", "weight"]}
+    for region, columns in shapes.items():
+        mine = oc.where(F.least("n_regionkey", F.lit(3)) == region).select("sheet", *columns)
+        mine.write.partitionBy("sheet").option("header", True).option("escape", '"').csv(f"{base}/sheets/{region}")
+    oc.select("sheet", "note").write.partitionBy("sheet").option("header", True).csv(f"{base}/data")
+    expected = []
+    for r in load(spark, sf, "region", "r_regionkey").collect():  # five rows
+        lines = "productid,product,feeding\n" + "".join(f"{i},x,{i * 7919 % 1009}\n" for i in range(5000))
+        packed = gzip.compress(lines.encode())
+        write_bytes_file(spark, f"{base}/sheets/cut/sheet=cut-{r.r_regionkey}/part.csv.gz", packed[:len(packed) // 2])
+        expected.append(f"{base}/sheets/gone/sheet=gone-{r.r_regionkey}/part.csv")
+    observations.load_folder(spark, f"{base}/sheets", f"{base}/data", RUN_TS, f"{base}/table", f"{base}/log",
+                             sheet_name="sheet=([^/]+)/", fmt="csv", expected=expected)
+    loaded = read_table(spark, f"{base}/table").groupBy("observation_name", "date_created", "date_expired").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("product_name").alias("product_name"),
+        F.min("observation_value").alias("least"), F.max("observation_value").alias("most"))
+    return read_table(spark, f"{base}/log").unionByName(loaded, allowMissingColumns=True)
+
+
+SQL_RUN_LOG_CSV = """
+WITH oc AS (SELECT o.*, n_nationkey, n_regionkey FROM orders o JOIN customer ON o_custkey = c_custkey
+            JOIN nation ON c_nationkey = n_nationkey),
+f AS (SELECT n_nationkey, n_regionkey, count(*) AS n, min(o_orderdate)::DATE AS date_created,
+             max(o_orderdate)::DATE AS date_expired FROM oc GROUP BY ALL),
+obs AS (SELECT m.observation_name, date_created, date_expired, 'the "' || o_orderpriority || '", kind' AS product_name,
+               CASE m.observation_name WHEN 'feeding' THEN o_totalprice ELSE o_custkey::DOUBLE END AS v
+        FROM oc JOIN f USING (n_nationkey, n_regionkey), (VALUES ('feeding'), ('weight')) m(observation_name)
+        WHERE n_regionkey <> 0 AND (m.observation_name = 'feeding' OR n_regionkey <> 2))
+SELECT TIMESTAMP '2024-01-01 00:00:00' AS timestamp, 'nation-' || n_nationkey AS file_path,
+       (CASE n_regionkey WHEN 0 THEN 0 WHEN 2 THEN n ELSE 2 * n END)::BIGINT AS rows_loaded,
+       CASE WHEN n_regionkey = 0 THEN 'Missing ''productid'' column' END AS error_message,
+       NULL::VARCHAR AS observation_name, NULL::DATE AS date_created, NULL::DATE AS date_expired, NULL::BIGINT AS n_rows,
+       NULL::VARCHAR AS product_name, NULL::DOUBLE AS least, NULL::DOUBLE AS most FROM f
+UNION ALL SELECT TIMESTAMP '2024-01-01 00:00:00', k || r_regionkey, 0, 'Unreadable file', NULL, NULL, NULL, NULL, NULL,
+       NULL, NULL FROM region, (VALUES ('cut-'), ('gone-')) b(k)
+UNION ALL SELECT NULL, NULL, NULL, NULL, observation_name, date_created, date_expired, count(*), min(product_name), min(v),
+       max(v) FROM obs GROUP BY observation_name, date_created, date_expired
+"""
+
+
 def q_truncate_load(spark: SparkSession, sf: str) -> DataFrame:
     """Truncate-and-load twice: the table holds the second load only, in the master schema."""
     path = scratch_path(spark, f"master-{uuid.uuid4().hex}")
@@ -374,6 +433,7 @@ QUERIES = {
     "file_date_range": (q_file_date_range, SQL_FILE_DATE_RANGE),
     "run_log": (q_run_log, SQL_RUN_LOG),
     "run_log_files": (q_run_log_files, SQL_RUN_LOG_FILES),
+    "run_log_csv": (q_run_log_csv, SQL_RUN_LOG_CSV),
     "truncate_load": (q_truncate_load, SQL_CONFORM_SCHEMA),
     "observations_loaded": (q_observations_loaded, SQL_OBSERVATIONS_LOADED),
     "search_one": (q_search_one, SQL_SEARCH_ONE),

@@ -84,9 +84,8 @@ def _json_records(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
     Lines are read as splittable text, blank ones skipped; an array file is
     one row (``wholetext``), and one that does not parse is a single record.
     """
-    reader = spark.read.option("recursiveFileLookup", True).option("wholetext", multiline)
-    raw = reader.text(path).select(F.col("_metadata.file_path").alias("_file"),
-                                   F.col("_metadata.file_block_start").alias("_start"), "value")
+    raw = spark.read.option("recursiveFileLookup", True).text(path, wholetext=multiline).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), "value")
     if not multiline:
         return raw.where(F.trim("value") != "").select(
             "_file", "_start", F.col("value").alias("record"), parse_object(F.col("value")).alias("fields"))
@@ -185,27 +184,142 @@ def _number_by_file(df: DataFrame, seq_col: str) -> DataFrame:
     return dense_ids(df, ["_file", "_start"], id_col=seq_col)
 
 
-def list_files(spark: SparkSession, path: str, file_col: str = "file_path") -> DataFrame:
-    """One row per file below ``path``, empty ones included; no content is read.
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as ``_metadata.file_path`` writes it."""
+    fs, p = _fs(spark, path)
+    return _uri(fs.makeQualified(p))
 
-    The names come from Spark's own file index, which the driver holds for
-    every scan anyway.
-    """
-    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).inputFiles()
-    # as ``_metadata.file_path`` writes it
-    return spark.createDataFrame([(re.sub("^file:/+", "file:/", n),) for n in names], f"{file_col} string")
 
+def _uri(p) -> str:
+    return re.sub("^file:/+", "file:/", p.toUri().toString())
 
-def read_sheets(spark: SparkSession, path: str, file_col: str = "file_path") -> tuple[DataFrame, DataFrame]:
-    """A folder of JSON-lines sheet exports: (rows with a ``fields`` map, one row per listed file).
 
-    Rows keep their own keys, so a file has only the columns it brings.  The
-    file rows carry ``n_bad``, the number of lines that are no JSON object:
-    a torn file is known by it and loses nothing silently.
+def list_files(spark: SparkSession, path: str, file_col: str = "file_path") -> DataFrame:
+    """(file_col, length): one row per file below ``path``, empty ones included; no content is read.
+
+    Names are written as ``_metadata.file_path`` writes them.  Like Spark's
+    own file index, the listing is held by the driver; files and folders
+    whose name starts with ``_`` or ``.`` are left out.
+    """
+    fs, root = _fs(spark, path)
+    found = []
+    for top in fs.globStatus(root) or []:
+        base = _uri(top.getPath())
+        left = fs.listFiles(top.getPath(), True)
+        while left.hasNext():
+            one = left.next()
+            name = _uri(one.getPath())
+            if not any(part[:1] in ("_", ".") for part in name[len(base):].split("/")):
+                found.append((name, one.getLen()))
+    return spark.createDataFrame(found, f"{file_col} string, length long")
+
+
+#: File name endings that Hadoop's codecs decode; such a file does not split.
+PACKED = ("gz", "bz2", "zst", "lz4", "snappy", "deflate")
+
+
+def read_lines(spark: SparkSession, path: str, file_col: str = "file_path",
+               expected: Iterable[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """A folder of text files, read with an account: (file, _start, _at, value) and (file, complete).
+
+    One undecodable or vanished file does not end the job, and does not go
+    unnoticed.  Plain files are split and read line by line; such a file is
+    complete when the bytes of its lines make up its listed size.  A packed
+    file (``PACKED``) cannot be split, and a cut one gives its first lines
+    before it fails; it is therefore decoded whole, in one row, which either
+    arrives or does not.  A packed file must thus fit a task's memory
+    (2 GB unpacked at most).
+
+    Every listed file has a row in the account, as has every file name in
+    ``expected`` (a manifest) whether it is there or not.  ``complete`` is
+    false for a file of which not all was read; lines of such a file may be
+    in the first frame.  ``_at`` orders the lines of one split.
     """
-    records = _json_records(spark, path, False).withColumnRenamed("_file", file_col)
+    def tolerant():
+        return spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).option(
+            "ignoreMissingFiles", True)
+
+    name = F.col("_metadata.file_path").alias(file_col)
+    is_packed = F.col("_metadata.file_name").rlike(r"\.(" + "|".join(PACKED) + ")$")
+    plain = tolerant().option("lineSep", "\n").text(path).where(~is_packed).select(
+        name, F.col("_metadata.file_block_start").alias("_start"), "value", F.col("_metadata.file_size").alias("_size"))
+    whole = tolerant().option("pathGlobFilter", "*.{" + ",".join(PACKED) + "}").text(path, wholetext=True).select(
+        name, "value")
+    # LineRecordReader leaves out a byte order mark of 3 bytes; the last line may lack its line end
+    read = plain.groupBy(file_col).agg(
+        (F.sum(F.octet_length("value") + 1) + 3 >= F.max("_size")).alias("_read")).unionByName(
+        whole.select(file_col, F.lit(True).alias("_read")))
+    listed = list_files(spark, path, file_col)
+    if expected is not None:
+        given = spark.createDataFrame([(qualified(spark, f),) for f in expected], f"{file_col} string")
+        listed = listed.join(given, file_col, "full")
+    account = listed.join(read, file_col, "left").select(
+        file_col, F.coalesce(F.col("_read"), F.col("length") == 0, F.lit(False)).alias("complete"))
+    unpacked = whole.select(file_col, F.lit(0).cast("long").alias("_start"), F.posexplode(F.split("value", "\n")).alias(
+        "_at", "value"))
+    lines = plain.select(file_col, "_start", F.monotonically_increasing_id().alias("_at"), "value").unionByName(
+        unpacked.withColumn("_at", F.col("_at").cast("long")))
+    return lines.withColumn("value", F.regexp_replace("value", "\r$", "")), account
+
+
+def csv_cells(line: Column, sep: str = ",") -> Column:
+    """The cells of one CSV line as array<string>, quotes undone and empty cells NULL; NULL for a torn line.
+
+    Quotes are doubled inside quoted cells.  A line end inside quotes is not supported: lines are read from
+    splits, so such a line is torn.
+    """
+    one = re.escape(sep)
+    whole = F.concat(F.lit(sep), line)
+    raw = F.regexp_extract_all(whole, F.lit(one + '("[^"]*+(?:""[^"]*+)*+"|[^"' + one + "]*+)"), F.lit(1))
+    inside = F.transform(raw, lambda c: F.when(
+        c.startswith('"'), F.replace(c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+    return F.when(F.array_join(F.transform(raw, lambda c: F.concat(F.lit(sep), c)), "") == whole,
+                  F.transform(inside, lambda c: F.nullif(c, F.lit(""))))
+
+
+def _csv_records(lines: DataFrame, file_col: str, sep: str) -> DataFrame:
+    """Lines of CSV files as field maps by their own file's header; ``fields`` NULL for a torn line.
+
+    A file's header is its first line that is not blank, in the split that
+    starts at byte 0.  One row per file is joined to the lines, so the files
+    stay splittable.  A cell beyond the header makes its line torn; a column
+    name that repeats counts once, the first; missing cells are NULL.
+    """
+    full = lines.where(F.trim("value") != "")
+    top = full.where(F.col("_start") == 0).groupBy(file_col).agg(F.min(F.struct("_at", "value")).alias("_top"))
+    names = F.transform(csv_cells(F.col("_top.value"), sep), lambda c: F.trim(c))
+    header = top.select(file_col, F.col("_top._at").alias("_first"), names.alias("_names"))
+    cells = csv_cells(F.col("value"), sep)
+    pairs = F.filter(F.transform("_names", lambda n, i: F.struct(n.alias("n"), F.get("_cells", i).alias("v"), i.alias("i"))),
+                     lambda e: e["n"].isNotNull() & (F.array_position("_names", e["n"]) == e["i"] + 1))
+    entries = F.map_from_entries(F.transform(pairs, lambda e: F.struct(e["n"], e["v"])))
+    return (full.withColumn("_cells", cells).join(header, file_col)
+            .where((F.col("_start") > 0) | (F.col("_at") != F.col("_first")))
+            .select(file_col, F.when(F.size("_cells") <= F.size("_names"), entries).alias("fields")))
+
+
+def read_sheets(spark: SparkSession, path: str, file_col: str = "file_path", fmt: str = "json", sep: str = ",",
+                expected: Iterable[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """A folder of sheet exports, JSON lines or CSV: (rows with a ``fields`` map, one row per listed file).
+
+    Each file has only the columns it brings: JSON rows keep their own keys,
+    CSV rows take the names of their own file's header, in whatever order
+    these stand.  The file rows carry ``n_bad``, the number of torn lines,
+    plus one where the file could not be read to its end (``read_lines``):
+    an undecodable, cut or vanished file is known by it, ends no job and
+    loses nothing silently.  A CSV file with a header and no rows is a file
+    without rows here.
+    """
+    lines, account = read_lines(spark, path, file_col, expected)
+    if fmt == "csv":
+        records = _csv_records(lines, file_col, sep)
+    elif fmt == "json":
+        records = lines.where(F.trim("value") != "").select(file_col, parse_object(F.col("value")).alias("fields"))
+    else:
+        raise ValueError("fmt must be 'json' or 'csv'")
     bad = records.groupBy(file_col).agg(F.count_if(F.col("fields").isNull()).alias("n_bad"))
-    files = list_files(spark, path, file_col).join(bad, file_col, "left").fillna(0, ["n_bad"])
+    files = account.join(bad, file_col, "left").select(
+        file_col, (F.coalesce("n_bad", F.lit(0)) + F.when(F.col("complete"), 0).otherwise(1)).alias("n_bad"))
     return records.where(F.col("fields").isNotNull()).select(file_col, "fields"), files
 
 
@@ -215,7 +329,9 @@ def read_folder(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Stru
     """All files of a folder as one DataFrame plus the source file of each row.
 
     ``file_col`` comes from the hidden ``_metadata`` column.  Fits folders of
-    identically shaped sheets; ``read_sheets`` keeps each file's own columns.
+    identically shaped sheets (CSV columns are matched to the first header,
+    and ``enforceSchema`` is off, so a file with other names fails the job);
+    ``read_sheets`` keeps each file's own columns.
     A file that vanished or cannot be decoded fails the job; only
     ``skip_bad_files=True`` drops its rows (``ignoreMissingFiles`` /
     ``ignoreCorruptFiles``).
@@ -224,7 +340,7 @@ def read_folder(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Stru
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)
     if fmt == "parquet":
         reader = reader.option("mergeSchema", True)
     if skip_bad_files:
@@ -312,10 +428,15 @@ def write_snapshot(df: DataFrame, path: str, version: int | None = None,
 
 def write_text_file(spark: SparkSession, path: str, content: str) -> None:
     """Small control file (marker) through the Hadoop file system."""
+    write_bytes_file(spark, path, content.encode("utf-8"))
+
+
+def write_bytes_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """Small binary file through the Hadoop file system."""
     fs, p = _fs(spark, path)
     out = fs.create(p, True)
     try:
-        out.write(bytearray(content.encode("utf-8")))
+        out.write(bytearray(content))
     finally:
         out.close()
 

@@ -1,7 +1,11 @@
+import gzip
+import os
+import random
 from pyspark.sql import functions as F
 
 from fieldbook.functions.dates import date_tokens, parse_dmy
 from fieldbook.operators import observations as obs
+from fieldbook.sources import io
 from conftest import rows
 
 
@@ -103,3 +107,80 @@ def test_text_product_id_rejects_the_file(spark):
     assert {r.file_path: (r.rows_loaded, r.error_message) for r in log.collect()} == {
         "a": (0, obs.MSG_BAD_ID), "b": (1, None)}
     assert [r.product_id for r in rows_out.collect()] == [12]
+
+
+def _sheet_folder(tmp_dir):
+    rng = random.Random(1)
+    lines = "".join('{"productid":%d,"feeding":"%s"}\n' % (i, "".join(rng.choices("abcdefghij", k=30))) for i in range(4000))
+    packed = gzip.compress(lines.encode())
+    bent = bytearray(packed)
+    bent[len(bent) // 2] ^= 255
+    files = {"good.json": lines.encode(), "ok.json.gz": packed, "cut.json.gz": packed[:len(packed) // 2],
+             "bent.json.gz": bytes(bent), "junk.json.gz": b"no gzip", "empty.json": b"",
+             "a name.json": b'\xef\xbb\xbf{"productid":1}\r\n{"productid":2}', "torn.json": b'{"productid":1}\n{"prod'}
+    for name, data in files.items():
+        with open(os.path.join(tmp_dir, name), "wb") as f:
+            f.write(data)
+
+
+def test_unreadable_files_are_accounted_and_end_nothing(spark, tmp_dir):
+    _sheet_folder(tmp_dir)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")  # good.json is read in several splits
+    try:
+        got, files = io.read_sheets(spark, tmp_dir, expected=[tmp_dir + "/gone.json", tmp_dir + "/good.json"])
+        bad = {os.path.basename(r.file_path).replace("%20", " "): r.n_bad for r in files.collect()}
+        n = {os.path.basename(r.file_path).replace("%20", " "): r["count"] for r in got.groupBy("file_path").count().collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert bad == {"good.json": 0, "ok.json.gz": 0, "cut.json.gz": 1, "bent.json.gz": 1, "junk.json.gz": 1,
+                   "empty.json": 0, "a name.json": 0, "torn.json": 1, "gone.json": 1}
+    assert n == {"good.json": 4000, "ok.json.gz": 4000, "a name.json": 2, "torn.json": 1}
+
+
+def test_a_file_that_vanishes_while_reading_is_incomplete(spark, tmp_dir):
+    _sheet_folder(tmp_dir)
+    _, files = io.read_sheets(spark, tmp_dir)
+    os.remove(os.path.join(tmp_dir, "good.json"))  # listed, then gone
+    assert {r.n_bad for r in files.collect() if r.file_path.endswith("/good.json")} == {1}
+
+
+def test_csv_files_keep_their_own_headers(spark, tmp_dir):
+    files = {"a.csv": 'productid,feeding,weight\n1,"2,5 ""x""",3\n,,\n4\n', "b.csv": "weight,productid,weight\r\n9,7,8\r\n",
+             "more.csv": "x,y\n1,2,3\n", "torn.csv": 'x,y\n"1,2\n', "head.csv": "x,y\n", "none.csv": "",
+             "blank.csv": "\n  \nx,y\n\n5,6\n"}
+    for name, text in files.items():
+        with open(os.path.join(tmp_dir, name), "w", newline="") as f:
+            f.write(text)
+    with open(os.path.join(tmp_dir, "z.csv.gz"), "wb") as f:
+        f.write(gzip.compress(b"y,x\n1,2\n"))
+    rows_, files_ = io.read_sheets(spark, tmp_dir, fmt="csv")
+    got = [(os.path.basename(r.file_path), tuple(sorted(r.fields.items()))) for r in rows_.collect()]
+    empty = (("feeding", None), ("productid", None), ("weight", None))
+    want = [
+        ("a.csv", (("feeding", '2,5 "x"'), ("productid", "1"), ("weight", "3"))), ("a.csv", empty),
+        ("a.csv", (("feeding", None), ("productid", "4"), ("weight", None))), ("b.csv", (("productid", "7"), ("weight", "9"))),
+        ("blank.csv", (("x", "5"), ("y", "6"))), ("z.csv.gz", (("x", "2"), ("y", "1")))]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert {os.path.basename(r.file_path): r.n_bad for r in files_.collect()} == {
+        "a.csv": 0, "b.csv": 0, "more.csv": 1, "torn.csv": 1, "head.csv": 0, "none.csv": 0, "blank.csv": 0, "z.csv.gz": 0}
+
+
+def test_header_reaches_every_split(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "long.csv"), "w") as f:
+        f.write("b,a\n" + "".join(f"{i},{-i}\n" for i in range(20000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        got, files = io.read_sheets(spark, tmp_dir, fmt="csv")
+        assert got.rdd.getNumPartitions() > 3
+        sums = got.selectExpr("sum(fields['a']) AS a", "sum(fields['b']) AS b", "count(*) AS n").first()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert (sums.a, sums.b, sums.n) == (-199990000, 199990000, 20000)
+    assert files.first().n_bad == 0
+
+
+def test_array_files_may_span_lines(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "batch.json"), "w") as f:
+        f.write('[\n {"a": "1"},\n {"a": "2"}\n]\n')
+    got = io.read_json_maps(spark, tmp_dir)
+    assert [(r.seq, r.fields) for r in got.orderBy("seq").collect()] == [(1, {"a": "1"}), (2, {"a": "2"})]
