@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from fieldbook.operators.ids import continue_ids
 from fieldbook.schemas import AUDIT_COLUMNS
+from fieldbook.session import materialize
 from fieldbook.sources.io import fields_fit
 
 # Outcome labels.
@@ -335,47 +336,88 @@ def upsert(stored: DataFrame, batch: DataFrame, keys: list[str], now, id_col: st
 
 
 # ---------------------------------------------------------------- loose checks
+FEW_CANDIDATES = 16
+
+
+def _value_sets(df: DataFrame, columns: list[str]) -> Column:
+    """The distinct values of a row as texts, NULL a value of its own."""
+    return F.sort_array(F.array_distinct(F.array(*[
+        F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in columns])))
+
+
+def _ranked(sets: DataFrame, counts: DataFrame) -> DataFrame:
+    """``sets(_s)`` with their values in the order of ``counts(_v, _n)``, rarest first, values it lacks left out."""
+    each = sets.select("_s", F.explode("_s").alias("_v")).join(counts, "_v")
+    return each.groupBy("_s").agg(F.array_sort(F.collect_list(F.struct("_n", "_v"))).alias("_r")).select(
+        "_s", F.transform("_r", lambda e: e["_v"]).alias("_r"))
+
+
+def contained_sets(batch: DataFrame, stored: DataFrame, few: int = FEW_CANDIDATES) -> DataFrame:
+    """(_s): the sets of ``batch(_s)`` that contain some set of ``stored(_s)``.
+
+    A containment join.  Only stored values that occur in the batch count,
+    and sets holding others drop out.  Values have one order, rarest first by
+    the stored sets.  A stored set is keyed by its first value; where more
+    than ``few`` sets share a key, those grow it by their next value, and so
+    on, so keys end up as long as their counts demand.  A batch set probes
+    with the values it holds, and grows only probes that met a key that grew.
+    A key that is a whole set decides by itself; the others give at most
+    ``few`` candidates a probe, whose remaining values are then looked up.
+
+    Rounds: one per key length, at most the number of columns.  Each writes
+    its surviving probes; only whether there are any reaches the driver.
+    """
+    batch = batch.select("_s").distinct()
+    held = batch.select(F.explode("_s").alias("_v")).distinct()
+    sets = stored.select("_s").distinct()
+    known = sets.select("_s", F.explode("_s").alias("_v")).join(held, "_v")
+    whole = materialize(known.groupBy("_s").agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") == F.size("_s"))
+                        .select("_s"), "contained-sets")
+    counts = whole.select(F.explode("_s").alias("_v")).groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+    left = materialize(_ranked(whole, counts).select("_r"), "contained-ranked")
+    probes = materialize(_ranked(batch, counts).select("_s", "_r", F.array().cast("array<string>").alias("_k"),
+                                                       F.lit(0).alias("_at")), "contained-probes")
+    hits = []
+    for length in range(1, 1 << 10):
+        keys = left.select(F.slice("_r", 1, length).alias("_k"), "_r").groupBy("_k").agg(
+            F.count(F.lit(1)).alias("_n"), F.max(F.size("_r") == length).alias("_whole"))
+        keys = keys.select("_k", F.when(F.col("_whole"), 0).when(F.col("_n") <= few, 1).otherwise(2).alias("_kind"))
+        grown = probes.where(F.col("_at") < F.size("_r")).select("_s", "_r", F.explode(F.transform(
+            F.sequence(F.col("_at") + 1, F.size("_r")), lambda i: F.struct(
+                F.concat("_k", F.array(F.get("_r", i - 1))).alias("k"), i.alias("at")))).alias("_e"))
+        met = materialize(grown.select("_s", "_r", F.col("_e.k").alias("_k"), F.col("_e.at").alias("_at")).join(
+            keys, "_k"), "contained-met")
+        near = met.where("_kind = 1").select("_s", "_k").join(
+            left.select(F.slice("_r", 1, length).alias("_k"), F.col("_r").alias("_t")), "_k")
+        hits.append(materialize(met.where("_kind = 0").select("_s").unionByName(
+            near.where(F.size(F.array_except("_t", "_s")) == 0).select("_s")).distinct(), "contained-hits"))
+        done = reduce(DataFrame.unionByName, hits).distinct()
+        probes = met.where("_kind = 2").select("_s", "_r", "_k", "_at").join(done, "_s", "left_anti")
+        probes = materialize(probes, "contained-probes")
+        if probes.limit(1).count() == 0:
+            return done
+        open_keys = keys.where("_kind = 2").select("_k")
+        left = materialize(left.join(open_keys, F.slice("_r", 1, length) == F.col("_k"), "left_semi"), "contained-ranked")
+    raise ValueError("too many columns")
+
+
 def loose_exists(batch: DataFrame, stored: DataFrame, row_id: str, columns: list[str] | None = None,
-                 flag: str = "present") -> DataFrame:
+                 flag: str = "present", few: int = FEW_CANDIDATES) -> DataFrame:
     """A batch row is present when some stored row has *every* common
     column's value somewhere among the batch row's values (any column).
 
-    Values compare as text; NULL matches NULL.  Instead of a nested loop each
-    distinct stored tuple is keyed by its rarest pair of values (by the
-    stored table's own pair counts, one partially aggregated ``groupBy`` in
-    the plan), meets the batch rows that hold both values, and its other
-    values are checked with ``exists``.  Pairs are of two different columns,
-    so a column of few values is a key only beside a rarer one; with one
-    common column the value itself is the key.  Output: batch + flag.
+    Values compare as text; NULL matches NULL.  That is containment of the
+    stored row's set of values in the batch row's, found by
+    ``contained_sets`` without a nested loop, also where all columns have few
+    values.  Output: batch + flag.
     """
     common = [c for c in (columns or batch.columns) if c in stored.columns and c != row_id]
     if not common:
         return batch.withColumn(flag, F.lit(False))
-
-    def pairs(values: Column) -> Column:
-        """Distinct unordered pairs (smaller first, NULL smallest) of an array's values."""
-        both = F.flatten(F.transform(values, lambda x: F.transform(values, lambda y: F.struct(
-            x.alias("a"), y.alias("b")))))
-        return F.array_distinct(F.filter(both, lambda p: p["a"].isNull() | (p["a"] <= p["b"])))
-
-    tuples = stored.select(F.array(*[F.col(c).cast("string") for c in common]).alias("_t")).distinct()
-    n = len(common)
-    columns_of = [(i, j) for i in range(n) for j in range(i + 1, n)] or [(0, 0)]
-
-    def ordered(x: Column, y: Column) -> Column:
-        swap = x.isNotNull() & (y.isNull() | (x > y))
-        return F.struct(F.when(swap, y).otherwise(x).alias("a"), F.when(swap, x).otherwise(y).alias("b"))
-
-    keyed = tuples.select("_t", F.explode(F.array(*[
-        ordered(F.col("_t")[i], F.col("_t")[j]) for i, j in columns_of])).alias("_p")).distinct()
-    counts = keyed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    rarest = keyed.join(counts.withColumnRenamed("_p", "_cp"), F.col("_p").eqNullSafe(F.col("_cp"))).groupBy("_t").agg(F.min_by("_p", F.struct("_n", "_p")).alias("_p"))
-    held = batch.select(row_id, F.array_distinct(F.array(*[F.col(c).cast("string") for c in common])).alias("_vals"))
-    cand = held.select(row_id, "_vals", F.explode(pairs(F.col("_vals"))).alias("_p"))
-    right = rarest.withColumnRenamed("_p", "_q")
-    among = F.forall("_t", lambda t: F.exists("_vals", lambda v: v.eqNullSafe(t)))
-    hits = cand.join(right, cand["_p"].eqNullSafe(right["_q"])).where(among).select(row_id).distinct()
-    return batch.join(hits.withColumn(flag, F.lit(True)), row_id, "left").withColumn(
+    mine, theirs = _value_sets(batch, common).alias("_s"), _value_sets(stored, common).alias("_s")
+    hits = contained_sets(batch.select(mine), stored.select(theirs), few)
+    hit_rows = batch.select(row_id, mine).join(hits, "_s").select(row_id).distinct()
+    return batch.join(hit_rows.withColumn(flag, F.lit(True)), row_id, "left").withColumn(
         flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

@@ -8,6 +8,8 @@ token followed by the exact ``contains`` check, never a nested loop.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,42 +52,82 @@ def _grams(text: Column, n: int) -> Column:
     return F.array_distinct(F.filter(subs, lambda g: F.length(g) == n))
 
 
+def _factors(pattern: Column) -> Column:
+    """The literal stretches of a LIKE pattern, between its wildcards and with escapes undone."""
+    raw = F.regexp_extract_all(pattern, F.lit(r"((?:[^%_\\]++|\\.)++)"), F.lit(1))
+    return F.transform(raw, lambda f: F.regexp_replace(f, r"\\(.)", "$1"))
+
+
+def _patterns(keywords: DataFrame, keyword_col: str, literal: bool) -> DataFrame:
+    """(_kw, _n, _gs): the distinct keywords, the gram length that fits their longest factor (0: none) and their grams."""
+    kw = (keywords.select(F.col(keyword_col).cast("string").alias("_kw"))
+          .where(F.col("_kw").isNotNull() & (F.length("_kw") > 0)).distinct())
+    factors = F.array("_kw") if literal else _factors(F.col("_kw"))
+    kw = kw.select("_kw", factors.alias("_f"))
+    longest = F.coalesce(F.array_max(F.transform("_f", lambda f: F.length(f))), F.lit(0))
+    kw = kw.withColumn("_n", F.least(longest, F.lit(_GRAM)))
+    # factors shorter than _n have no gram of that length
+    def cut(n: int) -> Column:
+        return F.array_distinct(F.flatten(F.transform("_f", lambda f: _grams(f, n))))
+
+    grams = F.when(F.col("_n") == 1, cut(1)).when(F.col("_n") == 2, cut(2)).when(F.col("_n") == 3, cut(3))
+    return kw.select("_kw", "_n", grams.alias("_gs"))
+
+
 def search_table(df: DataFrame, keywords: DataFrame, row_id: str, keyword_col: str = "keyword",
                  columns: list[str] | None = None, literal: bool = True) -> DataFrame:
-    """(row_id, keyword) for every row whose text contains a keyword of a keyword table.
+    """(row_id, keyword) for every row with a cell that contains a keyword of a keyword table.
 
     An inverted-index join, exact and without a nested loop or a broadcast
-    of the (unbounded) keyword table: every row is cut into its distinct
-    trigrams; each keyword of length >= 3 is keyed by its *rarest* trigram
-    (trigram row counts come from one partially aggregated groupBy), joined
-    to the rows holding that trigram, and confirmed with ``contains`` on the
-    row's text.  Keywords of 1-2 characters are keyed by themselves against
-    the rows' 1- and 2-grams, which is already the exact test.  The row text
-    is the columns cast to string, joined by U+0001.  ``literal=True`` only:
-    LIKE wildcards do not survive tokenising.
+    of the (unbounded) keyword table.  A keyword is keyed by one n-gram of
+    its literal text: its *rarest* trigram, by row counts from one partially
+    aggregated groupBy, or the rarest 2- or 1-gram if it has no longer
+    stretch.  It meets the rows that hold this gram and the match is
+    confirmed there.  Rows are cut only into grams of the lengths that the
+    keywords need, and only grams that some keyword holds are shuffled.
+
+    ``literal=True``: keywords are plain substrings.  ``literal=False``: they
+    are bodies of LIKE patterns, as in ``cell LIKE '%kw%'``, with ``%``,
+    ``_`` and the escape ``\\``; grams come from the stretches between
+    wildcards and ``like`` confirms on each cell.  A pattern of wildcards
+    alone matches by length: it meets each row with a cell of that many
+    characters.  Cells are the columns cast to string; a NULL cell matches
+    nothing, NULL and empty keywords are left out.
     """
-    if not literal:
-        raise ValueError("search_table supports literal keywords only")
     cols = columns or [c for c in df.columns if c != row_id]
-    text = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in cols])
-    rows = df.select(row_id, text.alias("_text"))
-    kw = (keywords.select(F.col(keyword_col).alias("_kw"))
-          .where(F.col("_kw").isNotNull() & (F.length("_kw") > 0)).distinct())
-
-    kw_tri = kw.where(F.length("_kw") >= _GRAM).select(
-        "_kw", F.explode(_grams(F.col("_kw"), _GRAM)).alias("_g"))
-    # only trigrams that some keyword holds are counted and shuffled
-    tri = rows.select(row_id, F.explode(_grams(F.col("_text"), _GRAM)).alias("_g")).join(
-        kw_tri.select("_g").distinct(), "_g", "left_semi")
-    freq = tri.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
-    # a keyword with a trigram no row has cannot match: the inner join drops it
-    key = kw_tri.join(freq, "_g").groupBy("_kw").agg(F.min_by("_g", "_f").alias("_g"))
-    cand = tri.join(key, "_g").select(row_id, "_kw")
-    hit_long = cand.join(rows, row_id).where(F.col("_text").contains(F.col("_kw"))).select(row_id, "_kw")
-
-    out = hit_long
-    for n in range(1, _GRAM):
-        short = kw.where(F.length("_kw") == n)
-        g = rows.select(row_id, F.explode(_grams(F.col("_text"), n)).alias("_kw"))
-        out = out.unionByName(g.join(short, "_kw").select(row_id, "_kw"))
-    return out.distinct().withColumnRenamed("_kw", keyword_col)
+    cells = F.array_compact(F.array(*[F.col(c).cast("string") for c in cols]))
+    rows = df.select(row_id, cells.alias("_cells"))
+    kw = _patterns(keywords, keyword_col, literal)
+    lengths = sorted(r[0] for r in kw.select("_n").distinct().collect())  # 0 to 3
+    if literal:
+        found = F.exists("_cells", lambda c: c.contains(F.col("_kw")))
+    else:
+        found = F.exists("_cells", lambda c: F.like(c, F.concat(F.lit("%"), "_kw", F.lit("%"))))
+    hits = [_by_length(rows, kw, row_id)] if 0 in lengths else []
+    for n in lengths:
+        if n == 0:
+            continue
+        held = kw.where(F.col("_n") == n).select("_kw", F.explode("_gs").alias("_g"))
+        index = rows.select(row_id, F.explode(_grams(F.array_join("_cells", "\u0001"), n)).alias("_g")).join(
+            held.select("_g").distinct(), "_g", "left_semi")
+        freq = index.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
+        # a keyword with a gram that no row has cannot match: only those with all their grams found are keyed
+        key = held.join(freq, "_g", "left").groupBy("_kw").agg(
+            F.min_by("_g", F.struct(F.coalesce("_f", F.lit(0)), "_g")).alias("_g"))
+        candidates = index.join(key, "_g").select(row_id, "_kw")
+        if not (literal and n < _GRAM):  # a short literal keyword is its own gram
+            candidates = candidates.join(rows, row_id).where(found)
+        hits.append(candidates.select(row_id, "_kw"))
+    if not hits:
+        hits = [rows.select(row_id, F.lit("").alias("_kw")).limit(0)]
+    return reduce(DataFrame.unionByName, hits).distinct().withColumnRenamed("_kw", keyword_col)
+
+
+def _by_length(rows: DataFrame, kw: DataFrame, row_id: str) -> DataFrame:
+    """Matches of patterns without a literal character: a cell needs one character per underscore."""
+    bare = kw.where(F.col("_n") == 0).select("_kw", F.length(F.regexp_replace("_kw", "%", "")).alias("_m"))
+    top = bare.agg(F.max("_m").alias("_top")).scalar()
+    sized = rows.where(F.size("_cells") > 0).select(
+        row_id, F.array_max(F.transform("_cells", lambda c: F.length(c))).alias("_len"))
+    return sized.select(row_id, F.explode(F.sequence(F.lit(0), F.least("_len", top))).alias("_m")).join(
+        bare, "_m").select(row_id, "_kw")

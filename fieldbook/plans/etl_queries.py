@@ -332,6 +332,30 @@ SELECT DISTINCT r.p_partkey, kw.keyword FROM r JOIN kw ON contains(r.t, kw.keywo
 """
 
 
+def q_search_table_like(spark: SparkSession, sf: str) -> DataFrame:
+    """A keyword table of LIKE patterns: wildcards, escapes and patterns without a literal."""
+    part = load(spark, sf, "part", "p_partkey", "p_name", "p_brand", "p_type")
+    name, brand = F.col("p_name"), F.col("p_brand")
+    first, last = F.split_part(name, F.lit(" "), F.lit(1)), F.split_part(name, F.lit(" "), F.lit(-1))
+    keywords = part.select(F.explode(F.array(
+        F.concat(F.substring(first, 1, 3), F.lit("%"), last),
+        F.concat(F.substring(last, 1, 1), F.lit("_"), F.expr("substring(split_part(p_name, ' ', -1), 3)")),
+        F.concat(F.lit("%"), F.substring(brand, -3, 2), F.lit("_")),
+        F.concat(F.lit("\\%"), first), F.concat(F.lit("_%"), F.substring(first, 1, 2)),
+        F.repeat(F.lit("_"), F.length(name) - 2))).alias("keyword"))
+    return search.search_table(part, keywords, "p_partkey", literal=False)
+
+
+SQL_SEARCH_TABLE_LIKE = r"""
+WITH w AS (SELECT *, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', -1) AS z FROM part),
+kw AS (SELECT DISTINCT unnest([
+    substr(a, 1, 3) || '%' || z, substr(z, 1, 1) || '_' || substr(z, 3), '%' || substr(p_brand, -3, 2) || '_',
+    '\%' || a, '_%' || substr(a, 1, 2), repeat('_', length(p_name) - 2)]) AS keyword FROM w)
+SELECT DISTINCT p_partkey, keyword FROM part JOIN kw ON keyword <> '' AND (p_name LIKE '%' || keyword || '%' ESCAPE '\'
+    OR p_brand LIKE '%' || keyword || '%' ESCAPE '\' OR p_type LIKE '%' || keyword || '%' ESCAPE '\')
+"""
+
+
 # ---------------------------------------------------------------- load
 CUSTOMER_MASTER = T.StructType([
     T.StructField("c_custkey", T.LongType()),
@@ -439,6 +463,7 @@ QUERIES = {
     "search_one": (q_search_one, SQL_SEARCH_ONE),
     "search_many": (q_search_many, SQL_SEARCH_MANY),
     "search_table": (q_search_table, SQL_SEARCH_TABLE),
+    "search_table_like": (q_search_table_like, SQL_SEARCH_TABLE_LIKE),
     "search_documents": (q_search_documents, SQL_SEARCH_DOCUMENTS),
     "conform_schema": (q_conform_schema, SQL_CONFORM_SCHEMA),
     "conform_text": (q_conform_text, SQL_CONFORM_SCHEMA),

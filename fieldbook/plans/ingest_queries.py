@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,12 +37,11 @@ INSERT_SEQ_BASE = 10 ** 12
 
 
 def lines(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
-    """Line items with ``seq`` = 1..n, their position in the batch (written, as a
-    batch file would be)."""
-    def build():
-        li = load(spark, sf, "lineitem")
-        return dense_ids(li, LINE_ORDER, id_col="seq")
-    return written_input(spark, sf, "line_batch", build).select("seq", *cols)
+    """Line items with ``seq`` = 1..n, their position in the batch.
+
+    ``dense_ids`` writes the sorted rows once; the numbers are read off that.
+    """
+    return dense_ids(load(spark, sf, "lineitem"), LINE_ORDER, id_col="seq").select("seq", *cols)
 
 
 def _stored(spark: SparkSession, sf: str, where: F.Column | None = None, with_key: bool = True) -> DataFrame:
@@ -341,6 +340,38 @@ SELECT row_id, row_id IN (SELECT row_id FROM hits) AS present FROM b
 """
 
 
+def _cents(c: str) -> Column:
+    return F.round(F.col(c) * 100).cast("int").cast("string")
+
+
+def q_loose_exists_few_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Column-agnostic membership where every column has few values (D7): all lines against those shipped on 1 March."""
+    li = lines(spark, sf, "l_linenumber", "l_quantity", "l_discount", "l_tax")
+    quantity = F.col("l_quantity").cast("int").cast("string")
+    batch = li.select(F.col("seq").alias("row_id"), F.col("l_linenumber").cast("string").alias("a"),
+                      quantity.alias("b"), _cents("l_discount").alias("c"), _cents("l_tax").alias("d"))
+    stored = load(spark, sf, "lineitem", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate").where(
+        (F.month("l_shipdate") == 3) & (F.dayofmonth("l_shipdate") == 1)).select(
+        quantity.alias("a"), _cents("l_tax").alias("b"), F.col("l_linenumber").cast("string").alias("c"),
+        _cents("l_discount").alias("d"))
+    return ingest.loose_exists(batch, stored, "row_id").select("row_id", "present")
+
+
+SQL_LOOSE_EXISTS_FEW_VALUES = "WITH " + LINE_SEQ_SQL + """,
+v AS (SELECT seq AS row_id, list_sort(list_distinct([l_linenumber::VARCHAR, trunc(l_quantity)::INT::VARCHAR,
+             round(l_discount * 100)::INT::VARCHAR, round(l_tax * 100)::INT::VARCHAR])) AS vals FROM li),
+s AS (SELECT DISTINCT list_sort(list_distinct([trunc(l_quantity)::INT::VARCHAR, round(l_tax * 100)::INT::VARCHAR,
+             l_linenumber::VARCHAR, round(l_discount * 100)::INT::VARCHAR])) AS t
+      FROM lineitem WHERE month(l_shipdate) = 3 AND day(l_shipdate) = 1),
+d AS (SELECT DISTINCT vals FROM v),
+parts AS (SELECT vals, list_sort(list_distinct([x1, x2, x3, x4])) AS t
+          FROM (SELECT vals, unnest(vals) AS x1 FROM d) JOIN (SELECT vals, unnest(vals) AS x2 FROM d) USING (vals)
+          JOIN (SELECT vals, unnest(vals) AS x3 FROM d) USING (vals) JOIN (SELECT vals, unnest(vals) AS x4 FROM d) USING (vals)),
+hits AS (SELECT DISTINCT vals FROM parts JOIN s USING (t))
+SELECT row_id, vals IN (SELECT vals FROM hits) AS present FROM v
+"""
+
+
 def q_add_rows_replace(spark: SparkSession, sf: str) -> DataFrame:
     """Add batch rows that are not loosely present, restamp every row (G6: D7 + F3 + B8)."""
     li = lines(spark, sf, "l_linenumber", "l_quantity")
@@ -427,6 +458,7 @@ QUERIES = {
     "flatten_formulation": (q_flatten_formulation, SQL_FLATTEN_FORMULATION),
     "loose_exists": (q_loose_exists, SQL_LOOSE_EXISTS),
     "row_difference": (q_row_difference, SQL_ROW_DIFFERENCE),
+    "loose_exists_few_values": (q_loose_exists_few_values, SQL_LOOSE_EXISTS_FEW_VALUES),
     "loose_exists_orders": (q_loose_exists_orders, SQL_LOOSE_EXISTS_ORDERS),
     "add_rows_replace": (q_add_rows_replace, SQL_ADD_ROWS_REPLACE),
     "json_batch_insert": (q_json_batch_insert, SQL_JSON_BATCH_INSERT),

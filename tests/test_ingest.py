@@ -1,3 +1,6 @@
+import itertools
+import random
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -278,3 +281,32 @@ def test_insert_new_with_one_key_in_a_third_of_the_rows(spark):
     stored = spark.range(100).selectExpr("id", "CAST(id AS STRING) AS k")
     out = ingest.classify_new(batch, stored, ["k"], "seq").groupBy("outcome").count().collect()
     assert {r.outcome: r["count"] for r in out} == {"duplicate": 2999, "exists": 66, "inserted": 5935}
+
+
+def test_containment_where_all_columns_have_few_values(spark):
+    """700 rows against 20,000 of four columns with 50 values: keys must grow to stay selective."""
+    rng = random.Random(5)
+    values = [str(i) for i in range(50)]
+    stored = [tuple(rng.choice(values) for _ in range(4)) for _ in range(20000)]
+    batch = [(i, *(rng.choice(values) for _ in range(4))) for i in range(600)]
+    batch += [(600 + i, *rng.sample(stored[i], 4)) for i in range(100)] + [(700, None, "1", "2", "3")]
+    stored += [(None, "1", None, "3")]
+    known = {frozenset(s) for s in stored}
+
+    def contained(row):
+        vals = list(dict.fromkeys(row))
+        return any(frozenset(c) in known for n in range(1, 5) for c in itertools.combinations(vals, n))
+
+    s = spark.createDataFrame(stored, "a string, b string, c string, d string")
+    b = spark.createDataFrame(batch, "rid long, a string, b string, c string, d string")
+    for few in (1, 16):
+        got = {r.rid: r.present for r in ingest.loose_exists(b, s, "rid", few=few).collect()}
+        assert got == {r[0]: contained(r[1:]) for r in batch}
+        assert sum(got.values()) >= 100
+
+
+def test_containment_of_empty_tables(spark):
+    b = spark.createDataFrame([(1, "x", "_s")], "rid long, a string, _s string")
+    assert [r.present for r in ingest.loose_exists(b, b.limit(0), "rid").collect()] == [False]
+    assert ingest.loose_exists(b.limit(0), b, "rid").count() == 0
+    assert [r.present for r in ingest.loose_exists(b, b, "rid").collect()] == [True]

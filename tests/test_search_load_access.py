@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -195,3 +198,33 @@ def test_search_table_on_short_empty_and_wide_characters(spark):
     kws = spark.createDataFrame([("\U0001F600b",), ("xy",), ("y",), ("cab",), ("bcabca",), ("zzz",)], "keyword string")
     got = rows(search.search_table(df, kws, "id"), "id", "keyword")
     assert got == [(1, "\U0001F600b"), (3, "xy"), (3, "y"), (4, "bcabca"), (4, "cab")]
+
+
+def _like(cell, pattern):
+    out, i = "", 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            i += 1
+            out += re.escape(pattern[i])
+        else:
+            out += {"%": ".*", "_": "."}.get(c, re.escape(c))
+        i += 1
+    return re.search(out, cell, re.S) is not None
+
+
+def test_search_table_with_wildcards_equals_brute_force(spark):
+    rng = random.Random(6)
+    cells = [(i, *("".join(rng.choice("ab%_\\é ") for _ in range(rng.randint(0, 9))) if rng.random() < .9 else None
+                   for _ in range(2))) for i in range(150)]
+    bodies = {"".join(rng.choice(["a", "b", "ab", "%", "_", r"\%", r"\_", "\\\\", "é"]) for _ in range(rng.randint(1, 6)))
+              for _ in range(150)} | {"%", "_", "__%_", "a%b", "ab_ba"}
+    df = spark.createDataFrame(cells, "id long, x string, y string")
+    kws = spark.createDataFrame([(b,) for b in bodies] + [(None,), ("",), ("%",)], "keyword string")
+    got = rows(search.search_table(df, kws, "id", literal=False), "id", "keyword")
+    want = sorted({(i, b) for i, x, y in cells for b in bodies if any(c is not None and _like(c, b) for c in (x, y))},
+                  key=lambda t: tuple((x is None, str(x)) for x in t))
+    assert got == want
+    plan = search.search_table(df, kws, "id", literal=False)._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert search.search_table(df, kws.limit(0), "id").count() == 0
