@@ -1,4 +1,6 @@
 import os
+import shutil
+import subprocess
 import sys
 
 import duckdb
@@ -43,3 +45,18 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(cols)
     assert len(got) == len(ref)
     assert digest(df.columns, got)[0] == digest(cols, ref)[0]
+
+
+@pytest.mark.parametrize("with_pipeline", [False, True])
+def test_entry_without_the_optional_subpackage(tmp_path, with_pipeline):
+    """The other queries stay when the subpackage's folders are not there, with its pipeline or without."""
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    left_out = shutil.ignore_patterns("llm", ".git", "__pycache__", *([] if with_pipeline else ["corpus_pipeline.py"]))
+    copy = shutil.copytree(root, tmp_path / "copy", ignore=left_out)
+    said = subprocess.run(
+        [sys.executable, "-c", "import __spark_entry__ as e; q = e.queries(); print(len(q), 'pipeline' in q, "
+         "any(k.startswith('op') for k in q), set(e.oracle_sql()) <= set(q))"],
+        cwd=copy, env={**os.environ, "PYTHONPATH": str(copy)}, capture_output=True, text=True, timeout=120)
+    assert said.returncode == 0, said.stderr
+    from fieldbook.plans import registry
+    assert said.stdout.split() == [str(len(registry())), "False", "False", "True"]
