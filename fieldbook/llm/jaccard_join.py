@@ -36,6 +36,8 @@ from fieldbook.session import materialize, scratch_path
 _CHUNK = 1 << 16
 _ROWS = 2
 _PART_BITS = 20
+BLOCK_BYTES = 4 << 20  # text whose sets a worker holds at a time
+SEEN = 1 << 18  # groups that a task remembers to have sent; more only means more postings
 
 
 def _slots(tokens: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -100,33 +102,59 @@ def _need(n: int, num: int, den: int) -> int:
     return -(-num * n // den)
 
 
+def _blocks(batch: pa.RecordBatch, text_at: int):
+    """Parts of a batch with about ``BLOCK_BYTES`` of text (or one longer text) each, and their texts."""
+    first, size, held = 0, 0, []
+    for text in batch.column(text_at).cast(pa.binary()):
+        held.append(text.as_py())
+        size += len(held[-1] or b"")
+        if size >= BLOCK_BYTES:
+            yield batch.slice(first, len(held)), held
+            first, size, held = first + len(held), 0, []
+    if held:
+        yield batch.slice(first, len(held)), held
+
+
 def _prefixer(width: int, num: int, den: int, bits: int, levels):
     schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("sig", pa.binary()), ("n", pa.int64()),
                         ("gkey", pa.int64()), ("typ", pa.float64()), ("prefix", pa.list_(pa.int64()))])
 
+    def block(batch, texts, seen):
+        sig, size, gkey, typ, lengths, prefix = [], [], [], [], [], []
+        for text in texts:
+            s = shingle_set(text, width)
+            n = len(s)
+            size.append(n)
+            if n == 0:
+                sig.append(None), gkey.append(None), typ.append(None), lengths.append(0)
+                continue
+            level = np.minimum(*(row[i] for row, i in zip(levels.value, _slots(s, bits))))
+            order = np.argsort(level, kind="stable")[:n - _need(n, num, den) + 1]  # by (level, token)
+            first = s[order].view(np.int64)
+            sig.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+            g = hashlib.blake2b(first.tobytes() + n.to_bytes(8, "little"), digest_size=8).digest()
+            gkey.append(int.from_bytes(g, "little", signed=True))
+            typ.append(float(np.mean(level[order])))
+            if gkey[-1] in seen:  # one row of a group per task brings the group's postings
+                lengths.append(0)
+                continue
+            seen.add(gkey[-1])
+            prefix.append(first)
+            lengths.append(len(first))
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()),
+            pa.array(np.concatenate(prefix) if prefix else np.empty(0, np.int64)))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(sig, pa.binary()), pa.array(size, pa.int64()),
+             pa.array(gkey, pa.int64()), pa.array(typ, pa.float64()), lists], schema=schema)
+
     def run(batches):
-        table = levels.value
+        seen: set[int] = set()
         for batch in batches:
-            sig, size, gkey, typ, prefix = [], [], [], [], []
-            for text in batch.column(2).cast(pa.binary()):
-                s = shingle_set(text.as_py(), width)
-                n = len(s)
-                size.append(n)
-                if n == 0:
-                    sig.append(None), gkey.append(None), typ.append(None), prefix.append(None)
-                    continue
-                level = np.minimum(*(row[i] for row, i in zip(table, _slots(s, bits))))
-                order = np.argsort(level, kind="stable")[:n - _need(n, num, den) + 1]  # by (level, token)
-                first = s[order].view(np.int64)
-                sig.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                g = hashlib.blake2b(first.tobytes() + n.to_bytes(8, "little"), digest_size=8).digest()
-                gkey.append(int.from_bytes(g, "little", signed=True))
-                typ.append(float(np.mean(level[order])))
-                prefix.append(first)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sig, pa.binary()),
-                 pa.array(size, pa.int64()), pa.array(gkey, pa.int64()), pa.array(typ, pa.float64()),
-                 pa.array(prefix, pa.list_(pa.int64()))], schema=schema)
+            for part, texts in _blocks(batch, 2):
+                if len(seen) > SEEN:
+                    seen.clear()
+                yield block(part, texts, seen)
     return run
 
 
@@ -164,14 +192,13 @@ def _tokeniser(width: int, bits: int, wanted):
             hits = np.ones(batch.num_rows, bool)
             for bit in _probes(batch.column(0).to_numpy(), bits):
                 hits &= (table[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
-            texts = batch.filter(pa.array(hits)).column(1).cast(pa.binary())
-            sig, sets = [], []
-            for t in texts:
-                one = shingle_set(t.as_py(), width)
-                sig.append(hashlib.blake2b(one.tobytes(), digest_size=16).digest())
-                sets.append(one.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(sig, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
-                                             names=["sig", "tokens"])
+            for part, texts in _blocks(batch.filter(pa.array(hits)), 1):
+                sets = [shingle_set(t, width) for t in texts]
+                sig = [hashlib.blake2b(one.tobytes(), digest_size=16).digest() for one in sets]
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum([len(one) for one in sets])]), pa.int32()),
+                    pa.array(np.concatenate(sets).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(sig, pa.binary()), lists], names=["sig", "tokens"])
     return run
 
 
@@ -282,8 +309,8 @@ def _linked(docs: DataFrame, width: int, threshold: float, text_col: str, id_col
         classes.groupBy("g").agg(F.min("sig").alias("pivot"), F.min("n").alias("n"), F.min("typ").alias("typ")),
         "join-groups")
     # Postings that some posting of another group can reach: per token and size class, the bounds of sizes and
-    # of what follows the token.  Both are dealt by token; a token adds one posting per document at most, and
-    # only if it is among the document's rarest.
+    # of what follows the token.  Both are dealt by token; a token adds one posting per group and task at most
+    # (copies and near copies of one prefix send one), and only if it is among the group's rarest.
     spread = (sets.filter("n > 0").select(F.col("gkey").alias("g"), "n", F.posexplode("prefix").alias("p", "t"))
               # never null, and said so: no null filter comes between the two uses and their exchange
               .select("g", "n", "p", F.coalesce("t", F.lit(0).cast("long")).alias("token"))
@@ -392,10 +419,12 @@ def drop_near_copies(docs: DataFrame, width: int = 5, threshold: float = 0.8, te
     bare = sets.filter("n = 0").select(F.col("id").alias("_near_id"), F.col("h").alias("_near_h"),
                                        F.lit(False).alias("_near_many")).distinct()
     keep = materialize(keep.unionByName(bare), "join-keep")
-    ident = quoted(id_col).cast("long")
-    key = F.xxhash64(ident, quoted(text_col).cast("string"))
+    # the row as one struct: no column of ``docs`` can clash with those of the join
+    ident = F.col("row").getField(id_col).cast("long")
+    key = F.xxhash64(ident, F.col("row").getField(text_col).cast("string"))
+    rows = docs.select(F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row"))
     this = (key == F.col("_near_h")) & ident.eqNullSafe(F.col("_near_id"))
-    once = docs.join(keep.filter(~F.col("_near_many")), this, "left_semi")
-    many = docs.join(keep.filter("_near_many"), this, "left_semi").select(
-        F.struct(*[quoted(c) for c in docs.columns]).alias("row"), ident.alias("id"), key.alias("h"))
-    return once.unionByName(many.groupBy("id", "h").agg(F.first("row").alias("row")).select("row.*"))
+    once = rows.join(keep.filter(~F.col("_near_many")), this, "left_semi")
+    many = rows.join(keep.filter("_near_many"), this, "left_semi").select("row", ident.alias("id"), key.alias("h"))
+    kept = once.unionByName(many.groupBy("id", "h").agg(F.first("row").alias("row")).select("row"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
