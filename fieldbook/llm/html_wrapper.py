@@ -16,7 +16,6 @@ import html as entities
 import json
 import re
 from difflib import SequenceMatcher
-from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -27,13 +26,12 @@ from pyspark.sql import functions as F
 from fieldbook.llm.common import quoted
 from fieldbook.session import materialize
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|iframe|noscript)(?=[\s/>])(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*|[^>]*)>"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-    r"|<[!?/][^>]*>|(?P<text>[^<]+|<)", re.S | re.I)
-RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in "script style textarea title iframe noscript".split()}
-UNQUOTED = re.compile(r"=\s*[^\s\"'][^\s\"']*\Z")  # a last '/' belongs to such a value
+RAW = frozenset("script style textarea title iframe noscript".split())
+#: a tag without '<' or '>' in its quoted values; any other is found by ``_Scanner.tag_end``
+PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^\"'<>]|\"[^\"<>]*+\"|'[^'<>]*+')*+)>")
+TAG_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)")
+TAG_STOP = re.compile(r"[>\"']")
+RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW}
 ATTR = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPACE = re.compile(r"\s+")
 INLINE = frozenset(
@@ -67,7 +65,6 @@ TAGS = frozenset(
     "html head body article section nav aside header footer main address hgroup h1 h2 h3 h4 h5 h6 p pre blockquote ol ul menu "
     "li dl dt dd figure figcaption div table caption tbody thead tfoot tr form fieldset legend details summary dialog center "
     "search optgroup option frameset frame noframes listing xmp plaintext dir marquee applet".split())
-OPEN = re.compile(r"<([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>")
 SHARE, LEAST = 0.05, 3  # a label is told from its plain form if this share of a host's pages, and so many, have it
 WIDE = 64  # siblings in a wrapper before their order is given up
 DEPTH = 150  # deeper elements lose their tags, not their text
@@ -86,6 +83,8 @@ def _label(tag: str, attrs: str) -> str:
 def _plain(label: str) -> str:
     """The label with no more than what the tests for furniture and main elements see in it: one of a few hundred."""
     tag, _, marks = label.partition(".")
+    if tag in ("html", "body"):  # never furniture, so no mark of theirs is looked at
+        return tag
     words = marks.split(".")
     marks = LAYOUT.sub("", marks)
     return ((tag if tag in TAGS else "custom")
@@ -93,20 +92,106 @@ def _plain(label: str) -> str:
             + (".header" if HEADER.search(marks) else "") + (".main" if "main" in words or "articlebody" in words else ""))
 
 
+class _Scanner:
+    """Tags and texts of a page, in time linear in its length however broken its quotes are.
+
+    A tag ends at the first '>' outside quoted values; a '<' whose tag never ends is text.  A failed search is
+    remembered by the quotes it opened: a later one that comes to open one of them fails as well.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = html.rfind(">")
+        self.dead: set[int] = set()  # quotes that lead to no end
+        self.lone = {'"': len(html), "'": len(html)}  # from here on no such quote is closed
+        self.known = (0, -1)  # from .. to: the next stop after any place in between is at its end
+
+    def _stop(self, at: int) -> int:
+        if not self.known[0] <= at <= self.known[1]:
+            m = TAG_STOP.search(self.html, at)
+            self.known = (at, m.start() if m else len(self.html))
+        return self.known[1]
+
+    def tag_end(self, at: int) -> int:
+        """Place of the '>' that ends a tag whose name ends at ``at``; -1 if there is none."""
+        opened = []
+        while at <= self.last:
+            at = self._stop(at)
+            if at > self.last or at in self.dead:
+                break
+            quote = self.html[at]
+            if quote == ">":
+                return at
+            opened.append(at)
+            end = self.html.find(quote, at + 1) if at < self.lone[quote] else -1
+            if end < 0:
+                self.lone[quote] = min(self.lone[quote], at)
+                break
+            at = end + 1
+        self.dead.update(opened)
+        return -1
+
+    def __iter__(self):
+        """(close, tag, attrs) of tags and (None, None, text) of texts; comments and raw elements are left out."""
+        html, at, n = self.html, 0, len(self.html)
+        while at < n:
+            if html[at] != "<":
+                end = html.find("<", at)
+                end = n if end < 0 else end
+                yield None, None, html[at:end]
+                at = end
+                continue
+            m = PLAIN_TAG.match(html, at)
+            if m:
+                close, tag, attrs, after = m[1], m[2].lower(), m[3], m.end()
+            else:
+                if html.startswith("<!--", at):
+                    end = html.find("-->", at + 4)
+                    at = n if end < 0 else end + 3
+                    continue
+                if html[at:at + 9].upper() == "<![CDATA[":
+                    end = html.find("]]>", at + 9)
+                    at = n if end < 0 else end + 3
+                    continue
+                m = TAG_NAME.match(html, at)
+                end = self.tag_end(m.end()) if m else -1
+                raw = bool(m) and not m[1] and m[2].lower() in RAW
+                if end < 0 and at < self.last and (raw or html[at + 1:at + 2] in ("!", "?", "/")):
+                    end = html.find(">", at)  # such markup ends at the next '>', whatever its quotes
+                    if not raw:
+                        at = end + 1
+                        continue
+                elif end < 0:
+                    yield None, None, "<"
+                    at += 1
+                    continue
+                close, tag, attrs, after = m[1], m[2].lower(), html[m.end():end], end + 1
+            at = after
+            if tag in RAW and not close:
+                if not _self_closed(attrs):
+                    end = RAW_END[tag].search(html, at, self.last + 1)
+                    at = end.end() if end else n
+                continue
+            yield close, tag, attrs
+
+
 def page_labels(html: str) -> set[str]:
     """Labels of the page's block tags that say more than their plain form."""
     found = set()
-    for m in OPEN.finditer(html):
-        tag = m[1].lower()
-        if tag not in INLINE and (tag not in TAGS or ATTR.search(m[2])):
-            label = _label(tag, m[2])
+    for close, tag, attrs in _Scanner(html):
+        if tag and not close and tag not in INLINE and (tag not in TAGS or ATTR.search(attrs)):
+            label = _label(tag, attrs)
             if label != _plain(label):
                 found.add(label)
     return found
 
 
 def _self_closed(attrs: str) -> bool:
-    return attrs.endswith("/") and not UNQUOTED.search(attrs)
+    """The attributes end in a '/' that is not part of an unquoted value."""
+    if not attrs.endswith("/"):
+        return False
+    cut = max(attrs.rfind(c) for c in " \t\n\r\f\v\"'") + 1
+    return "=" not in attrs[cut:] and not attrs[:cut].rstrip().endswith("=")
 
 
 def parse(html: str, known: frozenset | None = None) -> list:
@@ -118,7 +203,6 @@ def parse(html: str, known: frozenset | None = None) -> list:
     root: list = ["", []]
     stack, flat, text = [root], [], []
     dropped: list = []  # open elements of DROPPED: tag, and what stood before it
-    at = 0
 
     def flush():
         if text:
@@ -135,20 +219,10 @@ def parse(html: str, known: frozenset | None = None) -> list:
         """The innermost open element that a block inside it does not close, and its depth."""
         return next((d, n) for d, n in zip(range(len(nodes) - 1, -1, -1), reversed(nodes)) if d == 0 or n[2] != "p")
 
-    while at < len(html):
-        m = TOKEN.match(html, at)
-        at = m.end()
-        if m["text"] is not None:
-            text.append(m["text"])
-            continue
-        if m["raw"] is not None:
-            if not _self_closed(m["rest"]):
-                end = RAW_END[m["raw"].lower()].search(html, at)
-                at = end.end() if end else len(html)
-            continue
-        if m["tag"] is None:
+    for closing, tag, attrs in _Scanner(html):
+        if tag is None:
+            text.append(attrs)
             continue
-        tag = m["tag"].lower()
         if tag in INLINE:
             if tag in SPACED:
                 text.append(" ")
@@ -156,10 +230,10 @@ def parse(html: str, known: frozenset | None = None) -> list:
         if tag in DROPPED:
             text.append(" ")
             same = next((k for k in range(len(dropped) - 1, -1, -1) if dropped[k][0] == tag), None)
-            if not m["close"]:
+            if not closing:
                 if same is not None and tag != "template":  # they do not nest: the first one has no end tag
                     del dropped[same:]
-                if not _self_closed(m["attrs"]):
+                if not _self_closed(attrs):
                     dropped.append((tag, list(stack), [len(n[1]) for n in stack], list(text), list(flat)))
             elif same is not None:
                 _, nodes, sizes, before, deep = dropped[same]
@@ -170,7 +244,7 @@ def parse(html: str, known: frozenset | None = None) -> list:
                         del n[1][size:]
                     stack[:], text[:], flat[:] = nodes, before, deep
             continue
-        if m["close"]:
+        if closing:
             flush()
             if flat and flat[-1] == tag:
                 flat.pop()
@@ -195,7 +269,7 @@ def parse(html: str, known: frozenset | None = None) -> list:
         if len(stack) > DEPTH:
             flat.append(tag)
             continue
-        label = _label(tag, m["attrs"])
+        label = _label(tag, attrs)
         if known is not None and label not in known:
             if label not in short:
                 short[label] = _plain(label)
@@ -306,8 +380,19 @@ def slot_texts(nodes: list, path: str = "", found: dict | None = None) -> dict:
     return found
 
 
-@lru_cache(1 << 14)
+_JUDGED: dict = {}  # travels with the function to each task
+
+
 def _furniture(label: str, inside: bool) -> bool:
+    key = (label, inside)
+    if key not in _JUDGED:
+        if len(_JUDGED) > 1 << 14:
+            _JUDGED.clear()
+        _JUDGED[key] = _tells_furniture(label, inside)
+    return _JUDGED[key]
+
+
+def _tells_furniture(label: str, inside: bool) -> bool:
     tag, _, marks = label.partition(".")
     marks = LAYOUT.sub("", marks)
     if tag in FURNITURE_TAGS or FURNITURE.search(marks):
