@@ -21,14 +21,36 @@ from fieldbook.llm.common import quoted
 from fieldbook.session import materialize
 
 
-def beam_search(x: np.ndarray, edges: np.ndarray, entry: int, queries: np.ndarray, beam: int):
-    """(ids, squared distances) of the beams, nearest first, -1 where a beam is not full."""
+ENTRIES = 128  # points of a shard where searches start
+
+
+def spread_points(x: np.ndarray, count: int) -> np.ndarray:
+    """Points far from each other: the one next to the mean, then always the one farthest from those chosen."""
+    near = ((x - x.mean(0)) ** 2).sum(1)
+    chosen = [int(near.argmin())]
+    left = ((x - x[chosen[0]]) ** 2).sum(1)
+    while len(chosen) < min(count, len(x)):
+        far = int(left.argmax())
+        if left[far] <= 0:
+            break
+        chosen.append(far)
+        left = np.minimum(left, ((x - x[far]) ** 2).sum(1))
+    return np.array(chosen, np.int64)
+
+
+def beam_search(x: np.ndarray, edges: np.ndarray, entries: np.ndarray, queries: np.ndarray, beam: int):
+    """(ids, squared distances) of the beams, nearest first, -1 where a beam is not full.
+
+    A search starts from all ``entries``, of which the beam keeps the nearest.
+    """
     b = len(queries)
     ids = np.full((b, beam), -1, np.int64)
     dist = np.full((b, beam), np.inf, x.dtype)
     seen = np.zeros((b, beam), bool)
-    ids[:, 0] = entry
-    dist[:, 0] = ((queries - x[entry]) ** 2).sum(1)
+    first = ((queries[:, None, :] - x[entries][None, :, :]) ** 2).sum(2)
+    start = np.argsort(first, axis=1, kind="stable")[:, :beam]
+    ids[:, :start.shape[1]] = entries[start]
+    dist[:, :start.shape[1]] = np.take_along_axis(first, start, 1)
     rows = np.arange(b)
     while True:
         fresh = ~seen[rows] & (ids[rows] >= 0)
@@ -78,16 +100,23 @@ def robust_prune(x: np.ndarray, points: np.ndarray, cand: np.ndarray, degree: in
 
 
 def build_graph(x: np.ndarray, degree: int, beam: int, alpha: float, batch: int = 256, seed: int = 5):
-    """(edges, entry) of the robust-pruned graph of the rows of x."""
+    """(edges, entries) of the robust-pruned graph of the rows of x.
+
+    Pruning favours near edges, so a graph of tight clusters may fall apart; searches therefore start from ``ENTRIES``
+    points spread over the data, one in every cluster as long as there are no more clusters than that.
+    """
     n = len(x)
     edges = np.full((n, degree), -1, np.int64)
-    entry = int(((x - x.mean(0)) ** 2).sum(1).argmin())
+    entries = spread_points(x, ENTRIES)
     order = np.random.default_rng(seed).permutation(n)
-    order = np.concatenate([[entry], order[order != entry]])
-    at = 1
+    order = np.concatenate([entries, order[~np.isin(order, entries)]])
+    at = len(entries)
+    for a in range(0, at, 32):
+        some = entries[a:a + 32]
+        edges[some] = robust_prune(x, some, np.tile(entries, (len(some), 1)), degree, alpha)
     while at < n:
         new = order[at:at + min(batch, max(8, at))]
-        found, _ = beam_search(x, edges, entry, x[new], beam)
+        found, _ = beam_search(x, edges, entries, x[new], beam)
         # points of one batch cannot find each other yet: add their nearest within the batch
         sq = (x[new] ** 2).sum(1)
         mutual = sq[:, None] + sq[None, :] - 2 * (x[new] @ x[new].T)
@@ -98,6 +127,9 @@ def build_graph(x: np.ndarray, degree: int, beam: int, alpha: float, batch: int
         # reverse edges, by target
         src, dst = np.repeat(new, degree), edges[new].ravel()
         src, dst = src[dst >= 0], dst[dst >= 0]
+        at += len(new)
+        if not len(dst):
+            continue
         by = np.argsort(dst, kind="stable")
         src, dst = src[by], dst[by]
         targets, first, count = np.unique(dst, return_index=True, return_counts=True)
@@ -112,22 +144,46 @@ def build_graph(x: np.ndarray, degree: int, beam: int, alpha: float, batch: int
             if full.any():
                 edges[t[full]] = robust_prune(x, t[full], both[full], degree, alpha)
             if (~full).any():
-                edges[t[~full]] = -np.sort(-both[~full], 1)[:, :degree]
-        at += len(new)
-    return edges, entry
+                kept = np.sort(both[~full], 1)
+                kept[:, 1:][kept[:, 1:] == kept[:, :-1]] = -1  # an edge that was there already
+                edges[t[~full]] = -np.sort(-kept, 1)[:, :degree]
+    return edges, entries
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows moved by their median and scaled into [-1, 1], in single precision: neighbours stay neighbours, and neither
+    a far origin nor huge or tiny values cost the graph its digits."""
+    top = np.abs(x).max()
+    x = x / top if top > 0 else x  # first, so that no difference overflows
+    x = x - np.median(x, axis=0)
+    top = np.abs(x).max()
+    return (x / top if top > 0 else x).astype(np.float32)
 
 
 def _builder(degree: int, beam: int, alpha: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("cid").reset_index(drop=True)
-        x = np.stack(pdf["v"].to_numpy()).astype(np.float32)
-        edges, entry = build_graph(x, degree, beam, alpha)
+        x = scaled(np.stack(pdf["v"].to_numpy()).astype(np.float64))
+        edges, entries = build_graph(x, degree, beam, alpha)
         pdf["edges"] = [e[e >= 0] for e in edges]
-        pdf["entry"] = np.arange(len(pdf)) == entry
+        pdf["entry"] = np.isin(np.arange(len(pdf)), entries)
         return pdf[["dim", "shard", "cid", "v", "ids", "edges", "entry"]]
     return run
 
 
+def distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances of the rows of x to q, also where the squares would overflow or vanish."""
+    with np.errstate(over="ignore", under="ignore"):
+        diff = x - q
+        d = np.sqrt((diff ** 2).sum(1))
+        odd = ~(d < 1e150) | (d < 1e-150)
+        if odd.any():
+            top = np.abs(diff[odd]).max(1)
+            safe = np.where((top > 0) & np.isfinite(top), top, 1.0)
+            d[odd] = top * np.sqrt(((diff[odd] / safe[:, None]) ** 2).sum(1)) if np.isfinite(top).all() else d[odd]
+    return d
+
+
 def _searcher(k: int, beam: int):
     cols = ["query_id", "qcid", "vec_id", "score"]
 
@@ -138,21 +194,24 @@ def _searcher(k: int, beam: int):
         x = np.stack(graph["v"].to_numpy()).astype(np.float64)
         q = np.stack(queries["v"].to_numpy()).astype(np.float64)
         n = len(x)
+        top = max(np.abs(x).max(), np.abs(q).max())
+        # squares of huge or tiny components leave the range of numbers: the walk takes scaled ones
+        walk, wq = (x / top, q / top) if not 1e-100 < top < 1e100 else (x, q)
         if n > beam:
             edges = np.full((n, max(1, max(map(len, graph["edges"])))), -1, np.int64)
             for i, e in enumerate(graph["edges"]):
                 edges[i, :len(e)] = e
-            entry = int(np.flatnonzero(graph["entry"].to_numpy())[0])
+            entries = np.flatnonzero(graph["entry"].to_numpy())
         out = []
         for a in range(0, len(q), 256):
             part = q[a:a + 256]
             if n > beam:
-                found, _ = beam_search(x, edges, entry, part, beam)
+                found, _ = beam_search(walk, edges, entries, wq[a:a + 256], beam)
             else:  # the beam holds the whole shard
                 found = np.tile(np.arange(n), (len(part), 1))
             for j, near in enumerate(found):
-                near = near[near >= 0]
-                d = np.sqrt(((x[near] - part[j]) ** 2).sum(1))
+                near = np.unique(near[near >= 0])
+                d = distances(x[near], part[j])
                 ids = graph["ids"].to_numpy()[near]
                 vec = np.concatenate(ids)
                 score = np.repeat(d, [len(i) for i in ids])
@@ -165,8 +224,8 @@ def _searcher(k: int, beam: int):
     return run
 
 
-def nearest(vectors: DataFrame, every: int = 100, k: int = 10, shard_rows: int = 8192, degree: int = 28,
-            build_beam: int = 48, search_beam: int = 80, alpha: float = 1.2, query_block: int = 20000,
+def nearest(vectors: DataFrame, every: int = 100, k: int = 10, shard_rows: int = 8192, degree: int = 32,
+            build_beam: int = 48, search_beam: int = 240, alpha: float = 1.2, query_block: int = 20000,
             id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """The k nearest found of every row whose id is divisible by ``every``: query_id, rank, vec_id, score.
 
