@@ -157,9 +157,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 12000, bits: in
               .filter("_id is not null and label in (0, 1)")
               .withColumn("_draw", F.xxhash64("_id")).orderBy("_draw", "_id", "label").limit(sample_rows))
     picked = materialize(picked, "quality-sample").dropDuplicates(["_id"])
-    rows = docs.join(F.broadcast(picked), quoted(id_col) == F.col("_id"))  # at most sample_rows rows
+    # the two columns that are looked at: no other one can clash
+    texts = docs.select(quoted(id_col).alias("doc"), quoted(text_col).cast("string").alias("t"))
+    rows = texts.join(F.broadcast(picked), F.col("doc") == F.col("_id"))  # at most sample_rows rows
     found = materialize(
-        rows.select(F.col("_id").cast("long").alias("id"), "label", quoted(text_col).cast("string").alias("t"))
+        rows.select(F.col("_id").cast("long").alias("id"), "label", "t")
         .mapInArrow(lean(_featuriser(bits)), "id long, label int, slots array<int>, vals array<float>")
         .withColumn("draw", F.xxhash64(F.lit(1), "id")), "quality-features")
     found = found.withColumn("shard", F.pmod(F.xxhash64(F.lit(2), "id"), F.lit(shards)))

@@ -27,7 +27,7 @@ def trie_counts(words: list[bytes], scores: dict[str, float], longest: int, byte
     counts: dict[bytes, int] = {}
     path = ""  # characters from the root to the current node
     best, used = [0.0], [0]  # forward score and piece count at every node of the path
-    for word, text in sorted(((w, w.decode("utf-8")) for w in words), key=lambda x: x[1]):
+    for word, text in sorted(((w, w.decode("utf-8", "surrogateescape")) for w in words), key=lambda x: x[1]):
         n, shared = len(text), 0
         top = min(n, len(path))
         while shared < top and text[shared] == path[shared]:
@@ -38,7 +38,7 @@ def trie_counts(words: list[bytes], scores: dict[str, float], longest: int, byte
             if char in scores:
                 top_score, top_used = best[end - 1] + scores[char], used[end - 1] + 1
             else:
-                size = len(char.encode("utf-8"))
+                size = len(char.encode("utf-8", "surrogateescape"))
                 top_score, top_used = best[end - 1] + size * byte_score, used[end - 1] + size
             for begin in range(end - 2, max(-1, end - 1 - longest), -1):
                 s = scores.get(text[begin:end])
@@ -89,7 +89,8 @@ def _payload(vocab: Vocab) -> tuple[dict[str, float], int, float]:
 def token_counts(docs: DataFrame, model: str = DEFAULT_MODEL, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, n_tokens, n_pretokens) of every row, over whole texts; no shuffle.
 
-    Null and empty texts have 0 tokens; repeated rows are counted each; of
+    Null and empty texts have 0 tokens; bytes that are no UTF-8 are spelt by
+    their byte pieces, one token each; repeated rows are counted each; of
     equally good segmentations the one whose last piece is shortest counts.
     Extra columns are not looked at.
     """
