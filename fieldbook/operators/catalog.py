@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldbook.functions.columns import list_items
-from fieldbook.operators.ids import dense_ids
+from fieldbook.operators.ids import dense_ids, max_id
 from fieldbook.schemas import BRIDGES, DOCUMENT_LISTS
 from fieldbook.session import materialize
 
@@ -215,6 +215,34 @@ class NormalisedTables(Mapping):
         return len(self._names)
 
 
+def _first_names(items: DataFrame, row_key: str, keep_null: bool, drop_empty: bool) -> DataFrame:
+    """(list, name, _k, _p): every name of every list with its first-seen place."""
+    if not keep_null:
+        items = items.where(F.col("name").isNotNull())
+    if drop_empty:
+        items = items.where((F.col("name") != "") | F.col("name").isNull())
+    return items.groupBy("list", "name").agg(
+        F.min(F.struct(F.col(row_key).alias("k"), F.col("pos").alias("p"))).alias("_f")
+    ).select("list", "name", F.col("_f.k").alias("_k"), F.col("_f.p").alias("_p"))
+
+
+def _bridge_links(raw: DataFrame, dims: DataFrame, row_key: str, bridges: list) -> DataFrame:
+    """(bridge, _a, _b, _k, _pa, _pb): the distinct id pairs of all bridges with their first-seen place."""
+    both = F.array(*[F.struct(F.lit(b).alias("bridge"), F.lit(la).alias("la"), F.lit(lb).alias("lb"),
+                              F.col(la).alias("ta"), F.col(lb).alias("tb")) for b, la, lb, _ in bridges])
+    pairs = raw.select(F.col(row_key).alias("_k"), F.explode(both).alias("_b")).select(
+        "_k", "_b.*").select(
+        "_k", "bridge", "la", "lb", "tb", F.posexplode_outer(list_items("ta")).alias("_pa", "_na")).select(
+        "_k", "bridge", "la", "lb", "_pa", "_na", F.posexplode_outer(list_items("tb")).alias("_pb", "_nb"))
+    links = pairs.groupBy("bridge", "la", "lb", "_na", "_nb").agg(
+        F.min(F.struct("_k", "_pa", "_pb")).alias("_f"))
+    for side in ("a", "b"):
+        d = dims.select(F.col("list").alias("_dl"), F.col("name").alias("_dn"), F.col("_id").alias(f"_{side}"))
+        links = links.join(d, (links[f"l{side}"] == d["_dl"]) & links[f"_n{side}"].eqNullSafe(d["_dn"])).drop(
+            "_dl", "_dn")
+    return links.select("bridge", "_a", "_b", "_f.*")
+
+
 def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges: list | None = None,
               keep_null: bool = True, drop_empty: bool = False,
               buckets: int | None = None) -> NormalisedTables:
@@ -239,14 +267,7 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
 
     def dims() -> DataFrame:
         if "dims" not in memo:
-            kept = items()
-            if not keep_null:
-                kept = kept.where(F.col("name").isNotNull())
-            if drop_empty:
-                kept = kept.where((F.col("name") != "") | F.col("name").isNull())
-            firsts = kept.groupBy("list", "name").agg(
-                F.min(F.struct(F.col(row_key).alias("k"), F.col("pos").alias("p"))).alias("_f")
-            ).select("list", "name", F.col("_f.k").alias("_k"), F.col("_f.p").alias("_p"))
+            firsts = _first_names(items(), row_key, keep_null, drop_empty)
             memo["dims"] = materialize(
                 dense_ids(firsts, ["_k", "_p"], id_col="_id", buckets=buckets, partition_by=["list"])
                 .select("list", "name", "_id"), "dims")  # small, and read by every other table
@@ -259,20 +280,9 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
 
     def all_bridges() -> DataFrame:
         if "bridges" not in memo:
-            both = F.array(*[F.struct(F.lit(b).alias("bridge"), F.lit(la).alias("la"), F.lit(lb).alias("lb"),
-                                      F.col(la).alias("ta"), F.col(lb).alias("tb")) for b, la, lb, _ in bridges])
-            pairs = raw.select(F.col(row_key).alias("_k"), F.explode(both).alias("_b")).select(
-                "_k", "_b.*").select(
-                "_k", "bridge", "la", "lb", "tb", F.posexplode_outer(list_items("ta")).alias("_pa", "_na")).select(
-                "_k", "bridge", "la", "lb", "_pa", "_na", F.posexplode_outer(list_items("tb")).alias("_pb", "_nb"))
-            links = pairs.groupBy("bridge", "la", "lb", "_na", "_nb").agg(
-                F.min(F.struct("_k", "_pa", "_pb")).alias("_f"))
-            for side in ("a", "b"):
-                d = dims().select(F.col("list").alias("_dl"), F.col("name").alias("_dn"), F.col("_id").alias(f"_{side}"))
-                links = links.join(d, (links[f"l{side}"] == d["_dl"]) & links[f"_n{side}"].eqNullSafe(d["_dn"])).drop(
-                    "_dl", "_dn")
+            links = _bridge_links(raw, dims(), row_key, bridges)
             memo["bridges"] = dense_ids(
-                links.select("bridge", "_a", "_b", "_f.*"), ["_k", "_pa", "_pb"], id_col="_bid", buckets=buckets,
+                links, ["_k", "_pa", "_pb"], id_col="_bid", buckets=buckets,
                 partition_by=["bridge"]).select("bridge", "_a", "_b", "_bid")
         return memo["bridges"]
 
@@ -300,6 +310,119 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
     return NormalisedTables(build, list(build), document_lists)
 
 
+def _only_new(found: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``found`` whose keys (NULL = NULL) are not in ``stored``.
+
+    The stored table is first cut to the keys of the delta, a semi join that
+    broadcasts the delta while that is small, so it is read but not shuffled.
+    """
+    def same(a: DataFrame, b: DataFrame):
+        return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b["_n_" + k]) for k in keys])
+
+    mine = found.select(*[F.col(k).alias("_n_" + k) for k in keys])
+    known = stored.select(*keys).join(mine, same(stored, mine), "left_semi").distinct()
+    known = known.select(*[F.col(k).alias("_n_" + k) for k in keys])
+    return found.join(known, same(found, known), "left_anti")
+
+
+def _numbered_on(fresh: DataFrame, stored: DataFrame, group: str, order: list[str], id_col: str) -> DataFrame:
+    """``fresh`` with ids that continue from the highest stored one of its group, in ``order``."""
+    top = stored.groupBy(F.col(group).alias("_g")).agg(F.max(id_col).alias("_top"))  # one row per table
+    drawn = dense_ids(fresh, order, id_col="_drawn", partition_by=[group])
+    return drawn.join(top, drawn[group] == top["_g"], "left").withColumn(
+        id_col, F.coalesce("_top", F.lit(0)) + F.col("_drawn")).drop("_g", "_top", "_drawn")
+
+
+def normalise_more(delta: DataFrame, existing, row_key: str, lists: dict | None = None, bridges: list | None = None,
+                   keep_null: bool = True, drop_empty: bool = False) -> NormalisedTables:
+    """The rows that further raw documents add to the 8 tables; ids that were given stay.
+
+    ``existing`` maps the 8 table names to the tables as they are (as
+    ``normalise`` or earlier deltas wrote them).  Names and pairs that they
+    hold keep their ids; new ones get the next ids in the delta's first-seen
+    order.  So appending to the tables of a base run gives what one run over
+    the base's rows followed by the delta's would.  Only the delta is
+    exploded; stored tables are read for their keys and highest ids.
+
+    A delta row whose ``row_key`` is stored already is a changed document: its
+    Document row comes with its old ``document_ID`` (``merge_tables``
+    replaces it); names and pairs that it no longer states stay.
+    """
+    lists = lists or DOCUMENT_LISTS
+    bridges = bridges or BRIDGES
+    memo: dict[str, DataFrame] = {}
+
+    def stored_dims() -> DataFrame:
+        return reduce(DataFrame.unionByName, [
+            existing[name].select(F.lit(col).alias("list"), F.col(n).alias("name"), F.col(i).alias("_id"))
+            for col, (name, n, i) in lists.items()])
+
+    def stored_bridges() -> DataFrame:
+        return reduce(DataFrame.unionByName, [
+            existing[name].select(F.lit(name).alias("bridge"), F.col(lists[la][2]).alias("_a"),
+                                  F.col(lists[lb][2]).alias("_b"), F.col(bid).alias("_bid"))
+            for name, la, lb, bid in bridges])
+
+    def items() -> DataFrame:
+        if "items" not in memo:
+            memo["items"] = explode_lists(delta, row_key, list(lists))
+        return memo["items"]
+
+    def new_dims() -> DataFrame:
+        if "dims" not in memo:
+            fresh = _only_new(_first_names(items(), row_key, keep_null, drop_empty), stored_dims(), ["list", "name"])
+            memo["dims"] = materialize(_numbered_on(fresh, stored_dims(), "list", ["_k", "_p"], "_id")
+                                       .select("list", "name", "_id"), "dims-delta")
+        return memo["dims"]
+
+    def all_dims() -> DataFrame:
+        return stored_dims().unionByName(new_dims())
+
+    def new_bridges() -> DataFrame:
+        if "bridges" not in memo:
+            links = materialize(_bridge_links(delta, all_dims(), row_key, bridges), "links-delta")
+            fresh = _only_new(links, stored_bridges(), ["bridge", "_a", "_b"])
+            memo["bridges"] = materialize(_numbered_on(fresh, stored_bridges(), "bridge", ["_k", "_pa", "_pb"], "_bid")
+                                          .select("bridge", "_a", "_b", "_bid"), "bridges-delta")
+        return memo["bridges"]
+
+    def document_lists() -> DataFrame:
+        if "doc" not in memo:
+            ids = all_id_lists(items(), all_dims(), row_key, {col: id_col for col, (_d, _n, id_col) in lists.items()})
+            memo["doc"] = materialize(delta.drop(*lists.keys()).join(ids, row_key, "left"), "document-delta")
+        return memo["doc"]
+
+    def document() -> DataFrame:
+        doc, stored = document_lists(), existing["Document"].select(F.col(row_key).alias("_rk"), "document_ID")
+        given = stored.join(doc.select(F.col(row_key).alias("_dk")), F.col("_rk") == F.col("_dk"), "left_semi")
+        changed = doc.join(given, doc[row_key] == given["_rk"]).drop("_rk")
+        fresh = _only_new(doc, existing["Document"], [row_key])
+        fresh = dense_ids(fresh, [row_key], id_col="document_ID", start=max_id(existing["Document"], "document_ID") + F.lit(1))
+        return changed.unionByName(fresh)
+
+    build: dict = {}
+    for col, (name, n, i) in lists.items():
+        build[name] = lambda col=col, n=n, i=i: new_dims().where(F.col("list") == col).select(
+            F.col("name").alias(n), F.col("_id").alias(i))
+    for name, la, lb, bid in bridges:
+        build[name] = lambda name=name, la=la, lb=lb, bid=bid: new_bridges().where(F.col("bridge") == name).select(
+            F.col("_a").alias(lists[la][2]), F.col("_b").alias(lists[lb][2]), F.col("_bid").alias(bid))
+    build["Document"] = document
+    return NormalisedTables(build, list(build), document_lists)
+
+
+def merge_tables(existing, added, row_key: str) -> dict[str, DataFrame]:
+    """The 8 tables with the rows of ``normalise_more``: appended, and documents of the same key replaced."""
+    out = {}
+    for name in added:
+        kept = existing[name]
+        if name == "Document":
+            keys = added[name].select(F.col(row_key).alias("_dk"))
+            kept = kept.join(keys, kept[row_key] == keys["_dk"], "left_anti")
+        out[name] = kept.unionByName(added[name])
+    return out
+
+
 def _expand(pairs: str, mult: F.Column | None = None, keep_nulls: bool = True) -> F.Column:
     """Array of (name, n) structs -> array with each name repeated n (x mult) times, sorted."""
     arr = F.sort_array(F.col(pairs))

@@ -155,3 +155,40 @@ def test_id_list_from_raw(spark):
     d = catalog.dimension(r, "Product_names", "k", "Product_Name", "Product_ID")
     got = {x.k: x.Product_ID for x in catalog.id_list(r, "Product_names", d, "k", "Product_Name", "Product_ID").collect()}
     assert got == {1: "1,2", 2: "1,2", 3: "", 4: None, 5: "2,1,1"}
+
+
+RAW = "key long, title string, Product_names string, crop string, Diseases string, pest string"
+BASE = [(1, "a", "p1, p2", "c1", None, "e1"), (2, "b", "p2", "c1,c2", "d1", ""), (3, "c", None, "c2", "d1", "e1")]
+MORE = [(4, "d", "p3,p1", "c3", "d2,d1", "e1"), (5, "e", "p2", "c1", "", None), (6, "f", None, None, None, "e9"),
+        (7, "g", "p3", "c3,c1", "d2", "e1,e1")]
+
+
+def _tables(t):
+    return {name: sorted(map(tuple, df.collect()), key=str) for name, df in t.items()}
+
+
+def test_delta_gives_what_one_run_gives(spark):
+    whole = catalog.normalise(spark.createDataFrame(BASE + MORE, RAW), "key")
+    state = dict(catalog.normalise(spark.createDataFrame(BASE, RAW), "key"))
+    for rows_ in (MORE[:2], MORE[2:], []):
+        added = catalog.normalise_more(spark.createDataFrame(rows_, RAW), state, "key")
+        state = catalog.merge_tables(state, added, "key")
+    assert _tables(state) == _tables(whole)
+
+
+def test_delta_adds_only_new_rows_and_keeps_the_number_of_a_changed_document(spark):
+    state = dict(catalog.normalise(spark.createDataFrame(BASE, RAW), "key"))
+    added = catalog.normalise_more(spark.createDataFrame([(2, "B", "p9", "c1", "d1", "e1"), (9, "n", "p1", "c1", None, "e1")],
+                                                         RAW), state, "key")
+    names = _tables(added)
+    assert [r[0] for r in names["Product"]] == ["p9"] and names["Crop"] == [] and names["Pest"] == []
+    assert len(names["productcrop"]) == 1  # p9-c1; p1-c1 is stored
+    before = {r.key: r.document_ID for r in state["Document"].collect()}
+    after = {r.key: (r.document_ID, r.title) for r in catalog.merge_tables(state, added, "key")["Document"].collect()}
+    assert after == {1: (before[1], "a"), 2: (before[2], "B"), 3: (before[3], "c"), 9: (4, "n")}
+
+
+def test_delta_onto_empty_tables(spark):
+    empty = dict(catalog.normalise(spark.createDataFrame([], RAW), "key"))
+    added = catalog.normalise_more(spark.createDataFrame(BASE, RAW), empty, "key")
+    assert _tables(added) == _tables(catalog.normalise(spark.createDataFrame(BASE, RAW), "key"))
