@@ -378,6 +378,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none when it is not there."""
+    fs, p = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def _versions(spark: SparkSession, path: str) -> dict[int, bool]:
     """Version number -> committed, of the ``v=<n>`` folders under ``path``."""
     fs, p = _fs(spark, path)

@@ -7,10 +7,11 @@ micro-batch goes through the batch operators (``ingest.insert_new`` or
 Exactly-once without a transactional table format:
 
 * insert mode writes the micro-batch's new rows into a folder named after
-  (query id, batch id) with ``overwrite``; the existence check leaves that
-  folder out, so a replayed batch writes the same rows again instead of
-  adding them twice.  Its highest id is written before its rows, so a crash
-  between the two leaves a gap in the ids, never a second use of one;
+  (query id, batch id) with ``overwrite``; which keys are new is told by
+  ``KeyState``, the same for a replayed batch, so that writes its rows
+  again instead of adding them twice.  Its highest id is written before its
+  rows, so a crash between the two leaves a gap in the ids, never a second
+  use of one;
 * upsert mode writes a new snapshot version holding a marker of the
   (query id, batch id) it applied, so data and marker commit together; a
   replay of an applied batch is skipped.
@@ -38,6 +39,7 @@ from fieldbook.operators import ingest
 from fieldbook.operators.ids import read_order
 from fieldbook.session import materialize
 from fieldbook.sources import io
+from fieldbook.streaming.key_state import KeyState
 
 MARKER = "_applied"
 
@@ -62,14 +64,26 @@ def read_drops(spark: SparkSession, src_dir: str, max_files: int = 100) -> DataF
         F.col("value").alias("record"), io.parse_object(F.col("value")).alias("fields"))
 
 
+def _folders(spark: SparkSession, data: str) -> list[str]:
+    return [n[len("batch="):] for n in io.list_names(spark, data) if n.startswith("batch=")]
+
+
+def _rows_of(spark: SparkSession, data: str, folders: list[str]) -> DataFrame:
+    """Rows of the named batch folders; the others are not opened."""
+    return io.read_table(spark, data).where(F.col("batch").isin(folders))
+
+
 def _seed_ids(spark: SparkSession, data: str, ids: str, id_col: str) -> None:
     """Record the highest id of rows whose folder has no entry in ``ids/`` (a table loaded by other means)."""
-    rows = io.read_table(spark, data)
-    if io._exists(spark, ids):
-        seen = io.read_table(spark, ids).select("batch").where(F.col("batch") != "seed").distinct()
-        rows = rows.join(seen, "batch", "left_anti")
-    rows = materialize(rows.agg(F.max(id_col).alias(id_col)), "stream-seed")
-    rows.write.mode("overwrite").parquet(f"{ids}/batch=seed")
+    seen = set(_folders(spark, ids))
+    foreign = [f for f in _folders(spark, data) if f not in seen]
+    for_state = [f for f in foreign if io.read_text_file(spark, f"{ids}/_seeded/{f}") is None]
+    if for_state or "seed" not in seen:
+        rows = _rows_of(spark, data, foreign) if foreign else io.read_table(spark, data).limit(0)
+        rows = materialize(rows.agg(F.max(id_col).alias(id_col)), "stream-seed")
+        rows.write.mode("overwrite").parquet(f"{ids}/batch=seed")
+        for f in for_state:
+            io.write_text_file(spark, f"{ids}/_seeded/{f}", "done")
 
 
 def start_ingest(spark: SparkSession, src_dir: str, table: str, checkpoint: str, keys: list[str],
@@ -80,9 +94,9 @@ def start_ingest(spark: SparkSession, src_dir: str, table: str, checkpoint: str,
 
     ``schema`` is the stored table's schema (id, payload, audit columns).
     insert mode: dropped rows (payload fields) get G3 treatment plus ids.
-    The table is a folder of ``batch=<tag>`` folders.  A micro-batch reads
-    the stored key columns only, against its own keys (broadcast when small),
-    so the stored table is scanned but not shuffled.  Each micro-batch writes
+    The table is a folder of ``batch=<tag>`` folders.  The stored keys live in
+    the state store of a second query beside the checkpoint (``KeyState``), so
+    a micro-batch does not read the table.  Each micro-batch writes
     its highest id to a one-row ``ids/`` folder, which is read instead of
     the id column; rows that came by other means are seen once, at start.
     upsert mode: dropped maps get G4 treatment (updates by id, inserts) and
@@ -102,6 +116,11 @@ def start_ingest(spark: SparkSession, src_dir: str, table: str, checkpoint: str,
             io.write_snapshot(empty, data)
     if mode == "insert":
         _seed_ids(spark, data, ids_dir, id_col)
+        state = KeyState(spark, checkpoint, schema, keys)
+        fresh = state.unseen(_folders(spark, data))
+        if fresh:
+            state.seed(_rows_of(spark, data, fresh), fresh)
+        state.start()
     payload = T.StructType([f for f in schema.fields
                             if f.name not in (id_col, "created_date", "last_updated_timestamp")])
 
@@ -132,9 +151,7 @@ def start_ingest(spark: SparkSession, src_dir: str, table: str, checkpoint: str,
         if mode == "insert":
             rows = good.select("seq", *[io.typed_field(F.col("fields"), f.name, f.dataType).alias(f.name)
                                         for f in payload.fields])
-            # the batch's own folder is left out, so a replay after a crash
-            # recomputes the same rows and overwrites them
-            stored = io.read_table(s, data).where(F.col("batch") != tag).drop("batch")
+            stored = state.known(rows, tag, batch_id)
             id_source = io.read_table(s, ids_dir).where(F.col("batch") != tag).select(id_col)
             new, outcomes = ingest.insert_new(rows, stored, keys, "seq", now, with_ids=True,
                                               id_col=id_col, id_source=id_source)
@@ -152,7 +169,15 @@ def start_ingest(spark: SparkSession, src_dir: str, table: str, checkpoint: str,
     writer = read_drops(spark, src_dir, max_files).writeStream.foreachBatch(apply).option(
         "checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
-    return writer.start()
+    if mode == "upsert":
+        return writer.start()
+    try:
+        query = writer.start()
+    except Exception:
+        state.query.stop()
+        raise
+    state.stop_after(query)
+    return query
 
 
 def read_ingested(spark: SparkSession, table: str) -> DataFrame:

@@ -109,3 +109,68 @@ def test_stamps_are_fixed_per_batch_and_session_settings_stay(spark, tmp_dir):
     files = [f for f in os.listdir(f"{base}/table/stamps") if not f.startswith(".")]
     with open(f"{base}/table/stamps/{files[0]}") as f:
         assert f.read() == str(stamp)
+
+
+def outcomes(spark, base, batch):
+    out = spark.read.parquet(f"{base}/table/outcomes").where(f"batch LIKE '%-b{batch}'")
+    return sorted((r.seq, r.name, r.outcome) for r in out.collect())
+
+
+def test_a_micro_batch_does_not_read_the_stored_table(spark, tmp_dir):
+    base = tmp_dir
+    spark.createDataFrame([(5, "a", "x"), (6, "b", "x")], "id long, name string, kind string").selectExpr(
+        "*", "DATE'2024-01-01' AS created_date", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS last_updated_timestamp",
+    ).write.parquet(f"{base}/table/data/batch=init")
+    drop(f"{base}/src/d1", "a.json", [{"name": "a", "kind": "x"}, {"name": "c", "kind": "x"}])
+    run(spark, base, f"{base}/ck")
+    assert outcomes(spark, base, 0) == [(1, "a", "exists"), (2, "c", "inserted")]
+    # the stored rows cannot be read any more; a restart goes on from the state store
+    for folder, _dirs, files in os.walk(f"{base}/table/data"):
+        for f in files:
+            if f.endswith(".parquet"):
+                with open(os.path.join(folder, f), "wb") as out:
+                    out.write(b"no parquet")
+                if os.path.exists(crc := os.path.join(folder, f".{f}.crc")):
+                    os.remove(crc)
+    drop(f"{base}/src/d2", "b.json", [{"name": "b", "kind": "x"}, {"name": "c", "kind": "x"}, {"name": "d", "kind": "x"},
+                                      {"name": "d", "kind": "x"}, {"name": "e", "kind": None}, {"name": "e", "kind": None}])
+    run(spark, base, f"{base}/ck")
+    assert outcomes(spark, base, 1) == [(1, "b", "exists"), (2, "c", "exists"), (3, "d", "inserted"), (4, "d", "duplicate"),
+                                        (5, "e", "inserted"), (6, "e", "duplicate")]
+    tag = [f for f in os.listdir(f"{base}/table/data") if f.endswith("-b1")][0]
+    got = spark.read.schema(SCHEMA).parquet(f"{base}/table/data/{tag}")
+    assert sorted((r.id, r.name) for r in got.collect()) == [(8, "d"), (9, "e")]
+
+
+def test_a_replayed_micro_batch_gives_its_rows_again(spark, tmp_dir):
+    base = tmp_dir
+    drop(f"{base}/src/d1", "a.json", [{"name": "a", "kind": "x"}])
+    run(spark, base, f"{base}/ck")
+    drop(f"{base}/src/d2", "b.json", [{"name": "a", "kind": "x"}, {"name": "b", "kind": "x"}])
+    run(spark, base, f"{base}/ck")
+    # the ingest query lost its last commit, after its rows and the state's were written
+    for f in ("1", ".1.crc"):
+        os.remove(f"{base}/ck/commits/{f}")
+    run(spark, base, f"{base}/ck")
+    assert sorted((r.id, r.name) for r in read_ingested(spark, f"{base}/table").collect()) == [(1, "a"), (2, "b")]
+    # the state lost its last commit as well
+    for folder in (f"{base}/ck/commits", f"{base}/ck-keys/checkpoint/commits"):
+        last = max(int(f) for f in os.listdir(folder) if f.isdigit())
+        for f in (f"{last}", f".{last}.crc"):
+            os.remove(f"{folder}/{f}")
+    drop(f"{base}/src/d3", "c.json", [{"name": "b", "kind": "x"}, {"name": "c", "kind": "x"}])
+    run(spark, base, f"{base}/ck")
+    assert sorted((r.id, r.name) for r in read_ingested(spark, f"{base}/table").collect()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_rows_loaded_between_two_starts_are_seen(spark, tmp_dir):
+    base = tmp_dir
+    drop(f"{base}/src/d1", "a.json", [{"name": "a", "kind": "x"}])
+    run(spark, base, f"{base}/ck")
+    spark.createDataFrame([(7, "b", "x")], "id long, name string, kind string").selectExpr(
+        "*", "DATE'2024-01-01' AS created_date", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS last_updated_timestamp",
+    ).write.parquet(f"{base}/table/data/batch=loaded")
+    drop(f"{base}/src/d2", "b.json", [{"name": "b", "kind": "x"}, {"name": "c", "kind": "x"}])
+    run(spark, base, f"{base}/ck")
+    got = sorted((r.id, r.name) for r in read_ingested(spark, f"{base}/table").collect())
+    assert got == [(1, "a"), (7, "b"), (8, "c")]
