@@ -10,4 +10,4 @@ from fieldbook.functions.columns import (  # noqa: F401
     to_text,
     unit_for,
 )
-from fieldbook.functions.dates import date_tokens, parse_dmy, format_ts  # noqa: F401
+from fieldbook.functions.dates import date_tokens, parse_dmy  # noqa: F401

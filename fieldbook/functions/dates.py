@@ -1,4 +1,4 @@
-"""Date helpers: find ``dd.mm.yyyy`` tokens in free text, parse, format."""
+"""Date helpers: find ``dd.mm.yyyy`` tokens in free text, parse."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # The date token pattern and its format.
 DATE_TOKEN = r"\b(\d{2})\.(\d{2})\.(\d{4})\b"
 DATE_FORMAT = "dd.MM.yyyy"
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def date_tokens(c: str | Column) -> Column:
@@ -21,8 +20,3 @@ def parse_dmy(c: str | Column) -> Column:
     """Parse ``dd.mm.yyyy``; an impossible date such as 31.02.2023 gives NULL."""
     col = F.col(c) if isinstance(c, str) else c
     return F.try_to_timestamp(col, F.lit(DATE_FORMAT)).cast("date")
-
-
-def format_ts(c: str | Column) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.date_format(col, TS_FORMAT)

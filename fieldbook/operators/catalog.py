@@ -433,6 +433,14 @@ def _expand(pairs: str, mult: F.Column | None = None, keep_nulls: bool = True) -
     return F.flatten(F.transform(arr, rep))
 
 
+def _counted(pairs: str, mult: F.Column, keep_nulls: bool = True) -> F.Column:
+    """Array of (name, n) structs, sorted, each n times ``mult``."""
+    arr = F.sort_array(F.col(pairs))
+    if not keep_nulls:
+        arr = F.filter(arr, lambda e: e["name"].isNotNull())
+    return F.transform(arr, lambda e: F.struct(e["name"].alias("name"), (e["n"] * mult).alias("n")))
+
+
 def _per_product(bridge_df: DataFrame, dim: DataFrame, dim_id: str, dim_name: str, out: str) -> DataFrame:
     """(Product_ID, [(name, links)], total links) for one bridge, inner-joined to its dimension.
 
@@ -451,7 +459,7 @@ def _per_product(bridge_df: DataFrame, dim: DataFrame, dim_id: str, dim_name: st
 def product_details(product: DataFrame, productcrop: DataFrame, crop: DataFrame,
                     productdisease: DataFrame, disease: DataFrame,
                     productpest: DataFrame, pest: DataFrame,
-                    distinct: bool = False, keep_nulls: bool = False) -> DataFrame:
+                    distinct: bool = False, keep_nulls: bool = False, counted: bool = False) -> DataFrame:
     """Per product: arrays of crop, disease and pest names.
 
     Same result as the inner join chain product-bridge-dimension x3 grouped by
@@ -461,7 +469,8 @@ def product_details(product: DataFrame, productcrop: DataFrame, crop: DataFrame,
     on); arrays come out sorted.  A product missing any of the three links
     drops out, as with inner joins; a product row listed r times multiplies
     its arrays by r, as the join would.  ``distinct=True`` gives the set
-    form; NULL names are dropped unless ``keep_nulls``.  Output columns:
+    form and ``counted=True`` sorted (name, n) structs, which a dimension's
+    size bounds; NULL names are dropped unless ``keep_nulls``.  Output columns:
     Product_ID, Product_Name, crops, diseases, pests.
     """
     c = _per_product(productcrop, crop, "Crop_ID", "Crop_Name", "crops")
@@ -474,11 +483,12 @@ def product_details(product: DataFrame, productcrop: DataFrame, crop: DataFrame,
             vals = F.array_sort(F.transform(F.col(arr), lambda e: e["name"]))
             return vals if keep_nulls else F.filter(vals, lambda x: x.isNotNull())
         return joined.select("Product_ID", "Product_Name", *[names(a).alias(a) for a in ("crops", "diseases", "pests")])
+    shape = _counted if counted else _expand
     return joined.select(
         "Product_ID", "Product_Name",
-        _expand("crops", F.col("_r") * F.col("_n_diseases") * F.col("_n_pests"), keep_nulls).alias("crops"),
-        _expand("diseases", F.col("_r") * F.col("_n_crops") * F.col("_n_pests"), keep_nulls).alias("diseases"),
-        _expand("pests", F.col("_r") * F.col("_n_crops") * F.col("_n_diseases"), keep_nulls).alias("pests"),
+        shape("crops", F.col("_r") * F.col("_n_diseases") * F.col("_n_pests"), keep_nulls).alias("crops"),
+        shape("diseases", F.col("_r") * F.col("_n_crops") * F.col("_n_pests"), keep_nulls).alias("diseases"),
+        shape("pests", F.col("_r") * F.col("_n_crops") * F.col("_n_diseases"), keep_nulls).alias("pests"),
     )
 
 
@@ -489,7 +499,7 @@ _PRODUCT = "Product"
 
 def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, disease: DataFrame,
                      pest: DataFrame, detail_columns: list[str], doc_key: str = "document_ID",
-                     keep_nulls: bool = True) -> DataFrame:
+                     keep_nulls: bool = True, strict: bool = False, counted: bool = False) -> DataFrame:
     """Per (product name, document columns): arrays of disease, crop and pest names.
 
     Same result as four ``LEFT JOIN UNNEST(SPLIT(ids))`` + dimension left
@@ -504,6 +514,9 @@ def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, d
     (element order unspecified, as with ARRAY_AGG).  An id that is not a
     number or not in the dimension gives a NULL name (kept unless
     ``keep_nulls=False``); a NULL id list counts as one NULL element.
+    ``strict=True`` ends the query at an element that is no number, as a
+    plain CAST does; ``counted=True`` gives sorted (name, n) structs, which a
+    dimension's size bounds, instead of every name n times.
     Output: Product_Name, detail columns, Disease_Names, Crop_Names, Pest_Names.
     """
     lists = [(_PRODUCT, "Product_ID")] + [(out, id_col) for out, id_col, _ in _KINDS]
@@ -519,6 +532,9 @@ def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, d
         doc_key, F.col("_l.kind").alias("kind"),
         F.explode_outer(F.split(F.col("_l.ids"), ",")).alias("_e"),
     ).withColumn("_eid", F.expr("try_cast(_e AS BIGINT)"))
+    if strict:
+        items = items.withColumn("_eid", F.when(F.col("_e").isNotNull() & F.col("_eid").isNull(), F.raise_error(
+            F.concat(F.lit("not an id: "), F.col("_e"))).cast("long")).otherwise(F.col("_eid")))
     named = items.join(dim_all.withColumnRenamed("kind", "_dk"),
                        (items["kind"] == F.col("_dk")) & (items["_eid"] == F.col("_did")), "left")
     counts = named.groupBy(doc_key, "kind", "name").agg(F.count(F.lit(1)).alias("n"))
@@ -548,6 +564,10 @@ def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, d
     per_name = contrib.groupBy(*group, "kind", "name").agg(F.sum("n").alias("n"))
     if not keep_nulls:
         per_name = per_name.where(F.col("name").isNotNull())
+    if counted:
+        return per_name.groupBy(*group).agg(*[
+            F.sort_array(F.collect_list(F.when(F.col("kind") == out, F.struct("name", "n")))).alias(out)
+            for out, _, _ in _KINDS])
     # each name expanded on its own row (codegen'd array_repeat), then one
     # array per kind gathered per group; NULL arrays of the other kinds are
     # skipped by collect_list

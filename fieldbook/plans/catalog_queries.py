@@ -378,6 +378,63 @@ GROUP BY P.Product_Name, d.o_orderkey, d.o_custkey, d.o_orderstatus, d.o_orderpr
 """
 
 
+def _count_text(c: str) -> F.Column:
+    """(name, n) structs as 'name:n' joined by '|', NULL names left out; NULL if there is none."""
+    named = F.filter(F.col(c), lambda e: e["name"].isNotNull())
+    text = F.array_join(F.transform(named, lambda e: F.concat_ws(":", e["name"], e["n"].cast("string"))), "|")
+    return F.when(F.size(named) > 0, text).alias(c)
+
+
+def q_product_details_counted(spark: SparkSession, sf: str) -> DataFrame:
+    """Product details as (name, count) pairs, bounded by the dimensions."""
+    out = catalog.product_details(*_star(spark, sf), counted=True)
+    return out.select("Product_ID", "Product_Name", *[_count_text(c) for c in ("crops", "diseases", "pests")])
+
+
+def _counts_sql(group: str, names: dict[str, str]) -> str:
+    """Rest of a WITH list over the flat rows ``f``: per group 'name:n' texts of each name column."""
+    parts = "\nUNION ALL ".join(
+        f"SELECT {group}, '{out}' AS kind, {col} AS name, count(*) AS n FROM f GROUP BY {group}, {col}"
+        for out, col in names.items())
+    texts = ", ".join(f"string_agg(name || ':' || n, '|' ORDER BY name) FILTER (WHERE kind = '{out}') AS {out}" for out in names)
+    return f"per AS ({parts})\nSELECT {group}, {texts} FROM per GROUP BY {group}"
+
+
+SQL_PRODUCT_DETAILS_COUNTED = _STAR_SQL + """, f AS (
+SELECT p.Product_ID, p.Product_Name, c.Crop_Name, d.Disease_Name, pe.Pest_Name
+FROM Product p
+JOIN productcrop pc ON p.Product_ID = pc.Product_ID
+JOIN Crop c ON c.Crop_ID = pc.Crop_ID
+JOIN productdisease pd ON pd.Product_ID = p.Product_ID
+JOIN Disease d ON pd.Disease_ID = d.Disease_ID
+JOIN productpest ppe ON ppe.Product_ID = p.Product_ID
+JOIN Pest pe ON ppe.Pest_ID = pe.Pest_ID),
+""" + _counts_sql("Product_ID, Product_Name", {"crops": "Crop_Name", "diseases": "Disease_Name", "pests": "Pest_Name"})
+
+
+def q_document_details_counted(spark: SparkSession, sf: str) -> DataFrame:
+    """Document details with the strict id cast, as (name, count) pairs bounded by the dimensions."""
+    t = catalog.normalise(raw_documents(spark, sf, written=True), DOC_KEY)
+    out = catalog.document_details(t.document_lists(), t["Product"], t["Crop"], t["Disease"], t["Pest"],
+                                   detail_columns=DOC_COLUMNS, doc_key=DOC_KEY, strict=True, counted=True)
+    return out.select(*DOC_COLUMNS, "Product_Name", *[_count_text(c) for c in ("Disease_Names", "Crop_Names", "Pest_Names")])
+
+
+SQL_DOCUMENT_DETAILS_COUNTED = _normalise_sql() + """, f AS (
+SELECT d.o_orderkey, d.o_custkey, d.o_orderstatus, d.o_orderpriority, P.Product_Name, Di.Disease_Name, C.Crop_Name, Pe.Pest_Name
+FROM doc d
+LEFT JOIN LATERAL (SELECT unnest(string_split(d.Product_ID, ',')) AS e) up ON true
+LEFT JOIN dp P ON P.Product_ID = CAST(up.e AS BIGINT)
+LEFT JOIN LATERAL (SELECT unnest(string_split(d.Disease_ID, ',')) AS e) ud ON true
+LEFT JOIN dd Di ON Di.Disease_ID = CAST(ud.e AS BIGINT)
+LEFT JOIN LATERAL (SELECT unnest(string_split(d.Crop_ID, ',')) AS e) uc ON true
+LEFT JOIN dc C ON C.Crop_ID = CAST(uc.e AS BIGINT)
+LEFT JOIN LATERAL (SELECT unnest(string_split(d.Pest_ID, ',')) AS e) ue ON true
+LEFT JOIN de Pe ON Pe.Pest_ID = CAST(ue.e AS BIGINT)),
+""" + _counts_sql("o_orderkey, o_custkey, o_orderstatus, o_orderpriority, Product_Name",
+                  {"Disease_Names": "Disease_Name", "Crop_Names": "Crop_Name", "Pest_Names": "Pest_Name"})
+
+
 QUERIES = {
     "product_details": (q_product_details, SQL_PRODUCT_DETAILS),
     "product_details_distinct": (q_product_details_distinct, SQL_PRODUCT_DETAILS_DISTINCT),
@@ -390,4 +447,6 @@ QUERIES = {
     "normalise_delta": (q_normalise_delta, SQL_NORMALISE_DELTA),
     "normalise_tables": (q_normalise_tables, SQL_NORMALISE_TABLES),
     "document_details": (q_document_details, SQL_DOCUMENT_DETAILS),
+    "product_details_counted": (q_product_details_counted, SQL_PRODUCT_DETAILS_COUNTED),
+    "document_details_counted": (q_document_details_counted, SQL_DOCUMENT_DETAILS_COUNTED),
 }

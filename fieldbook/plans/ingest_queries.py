@@ -9,7 +9,9 @@ year), never by id arithmetic; every row of the source tables flows through.
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -449,7 +451,61 @@ WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o
 """
 
 
+def q_stamp_given(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields unknown to the table are dropped (B3); stamps that a record carries are kept, the others set."""
+    o = load(spark, sf, "orders", *KEYS, "o_orderdate")
+    carried = F.col("o_orderstatus") == "F"
+    batch = o.select(
+        *KEYS, F.length("o_orderpriority").alias("remark"), F.col("o_orderdate").alias("shelf"),
+        F.when(carried, F.col("o_orderdate").cast("date")).alias("created_date"),
+        F.when(carried & (F.col("o_orderpriority") == "1-URGENT"), F.col("o_orderdate").cast("timestamp_ntz"))
+        .alias("last_updated_timestamp"))
+    table = _stored(spark, sf)
+    return ingest.stamp(ingest.keep_known(batch, table.columns), RUN_TS, keep_given=True)
+
+
+SQL_STAMP_GIVEN = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+  CASE WHEN o_orderstatus = 'F' THEN o_orderdate::DATE ELSE DATE '2024-01-01' END AS created_date,
+  CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN o_orderdate::TIMESTAMP
+       ELSE TIMESTAMP '2024-01-01 00:00:00' END AS last_updated_timestamp
+FROM orders
+"""
+
+
+def q_stamp_now(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows stamped with the wall clock of Asia/Kolkata; told as facts, since every run has its own time."""
+    wall = _dt.datetime.now(ZoneInfo(ingest.DEFAULT_ZONE)).strftime("%Y-%m-%d %H:%M:%S")
+    rows = ingest.stamp(load(spark, sf, "orders", "o_orderkey"), None)
+    off = F.timestamp_diff("SECOND", F.lit(wall).cast("timestamp_ntz"), F.col("last_updated_timestamp"))
+    return rows.select("o_orderkey", (F.col("created_date") == F.col("last_updated_timestamp").cast("date")).alias("one_day"),
+                       F.abs(off).between(0, 1200).alias("on_time"))
+
+
+SQL_STAMP_NOW = "SELECT o_orderkey, true AS one_day, true AS on_time FROM orders"
+
+
+def q_gate_one_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Two single batches, one with stored rows and one without: any stored row rejects the whole batch."""
+    stored = _stored(spark, sf, F.col("o_orderstatus") == "F")
+    o = load(spark, sf, "orders", *KEYS)
+    batches = {"all": o, "open": o.where(F.col("o_orderstatus") == "O")}
+    gated = [ingest.gate_all(rows, stored, KEYS).select("o_orderkey", F.lit(name).alias("batch"), "outcome")
+             for name, rows in batches.items()]
+    return gated[0].unionByName(gated[1])
+
+
+SQL_GATE_ONE_BATCH = """
+SELECT o_orderkey, 'all' AS batch,
+       CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'F') THEN 'rejected' ELSE 'inserted' END AS outcome FROM orders
+UNION ALL SELECT o_orderkey, 'open', 'inserted' FROM orders WHERE o_orderstatus = 'O'
+"""
+
+
 QUERIES = {
+    "stamp_given": (q_stamp_given, SQL_STAMP_GIVEN),
+    "stamp_now": (q_stamp_now, SQL_STAMP_NOW),
+    "gate_one_batch": (q_gate_one_batch, SQL_GATE_ONE_BATCH),
     "insert_new": (q_insert_new, SQL_INSERT_NEW),
     "insert_ids": (q_insert_ids, SQL_INSERT_IDS),
     "insert_all_or_nothing": (q_insert_all_or_nothing, SQL_INSERT_ALL_OR_NOTHING),

@@ -157,7 +157,7 @@ def test_id_list_from_raw(spark):
     assert got == {1: "1,2", 2: "1,2", 3: "", 4: None, 5: "2,1,1"}
 
 
-RAW = "key long, title string, Product_names string, crop string, Diseases string, pest string"
+DELTA_DDL = "key long, title string, Product_names string, crop string, Diseases string, pest string"
 BASE = [(1, "a", "p1, p2", "c1", None, "e1"), (2, "b", "p2", "c1,c2", "d1", ""), (3, "c", None, "c2", "d1", "e1")]
 MORE = [(4, "d", "p3,p1", "c3", "d2,d1", "e1"), (5, "e", "p2", "c1", "", None), (6, "f", None, None, None, "e9"),
         (7, "g", "p3", "c3,c1", "d2", "e1,e1")]
@@ -168,18 +168,18 @@ def _tables(t):
 
 
 def test_delta_gives_what_one_run_gives(spark):
-    whole = catalog.normalise(spark.createDataFrame(BASE + MORE, RAW), "key")
-    state = dict(catalog.normalise(spark.createDataFrame(BASE, RAW), "key"))
+    whole = catalog.normalise(spark.createDataFrame(BASE + MORE, DELTA_DDL), "key")
+    state = dict(catalog.normalise(spark.createDataFrame(BASE, DELTA_DDL), "key"))
     for rows_ in (MORE[:2], MORE[2:], []):
-        added = catalog.normalise_more(spark.createDataFrame(rows_, RAW), state, "key")
+        added = catalog.normalise_more(spark.createDataFrame(rows_, DELTA_DDL), state, "key")
         state = catalog.merge_tables(state, added, "key")
     assert _tables(state) == _tables(whole)
 
 
 def test_delta_adds_only_new_rows_and_keeps_the_number_of_a_changed_document(spark):
-    state = dict(catalog.normalise(spark.createDataFrame(BASE, RAW), "key"))
+    state = dict(catalog.normalise(spark.createDataFrame(BASE, DELTA_DDL), "key"))
     added = catalog.normalise_more(spark.createDataFrame([(2, "B", "p9", "c1", "d1", "e1"), (9, "n", "p1", "c1", None, "e1")],
-                                                         RAW), state, "key")
+                                                         DELTA_DDL), state, "key")
     names = _tables(added)
     assert [r[0] for r in names["Product"]] == ["p9"] and names["Crop"] == [] and names["Pest"] == []
     assert len(names["productcrop"]) == 1  # p9-c1; p1-c1 is stored
@@ -189,6 +189,23 @@ def test_delta_adds_only_new_rows_and_keeps_the_number_of_a_changed_document(spa
 
 
 def test_delta_onto_empty_tables(spark):
-    empty = dict(catalog.normalise(spark.createDataFrame([], RAW), "key"))
-    added = catalog.normalise_more(spark.createDataFrame(BASE, RAW), empty, "key")
-    assert _tables(added) == _tables(catalog.normalise(spark.createDataFrame(BASE, RAW), "key"))
+    empty = dict(catalog.normalise(spark.createDataFrame([], DELTA_DDL), "key"))
+    added = catalog.normalise_more(spark.createDataFrame(BASE, DELTA_DDL), empty, "key")
+    assert _tables(added) == _tables(catalog.normalise(spark.createDataFrame(BASE, DELTA_DDL), "key"))
+
+
+def test_document_details_strict_and_counted(spark):
+    import pytest
+    from fieldbook.operators import catalog
+    dims = [spark.createDataFrame([(1, "a"), (2, "b")], f"{n}_ID long, {n}_Name string")
+            for n in ("Product", "Crop", "Disease", "Pest")]
+    ddl = "document_ID long, Title string, Product_ID string, Crop_ID string, Disease_ID string, Pest_ID string"
+    good = spark.createDataFrame([(1, "t", "1", "1,2,1", "2", None), (2, "t", "1", "9", "2", "1")], ddl)
+    got = catalog.document_details(good, *dims, detail_columns=["Title"], strict=True, counted=True).collect()
+    assert [(r.Product_Name, [tuple(x) for x in r.Crop_Names], [tuple(x) for x in r.Disease_Names],
+             [tuple(x) for x in r.Pest_Names]) for r in got] == [
+        ("a", [(None, 1), ("a", 2), ("b", 1)], [("b", 4)], [(None, 3), ("a", 1)])]
+    bad = spark.createDataFrame([(1, "t", "1", "1,x", "2", "1")], ddl)
+    assert catalog.document_details(bad, *dims, detail_columns=["Title"]).count() == 1
+    with pytest.raises(Exception, match="not an id: x"):
+        catalog.document_details(bad, *dims, detail_columns=["Title"], strict=True).collect()
