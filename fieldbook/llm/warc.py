@@ -65,9 +65,11 @@ def resolve_revisits(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_i
         whole = whole.filter(F.col("bytes") >= min_bytes).unionByName(
             rows.filter(F.col("bytes") < min_bytes).withColumn("first_id", F.col("pid")))
     # repeated rows: the keys are those of the join, so the payloads do not move again
-    nth = Window.partitionBy(*key, "pid").orderBy("url")
-    whole = whole.withColumn("nth", F.row_number().over(nth))
-    again = again.withColumn("payload", F.lit(None).cast("string")).withColumn("nth", F.row_number().over(nth))
+    whole = whole.withColumn("nth", F.row_number().over(Window.partitionBy(*key, "pid").orderBy("url")))
+    # revisits are numbered by a key of their own: the join's would bring all copies of one payload into one task
+    who = F.concat_ws("|", F.col("pid").cast("string"), "sha1", "sha2")
+    again = again.withColumn("payload", F.lit(None).cast("string")).withColumn(
+        "nth", F.row_number().over(Window.partitionBy(who).orderBy("url")))
     out = whole.unionByName(again)
     revisit = F.col("payload").isNull() | ((F.col("nth") > 1) & (F.col("bytes") >= min_bytes))
 

@@ -125,3 +125,27 @@ def test_token_counts_of_bytes_that_are_no_utf8(spark):
     got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(df).collect()}
     v = vocab.load_vocab()
     assert got[2] == 50 + (1 if b" " in v.ids else 1) and got[3] == 0 and got[1] >= 4
+
+
+def test_warc_copies_of_one_payload_are_numbered_apart(spark):
+    """A digest on a third of all pages: its revisits are spread over tasks, not sent to one by their digest."""
+    from pyspark.sql import functions as F
+
+    from fieldbook.llm import warc
+
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the originals are too many
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # partitions as they are dealt
+    try:
+        pages = spark.range(3000).select(
+            F.col("id").alias("page_id"), F.lit("http://a/").alias("url"),
+            F.when(F.col("id") % 3 == 0, F.lit("")).otherwise(F.col("id").cast("string")).alias("html"))
+        records = warc.resolve_revisits(pages).select(
+            "record_id", "page_id", "record_type", F.spark_partition_id().alias("part")).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    revisits = [r for r in records if r.record_type == "revisit"]
+    assert len({r.record_id for r in records}) == 3000 and len(revisits) == 999 and {r.page_id for r in revisits} == set(range(0, 2997, 3))
+    counts = [sum(r.part == p for r in revisits) for p in {r.part for r in revisits}]
+    assert len(counts) > 4 and max(counts) < 300
