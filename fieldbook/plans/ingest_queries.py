@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from fieldbook.operators import ingest
 from fieldbook.operators.ids import dense_ids
+from fieldbook.operators.key_table import deal_keys, insert_new_dealt
 from fieldbook.plans.tables import load, written_input
 from fieldbook.session import scratch_path
 from fieldbook.sources import io
@@ -94,6 +95,25 @@ SELECT seq, o_orderkey, CASE WHEN rn > 1 THEN 'duplicate' WHEN ex THEN 'exists'
 """
 
 
+def q_insert_new_dealt(spark: SparkSession, sf: str) -> DataFrame:
+    """The line batch against stored keys that were dealt once, then again after its new keys were dealt."""
+    stored = _stored(spark, sf, F.col("o_orderstatus") == "F")
+    table = deal_keys(stored, KEYS, scratch_path(spark, f"dealt-keys-{uuid.uuid4().hex}"))
+    batch = _line_batch(spark, sf)
+    new, first = insert_new_dealt(batch, table, "seq", RUN_TS)
+    table.add(new)
+    again = table.classify(batch, "seq")
+    return first.select(F.lit(1).alias("round"), "seq", "o_orderkey", "outcome").unionByName(
+        again.select(F.lit(2).alias("round"), "seq", "o_orderkey", "outcome"))
+
+
+SQL_INSERT_NEW_DEALT = "WITH " + _LINE_BATCH_SQL + """
+SELECT 1 AS round, seq, o_orderkey,
+       CASE WHEN rn > 1 THEN 'duplicate' WHEN ex THEN 'exists' ELSE 'inserted' END AS outcome FROM r
+UNION ALL SELECT 2, seq, o_orderkey, CASE WHEN rn > 1 THEN 'duplicate' ELSE 'exists' END FROM r
+"""
+
+
 def q_insert_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Inserted rows get ids continuing from max(stored id) in batch order, plus stamps."""
     stored = _stored(spark, sf, F.col("o_orderstatus") == "F")
@@ -507,6 +527,7 @@ QUERIES = {
     "stamp_now": (q_stamp_now, SQL_STAMP_NOW),
     "gate_one_batch": (q_gate_one_batch, SQL_GATE_ONE_BATCH),
     "insert_new": (q_insert_new, SQL_INSERT_NEW),
+    "insert_new_dealt": (q_insert_new_dealt, SQL_INSERT_NEW_DEALT),
     "insert_ids": (q_insert_ids, SQL_INSERT_IDS),
     "insert_all_or_nothing": (q_insert_all_or_nothing, SQL_INSERT_ALL_OR_NOTHING),
     "upsert_outcomes": (q_upsert_outcomes, SQL_UPSERT_OUTCOMES),
