@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from fieldbook.functions.columns import fill_null_text, replace_when_contains
 from fieldbook.operators import access, load as loadop, observations, search
 from fieldbook.operators.catalog import explode_list
+from fieldbook.operators.file_index import FileIndex
 from fieldbook.plans.catalog_queries import DOC_KEY, _RAW_SQL, raw_documents
 from fieldbook.plans.tables import load
 from fieldbook.session import scratch_path
@@ -290,6 +291,18 @@ def q_search_many(spark: SparkSession, sf: str) -> DataFrame:
     return search.search(load(spark, sf, "customer"), _KWS)
 
 
+_SEGMENT_KWS = ["UILDIN", "mer#000000_17"]
+
+
+def q_search_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """Keywords over customers kept in files by segment, read through sketches of the files' trigrams."""
+    base = scratch_path(spark, f"indexed-{uuid.uuid4().hex}")
+    load(spark, sf, "customer").repartitionByRange("c_mktsegment", "c_custkey").write.parquet(base + "/rows")
+    index = FileIndex(spark, base + "/rows", base + "/index")
+    index.refresh()
+    return index.search(_SEGMENT_KWS)
+
+
 def _like_all(cols: list[str], kws: list[str]) -> str:
     return " OR ".join(f"{c}::VARCHAR LIKE '%{k}%'" for k in kws for c in cols)
 
@@ -298,6 +311,10 @@ SQL_SEARCH_MANY = "SELECT * FROM customer WHERE " + _like_all(
     ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], _KWS)
 
 
+SQL_SEARCH_INDEXED = "SELECT * FROM customer WHERE " + _like_all(
+    ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], _SEGMENT_KWS)
+
+
 _DOC_KWS = ["license", "Apache", "@"]
 
 
@@ -461,6 +478,7 @@ QUERIES = {
     "truncate_load": (q_truncate_load, SQL_CONFORM_SCHEMA),
     "observations_loaded": (q_observations_loaded, SQL_OBSERVATIONS_LOADED),
     "search_one": (q_search_one, SQL_SEARCH_ONE),
+    "search_indexed": (q_search_indexed, SQL_SEARCH_INDEXED),
     "search_many": (q_search_many, SQL_SEARCH_MANY),
     "search_table": (q_search_table, SQL_SEARCH_TABLE),
     "search_table_like": (q_search_table_like, SQL_SEARCH_TABLE_LIKE),
