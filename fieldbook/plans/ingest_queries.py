@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbook.operators import ingest
+from fieldbook.operators.id_blocks import IdBlocks, leased_ids
 from fieldbook.operators.ids import dense_ids
 from fieldbook.operators.key_table import deal_keys, insert_new_dealt
 from fieldbook.plans.tables import load, written_input
@@ -129,6 +130,28 @@ FROM r WHERE rn = 1 AND NOT ex
 """
 
 
+ID_BLOCK = 1000
+
+
+def q_insert_ids_leased(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches that get ids from leased blocks above the stored ids, so other writers may insert meanwhile."""
+    stored = _stored(spark, sf, F.col("o_orderstatus") == "F")
+    blocks = IdBlocks(spark, scratch_path(spark, f"id-blocks-{uuid.uuid4().hex}"), ID_BLOCK)
+    o = load(spark, sf, "orders", "o_orderkey", "o_orderstatus")
+    new = [leased_ids(o.where(F.col("o_orderstatus") == status), ["o_orderkey"], blocks, stored=stored) for status in "OP"]
+    return new[0].unionByName(new[1]).select("o_orderkey", "o_orderstatus", "id")
+
+
+SQL_INSERT_IDS_LEASED = f"""
+WITH b AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1 AS place
+           FROM orders WHERE o_orderstatus IN ('O', 'P')),
+f AS (SELECT (coalesce(max(o_orderkey), 0) + {ID_BLOCK - 1}) // {ID_BLOCK} AS block FROM orders WHERE o_orderstatus = 'F'),
+n AS (SELECT (count(*) + {ID_BLOCK - 1}) // {ID_BLOCK} AS blocks FROM b WHERE o_orderstatus = 'O')
+SELECT o_orderkey, o_orderstatus,
+  ((block + CASE WHEN o_orderstatus = 'P' THEN blocks ELSE 0 END) * {ID_BLOCK} + place + 1)::BIGINT AS id FROM b, f, n
+"""
+
+
 def q_insert_all_or_nothing(spark: SparkSession, sf: str) -> DataFrame:
     """Batches by order year; a batch with any stored row is rejected whole."""
     stored = _stored(spark, sf, (F.col("o_orderstatus") == "F") & (F.year("o_orderdate") < 1998))
@@ -471,6 +494,20 @@ WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o
 """
 
 
+def q_row_difference_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole-row difference of wide rows by their fingerprints (D8): documents not in the table of English documents."""
+    d = load(spark, sf, "documents")
+    return ingest.row_difference_wide(d, d.where(F.col("lang") == "en")).select("doc_id", "lang", "source", "n_chars")
+
+
+SQL_ROW_DIFFERENCE_WIDE = """
+SELECT doc_id, lang, source, n_chars FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM documents t WHERE t.lang = 'en' AND t.doc_id IS NOT DISTINCT FROM d.doc_id
+                  AND t.text IS NOT DISTINCT FROM d.text AND t.lang IS NOT DISTINCT FROM d.lang
+                  AND t.source IS NOT DISTINCT FROM d.source AND t.n_chars IS NOT DISTINCT FROM d.n_chars)
+"""
+
+
 def q_stamp_given(spark: SparkSession, sf: str) -> DataFrame:
     """Fields unknown to the table are dropped (B3); stamps that a record carries are kept, the others set."""
     o = load(spark, sf, "orders", *KEYS, "o_orderdate")
@@ -527,6 +564,8 @@ QUERIES = {
     "stamp_now": (q_stamp_now, SQL_STAMP_NOW),
     "gate_one_batch": (q_gate_one_batch, SQL_GATE_ONE_BATCH),
     "insert_new": (q_insert_new, SQL_INSERT_NEW),
+    "insert_ids_leased": (q_insert_ids_leased, SQL_INSERT_IDS_LEASED),
+    "row_difference_wide": (q_row_difference_wide, SQL_ROW_DIFFERENCE_WIDE),
     "insert_new_dealt": (q_insert_new_dealt, SQL_INSERT_NEW_DEALT),
     "insert_ids": (q_insert_ids, SQL_INSERT_IDS),
     "insert_all_or_nothing": (q_insert_all_or_nothing, SQL_INSERT_ALL_OR_NOTHING),
