@@ -457,8 +457,10 @@ def row_difference_wide(batch: DataFrame, table: DataFrame, columns: list[str] |
     suspects = (table.select(*marks(table), *[F.col(f"`{c}`").alias("_t_" + c) for c in cols])
                 .join(hits, prints, "left_semi").dropDuplicates())
     mine = batch.select("*", *marks(batch))
-    same = [mine[p] == suspects[p] for p in prints] + [mine[f"`{c}`"].eqNullSafe(suspects[f"`_t_{c}`"]) for c in cols]
-    return mine.join(suspects, reduce(lambda a, b: a & b, same), "left_anti").drop(*prints)
+    # a number, so that the values are no join keys: rows stay where their fingerprints have brought them
+    equal = F.least(F.lit(1), *[mine[f"`{c}`"].eqNullSafe(suspects[f"`_t_{c}`"]).cast("int") for c in cols]) == 1
+    return mine.join(suspects, reduce(lambda a, b: a & b, [mine[p] == suspects[p] for p in prints], equal),
+                     "left_anti").drop(*prints)
 
 
 def add_rows_replace(table: DataFrame, batch: DataFrame, row_id: str, run_ts) -> DataFrame:
