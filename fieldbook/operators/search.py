@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions.columns import keyword_match
+from fieldbook.session import materialize, tasks_for
 
 
 def search(df: DataFrame, keywords, columns: list[str] | None = None, literal: bool = False) -> DataFrame:
@@ -38,6 +39,8 @@ def search_one(df: DataFrame, keyword: str, columns: list[str] | None = None, li
 
 
 _GRAM = 3
+_TASK_CHARS = 1 << 20  # characters of cells dealt to one task
+_SENT_CHARS = 200_000  # keywords are broadcast up to so many characters
 
 
 def _grams(text: Column, n: int) -> Column:
@@ -79,7 +82,8 @@ def search_table(df: DataFrame, keywords: DataFrame, row_id: str, keyword_col: s
     """(row_id, keyword) for every row with a cell that contains a keyword of a keyword table.
 
     An inverted-index join, exact and without a nested loop or a broadcast
-    of the (unbounded) keyword table.  A keyword is keyed by one n-gram of
+    of the (unbounded) keyword table or rows; only keywords of
+    ``_SENT_CHARS`` characters in all are broadcast.  A keyword is keyed by one n-gram of
     its literal text: its *rarest* trigram, by row counts from one partially
     aggregated groupBy, or the rarest 2- or 1-gram if it has no longer
     stretch.  It meets the rows that hold this gram and the match is
@@ -96,38 +100,60 @@ def search_table(df: DataFrame, keywords: DataFrame, row_id: str, keyword_col: s
     """
     cols = columns or [c for c in df.columns if c != row_id]
     cells = F.array_compact(F.array(*[F.col(c).cast("string") for c in cols]))
-    rows = df.select(row_id, cells.alias("_cells"))
-    kw = _patterns(keywords, keyword_col, literal)
-    lengths = sorted(r[0] for r in kw.select("_n").distinct().collect())  # 0 to 3
+    rows = _dealt(df.select(row_id, cells.alias("_cells")), row_id)
+    kw = materialize(_patterns(keywords, keyword_col, literal), "keywords")  # read once for each use below
+    # one row for each gram length, 0 to 3, and the characters of its keywords
+    lengths = sorted(kw.groupBy("_n").agg(F.sum(F.length("_kw")).alias("_c")).collect())
     if literal:
         found = F.exists("_cells", lambda c: c.contains(F.col("_kw")))
     else:
         found = F.exists("_cells", lambda c: F.like(c, F.concat(F.lit("%"), "_kw", F.lit("%"))))
-    hits = [_by_length(rows, kw, row_id)] if 0 in lengths else []
-    for n in lengths:
+    hits = []
+    for n, chars in lengths:
         if n == 0:
+            hits.append(_by_length(rows, kw, row_id, chars).distinct())
             continue
         held = kw.where(F.col("_n") == n).select("_kw", F.explode("_gs").alias("_g"))
-        index = rows.select(row_id, F.explode(_grams(F.array_join("_cells", "\u0001"), n)).alias("_g")).join(
-            held.select("_g").distinct(), "_g", "left_semi")
-        freq = index.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
+        index = rows.select(row_id, F.explode(_grams(F.array_join("_cells", "\u0001"), n)).alias("_g"))
+        known = index.join(_small_side(held.select("_g").distinct(), chars), "_g", "left_semi")
+        freq = known.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
         # a keyword with a gram that no row has cannot match: only those with all their grams found are keyed
         key = held.join(freq, "_g", "left").groupBy("_kw").agg(
             F.min_by("_g", F.struct(F.coalesce("_f", F.lit(0)), "_g")).alias("_g"))
-        candidates = index.join(key, "_g").select(row_id, "_kw")
+        candidates = index.join(_small_side(key, chars), "_g").select(row_id, "_kw")
         if not (literal and n < _GRAM):  # a short literal keyword is its own gram
-            candidates = candidates.join(rows, row_id).where(found)
-        hits.append(candidates.select(row_id, "_kw"))
+            candidates = candidates.join(rows.hint("merge"), row_id).where(found)
+        # a keyword has one length, so the pairs of two lengths differ
+        hits.append(candidates.select(row_id, "_kw").distinct())
     if not hits:
         hits = [rows.select(row_id, F.lit("").alias("_kw")).limit(0)]
-    return reduce(DataFrame.unionByName, hits).distinct().withColumnRenamed("_kw", keyword_col)
+    return reduce(DataFrame.unionByName, hits).withColumnRenamed("_kw", keyword_col)
 
 
-def _by_length(rows: DataFrame, kw: DataFrame, row_id: str) -> DataFrame:
+def _dealt(rows: DataFrame, row_id: str) -> DataFrame:
+    """Rows dealt by their id, so many to a task that its cells have about ``_TASK_CHARS`` characters.
+
+    A table of short texts is a small file that one task would read, and the
+    grams and matches made from it are many times its size.
+    """
+    chars = rows.agg(F.sum(F.aggregate("_cells", F.lit(0), lambda n, c: n + F.length(c)))).first()[0]
+    return rows.repartition(tasks_for(rows.sparkSession, chars, _TASK_CHARS), row_id)
+
+
+def _small_side(keys: DataFrame, chars: int) -> DataFrame:
+    """The keyword side of a join with grams: broadcast while all its keywords are short, else met by sorting.
+
+    Spark would judge by the sizes of compressed files, and might send the
+    grams of all rows to the driver.
+    """
+    return F.broadcast(keys) if chars <= _SENT_CHARS else keys.hint("merge")
+
+
+def _by_length(rows: DataFrame, kw: DataFrame, row_id: str, chars: int) -> DataFrame:
     """Matches of patterns without a literal character: a cell needs one character per underscore."""
     bare = kw.where(F.col("_n") == 0).select("_kw", F.length(F.regexp_replace("_kw", "%", "")).alias("_m"))
     top = bare.agg(F.max("_m").alias("_top")).scalar()
     sized = rows.where(F.size("_cells") > 0).select(
         row_id, F.array_max(F.transform("_cells", lambda c: F.length(c))).alias("_len"))
     return sized.select(row_id, F.explode(F.sequence(F.lit(0), F.least("_len", top))).alias("_m")).join(
-        bare, "_m").select(row_id, "_kw")
+        _small_side(bare, chars), "_m").select(row_id, "_kw")

@@ -83,6 +83,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def tasks_for(spark: SparkSession, size: int, per_task: int) -> int:
+    """Shuffle partitions for ``size`` rows (or characters): the session's number, or more so that none gets over ``per_task``.
+
+    A session's number is fixed while tables grow, and with it what one task
+    has to sort or hold.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(size or 0) // per_task))
+
+
 def materialize(df, name: str = "table"):
     """Cut lineage: write ``df`` once as Parquet under the shared checkpoint
     folder and read it back.

@@ -228,3 +228,32 @@ def test_search_table_with_wildcards_equals_brute_force(spark):
     plan = search.search_table(df, kws, "id", literal=False)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert search.search_table(df, kws.limit(0), "id").count() == 0
+
+
+@pytest.mark.parametrize("literal", [True, False])
+def test_search_table_broadcasts_no_rows(spark, monkeypatch, literal):
+    """Rows and their grams look small in files; only keywords may be broadcast, and those while they are short."""
+    monkeypatch.setattr(search, "_SENT_CHARS", 0, raising=False)
+    df = spark.range(300).select("id", F.concat(F.lit("name "), F.col("id")).alias("c"))
+    kws = spark.createDataFrame([("ame 7",), ("12",), ("9",), ("zz",)], "keyword string")
+    if not literal:
+        kws = kws.unionByName(spark.createDataFrame([("_____",), ("me%1_5",)], "keyword string"))
+    out = search.search_table(df, kws, "id", literal=literal)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in plan and "BroadcastHashJoin [id#" not in plan
+    got = {(r["id"], r["keyword"]) for r in out.collect()}
+    words = [f"name {i}" for i in range(300)]
+    want = {(i, k) for i, w in enumerate(words) for k in ("ame 7", "12", "9") if k in w}
+    if not literal:
+        want |= {(i, "_____") for i, w in enumerate(words) if len(w) >= 5}
+        want |= {(i, "me%1_5") for i, w in enumerate(words) if re.search("me.*1.5", w)}
+    assert got == want and out.count() == len(want)
+
+
+def test_search_table_deals_rows_by_their_text(spark, monkeypatch):
+    """One short file of rows becomes as many tasks as their characters ask for."""
+    monkeypatch.setattr(search, "_TASK_CHARS", 1000, raising=False)
+    df = spark.range(0, 500, 1, 1).select("id", F.repeat(F.lit("ab "), 20).alias("c"))
+    out = search.search_table(df, spark.createDataFrame([("ab a",)], "keyword string"), "id")
+    assert "hashpartitioning(id" in (plan := out._jdf.queryExecution().toString()) and ", 30), REPARTITION_BY_NUM" in plan
+    assert out.count() == 500
