@@ -49,6 +49,33 @@ def explode_lists(raw: DataFrame, row_key: str, list_cols: list[str]) -> DataFra
                 F.posexplode_outer(list_items(F.col("_l.text"))).alias("pos", "name")), "items")
 
 
+def _first_place(df: DataFrame, keys: list[str], row_key: str, *pos: str) -> DataFrame:
+    """(keys, _k, and a ``_`` column per position): the least (row key, one or two positions) of every key, NULLs first.
+
+    With a whole-number row key the place is one decimal, whose minimum a
+    hash aggregation holds in place.  The minimum of a struct would make
+    every task sort all its rows before it merges any.
+    """
+    names = ["_k"] + [f"_p{i}" for i in range(len(pos))]
+    if df.schema[row_key].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        least = df.groupBy(*keys).agg(F.min(F.struct(F.col(row_key).alias("_k"), *[
+            F.col(p).alias(n) for p, n in zip(pos, names[1:])])).alias("_f"))
+        return least.select(*keys, "_f.*")
+    # NULL comes first: a key of -2^63 - 1, a position of 0
+    key = f"coalesce(cast(`{row_key}` as decimal(20,0)), -9223372036854775809BD)"
+    place = " + ".join([f"coalesce(`{p}` + 1L, 0L) * {1 << 31 * i}L" for i, p in enumerate(reversed(pos))])
+    size = 1 << 31 * len(pos)
+    code = f"cast({key} * {size}BD + cast({place} as decimal(19,0)) as decimal(38,0))"
+    out = df.groupBy(*keys).agg(F.min(F.expr(code)).alias("_c")).withColumn("_r", F.expr(f"pmod(_c, {size}BD)"))
+    out = out.select(*keys, F.expr(f"try_cast((_c - _r) / {size}BD as decimal(20,0))").alias("_d"),
+                     F.col("_r").cast("long").alias("_r"))
+    kind = df.schema[row_key].dataType.simpleString()
+    return out.select(
+        *keys, F.expr(f"case when _d >= -9223372036854775808BD then cast(_d as {kind}) end").alias("_k"),
+        *[F.expr(f"cast(nullif(_r div {1 << 31 * (len(pos) - 1 - i)}L % {1 << 31}L, 0L) - 1L as int)").alias(n)
+          for i, n in enumerate(names[1:])])
+
+
 def dimension_from_items(items: DataFrame, row_key: str, name_col: str, id_col: str,
                          keep_null: bool = True, drop_empty: bool = False,
                          buckets: int | None = None, existing: DataFrame | None = None) -> DataFrame:
@@ -64,10 +91,8 @@ def dimension_from_items(items: DataFrame, row_key: str, name_col: str, id_col:
         items = items.where((F.col("name") != "") | F.col("name").isNull())
     # partial (map-side) aggregation per name before the shuffle: a hot name
     # costs one row per map task, not one per occurrence
-    first = items.groupBy("name").agg(
-        F.min(F.struct(F.col(row_key).alias("k"), F.col("pos").alias("p"))).alias("_first")
-    )
-    first = first.select(F.col("name").alias(name_col), F.col("_first.k").alias("_k"), F.col("_first.p").alias("_p"))
+    first = _first_place(items, ["name"], row_key, "pos").select(
+        F.col("name").alias(name_col), "_k", F.col("_p0").alias("_p"))
     if existing is None:
         return dense_ids(first, ["_k", "_p"], id_col=id_col, buckets=buckets).select(name_col, id_col)
     known = existing.select(F.col(name_col).alias("_known"))
@@ -108,13 +133,11 @@ def _first_links(raw: DataFrame, row_key: str, list_a: str, list_b: str,
         F.posexplode_outer(list_items(list_a)).alias("_pa", "_na"),
         F.col(list_b),
     ).select(row_key, "_pa", "_na", F.posexplode_outer(list_items(list_b)).alias("_pb", "_nb"))
-    first = pairs.groupBy("_na", "_nb").agg(F.min(F.struct(
-        F.col(row_key).alias("k"), F.col("_pa").alias("pa"), F.col("_pb").alias("pb"))).alias("_f"))
+    first = _first_place(pairs, ["_na", "_nb"], row_key, "_pa", "_pb")
     da = dim_a.toDF("_da_name", "_a")
     db = dim_b.toDF("_db_name", "_b")
     linked = _name_join(_name_join(first, da, "_na", "_da_name"), db, "_nb", "_db_name")
-    return linked.select("_a", "_b", F.col("_f.k").alias("_k"), F.col("_f.pa").alias("_pa"),
-                         F.col("_f.pb").alias("_pb"))
+    return linked.select("_a", "_b", "_k", F.col("_p0").alias("_pa"), F.col("_p1").alias("_pb"))
 
 
 def bridge(raw: DataFrame, list_a: str, list_b: str, dim_a: DataFrame, dim_b: DataFrame,
@@ -221,9 +244,7 @@ def _first_names(items: DataFrame, row_key: str, keep_null: bool, drop_empty: bo
         items = items.where(F.col("name").isNotNull())
     if drop_empty:
         items = items.where((F.col("name") != "") | F.col("name").isNull())
-    return items.groupBy("list", "name").agg(
-        F.min(F.struct(F.col(row_key).alias("k"), F.col("pos").alias("p"))).alias("_f")
-    ).select("list", "name", F.col("_f.k").alias("_k"), F.col("_f.p").alias("_p"))
+    return _first_place(items, ["list", "name"], row_key, "pos").withColumnRenamed("_p0", "_p")
 
 
 def _bridge_links(raw: DataFrame, dims: DataFrame, row_key: str, bridges: list) -> DataFrame:
@@ -234,13 +255,12 @@ def _bridge_links(raw: DataFrame, dims: DataFrame, row_key: str, bridges: list)
         "_k", "_b.*").select(
         "_k", "bridge", "la", "lb", "tb", F.posexplode_outer(list_items("ta")).alias("_pa", "_na")).select(
         "_k", "bridge", "la", "lb", "_pa", "_na", F.posexplode_outer(list_items("tb")).alias("_pb", "_nb"))
-    links = pairs.groupBy("bridge", "la", "lb", "_na", "_nb").agg(
-        F.min(F.struct("_k", "_pa", "_pb")).alias("_f"))
+    links = _first_place(pairs, ["bridge", "la", "lb", "_na", "_nb"], "_k", "_pa", "_pb")
     for side in ("a", "b"):
         d = dims.select(F.col("list").alias("_dl"), F.col("name").alias("_dn"), F.col("_id").alias(f"_{side}"))
         links = links.join(d, (links[f"l{side}"] == d["_dl"]) & links[f"_n{side}"].eqNullSafe(d["_dn"])).drop(
             "_dl", "_dn")
-    return links.select("bridge", "_a", "_b", "_f.*")
+    return links.select("bridge", "_a", "_b", "_k", F.col("_p0").alias("_pa"), F.col("_p1").alias("_pb"))
 
 
 def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges: list | None = None,
