@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from fieldbook.functions.columns import list_items
 from fieldbook.operators.ids import dense_ids, max_id
 from fieldbook.schemas import BRIDGES, DOCUMENT_LISTS
-from fieldbook.session import materialize
+from fieldbook.session import materialize, tasks_for
+
+_TASK_DOCUMENTS = 100_000  # documents dealt to one task
 
 
 def explode_list(raw: DataFrame, list_col: str, row_key: str, name_col: str = "name",
@@ -42,11 +44,20 @@ def explode_lists(raw: DataFrame, row_key: str, list_cols: list[str]) -> DataFra
     One scan of ``raw``, written once to the checkpoint folder: dimensions
     and id lists of every list column read it instead of re-reading raw.
     """
+    return materialize(_items(raw, row_key, list_cols), "items")
+
+
+def _items(raw: DataFrame, row_key: str, list_cols: list[str]) -> DataFrame:
+    """``explode_lists``, not written."""
     texts = F.array(*[F.struct(F.lit(c).alias("list"), F.col(c).alias("text")) for c in list_cols])
-    return materialize(
-        raw.select(row_key, F.explode(texts).alias("_l"))
-        .select(F.col("_l.list").alias("list"), row_key,
-                F.posexplode_outer(list_items(F.col("_l.text"))).alias("pos", "name")), "items")
+    return raw.select(row_key, F.explode(texts).alias("_l")).select(
+        F.col("_l.list").alias("list"), row_key,
+        F.posexplode_outer(list_items(F.col("_l.text"))).alias("pos", "name"))
+
+
+def _dealt(documents: DataFrame, key: str) -> DataFrame:
+    """Documents dealt by their key, about ``_TASK_DOCUMENTS`` to a task; what is exploded from them stays there."""
+    return documents.repartition(tasks_for(documents.sparkSession, documents.count(), _TASK_DOCUMENTS), key)
 
 
 def _first_place(df: DataFrame, keys: list[str], row_key: str, *pos: str) -> DataFrame:
@@ -312,8 +323,11 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
 
     def document_lists() -> DataFrame:
         if "doc" not in memo:
-            ids = all_id_lists(items(), dims(), row_key, {col: id_col for col, (_d, _n, id_col) in lists.items()})
-            doc = raw.drop(*lists.keys()).join(ids, row_key, "left")
+            # exploded again from dealt rows: the rows move once, not their items
+            dealt = _dealt(raw, row_key)
+            ids = all_id_lists(_items(dealt, row_key, list(lists)), dims(), row_key,
+                               {col: id_col for col, (_d, _n, id_col) in lists.items()})
+            doc = dealt.drop(*lists.keys()).join(ids, row_key, "left")
             # written once, read by every consumer
             memo["doc"] = materialize(doc, "document")
         return memo["doc"]
@@ -546,6 +560,7 @@ def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, d
         dims.append(d.select(F.lit(out).alias("kind"), F.col(id_col).alias("_did"), F.col(name_col).alias("name")))
     dim_all = reduce(DataFrame.unionByName, dims)
 
+    document = _dealt(document, doc_key)
     per_list = document.select(doc_key, F.explode(F.array(*[
         F.struct(F.lit(k).alias("kind"), F.col(c).alias("ids")) for k, c in lists])).alias("_l"))
     items = per_list.select(
@@ -558,6 +573,8 @@ def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, d
     named = items.join(dim_all.withColumnRenamed("kind", "_dk"),
                        (items["kind"] == F.col("_dk")) & (items["_eid"] == F.col("_did")), "left")
     counts = named.groupBy(doc_key, "kind", "name").agg(F.count(F.lit(1)).alias("n"))
+    if doc_key in detail_columns:
+        return _details_by_document(document, counts, detail_columns, doc_key, keep_nulls, counted)
     # list sizes per document as window sums: one exchange on the document
     # key, which the product / name self-join below then reuses
     per_doc = Window.partitionBy(doc_key)
@@ -596,3 +613,38 @@ def document_details(document: DataFrame, product: DataFrame, crop: DataFrame, d
         F.flatten(F.collect_list(F.when(F.col("kind") == out, F.col("_rep")))).alias(out) for out, _, _ in _KINDS
     ])
     return grouped
+
+
+def _details_by_document(document: DataFrame, counts: DataFrame, detail_columns: list[str], doc_key: str,
+                         keep_nulls: bool, counted: bool) -> DataFrame:
+    """``document_details`` where the document key is a group column, so that no group spans two documents.
+
+    ``counts`` (doc_key, kind, name, n) is gathered once per document into a
+    short array per list; its products are exploded and each array is
+    expanded in its row.  Everything stays in the task of the document.
+    """
+    kinds = [out for out, _, _ in _KINDS]
+    gathered = counts.where(F.col(doc_key).isNotNull()).groupBy(doc_key).agg(
+        F.collect_list(F.struct("kind", "name", "n")).alias("_all"))
+    shown = [c for c in detail_columns if c != doc_key]
+    listed = document.groupBy(F.col(doc_key).alias("_dk"), *shown).agg(F.count(F.lit(1)).alias("_r"))
+
+    def of(kind: str) -> F.Column:
+        return F.transform(F.filter("_all", lambda e: e["kind"] == kind), lambda e: F.struct(
+            e["name"].alias("name"), e["n"].alias("n"))).alias(kind)
+
+    lists = gathered.select(doc_key, *[of(k) for k in (_PRODUCT, *kinds)])
+    sizes = {k: F.aggregate(k, F.lit(0).cast("long"), lambda total, e: total + e["n"]) for k in kinds}
+    lists = lists.select("*", *[c.alias(f"_n_{k}") for k, c in sizes.items()])
+    per = lists.join(listed, lists[doc_key] == listed["_dk"]).select(
+        *detail_columns, "_r", *kinds, *[f"_n_{k}" for k in kinds], F.explode(_PRODUCT).alias("_p"))
+    shape = _counted if counted else _expand
+    base = F.col("_r") * F.col("_p")["n"]
+    out = []
+    for k in kinds:
+        a, b = [F.col(f"_n_{o}") for o in kinds if o != k]
+        out.append(shape(k, base * a * b, keep_nulls).alias(k))
+    per = per.select(F.col("_p")["name"].alias("Product_Name"), *detail_columns, *out)
+    if not keep_nulls:  # a group without any name is no group
+        per = per.where(sum((F.size(k) for k in kinds), F.lit(0)) > 0)
+    return per

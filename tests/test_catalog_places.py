@@ -21,3 +21,20 @@ def test_first_places_as_struct_minimum(spark):
     text = items.withColumn("k", F.col("k").cast("string"))
     want = text.groupBy("name").agg(F.min(F.struct("k", "pos")).alias("f")).select("name", "f.*")
     assert rows(catalog._first_place(text, ["name"], "k", "pos")) == rows(want)
+
+
+def test_document_details_gathered_by_document(spark):
+    """Grouped by the document key, details need no window and no self-join; nulls and listed-twice rows as the flat join."""
+    doc = spark.createDataFrame([(1, "u", "1,2,1", "1,9", "1", None), (1, "u", "1,2,1", "1,9", "1", None),
+                                 (2, "v", None, "2", "x,2", "1")],
+                                "k long, w string, Product_ID string, Crop_ID string, Disease_ID string, Pest_ID string")
+    dim = {n: spark.createDataFrame([(1, n + "1"), (2, n + "2")], f"{n}_ID long, {n}_Name string")
+           for n in ("Product", "Crop", "Disease", "Pest")}
+    out = catalog.document_details(doc, dim["Product"], dim["Crop"], dim["Disease"], dim["Pest"], ["k", "w"], doc_key="k")
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.Product_Name, r.k): [sorted(map(str, a)) for a in (r.Disease_Names, r.Crop_Names, r.Pest_Names)]
+           for r in out.collect()}
+    # document 1 stands twice, so its items count twice in each list and its row twice
+    assert set(got) == {("Product1", 1), ("Product2", 1), (None, 2)}
+    assert got[(None, 2)] == [["Disease2", "None"], ["Crop2"] * 2, ["Pest1"] * 2]
+    assert {len(a) for a in got[("Product1", 1)]} == {2 * got[("Product2", 1)][0].__len__()}
