@@ -8,7 +8,7 @@ from typing import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_WS = r"^\s+|\s+$"
+_WS = " \t\n\x0b\f\r"  # what \s matches in a pattern
 
 
 def _c(c: str | Column) -> Column:
@@ -17,7 +17,7 @@ def _c(c: str | Column) -> Column:
 
 def strip_ws(c: str | Column) -> Column:
     """Strip leading/trailing whitespace of any kind (``str.strip()``), not only blanks."""
-    return F.regexp_replace(_c(c), _WS, "")
+    return F.btrim(_c(c), F.lit(_WS))
 
 
 def list_items(c: str | Column, sep: str = ",", strip: bool = True) -> Column:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldbook.functions.columns import list_items
@@ -24,6 +24,7 @@ from fieldbook.schemas import BRIDGES, DOCUMENT_LISTS
 from fieldbook.session import materialize, tasks_for
 
 _TASK_DOCUMENTS = 100_000  # documents dealt to one task
+_WHOLE = ("byte", "short", "integer", "long")
 
 
 def explode_list(raw: DataFrame, list_col: str, row_key: str, name_col: str = "name",
@@ -60,18 +61,35 @@ def _dealt(documents: DataFrame, key: str) -> DataFrame:
     return documents.repartition(tasks_for(documents.sparkSession, documents.count(), _TASK_DOCUMENTS), key)
 
 
-def _first_place(df: DataFrame, keys: list[str], row_key: str, *pos: str) -> DataFrame:
+def _span(raw: DataFrame, row_key: str, list_cols: list[str]):
+    """(least row key, greatest, longest list text) of the rows, or None where the key is no whole number."""
+    if raw.schema[row_key].dataType.typeName() not in _WHOLE:
+        return None
+    low, high, longest = raw.agg(F.min(row_key), F.max(row_key), F.max(F.greatest(
+        F.lit(0), *[F.length(c) for c in list_cols]))).first()
+    return low or 0, high or 0, longest or 0
+
+
+def _first_place(df: DataFrame, keys: list[str], row_key: str, *pos: str, span=None) -> DataFrame:
     """(keys, _k, and a ``_`` column per position): the least (row key, one or two positions) of every key, NULLs first.
 
-    With a whole-number row key the place is one decimal, whose minimum a
+    With a whole-number row key the place is one number, whose minimum a
     hash aggregation holds in place.  The minimum of a struct would make
-    every task sort all its rows before it merges any.
+    every task sort all its rows before it merges any.  The number is a long
+    where the ``_span`` of the rows (a list has fewer items than characters,
+    plus one) leaves room for it, else a decimal.
     """
     names = ["_k"] + [f"_p{i}" for i in range(len(pos))]
-    if df.schema[row_key].dataType.typeName() not in ("byte", "short", "integer", "long"):
+    kind = df.schema[row_key].dataType
+    if kind.typeName() not in _WHOLE:
         least = df.groupBy(*keys).agg(F.min(F.struct(F.col(row_key).alias("_k"), *[
             F.col(p).alias(n) for p, n in zip(pos, names[1:])])).alias("_f"))
         return least.select(*keys, "_f.*")
+    if span is not None:
+        low, high, longest = span
+        bits = (longest + 2).bit_length()  # positions up to ``longest``, one more each, and 0 for NULL
+        if (high - low + 1).bit_length() + bits * len(pos) <= 62:
+            return _least_long(df, keys, row_key, pos, names, low, bits)
     # NULL comes first: a key of -2^63 - 1, a position of 0
     key = f"coalesce(cast(`{row_key}` as decimal(20,0)), -9223372036854775809BD)"
     place = " + ".join([f"coalesce(`{p}` + 1L, 0L) * {1 << 31 * i}L" for i, p in enumerate(reversed(pos))])
@@ -80,13 +98,30 @@ def _first_place(df: DataFrame, keys: list[str], row_key: str, *pos: str) -> Dat
     out = df.groupBy(*keys).agg(F.min(F.expr(code)).alias("_c")).withColumn("_r", F.expr(f"pmod(_c, {size}BD)"))
     out = out.select(*keys, F.expr(f"try_cast((_c - _r) / {size}BD as decimal(20,0))").alias("_d"),
                      F.col("_r").cast("long").alias("_r"))
-    kind = df.schema[row_key].dataType.simpleString()
     return out.select(
-        *keys, F.expr(f"case when _d >= -9223372036854775808BD then cast(_d as {kind}) end").alias("_k"),
+        *keys, F.expr(f"case when _d >= -9223372036854775808BD then cast(_d as {kind.simpleString()}) end").alias("_k"),
         *[F.expr(f"cast(nullif(_r div {1 << 31 * (len(pos) - 1 - i)}L % {1 << 31}L, 0L) - 1L as int)").alias(n)
           for i, n in enumerate(names[1:])])
 
 
+def _least_long(df: DataFrame, keys: list[str], row_key: str, pos, names: list[str], low: int, bits: int) -> DataFrame:
+    """``_first_place`` where key and positions fit one long: the key's distance from ``low``, then ``bits`` a position."""
+    wide = bits * len(pos)
+    code = F.shiftleft(F.coalesce(F.col(row_key).cast("long") - F.lit(low).cast("long") + 1, F.lit(0).cast("long")), wide)
+    shifts = [bits * i for i in reversed(range(len(pos)))]
+    for p, shift in zip(pos, shifts):
+        code = code + F.shiftleft(F.coalesce(F.col(p).cast("long") + 1, F.lit(0).cast("long")), shift)
+    least = df.groupBy(*keys).agg(F.min(code).alias("_c"))
+
+    def back(c: Column, start: int) -> Column:
+        return F.when(c > 0, c - 1 + F.lit(start).cast("long"))
+
+    mask = F.lit((1 << bits) - 1).cast("long")
+    return least.select(
+        *keys, back(F.shiftright("_c", wide), low).cast(df.schema[row_key].dataType).alias("_k"),
+        *[back(F.shiftright("_c", shift).bitwiseAND(mask), 0).cast("int").alias(n) for n, shift in zip(names[1:], shifts)])
+
+
 def dimension_from_items(items: DataFrame, row_key: str, name_col: str, id_col: str,
                          keep_null: bool = True, drop_empty: bool = False,
                          buckets: int | None = None, existing: DataFrame | None = None) -> DataFrame:
@@ -202,17 +237,19 @@ def all_id_lists(items: DataFrame, dims: DataFrame, row_key: str, out_cols: dict
     """
     d = dims.select(F.col("list").alias("_dl"), F.col("name").alias("_dn"), "_id")
     looked = items.join(d, (items["list"] == d["_dl"]) & (items["name"] == d["_dn"]), "left")
-    keep = F.col("_id").isNotNull() & (F.col("name") != "")
-    aggs = []
-    for col in out_cols:
-        mine = F.col("list") == col
-        entry = F.struct(F.col("pos").alias("p"), F.col("_id").alias("i"))
-        aggs += [F.sort_array(F.collect_list(F.when(mine & keep, entry))).alias(f"_l_{col}"),
-                 F.max(mine & F.col("pos").isNull()).alias(f"_null_{col}")]
-    return looked.groupBy(row_key).agg(*aggs).select(row_key, *[
-        F.when(~F.col(f"_null_{col}"), F.array_join(
-            F.transform(f"_l_{col}", lambda e: e["i"].cast("string")), ",")).alias(out)
-        for col, out in out_cols.items()])
+    # what shows: an id, or that the list is NULL (its position is); one array for all lists
+    shown = (F.col("_id").isNotNull() & (F.col("name") != "")) | F.col("pos").isNull()
+    entry = F.struct(F.array_position(F.array(*[F.lit(c) for c in out_cols]), F.col("list")).alias("l"),
+                     F.col("pos").alias("p"), F.col("_id").alias("i"))
+    agg = looked.groupBy(row_key).agg(F.collect_list(F.when(shown, entry)).alias("_all")).select(
+        row_key, F.sort_array("_all").alias("_all"))
+
+    def text(number: int) -> Column:
+        mine = F.filter("_all", lambda e: e["l"] == number)
+        return F.when(~F.exists(mine, lambda e: e["p"].isNull()),
+                      F.array_join(F.transform(mine, lambda e: e["i"].cast("string")), ","))
+
+    return agg.select(row_key, *[text(n).alias(out) for n, out in enumerate(out_cols.values(), 1)])
 
 
 class NormalisedTables(Mapping):
@@ -249,24 +286,30 @@ class NormalisedTables(Mapping):
         return len(self._names)
 
 
-def _first_names(items: DataFrame, row_key: str, keep_null: bool, drop_empty: bool) -> DataFrame:
+def _first_names(items: DataFrame, row_key: str, keep_null: bool, drop_empty: bool, span=None) -> DataFrame:
     """(list, name, _k, _p): every name of every list with its first-seen place."""
     if not keep_null:
         items = items.where(F.col("name").isNotNull())
     if drop_empty:
         items = items.where((F.col("name") != "") | F.col("name").isNull())
-    return _first_place(items, ["list", "name"], row_key, "pos").withColumnRenamed("_p0", "_p")
-
-
-def _bridge_links(raw: DataFrame, dims: DataFrame, row_key: str, bridges: list) -> DataFrame:
-    """(bridge, _a, _b, _k, _pa, _pb): the distinct id pairs of all bridges with their first-seen place."""
-    both = F.array(*[F.struct(F.lit(b).alias("bridge"), F.lit(la).alias("la"), F.lit(lb).alias("lb"),
-                              F.col(la).alias("ta"), F.col(lb).alias("tb")) for b, la, lb, _ in bridges])
-    pairs = raw.select(F.col(row_key).alias("_k"), F.explode(both).alias("_b")).select(
-        "_k", "_b.*").select(
-        "_k", "bridge", "la", "lb", "tb", F.posexplode_outer(list_items("ta")).alias("_pa", "_na")).select(
-        "_k", "bridge", "la", "lb", "_pa", "_na", F.posexplode_outer(list_items("tb")).alias("_pb", "_nb"))
-    links = _first_place(pairs, ["bridge", "la", "lb", "_na", "_nb"], "_k", "_pa", "_pb")
+    return _first_place(items, ["list", "name"], row_key, "pos", span=span).withColumnRenamed("_p0", "_p")
+
+
+def _bridge_links(raw: DataFrame, dims: DataFrame, row_key: str, bridges: list, span=None) -> DataFrame:
+    """(bridge, _a, _b, _k, _pa, _pb): the distinct id pairs of all bridges with their first-seen place.
+
+    Each list is cut once a row, and pairs are told apart by their names and the bridge's number.
+    """
+    used = sorted({c for _b, la, lb, _i in bridges for c in (la, lb)})
+    cut = raw.select(F.col(row_key).alias("_k"), *[list_items(c).alias(c) for c in used])
+    both = F.array(*[F.struct(F.lit(n).alias("_n"), F.col(la).alias("ta"), F.col(lb).alias("tb"))
+                     for n, (_b, la, lb, _i) in enumerate(bridges, 1)])
+    pairs = cut.select("_k", F.explode(both).alias("_b")).select("_k", "_b.*").select(
+        "_k", "_n", "tb", F.posexplode_outer("ta").alias("_pa", "_na")).select(
+        "_k", "_n", "_pa", "_na", F.posexplode_outer("tb").alias("_pb", "_nb"))
+    first = _first_place(pairs, ["_n", "_na", "_nb"], "_k", "_pa", "_pb", span=span)
+    links = first.select("*", *[F.element_at(F.array(*[F.lit(b[i]) for b in bridges]), F.col("_n")).alias(name)
+                                for i, name in enumerate(("bridge", "la", "lb"))])
     for side in ("a", "b"):
         d = dims.select(F.col("list").alias("_dl"), F.col("name").alias("_dn"), F.col("_id").alias(f"_{side}"))
         links = links.join(d, (links[f"l{side}"] == d["_dl"]) & links[f"_n{side}"].eqNullSafe(d["_dn"])).drop(
@@ -289,7 +332,12 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
     """
     lists = lists or DOCUMENT_LISTS
     bridges = bridges or BRIDGES
-    memo: dict[str, DataFrame] = {}
+    memo: dict = {}
+
+    def span():
+        if "span" not in memo:
+            memo["span"] = _span(raw, row_key, list(lists))
+        return memo["span"]
 
     def items() -> DataFrame:
         if "items" not in memo:
@@ -298,7 +346,7 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
 
     def dims() -> DataFrame:
         if "dims" not in memo:
-            firsts = _first_names(items(), row_key, keep_null, drop_empty)
+            firsts = _first_names(items(), row_key, keep_null, drop_empty, span())
             memo["dims"] = materialize(
                 dense_ids(firsts, ["_k", "_p"], id_col="_id", buckets=buckets, partition_by=["list"])
                 .select("list", "name", "_id"), "dims")  # small, and read by every other table
@@ -311,7 +359,7 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
 
     def all_bridges() -> DataFrame:
         if "bridges" not in memo:
-            links = _bridge_links(raw, dims(), row_key, bridges)
+            links = _bridge_links(raw, dims(), row_key, bridges, span())
             memo["bridges"] = dense_ids(
                 links, ["_k", "_pa", "_pb"], id_col="_bid", buckets=buckets,
                 partition_by=["bridge"]).select("bridge", "_a", "_b", "_bid")
@@ -384,7 +432,12 @@ def normalise_more(delta: DataFrame, existing, row_key: str, lists: dict | None
     """
     lists = lists or DOCUMENT_LISTS
     bridges = bridges or BRIDGES
-    memo: dict[str, DataFrame] = {}
+    memo: dict = {}
+
+    def span():
+        if "span" not in memo:
+            memo["span"] = _span(delta, row_key, list(lists))
+        return memo["span"]
 
     def stored_dims() -> DataFrame:
         return reduce(DataFrame.unionByName, [
@@ -404,7 +457,8 @@ def normalise_more(delta: DataFrame, existing, row_key: str, lists: dict | None
 
     def new_dims() -> DataFrame:
         if "dims" not in memo:
-            fresh = _only_new(_first_names(items(), row_key, keep_null, drop_empty), stored_dims(), ["list", "name"])
+            fresh = _only_new(_first_names(items(), row_key, keep_null, drop_empty, span()), stored_dims(),
+                              ["list", "name"])
             memo["dims"] = materialize(_numbered_on(fresh, stored_dims(), "list", ["_k", "_p"], "_id")
                                        .select("list", "name", "_id"), "dims-delta")
         return memo["dims"]
@@ -414,7 +468,7 @@ def normalise_more(delta: DataFrame, existing, row_key: str, lists: dict | None
 
     def new_bridges() -> DataFrame:
         if "bridges" not in memo:
-            links = materialize(_bridge_links(delta, all_dims(), row_key, bridges), "links-delta")
+            links = materialize(_bridge_links(delta, all_dims(), row_key, bridges, span()), "links-delta")
             fresh = _only_new(links, stored_bridges(), ["bridge", "_a", "_b"])
             memo["bridges"] = materialize(_numbered_on(fresh, stored_bridges(), "bridge", ["_k", "_pa", "_pb"], "_bid")
                                           .select("bridge", "_a", "_b", "_bid"), "bridges-delta")
@@ -422,8 +476,10 @@ def normalise_more(delta: DataFrame, existing, row_key: str, lists: dict | None
 
     def document_lists() -> DataFrame:
         if "doc" not in memo:
-            ids = all_id_lists(items(), all_dims(), row_key, {col: id_col for col, (_d, _n, id_col) in lists.items()})
-            memo["doc"] = materialize(delta.drop(*lists.keys()).join(ids, row_key, "left"), "document-delta")
+            dealt = _dealt(delta, row_key)
+            ids = all_id_lists(_items(dealt, row_key, list(lists)), all_dims(), row_key,
+                               {col: id_col for col, (_d, _n, id_col) in lists.items()})
+            memo["doc"] = materialize(dealt.drop(*lists.keys()).join(ids, row_key, "left"), "document-delta")
         return memo["doc"]
 
     def document() -> DataFrame:

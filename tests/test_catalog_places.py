@@ -38,3 +38,33 @@ def test_document_details_gathered_by_document(spark):
     assert set(got) == {("Product1", 1), ("Product2", 1), (None, 2)}
     assert got[(None, 2)] == [["Disease2", "None"], ["Crop2"] * 2, ["Pest1"] * 2]
     assert {len(a) for a in got[("Product1", 1)]} == {2 * got[("Product2", 1)][0].__len__()}
+
+
+def test_first_places_fit_one_long_where_the_rows_leave_room(spark):
+    """No decimal where row keys and lists are short; the same places as the decimal gives, for pairs and all bridges."""
+    raw = _raw(spark, "long").withColumn("k", F.when(F.col("k").between(-99, 99), F.col("k")))
+    span = catalog._span(raw, "k", ["p", "q"])
+    pairs = raw.select("k", F.posexplode_outer(F.split("p", ",")).alias("pa", "na"), "q").select(
+        "k", "pa", "na", F.posexplode_outer(F.split("q", ",")).alias("pb", "nb"))
+    got = catalog._first_place(pairs, ["na", "nb"], "k", "pa", "pb", span=span)
+    want = catalog._first_place(pairs, ["na", "nb"], "k", "pa", "pb")
+    assert rows(got) == rows(want) and got.dtypes == want.dtypes
+    assert "decimal" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal" in want._jdf.queryExecution().optimizedPlan().toString()
+    wide = catalog._span(_raw(spark, "long"), "k", ["p", "q"])  # keys over the whole range do not fit
+    assert "decimal" in catalog._first_place(pairs, ["na", "nb"], "k", "pa", "pb", span=wide)._jdf.queryExecution(
+        ).optimizedPlan().toString()
+    assert catalog._span(raw.limit(0), "k", ["p"]) == (0, 0, 0)
+
+
+def test_id_lists_gather_one_array_and_items_are_stripped_without_a_pattern(spark):
+    items = spark.createDataFrame([("p", 1, 0, "a"), ("p", 1, 1, ""), ("p", 1, 2, "b"), ("q", 1, None, None), ("p", 2, 0, ""),
+                                   ("q", 2, 0, "z"), ("q", 2, 1, "c")], "list string, k long, pos int, name string")
+    dims = spark.createDataFrame([("p", "a", 12), ("p", "b", 5), ("p", "", 1), ("q", "c", 5), ("q", None, 6)],
+                                 "list string, name string, _id long")
+    out = catalog.all_id_lists(items, dims, "k", {"p": "P", "q": "Q"})
+    assert rows(out) == [(1, "12,5", None), (2, "", "5")]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("collect_list") == 1
+    cut = spark.createDataFrame([(" \t\x0ba b\n,\r\x0c,c",)], "t string").select(catalog.list_items("t").alias("t"))
+    assert cut.first().t == ["a b", "", "c"]
+    assert "regexp" not in cut._jdf.queryExecution().optimizedPlan().toString()
