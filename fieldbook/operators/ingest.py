@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from fieldbook.operators.ids import continue_ids
 from fieldbook.schemas import AUDIT_COLUMNS
-from fieldbook.session import materialize
+from fieldbook.session import materialize, tasks_for
 from fieldbook.sources.io import fields_fit
 
 # Outcome labels.
@@ -345,58 +345,114 @@ def _value_sets(df: DataFrame, columns: list[str]) -> Column:
         F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in columns])))
 
 
-def _ranked(sets: DataFrame, counts: DataFrame) -> DataFrame:
-    """``sets(_s)`` with their values in the order of ``counts(_v, _n)``, rarest first, values it lacks left out."""
-    each = sets.select("_s", F.explode("_s").alias("_v")).join(counts, "_v")
-    return each.groupBy("_s").agg(F.array_sort(F.collect_list(F.struct("_n", "_v"))).alias("_r")).select(
-        "_s", F.transform("_r", lambda e: e["_v"]).alias("_r"))
+_TASK_SETS = 500_000  # value sets, or probes, dealt to one task
+_BUCKETS = 1 << 16
+_SENT_KEYS = 100_000  # keys of frequent values only are broadcast up to so many
+
+
+def _deal(df: DataFrame, key: str, size: int) -> DataFrame:
+    """``df`` dealt by ``key`` into more tasks than the session's number, where ``size`` rows need them."""
+    n = tasks_for(df.sparkSession, size, _TASK_SETS)
+    return df.repartition(n, key) if n > tasks_for(df.sparkSession, 0, _TASK_SETS) else df
+
+
+def _distinct_sets(sets: DataFrame) -> DataFrame:
+    """The distinct rows of ``sets(_s)``, dealt by ``_s`` as their number demands."""
+    kinds = sets.agg(F.approx_count_distinct(F.xxhash64("_s"))).first()[0]
+    return _deal(sets, "_s", kinds).distinct()
+
+
+def _bucket(value: str) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(_BUCKETS)).cast("int").alias("_b")
+
+
+def _frequencies(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """How often values stand in ``stored(_s)``: (_b, _m) per bucket of values, and (_v, _n) of frequent values.
+
+    Frequent values, over 1 in 1024 of all and so at most as many, are
+    counted by themselves and left out of their bucket.  Both are small
+    however many values there are.
+    """
+    each = stored.select(F.explode("_s").alias("_v"))
+    buckets = materialize(each.groupBy(_bucket("_v")).agg(F.count(F.lit(1)).alias("_m")), "contained-buckets")
+    least = (buckets.agg(F.sum("_m")).first()[0] or 0) // 1024 + 1
+    heavy = buckets.where(F.col("_m") > least).select("_b")
+    often = materialize(each.select("_v", _bucket("_v")).join(F.broadcast(heavy), "_b", "left_semi").groupBy("_b", "_v").agg(
+        F.count(F.lit(1)).alias("_n")).where(F.col("_n") > least), "contained-often")
+    taken = often.groupBy("_b").agg(F.sum("_n").alias("_t"))
+    rest = buckets.join(F.broadcast(taken), "_b", "left").select("_b", (F.col("_m") - F.coalesce("_t", F.lit(0))).alias("_m"))
+    return rest, often.select("_v", "_n")
+
+
+def _ranked(sets: DataFrame, buckets: DataFrame, often: DataFrame) -> DataFrame:
+    """(_r, _rare): the values of ``sets(_s)``, rarest first, frequent ones last, and how many are not frequent.
+
+    Sets that are dealt by ``_s`` stay in their tasks.
+    """
+    each = sets.select("_s", F.explode("_s").alias("_v")).select("_s", "_v", _bucket("_v"))
+    each = each.join(F.broadcast(often), "_v", "left").join(F.broadcast(buckets), "_b", "left")
+    place = F.struct(F.col("_n").isNotNull().alias("often"), F.coalesce("_n", "_m", F.lit(0)).alias("n"), F.col("_v").alias("v"))
+    return each.groupBy("_s").agg(F.sort_array(F.collect_list(place)).alias("_o")).select(
+        F.transform("_o", lambda e: e["v"]).alias("_r"), F.size(F.filter("_o", lambda e: ~e["often"])).alias("_rare"))
 
 
 def contained_sets(batch: DataFrame, stored: DataFrame, few: int = FEW_CANDIDATES) -> DataFrame:
     """(_s): the sets of ``batch(_s)`` that contain some set of ``stored(_s)``.
 
-    A containment join.  Only stored values that occur in the batch count,
-    and sets holding others drop out.  Values have one order, rarest first by
-    the stored sets.  A stored set is keyed by its first value; where more
-    than ``few`` sets share a key, those grow it by their next value, and so
-    on, so keys end up as long as their counts demand.  A batch set probes
-    with the values it holds, and grows only probes that met a key that grew.
-    A key that is a whole set decides by itself; the others give at most
-    ``few`` candidates a probe, whose remaining values are then looked up.
+    A containment join.  Values have one order, about rarest first by the
+    stored sets (``_frequencies``).  A stored set is keyed by its first
+    value; where more than ``few`` sets share a key, those grow it by their
+    next value, and so on, so keys end up as long as their counts demand.  A
+    batch set probes with the values it holds, and grows only probes that
+    met a key that grew.  A key that is a whole set decides by itself, one of
+    a single set by the set it brings along; the others give at most ``few``
+    candidates a probe, whose remaining values are then looked up.
+
+    Sets and probes are dealt by their number, so that no task gets more as
+    tables grow.  Probes of frequent values alone, which would all go to a few
+    tasks, meet their keys by broadcast: those are keys of stored sets that
+    have no other values.
 
     Rounds: one per key length, at most the number of columns.  Each writes
-    its surviving probes; only whether there are any reaches the driver.
+    its surviving probes; only numbers of rows reach the driver.
     """
-    batch = batch.select("_s").distinct()
-    held = batch.select(F.explode("_s").alias("_v")).distinct()
-    sets = stored.select("_s").distinct()
-    known = sets.select("_s", F.explode("_s").alias("_v")).join(held, "_v")
-    whole = materialize(known.groupBy("_s").agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") == F.size("_s"))
-                        .select("_s"), "contained-sets")
-    counts = whole.select(F.explode("_s").alias("_v")).groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
-    left = materialize(_ranked(whole, counts).select("_r"), "contained-ranked")
-    probes = materialize(_ranked(batch, counts).select("_s", "_r", F.array().cast("array<string>").alias("_k"),
-                                                       F.lit(0).alias("_at")), "contained-probes")
+    ranks = _frequencies(stored)
+    left = materialize(_ranked(_distinct_sets(stored.select("_s")), *ranks), "contained-ranked")
+    probes = materialize(_ranked(_distinct_sets(batch.select("_s")), *ranks).select(
+        "_r", "_rare", F.array().cast("array<string>").alias("_k"), F.lit(0).alias("_at"), F.lit(False).alias("_often")),
+        "contained-probes")
     hits = []
     for length in range(1, 1 << 10):
-        keys = left.select(F.slice("_r", 1, length).alias("_k"), "_r").groupBy("_k").agg(
-            F.count(F.lit(1)).alias("_n"), F.max(F.size("_r") == length).alias("_whole"))
-        keys = keys.select("_k", F.when(F.col("_whole"), 0).when(F.col("_n") <= few, 1).otherwise(2).alias("_kind"))
-        grown = probes.where(F.col("_at") < F.size("_r")).select("_s", "_r", F.explode(F.transform(
+        size = max(probes.count(), left.count())
+        cut = left.select(F.slice("_r", 1, length).alias("_k"), "_r", "_rare")
+
+        def keys(sets: DataFrame) -> DataFrame:
+            return sets.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.max(F.size("_r") == length).alias("_whole"),
+                                          F.first("_r").alias("_one"))
+
+        grown = probes.where(F.col("_at") < F.size("_r")).select("_r", "_rare", "_often", F.explode(F.transform(
             F.sequence(F.col("_at") + 1, F.size("_r")), lambda i: F.struct(
                 F.concat("_k", F.array(F.get("_r", i - 1))).alias("k"), i.alias("at")))).alias("_e"))
-        met = materialize(grown.select("_s", "_r", F.col("_e.k").alias("_k"), F.col("_e.at").alias("_at")).join(
-            keys, "_k"), "contained-met")
-        near = met.where("_kind = 1").select("_s", "_k").join(
-            left.select(F.slice("_r", 1, length).alias("_k"), F.col("_r").alias("_t")), "_k")
-        hits.append(materialize(met.where("_kind = 0").select("_s").unionByName(
-            near.where(F.size(F.array_except("_t", "_s")) == 0).select("_s")).distinct(), "contained-hits"))
+        grown = grown.select("_r", "_rare", F.col("_e.k").alias("_k"), F.col("_e.at").alias("_at"), (
+            F.col("_e.at") > F.col("_rare") if length == 1 else F.col("_often")).alias("_often"))
+        met = _deal(grown.where(~F.col("_often")), "_k", size).join(keys(_deal(cut.where("_rare > 0"), "_k", size)), "_k")
+        often = materialize(keys(cut.where("_rare = 0")), "contained-keys")
+        n_often = often.count()
+        if n_often:
+            met = met.unionByName(grown.where("_often").join(F.broadcast(often) if n_often <= _SENT_KEYS else often, "_k"))
+        inside = F.size(F.array_except("_one", "_r")) == 0
+        met = met.withColumn("_kind", F.when(F.col("_whole"), 0).when(F.col("_n") == 1, F.when(inside, 0)).when(
+            F.col("_n") <= few, 1).otherwise(2)).where(F.col("_kind").isNotNull())
+        met = materialize(met.drop("_n", "_whole", "_one"), "contained-met")
+        near = met.where("_kind = 1").select("_r", "_k").join(cut.select("_k", F.col("_r").alias("_t")), "_k")
+        hits.append(materialize(met.where("_kind = 0").select("_r").unionByName(
+            near.where(F.size(F.array_except("_t", "_r")) == 0).select("_r")).distinct(), "contained-hits"))
         done = reduce(DataFrame.unionByName, hits).distinct()
-        probes = met.where("_kind = 2").select("_s", "_r", "_k", "_at").join(done, "_s", "left_anti")
+        probes = met.where("_kind = 2").drop("_kind").join(done, "_r", "left_anti")
         probes = materialize(probes, "contained-probes")
         if probes.limit(1).count() == 0:
-            return done
-        open_keys = keys.where("_kind = 2").select("_k")
+            return done.select(F.sort_array("_r").alias("_s"))
+        open_keys = keys(cut).where((F.col("_n") > few) & ~F.col("_whole")).select("_k")
         left = materialize(left.join(open_keys, F.slice("_r", 1, length) == F.col("_k"), "left_semi"), "contained-ranked")
     raise ValueError("too many columns")
 
@@ -414,11 +470,13 @@ def loose_exists(batch: DataFrame, stored: DataFrame, row_id: str, columns: list
     common = [c for c in (columns or batch.columns) if c in stored.columns and c != row_id]
     if not common:
         return batch.withColumn(flag, F.lit(False))
-    mine, theirs = _value_sets(batch, common).alias("_s"), _value_sets(stored, common).alias("_s")
-    hits = contained_sets(batch.select(mine), stored.select(theirs), few)
-    hit_rows = batch.select(row_id, mine).join(hits, "_s").select(row_id).distinct()
-    return batch.join(hit_rows.withColumn(flag, F.lit(True)), row_id, "left").withColumn(
-        flag, F.coalesce(F.col(flag), F.lit(False)))
+    mine, theirs = _value_sets(batch, common), _value_sets(stored, common)
+    hits = contained_sets(batch.select(mine.alias("_s")), stored.select(theirs.alias("_s")), few)
+    rows = batch.withColumn("_fb_set", mine)
+    size = hits.count()
+    hits = _deal(hits.select(F.col("_s").alias("_fb_hit"), F.lit(True).alias("_fb_flag")), "_fb_hit", size)
+    return _deal(rows, "_fb_set", size).join(hits, F.col("_fb_set") == F.col("_fb_hit"), "left").select(
+        *[rows[f"`{c}`"] for c in batch.columns if c != flag], F.coalesce("_fb_flag", F.lit(False)).alias(flag))
 
 
 def row_difference(batch: DataFrame, table: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -310,3 +310,27 @@ def test_containment_of_empty_tables(spark):
     assert [r.present for r in ingest.loose_exists(b, b.limit(0), "rid").collect()] == [False]
     assert ingest.loose_exists(b.limit(0), b, "rid").count() == 0
     assert [r.present for r in ingest.loose_exists(b, b, "rid").collect()] == [True]
+
+
+def test_contained_sets_of_many_rows_are_dealt_and_frequent_values_broadcast(spark, monkeypatch):
+    """With small tasks every step is dealt, probes of frequent values alone meet few keys; as brute force, also with one bucket."""
+    import random
+    rng = random.Random(7)
+    pick = lambda: (str(rng.randrange(60)) if rng.random() < 0.6 else rng.choice("xyz") if rng.random() < 0.9 else None)
+    batch = [(i, pick(), pick(), pick()) for i in range(300)]
+    stored = [(pick(), pick(), pick()) for _ in range(200)] + [("x", "x", "y"), ("59", "58", "57")]
+    b = spark.createDataFrame(batch, "rid long, a string, b string, c string")
+    s = spark.createDataFrame(stored, "a string, b string, c string")
+    want = {r[0]: any(set(t) <= set(r[1:]) for t in stored) for r in batch}
+    assert set(want.values()) == {True, False}
+    dealt = []
+    monkeypatch.setattr(ingest, "_TASK_SETS", 20)
+    deal = ingest._deal
+    monkeypatch.setattr(ingest, "_deal", lambda df, key, size: dealt.append(
+        deal(df, key, size).rdd.getNumPartitions() if size > 200 else 0) or deal(df, key, size))
+    for buckets, few, sent in ((1 << 16, 16, 100_000), (1, 1, 0)):
+        monkeypatch.setattr(ingest, "_BUCKETS", buckets)
+        monkeypatch.setattr(ingest, "_SENT_KEYS", sent)
+        out = ingest.loose_exists(b, s, "rid", few=few)
+        assert {r.rid: r.present for r in out.collect()} == want and out.columns == ["rid", "a", "b", "c", "present"]
+    assert max(dealt) >= 10  # of the session's 8
