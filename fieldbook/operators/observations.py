@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from fieldbook.functions.columns import unit_for
 from fieldbook.functions.dates import date_tokens, parse_dmy
 from fieldbook.schemas import OBSERVATION, RUN_LOG
+from fieldbook.session import materialize
 from fieldbook.sources import io
 
 # Sheet column renames and the id columns of the long table.
@@ -125,7 +126,7 @@ def _judge(files: DataFrame, long: DataFrame, dates: DataFrame, file_col: str, t
         .when(F.coalesce("n_bad_ids", F.lit(0)) > 0, F.lit(MSG_BAD_ID))
         .when(F.coalesce("n_bad_values", F.lit(0)) > 0, F.lit(MSG_BAD_VALUE)),
     )
-    per_file = per_file.withColumn("error_message", reason)
+    per_file = materialize(per_file.withColumn("error_message", reason), "file-facts")  # read by the rows and by the log
     log = per_file.select(
         ts.alias("timestamp"), F.col(file_col).alias("file_path"),
         F.when(F.col("error_message").isNull(), F.coalesce("n_rows", F.lit(0))).otherwise(F.lit(0))
@@ -176,6 +177,7 @@ def unpivot_sheets(sheets: DataFrame, file_col: str = "file_path", units: dict[s
     """
     own = sheets.select(file_col, F.explode(F.map_keys("fields")).alias("_c")).groupBy(file_col).agg(
         F.collect_set("_c").alias("_own"))
+    own = materialize(own, "sheet-columns")  # one row per file: its size is known, and rows stay where they are
     measures = F.filter("_own", lambda c: ~c.isin(*RENAMES, *ID_COLUMNS))
     f = F.col("fields")
     either = {new: F.coalesce(f[old], f[new]) for old, new in RENAMES.items()}

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldbook.session import materialize
+
 COMMITTED = "_committed"
 
 
@@ -281,14 +283,18 @@ def _csv_records(lines: DataFrame, file_col: str, sep: str) -> DataFrame:
     """Lines of CSV files as field maps by their own file's header; ``fields`` NULL for a torn line.
 
     A file's header is its first line that is not blank, in the split that
-    starts at byte 0.  One row per file is joined to the lines, so the files
-    stay splittable.  A cell beyond the header makes its line torn; a column
+    starts at byte 0.  One row per file, written once, is joined to the lines, so
+    the files stay splittable and, with few files, lines stay in their tasks.  A cell beyond the header makes its line torn; a column
     name that repeats counts once, the first; missing cells are NULL.
     """
     full = lines.where(F.trim("value") != "")
-    top = full.where(F.col("_start") == 0).groupBy(file_col).agg(F.min(F.struct("_at", "value")).alias("_top"))
-    names = F.transform(csv_cells(F.col("_top.value"), sep), lambda c: F.trim(c))
-    header = top.select(file_col, F.col("_top._at").alias("_first"), names.alias("_names"))
+    # the least number first, which needs no sort of the lines, then the line that has it
+    first = materialize(full.where(F.col("_start") == 0).groupBy(file_col).agg(F.min("_at").alias("_first")), "sheet-tops")
+    at = first.select(F.col(file_col).alias("_ff"), "_first")
+    names = F.transform(csv_cells(F.col("value"), sep), lambda c: F.trim(c))
+    header = materialize(full.where(F.col("_start") == 0).join(
+        at, (F.col(file_col) == F.col("_ff")) & (F.col("_at") == F.col("_first"))).select(
+        file_col, "_first", names.alias("_names")), "sheet-headers")
     cells = csv_cells(F.col("value"), sep)
     pairs = F.filter(F.transform("_names", lambda n, i: F.struct(n.alias("n"), F.get("_cells", i).alias("v"), i.alias("i"))),
                      lambda e: e["n"].isNotNull() & (F.array_position("_names", e["n"]) == e["i"] + 1))
@@ -308,7 +314,7 @@ def read_sheets(spark: SparkSession, path: str, file_col: str = "file_path", fmt
     plus one where the file could not be read to its end (``read_lines``):
     an undecodable, cut or vanished file is known by it, ends no job and
     loses nothing silently.  A CSV file with a header and no rows is a file
-    without rows here.
+    without rows here.  Records are parsed once and written.
     """
     lines, account = read_lines(spark, path, file_col, expected)
     if fmt == "csv":
@@ -317,6 +323,7 @@ def read_sheets(spark: SparkSession, path: str, file_col: str = "file_path", fmt
         records = lines.where(F.trim("value") != "").select(file_col, parse_object(F.col("value")).alias("fields"))
     else:
         raise ValueError("fmt must be 'json' or 'csv'")
+    records = materialize(records, "sheet-records")
     bad = records.groupBy(file_col).agg(F.count_if(F.col("fields").isNull()).alias("n_bad"))
     files = account.join(bad, file_col, "left").select(
         file_col, (F.coalesce("n_bad", F.lit(0)) + F.when(F.col("complete"), 0).otherwise(1)).alias("n_bad"))

@@ -184,3 +184,17 @@ def test_array_files_may_span_lines(spark, tmp_dir):
         f.write('[\n {"a": "1"},\n {"a": "2"}\n]\n')
     got = io.read_json_maps(spark, tmp_dir)
     assert [(r.seq, r.fields) for r in got.orderBy("seq").collect()] == [(1, {"a": "1"}), (2, {"a": "2"})]
+
+
+def test_csv_records_are_parsed_once_and_lines_stay_with_few_files(spark, tmp_dir):
+    """Rows of a folder are read from written records; a header after blank lines is found; lines are not moved to meet it."""
+    from fieldbook.sources import io
+    for name, text in {"a.csv": "\n \nproductid,feeding\n1,2\n", "b.csv": "feeding,productid\n5,6\n7\n1,2,3\n", "c.csv": "productid\n"}.items():
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write(text)
+    got, files = io.read_sheets(spark, tmp_dir, fmt="csv")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan and "Join" not in plan
+    assert sorted(((r.file_path[-5:], r.fields["productid"], r.fields.get("feeding")) for r in got.collect()), key=str) == [
+        ("a.csv", "1", "2"), ("b.csv", "6", "5"), ("b.csv", None, "7")]
+    assert sorted((r.file_path[-5:], r.n_bad) for r in files.collect()) == [("a.csv", 0), ("b.csv", 1), ("c.csv", 0)]
