@@ -161,14 +161,17 @@ def classify_new(batch: DataFrame, stored: DataFrame, keys: list[str], seq: str,
 
 def insert_new(batch: DataFrame, stored: DataFrame, keys: list[str], seq: str, run_ts,
                null_safe: bool = False, with_ids: bool = False, id_col: str = "id",
-               id_source: DataFrame | None = None):
+               id_source: DataFrame | None = None, written: bool = False):
     """Returns (rows to append, outcome per batch row).
 
     Rows to append are the ``inserted`` ones, stamped; with ``with_ids`` they
     get ids continuing from the max id of ``id_source`` (default: the
-    stored table) in ``seq`` order.
+    stored table) in ``seq`` order.  ``written`` writes the labelled rows
+    once, for callers that read both results.
     """
     labelled = classify_new(batch, stored, keys, seq, null_safe)
+    if written:
+        labelled = materialize(labelled, "labelled")
     new = labelled.where(F.col("outcome") == INSERTED).drop("outcome")
     if with_ids:
         new = continue_ids(new, [seq], stored if id_source is None else id_source, id_col=id_col)

@@ -86,6 +86,16 @@ def _seed_ids(spark: SparkSession, data: str, ids: str, id_col: str) -> None:
             io.write_text_file(spark, f"{ids}/_seeded/{f}", "done")
 
 
+def _typed_lines(lines: DataFrame, payload: T.StructType) -> DataFrame:
+    """(seq, file_path, record, _ok, _values): numbered lines parsed; ``record`` only where the line is a reject."""
+    parsed = lines.select("seq", "file_path", "record", io.parse_object(F.col("record")).alias("fields"))
+    fields = F.col("fields")
+    ok = fields.isNotNull() & F.coalesce(io.fields_fit(fields, payload), F.lit(False))
+    values = F.struct(*[io.typed_field(fields, f.name, f.dataType).alias(f.name) for f in payload.fields])
+    return parsed.select("seq", "file_path", F.when(~ok, F.col("record")).alias("record"), ok.alias("_ok"),
+                         values.alias("_values"))
+
+
 def start_ingest(spark: SparkSession, src_dir: str, table: str, checkpoint: str, keys: list[str],
                  schema: T.StructType, mode: str = "insert", id_col: str = "id",
                  run_ts=None, min_age: str | None = ingest.DEFAULT_MIN_AGE,
@@ -141,25 +151,27 @@ def start_ingest(spark: SparkSession, src_dir: str, table: str, checkpoint: str,
         if marker.get("query") == qid and int(marker.get("batch", -1)) >= batch_id:
             return  # replay of an applied batch
         now = stamp_time(s, tag)
-        ok = F.col("fields").isNotNull()
+        # insert mode numbers the bare lines: what is parsed before would be parsed again for the ranges of the numbers
+        read = batch_df.drop("fields") if mode == "insert" else batch_df
+        lines = with_batch_order(read.withColumn("file_path", F.col("_file")), max_files=max_files)
         if mode == "insert":
-            ok = ok & F.coalesce(io.fields_fit(F.col("fields"), payload), F.lit(False))
-        lines = with_batch_order(batch_df.withColumn("file_path", F.col("_file")), max_files=max_files)
-        lines.where(~ok).select("seq", "file_path", "record").write.mode("overwrite") \
+            lines = materialize(_typed_lines(lines, payload), "stream-rows")  # parsed once for all that follows
+        else:
+            lines = lines.withColumn("_ok", F.col("fields").isNotNull())
+        lines.where(~F.col("_ok")).select("seq", "file_path", "record").write.mode("overwrite") \
             .parquet(f"{root}/rejects/batch={tag}")
-        good = lines.where(ok).select("seq", "fields")
         if mode == "insert":
-            rows = good.select("seq", *[io.typed_field(F.col("fields"), f.name, f.dataType).alias(f.name)
-                                        for f in payload.fields])
+            rows = lines.where("_ok").select("seq", "_values.*")
             stored = state.known(rows, tag, batch_id)
             id_source = io.read_table(s, ids_dir).where(F.col("batch") != tag).select(id_col)
             new, outcomes = ingest.insert_new(rows, stored, keys, "seq", now, with_ids=True,
-                                              id_col=id_col, id_source=id_source)
-            new = materialize(new.select(*schema.fieldNames()), "stream-new")
+                                              id_col=id_col, id_source=id_source, written=True)
             outcomes.select("seq", "outcome", *keys).write.mode("overwrite").parquet(f"{root}/outcomes/batch={tag}")
+            # the numbered rows lie written, so both reads give the same ids
             new.agg(F.max(id_col).alias(id_col)).write.mode("overwrite").parquet(f"{ids_dir}/batch={tag}")
-            new.write.mode("overwrite").parquet(f"{data}/batch={tag}")
+            new.select(*schema.fieldNames()).write.mode("overwrite").parquet(f"{data}/batch={tag}")
         else:
+            good = lines.where("_ok").select("seq", "fields")
             tbl, outcomes = ingest.upsert(read_ingested(s, table), good, keys, now, id_col=id_col, min_age=min_age)
             outcomes.write.mode("overwrite").parquet(f"{root}/outcomes/batch={tag}")
             # the marker lands inside the new version before it is committed

@@ -174,3 +174,29 @@ def test_rows_loaded_between_two_starts_are_seen(spark, tmp_dir):
     run(spark, base, f"{base}/ck")
     got = sorted((r.id, r.name) for r in read_ingested(spark, f"{base}/table").collect())
     assert got == [(1, "a"), (7, "b"), (8, "c")]
+
+
+def test_a_micro_batch_parses_its_lines_once(spark, tmp_dir, monkeypatch):
+    """Lines are numbered unparsed, then written typed; labelled rows are written before both results are read."""
+    from fieldbook.operators import ingest
+    from fieldbook.streaming import ingest_stream
+
+    numbered, labelled = [], []
+    order, insert_new = ingest_stream.with_batch_order, ingest.insert_new
+    monkeypatch.setattr(ingest_stream, "with_batch_order", lambda b, **kw: numbered.append(b.columns) or order(b, **kw))
+
+    def spied(*args, **kw):
+        new, outcomes = insert_new(*args, **kw)
+        labelled.append([args[0]._jdf.queryExecution().optimizedPlan().toString(),
+                         outcomes._jdf.queryExecution().optimizedPlan().toString()])
+        return new, outcomes
+
+    monkeypatch.setattr(ingest, "insert_new", spied)
+    drop(f"{tmp_dir}/src", "a.json", [{"name": "a", "kind": "x"}, '{"name": "b"', {"name": "a", "kind": "x"}, {"name": "c", "kind": None}])
+    run(spark, tmp_dir, f"{tmp_dir}/ckpt")
+    assert numbered and all("fields" not in columns for columns in numbered)
+    assert all("from_json" not in rows and "Join" not in out for rows, out in labelled)
+    assert sorted((r.id, r.name, r.kind) for r in read_ingested(spark, f"{tmp_dir}/table").collect()) == [
+        (1, "a", "x"), (2, "c", None)]
+    bad = spark.read.parquet(f"{tmp_dir}/table/rejects").collect()
+    assert [(r.seq, r.record, r.file_path[-6:]) for r in bad] == [(2, '{"name": "b"', "a.json")]
