@@ -20,11 +20,13 @@ from pyspark.sql import functions as F
 from fieldbook.functions.columns import canonical_array
 from fieldbook.operators import catalog
 from fieldbook.plans.tables import load, written_input
-from fieldbook.session import scratch_path
+from fieldbook.session import scratch_path, tasks_for
 from fieldbook.sources.io import read_table, write_tables
 
 DOC_KEY = "o_orderkey"
 DOC_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+_TASK_LINES = 400_000  # lines dealt to one task
+_SPREAD = 8  # tasks over which the lines of one part are dealt
 
 
 def raw_documents(spark: SparkSession, sf: str, written: bool = False) -> DataFrame:
@@ -39,7 +41,7 @@ def _raw_documents(spark: SparkSession, sf: str) -> DataFrame:
     o = load(spark, sf, "orders", *DOC_COLUMNS)
     l = load(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_linestatus", "l_returnflag")
     p = load(spark, sf, "part", "p_partkey", "p_brand", "p_type")
-    lp = l.join(p, l["l_partkey"] == p["p_partkey"])
+    lp = _lines_with_parts(l, p)
 
     def lst(c, sep):
         return F.array_join(F.array_sort(F.collect_set(c)), sep)
@@ -53,6 +55,25 @@ def _raw_documents(spark: SparkSession, sf: str) -> DataFrame:
     return o.join(lists, o["o_orderkey"] == lists["l_orderkey"], "left").drop("l_orderkey")
 
 
+def _lines_with_parts(l: DataFrame, p: DataFrame) -> DataFrame:
+    """Lines inner-joined to their parts, about ``_TASK_LINES`` lines to a task however large the table is.
+
+    The session's partitions serve while they are enough.  Beyond that the
+    lines are dealt by their number, for the join and then by order.  AQE
+    splits no partitions whose number is given, so the lines of one part go
+    to ``_SPREAD`` tasks, each with its copy of the part.
+    """
+    spark = l.sparkSession
+    tasks = tasks_for(spark, l.count(), _TASK_LINES)
+    if tasks == tasks_for(spark, 0, _TASK_LINES):
+        return l.join(p, l["l_partkey"] == p["p_partkey"])
+    spread = F.lit(_SPREAD).cast("long")
+    lines = l.withColumn("_s", F.pmod(F.xxhash64("l_orderkey"), spread)).repartition(tasks, "l_partkey", "_s")
+    copies = p.withColumn("_ps", F.explode(F.sequence(F.lit(0).cast("long"), spread - 1)))
+    joined = lines.join(copies.hint("merge"), (F.col("l_partkey") == F.col("p_partkey")) & (F.col("_s") == F.col("_ps")))
+    return joined.drop("_s", "_ps").repartition(tasks, "l_orderkey")
+
+
 _RAW_SQL = """
 raw AS (
   SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_orderpriority,
