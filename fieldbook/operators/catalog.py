@@ -61,6 +61,16 @@ def _dealt(documents: DataFrame, key: str) -> DataFrame:
     return documents.repartition(tasks_for(documents.sparkSession, documents.count(), _TASK_DOCUMENTS), key)
 
 
+def _ranges(documents: DataFrame, buckets: int | None = None) -> int | None:
+    """Ranges to number written documents in: ``buckets``, or None while the session's number keeps them
+    within ``_TASK_DOCUMENTS`` each, or as many as do."""
+    if buckets is not None:
+        return buckets
+    spark = documents.sparkSession
+    tasks = tasks_for(spark, documents.count(), _TASK_DOCUMENTS)
+    return tasks if tasks > tasks_for(spark, 0, _TASK_DOCUMENTS) else None
+
+
 def _span(raw: DataFrame, row_key: str, list_cols: list[str]):
     """(least row key, greatest, longest list text) of the rows, or None where the key is no whole number."""
     if raw.schema[row_key].dataType.typeName() not in _WHOLE:
@@ -381,7 +391,8 @@ def normalise(raw: DataFrame, row_key: str, lists: dict | None = None, bridges:
         return memo["doc"]
 
     def document() -> DataFrame:
-        return dense_ids(document_lists(), [row_key], id_col="document_ID", buckets=buckets)
+        doc = document_lists()
+        return dense_ids(doc, [row_key], id_col="document_ID", buckets=_ranges(doc, buckets))
 
     build: dict = {}
     for col, (dim_name, _n, _i) in lists.items():
@@ -487,7 +498,8 @@ def normalise_more(delta: DataFrame, existing, row_key: str, lists: dict | None
         given = stored.join(doc.select(F.col(row_key).alias("_dk")), F.col("_rk") == F.col("_dk"), "left_semi")
         changed = doc.join(given, doc[row_key] == given["_rk"]).drop("_rk")
         fresh = _only_new(doc, existing["Document"], [row_key])
-        fresh = dense_ids(fresh, [row_key], id_col="document_ID", start=max_id(existing["Document"], "document_ID") + F.lit(1))
+        fresh = dense_ids(fresh, [row_key], id_col="document_ID", buckets=_ranges(doc),
+                          start=max_id(existing["Document"], "document_ID") + F.lit(1))
         return changed.unionByName(fresh)
 
     build: dict = {}
