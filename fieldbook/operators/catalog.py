@@ -24,6 +24,7 @@ from fieldbook.schemas import BRIDGES, DOCUMENT_LISTS
 from fieldbook.session import materialize, tasks_for
 
 _TASK_DOCUMENTS = 100_000  # documents dealt to one task
+_RANGE_DOCUMENTS = 400_000  # documents numbered in one
 _WHOLE = ("byte", "short", "integer", "long")
 
 
@@ -63,12 +64,12 @@ def _dealt(documents: DataFrame, key: str) -> DataFrame:
 
 def _ranges(documents: DataFrame, buckets: int | None = None) -> int | None:
     """Ranges to number written documents in: ``buckets``, or None while the session's number keeps them
-    within ``_TASK_DOCUMENTS`` each, or as many as do."""
+    within ``_RANGE_DOCUMENTS`` each, or as many as do."""
     if buckets is not None:
         return buckets
     spark = documents.sparkSession
-    tasks = tasks_for(spark, documents.count(), _TASK_DOCUMENTS)
-    return tasks if tasks > tasks_for(spark, 0, _TASK_DOCUMENTS) else None
+    tasks = tasks_for(spark, documents.count(), _RANGE_DOCUMENTS)
+    return tasks if tasks > tasks_for(spark, 0, _RANGE_DOCUMENTS) else None
 
 
 def _span(raw: DataFrame, row_key: str, list_cols: list[str]):

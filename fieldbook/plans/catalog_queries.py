@@ -25,8 +25,9 @@ from fieldbook.sources.io import read_table, write_tables
 
 DOC_KEY = "o_orderkey"
 DOC_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-_TASK_LINES = 400_000  # lines dealt to one task
-_SPREAD = 8  # tasks over which the lines of one part are dealt
+# lines dealt to one task; up to 200 tasks (spark.shuffle.sort.bypassMergeThreshold) a shuffle holds no rows where it is written
+_TASK_LINES = 1_200_000
+_SPREAD = 4  # tasks over which the lines of one part are dealt
 
 
 def raw_documents(spark: SparkSession, sf: str, written: bool = False) -> DataFrame:

@@ -103,7 +103,7 @@ def test_documents_are_numbered_in_ranges_of_bounded_rows(spark, monkeypatch):
         return numbering(df, order, **kw)
 
     monkeypatch.setattr(catalog, "dense_ids", spied)
-    monkeypatch.setattr(catalog, "_TASK_DOCUMENTS", 50)
+    monkeypatch.setattr(catalog, "_RANGE_DOCUMENTS", 50, raising=False)
     later = F.col("k") > 800
     base = catalog.normalise(raw.where(~later), "k")
     assert rows(base["Document"], "k", "document_ID") == rows(spark.range(810).select(
